@@ -118,7 +118,7 @@ def write_replacing_date(rows: DataFrame, path: str, date: dt.date, column: str
 
 def read_dated(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     dated = spark.read.schema(schema).parquet(f"{path}/dated")
-    return dated.unionByName(spark.read.schema(schema).parquet(f"{path}/undated"))
+    return dated.unionByName(spark.read.schema(schema).parquet(f"{path}/undated")).select(schema.names)
 
 
 def refresh_mart(mart: DataFrame, path: str, by: list[str] | None = None, whole: bool = True) -> None:
