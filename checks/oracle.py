@@ -342,6 +342,11 @@ SQL: dict[str, str] = {
     "mart_month_refreshed_on_disk": "SELECT * FROM m_monthly",
     "mart_month_replaced": f"""SELECT * FROM m_monthly_counted WHERE NOT (YEAR = {MONTH.year} AND MONTH = {MONTH.month})
         UNION ALL SELECT * FROM m_monthly WHERE YEAR = {MONTH.year} AND MONTH = {MONTH.month}""",
+    "delay_trends_from_cells": "SELECT * FROM m_monthly",
+    "airline_performance_from_cells": "SELECT * FROM m_airlines",
+    "airport_stats_from_cells": "SELECT * FROM m_airports",
+    "delay_causes_from_cells": "SELECT * FROM m_causes",
+    "route_performance_from_cells": "SELECT * FROM m_routes",
     # ad-hoc
     "annual_trend": f"""SELECT YEAR, {half_up(mean('DELAY_RATE'))} AS AVG_ANNUAL_DELAY_RATE,
         {SUM_FLIGHTS} AS TOTAL_ANNUAL_FLIGHTS, CAST(SUM(TOTAL_CANCELLED) AS BIGINT) AS TOTAL_CANCELLATIONS

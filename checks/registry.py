@@ -24,7 +24,7 @@ from tarmac.functions.text import (
     temperature,
     visibility,
 )
-from tarmac.operators import adhoc, anomalies, coverage, dashboard, delay_model, features, marts, nas, weather
+from tarmac.operators import adhoc, anomalies, cells, coverage, dashboard, delay_model, features, marts, nas, weather
 from tarmac.operators import flight_cleaning as cleaning
 from tarmac.schemas import RAW_FLIGHTS, columns
 from tarmac.session import ensure_checkpoint_dir, work_path
@@ -250,6 +250,35 @@ def mart_month_replaced(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def flight_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.flight_cells(flights(spark, folder))
+
+
+@register
+def delay_trends_from_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.delay_trends_monthly(flight_cells(spark, folder))
+
+
+@register
+def airline_performance_from_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.airline_performance(flight_cells(spark, folder))
+
+
+@register
+def airport_stats_from_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.airport_stats(flight_cells(spark, folder))
+
+
+@register
+def delay_causes_from_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.delay_cause_breakdown(flight_cells(spark, folder))
+
+
+@register
+def route_performance_from_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return cells.route_performance(flight_cells(spark, folder))
+
+
 # -- ad-hoc ------------------------------------------------------------------
 
 

@@ -36,8 +36,13 @@ def blank_to_null(text: str | Column) -> Column:
     return F.nullif(as_column(text), F.lit(""))
 
 
+def captured(text: Column, pattern: str) -> Column:
+    """First group of the first match; no match is NULL, which casts cheaply."""
+    return blank_to_null(F.regexp_extract(text, pattern, 1))
+
+
 def captured_int(text: Column, pattern: str) -> Column:
-    return F.regexp_extract(text, pattern, 1).try_cast("int")
+    return captured(text, pattern).try_cast("int")
 
 
 def delay_minutes(text: str | Column) -> Column:
@@ -46,7 +51,7 @@ def delay_minutes(text: str | Column) -> Column:
     worded = F.coalesce(captured_int(lowered, HOURS_PATTERN), F.lit(0)) * 60 + F.coalesce(
         captured_int(lowered, MINUTES_PATTERN), F.lit(0)
     )
-    return F.when(worded > 0, worded).otherwise(captured_int(lowered, BARE_PATTERN))
+    return F.coalesce(F.nullif(worded, F.lit(0)), captured_int(lowered, BARE_PATTERN))
 
 
 def delay_type(name: str | Column) -> Column:
@@ -76,12 +81,12 @@ def first_text(raw: str | Column) -> Column:
 
 def temperature(raw: str | Column) -> Column:
     """First signed number in the text."""
-    return F.regexp_extract(first_text(raw), SIGNED_NUMBER_PATTERN, 1).try_cast("double")
+    return captured(first_text(raw), SIGNED_NUMBER_PATTERN).try_cast("double")
 
 
 def visibility(raw: str | Column) -> Column:
     """First unsigned number in the text."""
-    return F.regexp_extract(first_text(raw), UNSIGNED_NUMBER_PATTERN, 1).try_cast("double")
+    return captured(first_text(raw), UNSIGNED_NUMBER_PATTERN).try_cast("double")
 
 
 def name_and_code(name: str | Column, code: str | Column) -> Column:

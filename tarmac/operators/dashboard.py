@@ -14,6 +14,7 @@ from tarmac.dims import CAUSE_LABELS
 from tarmac.functions.measures import mean, percent, percent_at_least_one, rounded_mean, total
 from tarmac.functions.text import name_and_code
 from tarmac.operators.keys import largest
+from tarmac.operators.lookup import LOOKUP_ROWS, join_lookup
 
 # Defaults of the page controls.
 TOP_AIRLINES = 15
@@ -426,15 +427,15 @@ def route_history(routes: DataFrame, origin: str, dest: str) -> DataFrame:
     )
 
 
-def with_route_history(flights: DataFrame, routes: DataFrame) -> DataFrame:
+def with_route_history(flights: DataFrame, routes: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame:
     """Each flight with the latest month of its route.
 
-    ``max_by`` folds a route's months before the shuffle, so the joined side is
-    one row per route.
+    ``max_by`` folds a route's months to one row per route, which is then a
+    lookup of at most airports × airports rows.
     """
     month = F.col("YEAR") * 12 + F.col("MONTH")
     latest = routes.groupBy("ORIGIN", "DEST").agg(
         F.max_by("AVG_DEP_DELAY_MIN", month).alias("ROUTE_AVG_DEP_DELAY_MIN"),
         F.max_by("TOTAL_FLIGHTS", month).alias("ROUTE_TOTAL_FLIGHTS"),
     )
-    return flights.join(latest, ["ORIGIN", "DEST"], "left")
+    return join_lookup(flights, latest, ["ORIGIN", "DEST"], limit)

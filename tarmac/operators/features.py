@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import clock_hour
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.operators.lookup import LOOKUP_ROWS, counted, join_lookup
 
 # Feature names in model order.
 NUMERIC_FEATURES = ["DEP_HOUR", "DEP_DOW", "DEP_MONTH", "FLIGHT_DISTANCE", "SCHED_ELAPSED_MIN"]
@@ -164,7 +164,6 @@ def feature_rows(requests: DataFrame, names: Sequence[str]) -> DataFrame:
 # -- target means ------------------------------------------------------------
 
 FOLDS = 5
-ENCODING_ROW_LIMIT = 1_000_000
 
 
 def with_fold(rows: DataFrame, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
@@ -182,8 +181,7 @@ def out_of_fold_means(rows: DataFrame, label: str) -> DataFrame:
     y = F.col(label).cast("double")
     sums = [F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q")]
     own = rows.select("FOLD", y.alias("y"), F.inline(pairs)).groupBy("FEATURE", "VALUE", "FOLD").agg(*sums)
-    ensure_checkpoint_dir(rows.sparkSession)
-    own = own.checkpoint()  # values × folds; read by the three aggregates below
+    own, _ = counted(own)  # values × folds; read by the three aggregates below
 
     def others(per: list[str], prefix: str) -> DataFrame:
         merged = [F.sum(name).alias(f"{prefix}{name}") for name in "nsq"]
@@ -208,18 +206,12 @@ def out_of_fold_means(rows: DataFrame, label: str) -> DataFrame:
     return joined.select("FEATURE", "VALUE", "FOLD", shrunk.alias("ENCODING"))
 
 
-def with_out_of_fold_means(rows: DataFrame, label: str, suffix: str, limit: int = ENCODING_ROW_LIMIT) -> DataFrame:
-    """Add one encoded column per categorical feature.
-
-    The encodings are values × folds.  They are broadcast only when their
-    counted rows stay under ``limit``; beyond it the join shuffles and AQE
-    splits hot values.
-    """
-    encodings = out_of_fold_means(rows, label).checkpoint()
-    small = encodings.count() <= limit
+def with_out_of_fold_means(rows: DataFrame, label: str, suffix: str, limit: int = LOOKUP_ROWS) -> DataFrame:
+    """Add one encoded column per categorical feature."""
+    encodings, _ = counted(out_of_fold_means(rows, label))
     for name in CATEGORICAL_FEATURES:
         one = encodings.where(F.col("FEATURE") == name).select(
             F.col("VALUE").alias(name), "FOLD", F.col("ENCODING").alias(f"{name}{suffix}")
         )
-        rows = rows.join(F.broadcast(one) if small else one, [name, "FOLD"], "left")
+        rows = join_lookup(rows, one, [name, "FOLD"], limit)
     return rows

@@ -24,12 +24,38 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "tarmac", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with ``SETTINGS``; ``conf`` overrides them key by key."""
+PARTITION_BYTES = 192 * 1024**2
+MAX_PARTITIONS = 100_000
+
+
+def shuffle_width(input_bytes: int, cores: int) -> int:
+    """Shuffle partitions to start with for an input of this size.
+
+    About 192 MB per partition, so one fits in a task's memory; at least two
+    waves of cores.  AQE merges what turns out smaller.
+    """
+    return min(max(2 * cores, -(-input_bytes // PARTITION_BYTES)), MAX_PARTITIONS)
+
+
+def build_session(
+    app_name: str = "tarmac",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    cores: int = 1,
+    **conf: str,
+) -> SparkSession:
+    """A session with ``SETTINGS``; ``conf`` overrides them key by key.
+
+    ``input_bytes`` is the largest table a job shuffles; it sets the width AQE
+    starts from.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **conf}.items():
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(shuffle_width(input_bytes, cores))
+    for key, value in {**SETTINGS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

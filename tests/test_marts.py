@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import stand_ins
-from tarmac.operators import adhoc, coverage, dashboard, marts
+from tarmac.operators import adhoc, cells, coverage, dashboard, marts
 from tests.conftest import one, rows
 
 
@@ -135,3 +135,19 @@ def test_target_date(spark):
     assert rows(marts.delay_trends_daily(rows_in, dt.date(2024, 1, 5)).select("FLIGHT_DATE")) == [(dt.date(2024, 1, 5),)]
     assert rows(marts.delay_trends_daily(rows_in, dt.date(2024, 1, 6))) == []
     assert rows(marts.airport_stats(rows_in, dt.date(2024, 2, 9)).select("AIRPORT")) == [("SEA",)]
+
+
+@pytest.mark.parametrize("name", ["delay_trends_monthly", "airline_performance", "airport_stats", "delay_cause_breakdown"])
+def test_cells_give_the_same_marts_with_null_flags(spark, name):
+    given = flights(spark, *MIXED)
+    direct = getattr(marts, name)(given)
+    rolled = getattr(cells, name)(cells.flight_cells(given))
+    assert rolled.columns == direct.columns
+    assert sorted(rows(rolled), key=str) == sorted(rows(direct), key=str)
+
+
+def test_cells_give_the_same_routes(spark):
+    given = flights(spark, *(MIXED * 5))
+    direct, rolled = marts.route_performance(given), cells.route_performance(cells.flight_cells(given))
+    assert rolled.columns == direct.columns
+    assert rows(rolled) == rows(direct) and direct.count() == 1

@@ -58,6 +58,21 @@ def test_deduplication_limits_before_the_shuffle(spark, small):
         assert final < text.index("Exchange", final) < partial
 
 
+def test_small_lookup_leaves_the_flights_unshuffled(spark, small):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        code = F.concat(F.lit("A"), F.col("id") % 9)
+        flights = spark.range(1000).select(code.alias("ORIGIN"), code.alias("DEST"), "id")
+        routes = registry.routes(spark, small)
+        checked = plan(dashboard.with_route_history(flights, routes), "simple")
+        beyond = plan(dashboard.with_route_history(flights, routes, limit=-1), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in checked and "hashpartitioning" not in checked
+    assert "SortMergeJoin" in beyond and "BroadcastHashJoin" not in beyond
+
+
 def test_top_k_is_taken_per_task_first(spark, small):
     text = plan(dashboard.busiest_route_rows(registry.route_rows(spark, small), 10))
     assert "TakeOrderedAndProject" in text

@@ -8,7 +8,7 @@ from checks import stand_ins
 from tarmac import schemas
 from tarmac.plans.daily_status import load_day, write_digest
 from tarmac.plans.mart_refresh import MART_SETS, refresh
-from tarmac.session import shared_folder, work_path
+from tarmac.session import shared_folder, shuffle_width, work_path
 from tarmac.sources import landed, tables
 from tests.conftest import one, rows
 
@@ -172,3 +172,9 @@ def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
     monkeypatch.setattr(spark.sparkContext, "master", "yarn")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(spark)
+
+
+def test_shuffle_width():
+    assert shuffle_width(0, 8) == 16
+    assert shuffle_width(10 * 1024**4, 4000) == 54614
+    assert shuffle_width(100 * 1024**4, 4000) == 100_000
