@@ -30,19 +30,27 @@ def positive_mean(value: str | Column, keep: Column | None = None, digits: int =
     return F.round(F.avg(F.when(wanted, value)), digits)
 
 
+def hundredths(value: str | Column) -> Column:
+    """A two-decimal mart column as an exact decimal."""
+    return as_column(value).cast("decimal(18,2)")
+
+
 def mean(value: str | Column) -> Column:
-    """Mean of a two-decimal mart column.
+    """Unrounded mean of a two-decimal mart column.
 
-    The sum is taken in decimal, so the result does not depend on the order in
-    which partitions are merged.
+    The sum is exact, so the result does not depend on the order in which
+    partitions are merged.
     """
-    value = as_column(value)
-    total = F.sum(value.cast("decimal(18,2)")).cast("double")
-    return total / F.nullif(F.count(value), F.lit(0))
+    return F.sum(hundredths(value)).cast("double") / F.nullif(F.count(as_column(value)), F.lit(0))
 
 
 def rounded_mean(value: str | Column, digits: int = 2) -> Column:
-    return F.round(mean(value), digits)
+    """Mean of a two-decimal mart column, halves rounded up.
+
+    Divided in decimal: a mean that lies on a half is not pushed below it by
+    binary division.
+    """
+    return F.round(F.avg(hundredths(value)), digits).cast("double")
 
 
 def total(value: str | Column) -> Column:

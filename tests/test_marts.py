@@ -151,3 +151,11 @@ def test_cells_give_the_same_routes(spark):
     direct, rolled = marts.route_performance(given), cells.route_performance(cells.flight_cells(given))
     assert rolled.columns == direct.columns
     assert rows(rolled) == rows(direct) and direct.count() == 1
+
+
+def test_mean_on_a_half_rounds_up(spark):
+    """408.90 / 12 is 34.075; in binary it falls just below."""
+    rates = [34.0] * 11 + [34.9]
+    mart = spark.createDataFrame([(2024, m + 1, 10, 0, rate) for m, rate in enumerate(rates)],
+        "YEAR int, MONTH int, TOTAL_FLIGHTS bigint, TOTAL_CANCELLED bigint, DELAY_RATE double")
+    assert one(adhoc.annual_trend(mart))[1] == 34.08
