@@ -284,12 +284,34 @@ TABLES: dict[str, str] = {
         GREATEST(0, COALESCE(DEP_DELAY_MIN, 0)) AS LABEL_REG FROM fx_flights WHERE NOT IS_CANCELLED""",
     "x_labelled": """SELECT * REPLACE (LEAST(GREATEST(LABEL_REG, 0), 300) AS LABEL_REG) FROM x_weather
         WHERE LABEL_CLASS IS NOT NULL AND LABEL_REG IS NOT NULL""",
+    "e_long": " UNION ALL ".join(
+        f"SELECT '{name}' AS FEATURE, {name} AS VALUE, DEP_MONTH % 5 AS FOLD,"
+        " CAST(LABEL_CLASS AS DOUBLE) AS y_class, CAST(LABEL_REG AS DOUBLE) AS y_reg FROM x_labelled"
+        for name in ("OP_CARRIER", "ORIGIN", "DEST")
+    ),
     "c_carriers": f"SELECT SUBSTR({CARRIERS}, CAST(2*(l_suppkey % 14)+1 AS INT), 2) AS AIRLINE_CODE, l_orderkey FROM lineitem",
     "c_requested": f"""SELECT CAST(EXTRACT(YEAR FROM m) AS INT) AS YEAR, CAST(EXTRACT(MONTH FROM m) AS INT) AS MONTH
         FROM (SELECT unnest(generate_series(DATE '{REQUESTED[0]}-01', DATE '{REQUESTED[1]}-01', INTERVAL 1 MONTH)) AS m)""",
     "c_present": "SELECT DISTINCT YEAR, MONTH, TRUE AS PRESENT FROM fx_flights",
 }
 
+
+
+def out_of_fold(y: str) -> str:
+    """Mean over the other folds, shrunk to their overall mean."""
+    sums = f"COUNT(*) AS n, SUM({y}) AS s, SUM({y} * {y}) AS q"
+    return f"""SELECT FEATURE, VALUE, FOLD, ROUND(COALESCE(trust * m + (1 - trust) * level, m, level), 9) AS ENCODING
+        FROM (SELECT *, gv * n / NULLIF(gv * n + v, 0) AS trust FROM (
+        SELECT FEATURE, VALUE, FOLD, n, gs / gn AS level, gq / gn - (gs / gn) * (gs / gn) AS gv,
+            s / NULLIF(n, 0) AS m, GREATEST(q / NULLIF(n, 0) - (s / NULLIF(n, 0)) * (s / NULLIF(n, 0)), 0) AS v
+        FROM (SELECT o.FEATURE, o.VALUE, o.FOLD, t.n - o.n AS n, t.s - o.s AS s, t.q - o.q AS q,
+                a.n - f.n AS gn, a.s - f.s AS gs, a.q - f.q AS gq
+            FROM (SELECT FEATURE, VALUE, FOLD, {sums} FROM e_long GROUP BY ALL) o
+            JOIN (SELECT FEATURE, VALUE, {sums} FROM e_long GROUP BY ALL) t ON o.FEATURE = t.FEATURE AND o.VALUE = t.VALUE
+            JOIN (SELECT FEATURE, FOLD, {sums} FROM e_long GROUP BY ALL) f ON o.FEATURE = f.FEATURE AND o.FOLD = f.FOLD
+            JOIN (SELECT FEATURE, {sums} FROM e_long GROUP BY ALL) a ON o.FEATURE = a.FEATURE)))"""
+
+
 STAGED = """FLIGHT_ID, FLIGHT_DATE, YEAR, AIRLINE_CODE, FLIGHT_NUMBER, ORIGIN, DEST, DEP_DELAY_MIN, IS_DEP_DELAYED,
     IS_CANCELLED, IS_DIVERTED, ARR_DELAY_MIN, DATA_SOURCE"""
 JOIN_KEYS = "FLIGHT_DATE, ORIGIN, DEST, SCHEDULED_DEP, SCHEDULED_ARR, TAIL_NUMBER"
@@ -572,6 +594,8 @@ SQL: dict[str, str] = {
     "class_weight": f"""SELECT {count_if('LABEL_CLASS = 0')} AS NEGATIVE, {count_if('LABEL_CLASS = 1')} AS POSITIVE,
         CAST({count_if('LABEL_CLASS = 0')} AS DOUBLE) / GREATEST({count_if('LABEL_CLASS = 1')}, 1) AS SCALE_POSITIVE
         FROM x_labelled""",
+    "out_of_fold_delay_rates": out_of_fold("y_class"),
+    "out_of_fold_delay_minutes": out_of_fold("y_reg"),
     "category_values": """SELECT DISTINCT 'OP_CARRIER' AS FEATURE, OP_CARRIER AS VALUE FROM x_labelled
         UNION ALL SELECT DISTINCT 'ORIGIN', ORIGIN FROM x_labelled UNION ALL SELECT DISTINCT 'DEST', DEST FROM x_labelled""",
     "feature_rows": "SELECT DEP_HOUR, DEP_DOW, DEP_MONTH, FLIGHT_DISTANCE, SCHED_ELAPSED_MIN, "

@@ -877,9 +877,19 @@ def split_summary(spark: SparkSession, folder: str) -> DataFrame:
     return features.split_summary(features.with_split(model_rows(spark, folder)))
 
 
+def encoded(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    folded = model_rows(spark, folder).withColumn("FOLD", F.pmod("DEP_MONTH", F.lit(features.FOLDS)).cast("int"))
+    return features.out_of_fold_means(folded, label).withColumn("ENCODING", F.round("ENCODING", 9))
+
+
+@register
+def out_of_fold_delay_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(spark, folder, "LABEL_CLASS")
+
+
 @register
-def out_of_fold_means(spark: SparkSession, folder: str) -> DataFrame:
-    return features.out_of_fold_means(features.with_fold(model_rows(spark, folder)), "LABEL_CLASS")
+def out_of_fold_delay_minutes(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(spark, folder, "LABEL_REG")
 
 
 @register

@@ -1,4 +1,4 @@
-"""HHMM clock integers, weekdays, risk bands."""
+"""ISO time texts, HHMM clock integers, weekdays, risk bands."""
 
 from __future__ import annotations
 
@@ -16,6 +16,23 @@ RISK_BANDS = [
 WORST_BAND = ("Severe", "darkred")
 
 
+# The two accepted time texts.
+ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
+ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
+
+
+def iso_date(text: str | Column) -> Column:
+    """``yyyy-MM-dd`` as a date; any other text is NULL."""
+    text = as_column(text)
+    return F.when(F.rlike(text, F.lit(ISO_DATE)), text.try_cast("date"))
+
+
+def iso_timestamp(text: str | Column) -> Column:
+    """``yyyy-MM-ddTHH:mm:ss`` as wall-clock time, free of any time zone."""
+    text = as_column(text)
+    return F.when(F.rlike(text, F.lit(ISO_TIMESTAMP)), text.try_cast("timestamp_ntz"))
+
+
 def clock_hour(hhmm: str | Column) -> Column:
     """Hour of an HHMM integer; 2400 is hour 24 and matches no observation."""
     return F.floor(as_column(hhmm) / 100).cast("int")

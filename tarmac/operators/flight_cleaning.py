@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.functions.clock import iso_date
 from tarmac.functions.text import blank_to_null
 from tarmac.operators.keys import one_per_key
 from tarmac.schemas import (
@@ -61,7 +62,7 @@ def typed(name: str) -> Column:
     elif kind == "double":
         value = value.try_cast("double")
     elif kind == "date":
-        value = F.try_to_timestamp(value, F.lit("yyyy-MM-dd")).cast("date")
+        value = iso_date(value)
     return value.alias(name)
 
 

@@ -6,18 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import dims
+from tarmac.functions.clock import iso_date, iso_timestamp
 from tarmac.operators.keys import one_per_key
 from tarmac.schemas import NAS_SNAPSHOT
 
-SNAPSHOT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
-DATE_FORMAT = "yyyy-MM-dd"
-
 
 def parse_times(rows: DataFrame) -> DataFrame:
     """ISO text → wall-clock timestamp and date; bad text becomes NULL."""
-    snapshot = F.try_to_timestamp("SNAPSHOT_TS", F.lit(SNAPSHOT_FORMAT)).cast("timestamp_ntz")
-    date = F.try_to_timestamp("FETCH_DATE", F.lit(DATE_FORMAT)).cast("date")
-    return rows.withColumns({"SNAPSHOT_TS": snapshot, "FETCH_DATE": date})
+    return rows.withColumns({"SNAPSHOT_TS": iso_timestamp("SNAPSHOT_TS"), "FETCH_DATE": iso_date("FETCH_DATE")})
 
 
 def normalise_airport(rows: DataFrame) -> DataFrame:

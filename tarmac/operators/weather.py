@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac import dims
-from tarmac.functions.clock import arrival_date, clock_hour
+from tarmac.functions.clock import arrival_date, clock_hour, iso_date
 from tarmac.operators.keys import one_per_key
 from tarmac.schemas import HOURLY_ARRAYS, HOURLY_FIELDS
 from tarmac.sources.tables import add_missing_columns
@@ -37,7 +37,7 @@ def hourly_columns(hours: DataFrame) -> DataFrame:
     return hours.select(
         F.upper("iata_code").alias("IATA_CODE"),
         F.col("time").alias("OBS_TIMESTAMP"),
-        part(1, 10).try_cast("date").alias("OBS_DATE"),
+        iso_date(part(1, 10)).alias("OBS_DATE"),
         part(1, 4).try_cast("int").alias("YEAR"),
         part(6, 2).try_cast("int").alias("MONTH"),
         part(12, 2).try_cast("int").alias("OBS_HOUR"),

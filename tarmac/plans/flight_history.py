@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.operators.flight_cleaning import (
     clean_flights,
@@ -13,23 +14,35 @@ from tarmac.operators.flight_cleaning import (
 )
 from tarmac.operators.weather import with_weather
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS
-from tarmac.sources.archives import archive_errors, list_archives, read_zip_csv, source_rows
+from tarmac.sources.archives import list_archives, read_zip_csv, source_rows
 from tarmac.sources.tables import add_missing_columns, write_partitions
 
 
 def load_archives(
     spark: SparkSession, folder: str, raw_path: str, year: int | None = None, month: int | None = None
-) -> DataFrame:
-    """Clean all archives in one job into the raw layer; returns the archives that failed."""
+) -> list[str]:
+    """Clean all archives in one job into the raw layer.
+
+    Returns a message per archive that failed, gathered by the same pass.  An
+    archive holds one month, so each task writes few partitions and nothing is
+    shuffled.
+    """
     unpacked = read_zip_csv(list_archives(spark, folder, year, month))
+    seen = Observation()
+    message = F.concat("ARCHIVE", F.lit(": "), "ERROR")  # NULL, and so not collected, where all went well
+    unpacked = unpacked.observe(seen, F.collect_list(message).alias("failed"))
     rows = tag_source(clean_flights(source_rows(unpacked).drop("ARCHIVE")))
     whole = add_missing_columns(rows, RAW_FLIGHTS).select(RAW_FLIGHTS.names)
-    write_partitions(whole, raw_path, ["YEAR", "MONTH"])
-    return archive_errors(unpacked)
+    write_partitions(whole, raw_path, ["YEAR", "MONTH"], rebalance=False)
+    return sorted(seen.get["failed"])
 
 
 def build_staging(raw: DataFrame, staging_path: str, weather: DataFrame | None = None, dedup: bool = False) -> None:
-    """Raw layer → staging layer, with weather where it is given."""
+    """Raw layer → staging layer, with weather where it is given.
+
+    The raw layer is stored by month, so the plain projection is written as it
+    is read; after a join or a deduplication the months are gathered again.
+    """
     rows = staging_flights(raw)
     if dedup:
         rows = deduplicate_flights(rows)
@@ -37,4 +50,5 @@ def build_staging(raw: DataFrame, staging_path: str, weather: DataFrame | None =
         rows = with_weather(rows, weather)
     stamped = stamp_load(rows)
     ordered = [*STAGING_FLIGHTS.names, *[name for name in stamped.columns if name not in STAGING_FLIGHTS.names]]
-    write_partitions(stamped.select(ordered), staging_path, ["YEAR", "MONTH"])
+    moved = dedup or weather is not None
+    write_partitions(stamped.select(ordered), staging_path, ["YEAR", "MONTH"], rebalance=moved)

@@ -70,7 +70,7 @@ def shared_folder(spark: SparkSession) -> str:
     its own, since driver and executors share one machine.
     """
     context = spark.sparkContext
-    named = context.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not context.master.startswith("local"):

@@ -13,7 +13,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.schemas import SOURCE_CSV
 
-ARCHIVE_GLOB = "ontime_*.zip"
 ROWS_PER_CHUNK = 50_000
 ARCHIVE_ROWS = StructType(
     [StructField("ARCHIVE", StringType()), StructField("ERROR", StringType()), *SOURCE_CSV.fields]
@@ -21,11 +20,16 @@ ARCHIVE_ROWS = StructType(
 
 
 def list_archives(spark: SparkSession, folder: str, year: int | None = None, month: int | None = None) -> DataFrame:
-    """One row per archive with its content, narrowed by the name's year and month."""
+    """One row per archive with its content, narrowed by the name's year and month.
+
+    The glob keeps other archives out of the listing, so they are not read; the
+    filters after it decide exactly.
+    """
     name = F.col("_metadata.file_name")
+    wanted = f"ontime_*{'' if year is None else f'{year}_*'}{'' if month is None else f'{month:02d}'}.zip"
     archives = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", ARCHIVE_GLOB)
+        .option("pathGlobFilter", wanted)
         .load(folder)
         .select(name.alias("ARCHIVE"), "path", "length", "content")
     )

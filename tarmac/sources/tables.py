@@ -91,14 +91,17 @@ def write_dated(rows: DataFrame, path: str, column: str = "FETCH_DATE") -> None:
     write_partitions(rows.withColumn("DATE_KEY", F.col(column)), path, ["DATE_KEY"], whole=True)
 
 
-def write_partitions(rows: DataFrame, path: str, by: list[str], whole: bool = False) -> None:
+def write_partitions(
+    rows: DataFrame, path: str, by: list[str], whole: bool = False, rebalance: bool = True
+) -> None:
     """Replace the partitions that occur in ``rows``, or with ``whole`` all of them.
 
     The rebalance hint lets AQE merge small partitions and split a hot one over
-    several files, so one month or day may hold most of the rows.
+    several files, so one month or day may hold most of the rows.  It costs a
+    shuffle; rows whose tasks already hold few partitions can go without.
     """
     (
-        rows.hint("rebalance", *by)
+        (rows.hint("rebalance", *by) if rebalance else rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*by)

@@ -75,13 +75,35 @@ def test_chunks_cover_the_whole_member(spark, tmp_path, monkeypatch):
 
 def test_load_and_stage(spark, folder, tmp_path):
     raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
-    errors = load_archives(spark, folder, raw)
-    assert errors.count() == 1
+    failed = load_archives(spark, folder, raw)
+    assert len(failed) == 1 and failed[0].startswith("ontime_2024_03.zip: BadZipFile")
     stored = spark.read.parquet(raw)
     assert stored.count() == 9
     build_staging(stored, staging)
     flights = spark.read.parquet(staging)
     assert sorted(rows(flights.groupBy("YEAR", "MONTH").count())) == [(2023, 12, 4), (2024, 1, 5)]
     # loading one month again replaces that month only
-    load_archives(spark, folder, raw, 2024, 1)
+    assert load_archives(spark, folder, raw, 2024, 1) == []
     assert spark.read.parquet(raw).count() == 9
+
+
+def test_staging_with_weather_and_deduplication(spark, folder, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tarmac.schemas import FLIGHT_WEATHER, STAGING_FLIGHTS, WEATHER_HOURLY
+    from tarmac.sources.tables import add_missing_columns
+
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
+    load_archives(spark, folder, raw)
+    stored = spark.read.parquet(raw).withColumn("CRS_DEP_TIME", F.lit(815))
+    obs = add_missing_columns(
+        spark.createDataFrame([("ATL", 8, 3.5)], "IATA_CODE string, OBS_HOUR int, TEMP_C double").withColumn(
+            "OBS_DATE", F.to_date(F.lit("2024-01-02"))
+        ),
+        WEATHER_HOURLY,
+    )
+    build_staging(stored.unionByName(stored), staging, weather=obs, dedup=True)
+    flights = spark.read.parquet(staging)
+    assert flights.count() == 9
+    assert set(flights.columns) == {*STAGING_FLIGHTS.names, *FLIGHT_WEATHER.names}
+    assert rows(flights.where("ORIGIN_TEMP_C = 3.5").select("FLIGHT_ID")) == [("AA_2_20240102_ATL_LAX",)]

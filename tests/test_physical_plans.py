@@ -14,7 +14,7 @@ NO_PLAN = {
     # these run writes, streams or training while the frame is built
     "csv_scan", "raw_parquet_batch", "mart_month_refreshed_on_disk", "weather_document_scan", "snapshot_scan",
     "snapshot_scan_of_one_date", "date_replaced_on_disk", "snapshot_stream_keys", "snapshot_stream_table",
-    "daily_count_stream", "out_of_fold_means", "delay_scores", "delay_model_metrics",
+    "daily_count_stream", "out_of_fold_delay_rates", "out_of_fold_delay_minutes", "delay_scores", "delay_model_metrics",
 }
 
 

@@ -153,25 +153,29 @@ def test_daily_load_and_digest(spark, small, tmp_path):
     assert text.where("value LIKE '%type GroundStop%'").count() > 0
 
 
-def test_shared_folder_is_the_named_one(spark, monkeypatch):
-    class Conf:
-        def get(self, key):
-            return "hdfs://cluster/shared/"
+class Named:
+    """Stands for a session whose settings and master are given."""
 
-    monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: Conf())
-    assert shared_folder(spark) == "hdfs://cluster/shared"
-    assert work_path(spark, "x").startswith("hdfs://cluster/shared/x-")
+    def __init__(self, master, folder):
+        settings = {"spark.checkpoint.dir": folder} if folder else {}
+        self.conf = type("Conf", (), {"get": lambda _, key, default=None: settings.get(key, default)})()
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})()
 
 
-def test_shared_folder_must_be_named_on_a_cluster(spark, monkeypatch):
-    class Conf:
-        def get(self, key):
-            return None
+def test_shared_folder_is_the_named_one():
+    cluster = Named("yarn", "hdfs://cluster/shared/")
+    assert shared_folder(cluster) == "hdfs://cluster/shared"
+    assert work_path(cluster, "x").startswith("hdfs://cluster/shared/x-")
 
-    monkeypatch.setattr(type(spark.sparkContext), "getConf", lambda self: Conf())
-    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+
+def test_shared_folder_must_be_named_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(spark)
+        shared_folder(Named("yarn", None))
+
+
+def test_local_folder_is_kept_for_the_session():
+    alone = Named("local[2]", None)
+    assert shared_folder(alone) == shared_folder(alone)
 
 
 def test_shuffle_width():

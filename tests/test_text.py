@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tarmac.functions.clock import arrival_date, clock_hour, risk_level, sunday_first
+from tarmac.functions.clock import arrival_date, clock_hour, iso_date, iso_timestamp, risk_level, sunday_first
 from tarmac.functions.text import (
     code_and_name,
     code_from_label,
@@ -83,3 +83,16 @@ def test_weekday_and_risk(spark):
     assert [r[0] for r in rows(frame.select(risk_level("p")))] == [
         "Low", "Low", "Medium", "Medium", "High", "Severe", "Severe",
     ]
+
+
+def test_iso_texts(spark):
+    given = ["2024-01-31", "2024-02-30", "2024-1-5", "31/01/2024", "2024-01-31T00:00:00", " 2024-01-31", "", None]
+    assert [str(v) for v in apply(spark, iso_date, given)] == ["2024-01-31"] + ["None"] * 7
+    given = ["2024-03-10T02:30:00", "2024-03-10 02:30:00", "2024-03-10T02:30", "2024-03-10T02:30:00Z", "x", None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # this hour is skipped there
+    try:
+        shown = [str(v) for v in apply(spark, iso_timestamp, given)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert shown == ["2024-03-10 02:30:00"] + ["None"] * 5
