@@ -16,7 +16,7 @@ from tarmac.schemas import (
     RENAMES,
 )
 
-SOURCE_TAG = "BTS"
+SOURCE_TAG = "BTS"  # fixed value
 
 # Staging name of a raw column, where it differs.
 STAGING_NAMES = {

@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tarmac-tests",
-        master="local[4]",
+        master="local[8]",
         **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
