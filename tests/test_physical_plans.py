@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import registry, stand_ins
-from tarmac.operators import dashboard, flight_cleaning, marts, nas, weather
+from tarmac.operators import dashboard, flight_cleaning, lookup, marts, nas, weather
 from tests.conftest import plan
 
 PYTHON_NODES = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF")
@@ -58,7 +58,7 @@ def test_deduplication_limits_before_the_shuffle(spark, small):
         assert final < text.index("Exchange", final) < partial
 
 
-def test_small_lookup_leaves_the_flights_unshuffled(spark, small):
+def test_small_lookup_leaves_the_flights_unshuffled(spark, small, monkeypatch):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -67,10 +67,14 @@ def test_small_lookup_leaves_the_flights_unshuffled(spark, small):
         routes = registry.routes(spark, small)
         checked = plan(dashboard.with_route_history(flights, routes), "simple")
         beyond = plan(dashboard.with_route_history(flights, routes, limit=-1), "simple")
+        wide = spark.range(10).select((F.col("id") % 9).alias("id"), F.repeat(F.lit("x"), 100_000).alias("note")).distinct()
+        monkeypatch.setattr(lookup, "LOOKUP_BYTES", 500_000)
+        too_wide = plan(lookup.join_lookup(flights, wide, ["id"]), "simple")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "BroadcastHashJoin" in checked and "hashpartitioning" not in checked
     assert "SortMergeJoin" in beyond and "BroadcastHashJoin" not in beyond
+    assert "SortMergeJoin" in too_wide and "BroadcastHashJoin" not in too_wide
 
 
 def test_top_k_is_taken_per_task_first(spark, small):
