@@ -5,12 +5,36 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import arrow_sequences, bm25_packing
+from tarmac.llm import (
+    arrow_sequences,
+    bm25_packing,
+    feistel_pseudonyms,
+    hyperminhash,
+    suffix_decontamination,
+)
 from tarmac.llm.tables import table
 
 VOCABULARY = "word_bpe_49k.json"
 
 
+#: The key of the registered queries; a real corpus has one of its own, kept apart from the data.
+PSEUDONYM_KEY = "tarmac"
+
+
+def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.groups(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_decontamination.find_passages(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel_pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=2)
 
@@ -23,7 +47,10 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_hyperminhash": op2_hyperminhash,
+    "op4_suffix_arrays": op4_suffix_arrays,
     "op5_bm25_packing": op5_bm25_packing,
+    "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
     "op9_arrow_sequences": op9_arrow_sequences,
 }
 
