@@ -53,11 +53,11 @@ class ShardWriter:
         self.held: list[np.ndarray] = []
         self.n_held = self.n_tokens = self.n_docs = 0
 
-    def add(self, doc_ids: list[int | None], ids: np.ndarray, ends: np.ndarray) -> None:
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
         starts = np.append(0, ends[:-1])
         self.index.write_batch(
             pa.record_batch(
-                [pa.array(doc_ids, pa.int64()), pa.array(self.n_tokens + starts), pa.array(ends - starts)],
+                [doc_ids, pa.array(self.n_tokens + starts), pa.array(ends - starts)],
                 schema=self.index_schema,
             )
         )
@@ -157,12 +157,12 @@ def write_sequences(docs: DataFrame, vocabulary: str, end_id: int, length: int =
         uri = f"{folder}/{shard:08d}-{uuid.uuid4().hex[:8]}"
         codec, writer = encoder(vocabulary), None
         for batch in batches:
-            doc_ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            doc_ids, texts = batch.column("doc_id"), batch.column("text")
             for start, stop in slices(texts):
-                ids, ends, _ = codec.encode(texts[start:stop])
+                ids, ends, _ = codec.encode(texts.slice(start, stop - start))
                 with_end = np.insert(ids, ends, end_id).astype(codec.id_type)
                 writer = writer or ShardWriter(uri, length, codec.id_type)
-                writer.add(doc_ids[start:stop], with_end, ends + np.arange(1, len(ends) + 1))
+                writer.add(doc_ids.slice(start, stop - start), with_end, ends + np.arange(1, len(ends) + 1))
         if writer:
             writer.close()
             yield pa.RecordBatch.from_pydict(

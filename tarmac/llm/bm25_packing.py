@@ -164,9 +164,9 @@ def pack(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(vocabulary)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("text")
             for start, stop in slices(texts):
-                ids, ends, least = codec.encode(texts[start:stop])
+                ids, ends, least = codec.encode(texts.slice(start, stop - start))
                 ids = np.insert(ids, ends, end_id).astype(codec.id_type)
                 ends = np.append(0, ends + np.arange(1, len(ends) + 1)) * codec.id_type.itemsize
                 data = pa.LargeBinaryArray.from_buffers(

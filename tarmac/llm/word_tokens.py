@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Characters that ``str.split`` drops although the vocabulary encodes them.
-_SPLIT_BUT_ENCODED = re.compile("[\x1c-\x1f]")
-_WORDS_PER_CALL = 2_000
+_WORDS_PER_CALL = 200
+#: Marks that are a piece of their own behind letters.
+_MARKS = frozenset(".,;:!?")
 
 
 class WholeTextEncoder:
@@ -19,21 +20,23 @@ class WholeTextEncoder:
 
     The vocabulary never joins characters across white space, so the ids of a
     text are those of its words in order.  Words new to the encoder go to the
-    tokenizers library many at a time, parted by a special token.  At most
+    tokenizers library many at a time: words of letters, perhaps with a mark
+    behind them, as one text, whose word-end tokens tell them apart, and any
+    other word by itself.  At most
     ``max_words`` words are remembered; then it starts afresh, which changes
     the speed and never the ids.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = sorted(
-            (token.content, key) for key, token in self.tokenizer.get_added_tokens_decoder().items() if token.special
-        )
-        self.parting, self.parting_id = special[0]
-        self.special_starts = {content[:2] for content, _ in special}
+        ends = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[key for token, key in vocabulary.items() if ends and token.endswith(ends)]] = True
+        self.has_ends = bool(ends)
         self.id_type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.max_words = max_words
         self._forget()
@@ -49,20 +52,29 @@ class WholeTextEncoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.id_type)
 
+    def _pieces(self, word: str) -> int:
+        """Pieces the vocabulary cuts a word into before it merges letters; 0 if that takes a closer look."""
+        low = word.lower()
+        if not self.has_ends or not low:
+            return 0
+        if low.isalpha():
+            return 1
+        return 2 if low[-1] in _MARKS and low[:-1].isalpha() else 0
+
     def _learn(self, words: list[str]) -> None:
         from xxhash import xxh3_64_intdigest
 
-        odd = [word for word in words if any(start in word for start in self.special_starts)]
-        plain = [word for word in words if not any(start in word for start in self.special_starts)] if odd else words
+        pieces = [self._pieces(word) for word in words]
+        odd = [word for word, n in zip(words, pieces) if not n]
+        plain = [word for word, n in zip(words, pieces) if n]
+        counts = np.array([n for n in pieces if n], np.int64)
         found: list[tuple[list[str], np.ndarray, np.ndarray]] = []
         for at in range(0, len(plain), _WORDS_PER_CALL):
             part = plain[at : at + _WORDS_PER_CALL]
-            (encoded,) = self.tokenizer.encode_batch_fast([self.parting.join(part)], add_special_tokens=False)
+            (encoded,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             ids = np.array(encoded.ids, np.int64)
-            parted = ids == self.parting_id
-            ends = np.append(np.flatnonzero(parted), len(ids))
-            lengths = np.diff(ends, prepend=-1) - 1
-            found.append((part, ids[~parted], lengths))
+            ends = np.flatnonzero(self.is_end[ids])[np.cumsum(counts[at : at + _WORDS_PER_CALL]) - 1]
+            found.append((part, ids, np.diff(ends, prepend=-1)))
         for word in odd:
             ids = self._whole(word)
             found.append(([word], ids, np.array([len(ids)])))
@@ -81,39 +93,38 @@ class WholeTextEncoder:
             self.used += len(ids)
             self.places.update(zip(part, range(first, first + n)))
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in one array, the end of each text in it, and the smallest word hash of each.
 
-        A text that is null or has no word has no ids and the hash 0.
+        Words are parted at spaces, tabs and line feeds; other white space
+        stays inside a word and is left to the vocabulary.  A text that is null
+        or empty has no ids.
         """
-        words = [(text or "").split() for text in texts]
-        flat = list(chain.from_iterable(words))
-        new = set(flat).difference(self.places)
-        if new:
-            if len(self.places) + len(new) > self.max_words:
+        spaced = pc.fill_null(texts, "")
+        for mark in ("\n", "\t"):
+            spaced = pc.replace_substring(spaced, mark, " ")
+        words = pc.split_pattern(spaced, " ")
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.places.get
+        places = np.fromiter([known(word, -1) for word in distinct], np.int64, len(distinct))
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            if len(self.places) + len(missing) > self.max_words:
                 self._forget()
-                new = set(flat)
-            self._learn(sorted(new))
-        places = np.fromiter(map(self.places.__getitem__, flat), np.int64, len(flat))
+                missing = np.arange(len(distinct))
+            new = [distinct[at] for at in missing.tolist()]
+            self._learn(new)
+            places[missing] = [self.places[word] for word in new]
+        places = places[coded.indices.to_numpy()]
         lengths = self.lengths[places]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.ids[np.repeat(self.starts[places] - (ends - lengths), lengths) + np.arange(total)]
-        word_ends = np.cumsum([len(part) for part in words], dtype=np.int64)
+        word_ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
         text_ends = np.append(0, ends)[word_ends]
-        least = np.zeros(len(texts), np.uint64)
-        some = np.diff(word_ends, prepend=0) > 0
-        if some.any():
-            firsts = (word_ends - np.diff(word_ends, prepend=0))[some]
-            least[some] = np.minimum.reduceat(self.hashes[places], firsts)
-        if any(text and _SPLIT_BUT_ENCODED.search(text) for text in texts):
-            parts = np.split(ids, text_ends[:-1])
-            parts = [
-                self._whole(text) if text and _SPLIT_BUT_ENCODED.search(text) else part
-                for text, part in zip(texts, parts)
-            ]
-            ids = np.concatenate(parts)
-            text_ends = np.cumsum([len(part) for part in parts], dtype=np.int64)
+        # splitting gives every text one word at least, if an empty one
+        least = np.minimum.reduceat(self.hashes[places], np.append(0, word_ends[:-1]))
         return ids, text_ends, least
 
 
@@ -123,13 +134,12 @@ def encoder(path: str) -> WholeTextEncoder:
     return WholeTextEncoder(path)
 
 
-def slices(texts: list[str | None], chars: int = 1_000_000):
-    """Consecutive ``(start, stop)`` of at most ``chars`` characters, or one text."""
-    start = size = 0
-    for at, text in enumerate(texts):
-        size += len(text or "")
-        if size > chars and at > start:
-            yield start, at
-            start, size = at, len(text or "")
-    if start < len(texts):
-        yield start, len(texts)
+def slices(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Consecutive ``(start, stop)`` of about ``size`` bytes of text, or one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield start, stop
+        start = stop
