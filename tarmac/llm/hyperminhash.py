@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.tables import staged
+from tarmac.llm.tables import rows_of, staged
+from tarmac.llm.word_hashes import MIX, mixed, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 48, 4
@@ -26,63 +27,27 @@ MANTISSA = 10
 #: Bits of a hash that pick a bucket's value, and the largest count of leading zeros a register holds.
 VALUE_BITS, MOST_ZEROS = 48, 63
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64 bits that spreads every input bit."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class WordHashes:
-    """64-bit hashes of words, remembered between texts."""
-
-    def __init__(self, most: int = 500_000):
-        self.known: dict[bytes, int] = {}
-        self.most = most
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        from xxhash import xxh3_64_intdigest
-
-        known = self.known
-        found = [known.get(word) for word in words]
-        if None in found:
-            if len(known) > self.most:
-                known.clear()
-            for at, value in enumerate(found):
-                if value is None:
-                    word = words[at]
-                    found[at] = known[word] = xxh3_64_intdigest(word)
-        return np.array(found, np.uint64)
-
-
-_HASHES = WordHashes()
-
-
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles.
 
     Words are runs of bytes other than ASCII white space, A-Z in lower case.  A
     text of fewer than five words is one shingle; one without words has none.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    hashes = word_hashes(text)
+    if not len(hashes):
         return np.empty(0, np.uint64)
-    hashes = _HASHES.of(words)
-    n = max(1, len(words) - SHINGLE + 1)
-    width = min(SHINGLE, len(words))
+    n = max(1, len(hashes) - SHINGLE + 1)
+    width = min(SHINGLE, len(hashes))
     total = np.full(n, width, np.uint64)
     for k in range(width):
-        total = _mixed(total * _MIX + hashes[k : k + n])
+        total = mixed(total * MIX + hashes[k : k + n])
     return np.unique(total)
 
 
 def probes(count: int = 64) -> np.ndarray:
     """For every bucket the order in which an empty one looks for a value to borrow."""
     at = np.arange(BUCKETS, dtype=np.uint64)[:, None] * np.uint64(count) + np.arange(count, dtype=np.uint64)
-    return ((_mixed(at + _MIX) >> np.uint64(32)) * np.uint64(BUCKETS) >> np.uint64(32)).astype(np.int64)
+    return ((mixed(at + MIX) >> np.uint64(32)) * np.uint64(BUCKETS) >> np.uint64(32)).astype(np.int64)
 
 
 _PROBES = probes()
@@ -99,7 +64,7 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     filled = np.zeros(BUCKETS, bool)
     filled[bucket[first]] = True
     # the value is mixed anew, so it does not depend on the bucket; its minimum needs all of a bucket's hashes
-    values = _mixed(hashes + _MIX) >> np.uint64(64 - VALUE_BITS)
+    values = mixed(hashes + MIX) >> np.uint64(64 - VALUE_BITS)
     least = np.zeros(BUCKETS, np.uint64)
     least[bucket[first]] = np.minimum.reduceat(values, first)
     length = np.frexp(least.astype(float))[1]  # bits of the value: exact, as 48 bits fit a double
@@ -219,12 +184,6 @@ def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
     return F.least(corrected, F.least(n_a, n_b) / F.greatest(n_a, n_b))
 
 
-def _needed(docs: DataFrame, ids: DataFrame, broadcast_rows: int) -> DataFrame:
-    """Documents whose id is in ``ids``; ids are broadcast up to ``broadcast_rows`` of eight bytes, else joined by shuffle."""
-    small = ids.count() <= broadcast_rows
-    return docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a``, ``b`` whose sets are linked: 100 * intersection >= percent * union."""
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("a_set"))
@@ -312,7 +271,7 @@ def groups(
     members = staged(_members(classes), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wanted = members.select("id").distinct().join(classes, "id").select(F.col("first").alias("doc_id")).distinct()
-    sets = staged(full_sets(_needed(texts, staged(wanted, "wanted"), broadcast_rows), by_digest), "sets")
+    sets = staged(full_sets(rows_of(texts, staged(wanted, "wanted"), "doc_id", broadcast_rows=broadcast_rows), by_digest), "sets")
     if by_digest:
         sets = sets.groupBy("id").agg(F.min("shingles").alias("shingles"))
     bands = classes.select("id", "n_shingles", "bands")

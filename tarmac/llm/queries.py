@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.llm import (
     arrow_sequences,
     bm25_packing,
+    cross_parsing,
     feistel_pseudonyms,
+    host_paths,
     hyperminhash,
+    importance_resampling,
+    learned_partitions,
+    pattern_grammar,
     suffix_decontamination,
 )
 from tarmac.llm.tables import table
@@ -21,10 +27,19 @@ VOCABULARY = "word_bpe_49k.json"
 PSEUDONYM_KEY = "tarmac"
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
+
+
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.groups(table(spark, sf_dir, "documents"))
 
 
+def op3_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pattern_grammar.score(docs, pattern_grammar.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_decontamination.find_passages(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -39,6 +54,15 @@ def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=2)
 
 
+def op7_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_paths.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return importance_resampling.resample(table(spark, sf_dir, "documents"), target)
+
+
 def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = arrow_sequences.write_sequences(
         table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=1
@@ -46,12 +70,22 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_sequences.read_documents(manifest)
 
 
+def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cross_parsing.predict(docs, cross_parsing.learn(docs))
+
+
 QUERIES = {
+    "op1_learned_partitions": op1_learned_partitions,
     "op2_hyperminhash": op2_hyperminhash,
+    "op3_pattern_grammar": op3_pattern_grammar,
     "op4_suffix_arrays": op4_suffix_arrays,
     "op5_bm25_packing": op5_bm25_packing,
     "op6_feistel_pseudonyms": op6_feistel_pseudonyms,
+    "op7_host_paths": op7_host_paths,
+    "op8_importance_resampling": op8_importance_resampling,
     "op9_arrow_sequences": op9_arrow_sequences,
+    "op10_cross_parsing": op10_cross_parsing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

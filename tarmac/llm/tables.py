@@ -32,3 +32,13 @@ def trained_on(doc_id: Column) -> Column:
 def held_out(doc_id: Column) -> Column:
     """The other fifth.  A document without an id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+
+
+def rows_of(frame: DataFrame, ids: DataFrame, key: str, how: str = "left_semi", broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``frame`` joined to ``ids`` on ``key``.
+
+    The ids are counted and broadcast up to ``broadcast_rows``, a few bytes
+    each; more of them are joined by shuffle.
+    """
+    small = ids.count() <= broadcast_rows
+    return frame.join(F.broadcast(ids) if small else ids, key, how)
