@@ -10,6 +10,7 @@ import re
 
 from checks import stand_ins
 from checks.registry import (
+    ABSENT_IN_ODD_YEARS,
     BUSY_AIRPORT,
     BUSY_ROUTE,
     CARRIERS,
@@ -19,14 +20,23 @@ from checks.registry import (
     MONTH,
     REQUESTED,
     ROUTE,
+    SAMPLE_KEYS,
     YEARS,
 )
-from checks.stand_ins import FLIGHTS, HELPERS, LINEITEM, NAS, RAIN_HOURS, SOURCE_ROWS, WEATHER, expressions
+from checks.stand_ins import FLIGHTS, HELPERS, LINEITEM, NAS, RAIN_HOURS, SOURCE_ROWS, UNDATED_EVERY, WEATHER, expressions
 from tarmac.dims import AIRLINE_NAMES, AIRPORT_SITES, CAUSE_LABELS, MONTH_LABELS, NAS_AIRPORTS, NO_WEATHER_AIRPORTS
 from tarmac.dims import WEEKDAY_NAMES
-from tarmac.operators.features import WEATHER_SOURCES
+from tarmac.operators.features import CATEGORICAL_FEATURES, LABELS, NUMERIC_FEATURES, SEED, WEATHER_FEATURES, WEATHER_SOURCES
+from tarmac.operators.flight_cleaning import FLAGS, STAGING_NAMES
 from tarmac.operators.weather import DEST_FIELDS, ORIGIN_FIELDS
-from tarmac.schemas import HOURLY_FIELDS
+from tarmac.schemas import (
+    FLIGHT_DELAY_COLUMNS,
+    FLIGHT_SOURCE_COLUMNS,
+    FLIGHT_TEXT_COLUMNS,
+    FLIGHT_TYPES,
+    HOURLY_FIELDS,
+    STAGING_FLIGHTS,
+)
 
 
 def listing(table: dict[str, str]) -> str:
@@ -115,14 +125,51 @@ AIRPORT_ROWS = [
 ]
 
 CORE = "IATA_CODE_REPORTING_AIRLINE IS NOT NULL AND FLIGHT_DATE IS NOT NULL AND ORIGIN IS NOT NULL AND DEST IS NOT NULL"
-TEXTS = ["IATA_CODE_REPORTING_AIRLINE", "FLIGHT_NUMBER", "ORIGIN", "DEST"]
 
 
 def trimmed(name: str) -> str:
     return f"NULLIF(trim({name}), '') AS {name}"
 
 
-VOIDED = "CASE WHEN CANCELLED = 1 THEN NULL ELSE DEP_DELAY_MINUTES END AS DEP_DELAY_MINUTES"
+def voided(name: str) -> str:
+    return f"CASE WHEN CANCELLED = 1 THEN NULL ELSE {name} END AS {name}"
+
+
+def cast_text(source: str, name: str, kind: str) -> str:
+    number = f"TRY_CAST({source} AS DOUBLE)"
+    shapes = {"int": f"TRY_CAST({number} AS INT)", "double": number, "date": f"CAST({source} AS DATE)", "string": source}
+    return f"{shapes[kind]} AS {name}"
+
+
+RENAMED = ", ".join(f"{source} AS {name}" for source, name, _ in FLIGHT_SOURCE_COLUMNS)
+VOIDED = ", ".join(map(voided, FLIGHT_DELAY_COLUMNS))
+CLEAN = ", ".join(
+    trimmed(name) if name in FLIGHT_TEXT_COLUMNS else voided(name) if name in FLIGHT_DELAY_COLUMNS else name
+    for name in FLIGHT_TYPES
+)
+RAW_NAMES = {staging: name for name, staging in STAGING_NAMES.items()}
+STAGED = [name for name in STAGING_FLIGHTS.names if name != "_LOAD_TS"]
+STAGED_PARTS = ", ".join(
+    f"{FLAGS[name]} = 1 AS {name}" if name in FLAGS else f"{RAW_NAMES.get(name, name)} AS {name}"
+    for name in STAGED
+    if name not in ("FLIGHT_ID", "DATA_SOURCE")
+)
+WX_VALUES = ", ".join(
+    (
+        f"CASE WHEN hour < {RAIN_HOURS} THEN {WEATHER[field]} END AS {name}"
+        if field == "rain"
+        else f"CAST({WEATHER.get(field, 'NULL')} AS {kind}) AS {name}"
+    )
+    for field, name, kind in HOURLY_FIELDS
+)
+OBSERVED = "IATA_CODE, OBS_DATE, OBS_HOUR"
+
+DEST_JOIN = """ FROM {} f LEFT JOIN wx_hours w ON f.DEST = w.IATA_CODE
+        AND CASE WHEN f.SCHEDULED_ARR < f.SCHEDULED_DEP THEN f.FLIGHT_DATE + 1 ELSE f.FLIGHT_DATE END = w.OBS_DATE
+        AND COALESCE(f.SCHEDULED_ARR, 0) // 100 = w.OBS_HOUR"""
+
+#: Worked out once per query: several later subqueries read them.
+MATERIALIZED = {"fx_wx", "wx_hours", "fx_flights", "f_origin"}
 
 TABLES: dict[str, str] = {
     "fx_base": f"""SELECT {', '.join(LINEITEM)}, {listing(HELPERS)}
@@ -137,33 +184,24 @@ TABLES: dict[str, str] = {
         {text_minutes('MAX_TXT')} AS MAX_DELAY_MIN, TREND, CAST(NULL AS VARCHAR) AS END_TIME,
         CAST(NULL AS DOUBLE) AS WEATHER_TEMP_F, CAST(NULL AS DOUBLE) AS WEATHER_VIS_MI,
         CAST(NULL AS VARCHAR) AS WEATHER_WIND, CAST(NULL AS VARCHAR) AS WEATHER_CONDITION FROM fx_nas""",
-    "fx_wx": f"""SELECT upper(code) AS IATA_CODE, CONCAT(CAST(d AS VARCHAR), 'T', LPAD(CAST(h AS VARCHAR), 2, '0'), ':00')
-        AS OBS_TIMESTAMP, d AS OBS_DATE, CAST(EXTRACT(YEAR FROM d) AS INT) AS YEAR,
-        CAST(EXTRACT(MONTH FROM d) AS INT) AS MONTH, CAST(h AS INT) AS OBS_HOUR, """
-    + ", ".join(
-        (
-            f"CASE WHEN h < {RAIN_HOURS} THEN {WEATHER[field]} END AS {name}"
-            if field == "rain"
-            else f"CAST({WEATHER.get(field, 'NULL')} AS {kind}) AS {name}"
-        )
-        for field, name, kind in HOURLY_FIELDS
-    )
-    + f""" FROM (SELECT d, k, h, dayofyear(d) AS doy, SUBSTR({stand_ins.AIRPORTS}, CAST(3*k+1 AS INT), 3) AS code
-        FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem), range(10) AS a(k), range(24) AS b(h))
-        WHERE (k + doy) % 11 <> 0""",
-    "typed": """SELECT TRY_CAST(TRY_CAST(Year AS DOUBLE) AS INT) AS YEAR,
-        CAST(FlightDate AS DATE) AS FLIGHT_DATE, IATA_CODE_Reporting_Airline AS IATA_CODE_REPORTING_AIRLINE,
-        Flight_Number_Reporting_Airline AS FLIGHT_NUMBER, Origin AS ORIGIN, Dest AS DEST,
-        TRY_CAST(DepDelayMinutes AS DOUBLE) AS DEP_DELAY_MINUTES,
-        TRY_CAST(TRY_CAST(DepDel15 AS DOUBLE) AS INT) AS DEP_DEL15,
-        TRY_CAST(TRY_CAST(Cancelled AS DOUBLE) AS INT) AS CANCELLED FROM fx_raw""",
-    "cleaned": f"""SELECT YEAR, FLIGHT_DATE, {', '.join(map(trimmed, TEXTS))}, {VOIDED}, DEP_DEL15, CANCELLED
-        FROM typed WHERE {CORE}""",
-    "staged": """SELECT CONCAT(COALESCE(IATA_CODE_REPORTING_AIRLINE, 'XX'), '_', COALESCE(FLIGHT_NUMBER, '0'), '_',
+    "wx_places": f"""SELECT d, k, dayofyear(d) AS doy, SUBSTR({stand_ins.AIRPORTS}, CAST(3*k+1 AS INT), 3) AS code
+        FROM (SELECT d, unnest(range(10)) AS k FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem))
+        WHERE (k + dayofyear(d)) % 11 <> 0""",
+    "fx_wx": f"""SELECT code AS IATA_CODE,
+        CONCAT(CAST(d AS VARCHAR), 'T', LPAD(CAST(hour AS VARCHAR), 2, '0'), minute) AS OBS_TIMESTAMP, d AS OBS_DATE,
+        CAST(EXTRACT(YEAR FROM d) AS INT) AS YEAR, CAST(EXTRACT(MONTH FROM d) AS INT) AS MONTH,
+        CAST(hour AS INT) AS OBS_HOUR, {WX_VALUES}
+        FROM (SELECT *, hour + shift AS h FROM (
+            SELECT *, unnest(range(24)) AS hour FROM (
+                SELECT *, ':00' AS minute, 0 AS shift FROM wx_places UNION ALL
+                SELECT *, ':30' AS minute, 1 AS shift FROM wx_places WHERE k = 4)))""",
+    "wx_hours": f"""SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (
+        PARTITION BY {OBSERVED} ORDER BY OBS_TIMESTAMP) AS rn FROM fx_wx) WHERE rn = 1""",
+    "typed": f"SELECT {', '.join(cast_text(*column) for column in FLIGHT_SOURCE_COLUMNS)} FROM fx_raw",
+    "cleaned": f"SELECT {CLEAN} FROM typed WHERE {CORE}",
+    "staged": f"""SELECT CONCAT(COALESCE(IATA_CODE_REPORTING_AIRLINE, 'XX'), '_', COALESCE(FLIGHT_NUMBER, '0'), '_',
         strftime(FLIGHT_DATE, '%Y%m%d'), '_', COALESCE(ORIGIN, 'XXX'), '_', COALESCE(DEST, 'XXX')) AS FLIGHT_ID,
-        FLIGHT_DATE, YEAR, IATA_CODE_REPORTING_AIRLINE AS AIRLINE_CODE, FLIGHT_NUMBER, ORIGIN, DEST,
-        DEP_DELAY_MINUTES AS DEP_DELAY_MIN, DEP_DEL15 = 1 AS IS_DEP_DELAYED, CANCELLED = 1 AS IS_CANCELLED,
-        CAST(NULL AS BOOLEAN) AS IS_DIVERTED, CAST(NULL AS DOUBLE) AS ARR_DELAY_MIN, 'BTS' AS DATA_SOURCE FROM cleaned""",
+        {STAGED_PARTS}, 'BTS' AS DATA_SOURCE FROM cleaned""",
     "by_name": """SELECT TRY_CAST(Year AS INT) AS YEAR, TRY_CAST(FlightDate AS DATE) AS FLIGHT_DATE,
         Flight_Number_Reporting_Airline AS FLIGHT_NUMBER, Origin AS ORIGIN,
         TRY_CAST(DepDelayMinutes AS DOUBLE) AS DEP_DELAY_MINUTES, CAST(NULL AS DOUBLE) AS DISTANCE,
@@ -204,7 +242,8 @@ TABLES: dict[str, str] = {
         MAX(AVG_DELAY_MIN) AS MAX_AVG_DELAY_MIN, BOOL_OR(DELAY_TYPE = 'GroundDelay') AS HAS_GROUND_DELAY,
         BOOL_OR(DELAY_TYPE = 'GroundStop') AS HAS_GROUND_STOP FROM fx_status
         WHERE HAS_DELAY AND FETCH_DATE IS NOT NULL AND IATA_CODE IS NOT NULL GROUP BY FETCH_DATE, IATA_CODE""",
-    "lines": "SELECT * REPLACE (CAST(date_trunc('second', SNAPSHOT_TS) AS TIMESTAMP) AS SNAPSHOT_TS) FROM fx_status",
+    "lines": f"""SELECT * REPLACE (CAST(date_trunc('second', SNAPSHOT_TS) AS TIMESTAMP) AS SNAPSHOT_TS,
+        CASE WHEN event_id % {UNDATED_EVERY} <> 0 THEN FETCH_DATE END AS FETCH_DATE) FROM fx_status""",
     "programs": """SELECT * EXCLUDE (event_id, rn) FROM (
         SELECT * EXCLUDE (event_id), event_id, ROW_NUMBER() OVER (
             PARTITION BY FETCH_DATE, IATA_CODE, DELAY_TYPE ORDER BY SNAPSHOT_TS DESC NULLS LAST,
@@ -261,13 +300,10 @@ TABLES: dict[str, str] = {
         AS AVG_DELAY_ACROSS_DELAYED FROM fx_status GROUP BY FETCH_DATE""",
     "f_origin": "SELECT f.*, "
     + ", ".join(f"w.{name} AS ORIGIN_{name}" for name in ORIGIN_FIELDS)
-    + """ FROM fx_flights f LEFT JOIN fx_wx w ON f.ORIGIN = w.IATA_CODE AND f.FLIGHT_DATE = w.OBS_DATE
+    + """ FROM fx_flights f LEFT JOIN wx_hours w ON f.ORIGIN = w.IATA_CODE AND f.FLIGHT_DATE = w.OBS_DATE
         AND f.SCHEDULED_DEP // 100 = w.OBS_HOUR""",
-    "f_both": "SELECT f.*, "
-    + ", ".join(f"w.{name} AS DEST_{name}" for name in DEST_FIELDS)
-    + """ FROM f_origin f LEFT JOIN fx_wx w ON f.DEST = w.IATA_CODE
-        AND CASE WHEN f.SCHEDULED_ARR < f.SCHEDULED_DEP THEN f.FLIGHT_DATE + 1 ELSE f.FLIGHT_DATE END = w.OBS_DATE
-        AND COALESCE(f.SCHEDULED_ARR, 0) // 100 = w.OBS_HOUR""",
+    "f_both": "SELECT f.*, " + ", ".join(f"w.{name} AS DEST_{name}" for name in DEST_FIELDS) + DEST_JOIN.format("f_origin"),
+    "f_dest": "SELECT f.*, " + ", ".join(f"w.{name} AS DEST_{name}" for name in DEST_FIELDS) + DEST_JOIN.format("fx_flights"),
     "x_weather": f"""SELECT CAST(SCHEDULED_DEP // 100 AS INT) AS DEP_HOUR,
         CAST(dayofweek(FLIGHT_DATE) + 1 AS INT) AS DEP_DOW, MONTH AS DEP_MONTH, COALESCE(DISTANCE, 0) AS FLIGHT_DISTANCE,
         COALESCE(SCHEDULED_ELAPSED, 0) AS SCHED_ELAPSED_MIN, """
@@ -312,8 +348,6 @@ def out_of_fold(y: str) -> str:
             JOIN (SELECT FEATURE, {sums} FROM e_long GROUP BY ALL) a ON o.FEATURE = a.FEATURE)))"""
 
 
-STAGED = """FLIGHT_ID, FLIGHT_DATE, YEAR, AIRLINE_CODE, FLIGHT_NUMBER, ORIGIN, DEST, DEP_DELAY_MIN, IS_DEP_DELAYED,
-    IS_CANCELLED, IS_DIVERTED, ARR_DELAY_MIN, DATA_SOURCE"""
 JOIN_KEYS = "FLIGHT_DATE, ORIGIN, DEST, SCHEDULED_DEP, SCHEDULED_ARR, TAIL_NUMBER"
 ANOMALY = "event_id, FETCH_DATE, IATA_CODE, DELAY_COUNT, DELAY_TYPE, AVG_DELAY_MIN"
 WX_COLUMNS = "IATA_CODE, OBS_TIMESTAMP, OBS_DATE, YEAR, MONTH, OBS_HOUR, " + ", ".join(n for _, n, _ in HOURLY_FIELDS)
@@ -326,23 +360,40 @@ def in_range(mart: str) -> str:
     return f"SELECT '{{0}}' AS MART, MIN(YEAR) AS MIN_Y, MAX(YEAR) AS MAX_Y FROM {mart}"
 
 
+FLIGHT_NAMES = {source: name for source, name, _ in FLIGHT_SOURCE_COLUMNS}
+ABSENT = ", ".join(f"NULL AS {FLIGHT_NAMES[source]}" for source in ABSENT_IN_ODD_YEARS)
+BROKEN = f"YEAR = {MONTH.year} AND MONTH = {MONTH.month}"
+NEW_DAY = f"""SELECT * REPLACE (DELAY_COUNT + 100 AS DELAY_COUNT) FROM programs
+    WHERE FETCH_DATE = DATE '{DAY}' AND HAS_DELAY"""
+OTHER_DAYS = f"SELECT * FROM programs WHERE FETCH_DATE <> DATE '{DAY}'"
+OTHER_MONTHS = f"SELECT * FROM m_monthly_counted WHERE NOT ({BROKEN})"
+
+
+def hashed(names: list[str]) -> str:
+    """The bucket of a row below a hundred, as ``hash_bucket`` has it."""
+    text = f"concat_ws('|', {', '.join(f'CAST({name} AS VARCHAR)' for name in names)}, '{SEED}')"
+    return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) % 100)"
+
+
+SPLIT = hashed(NUMERIC_FEATURES + WEATHER_FEATURES + CATEGORICAL_FEATURES + LABELS)
+
 SQL: dict[str, str] = {
     # cleaning
-    "renamed_known_columns": """SELECT Year AS YEAR, FlightDate AS FLIGHT_DATE,
-        IATA_CODE_Reporting_Airline AS IATA_CODE_REPORTING_AIRLINE, Flight_Number_Reporting_Airline AS FLIGHT_NUMBER,
-        Origin AS ORIGIN, Dest AS DEST, DepDelayMinutes AS DEP_DELAY_MINUTES, DepDel15 AS DEP_DEL15,
-        Cancelled AS CANCELLED FROM fx_raw""",
+    "renamed_known_columns": f"SELECT {RENAMED} FROM fx_raw",
     "typed_columns": "SELECT * FROM typed",
     "rows_with_core_keys": f"SELECT * FROM typed WHERE {CORE}",
-    "trimmed_text": f"SELECT * REPLACE ({', '.join(map(trimmed, TEXTS))}) FROM typed",
+    "trimmed_text": f"SELECT * REPLACE ({', '.join(map(trimmed, FLIGHT_TEXT_COLUMNS))}) FROM typed",
     "cancelled_delays_voided": f"SELECT * REPLACE ({VOIDED}) FROM typed",
     "cleaned_flights": "SELECT * FROM cleaned",
-    "staging_rows": f"SELECT {STAGED} FROM staged",
-    "deduplicated_flights": f"""SELECT {STAGED} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY FLIGHT_ID ORDER BY
-        FLIGHT_DATE NULLS FIRST, YEAR NULLS FIRST, AIRLINE_CODE NULLS FIRST, FLIGHT_NUMBER NULLS FIRST,
-        ORIGIN NULLS FIRST, DEST NULLS FIRST, DEP_DELAY_MIN NULLS FIRST, IS_DEP_DELAYED NULLS FIRST,
-        IS_CANCELLED NULLS FIRST) AS rn FROM staged) WHERE rn = 1""",
-    "csv_scan": "SELECT * FROM cleaned",
+    "staging_rows": f"SELECT {', '.join(STAGED)} FROM staged",
+    "deduplicated_flights": f"""SELECT {', '.join(STAGED)} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY FLIGHT_ID
+        ORDER BY {', '.join(f'{name} NULLS FIRST' for name in STAGED if name != 'FLIGHT_ID')}) AS rn FROM staged)
+        WHERE rn = 1""",
+    "csv_scan": f"""SELECT {CLEAN} FROM (SELECT * REPLACE ({ABSENT}) FROM typed WHERE YEAR % 2 = 1
+        UNION ALL SELECT * FROM typed WHERE YEAR % 2 = 0) WHERE {CORE}""",
+    "archives_loaded": f"SELECT * FROM cleaned WHERE NOT ({BROKEN})",
+    "archives_that_failed": f"""SELECT DISTINCT CONCAT('ontime_', CAST(YEAR AS VARCHAR), '_',
+        LPAD(CAST(MONTH AS VARCHAR), 2, '0'), '.zip') AS ARCHIVE FROM typed WHERE {BROKEN}""",
     "raw_parquet_batch": "SELECT * FROM cleaned",
     "rows_loaded_by_name": "SELECT * EXCLUDE (IS_BAD) FROM by_name WHERE NOT IS_BAD",
     "load_counts": f"SELECT {count_if('NOT IS_BAD')} AS ROWS_LOADED, {count_if('IS_BAD')} AS ERRORS_SEEN FROM by_name",
@@ -361,7 +412,8 @@ SQL: dict[str, str] = {
         AVG(CAST(IS_DEP_DELAYED AS INT)) AS DELAY_RATE FROM f_origin
         WHERE NOT IS_CANCELLED AND ORIGIN_TEMP_C IS NOT NULL GROUP BY YEAR, MONTH, ORIGIN""",
     "delay_trends_of_one_month": f"SELECT * FROM m_monthly WHERE YEAR = {MONTH.year} AND MONTH = {MONTH.month}",
-    "mart_month_refreshed_on_disk": "SELECT * FROM m_monthly",
+    "mart_month_refreshed_on_disk": f"{OTHER_MONTHS} UNION ALL SELECT * FROM m_monthly WHERE {BROKEN}",
+    "mart_month_emptied_on_disk": OTHER_MONTHS,
     "mart_month_replaced": f"""SELECT * FROM m_monthly_counted WHERE NOT (YEAR = {MONTH.year} AND MONTH = {MONTH.month})
         UNION ALL SELECT * FROM m_monthly WHERE YEAR = {MONTH.year} AND MONTH = {MONTH.month}""",
     "delay_trends_from_cells": "SELECT * FROM m_monthly",
@@ -515,7 +567,7 @@ SQL: dict[str, str] = {
     "hourly_weather_of_one_year": f"SELECT {WX_COLUMNS} FROM fx_wx WHERE YEAR = 1998",
     "weather_document_scan": f"SELECT {WX_COLUMNS} FROM fx_wx",
     "origin_weather": f"SELECT {JOIN_KEYS}, " + ", ".join(f"ORIGIN_{n}" for n in ORIGIN_FIELDS) + " FROM f_origin",
-    "destination_weather": f"SELECT {JOIN_KEYS}, " + ", ".join(f"DEST_{n}" for n in DEST_FIELDS) + " FROM f_both",
+    "destination_weather": f"SELECT {JOIN_KEYS}, " + ", ".join(f"DEST_{n}" for n in DEST_FIELDS) + " FROM f_dest",
     "weather_fill_status": f"""SELECT COUNT(*) AS TOTAL_FLIGHTS, COUNT(ORIGIN_TEMP_C) AS ORIGIN_FILLED,
         COUNT(DEST_TEMP_C) AS DEST_FILLED, {count_if('ORIGIN_TEMP_C IS NULL')} AS ORIGIN_NULL
         FROM f_both WHERE YEAR >= 1998""",
@@ -543,8 +595,9 @@ SQL: dict[str, str] = {
             (SELECT IATA_CODE FROM d_airports WHERE IN_NAS_FEED) a
         WHERE NOT EXISTS (SELECT 1 FROM fx_status s WHERE s.HAS_DELAY AND s.FETCH_DATE = d.FETCH_DATE
             AND s.IATA_CODE = a.IATA_CODE)""",
-    "date_replaced": "SELECT * FROM programs",
-    "date_replaced_on_disk": "SELECT * FROM programs",
+    "date_replaced": f"{OTHER_DAYS} UNION ALL {NEW_DAY}",
+    "date_replaced_on_disk": f"{OTHER_DAYS} UNION ALL {NEW_DAY}",
+    "date_emptied_on_disk": OTHER_DAYS,
     "feed_summary": """SELECT COUNT(DISTINCT IATA_CODE) AS AIRPORTS_FETCHED,
         COUNT(DISTINCT CASE WHEN HAS_DELAY THEN IATA_CODE END) AS AIRPORTS_WITH_DELAY FROM fx_status""",
     "status_totals": f"""SELECT COUNT(DISTINCT IATA_CODE) AS AIRPORTS_WITH_DELAY,
@@ -581,10 +634,15 @@ SQL: dict[str, str] = {
         WHERE NOT EXISTS (SELECT 1 FROM a_few g WHERE g.FETCH_DATE = s.FETCH_DATE)
             AND NOT EXISTS (SELECT 1 FROM a_other o WHERE o.FETCH_DATE = s.FETCH_DATE)""",
     # streams
-    "snapshot_stream_keys": "SELECT FETCH_DATE, IATA_CODE, DELAY_TYPE FROM programs",
+    "snapshot_stream_keys": "SELECT * FROM programs",
     "snapshot_stream_table": "SELECT * FROM programs",
-    "daily_count_stream": """SELECT CAST(SNAPSHOT_TS AS DATE) AS DAY, COUNT(*) AS PROGRAMS FROM fx_status
-        WHERE HAS_DELAY GROUP BY ALL""",
+    "daily_count_stream": """SELECT CAST(SNAPSHOT_TS AS DATE) AS DAY, COUNT(*) AS PROGRAMS FROM lines
+        WHERE HAS_DELAY AND FETCH_DATE IS NOT NULL GROUP BY ALL""",
+    # split and sample
+    "split_summary": f"""SELECT LABEL_CLASS, {count_if('b < 80')} AS TRAIN_ROWS, {count_if('b >= 80')} AS VALIDATION_ROWS
+        FROM (SELECT LABEL_CLASS, {SPLIT} AS b FROM x_labelled) GROUP BY LABEL_CLASS""",
+    "flight_sample": f"""SELECT FLIGHT_DATE, ORIGIN, DEST, TAIL_NUMBER FROM fx_flights
+        WHERE {hashed(SAMPLE_KEYS)} < 10""",
     # models
     "model_features": "SELECT * FROM x_weather",
     "model_features_without_weather": "SELECT * FROM x_plain",
@@ -622,6 +680,8 @@ def needed(sql: str) -> list[str]:
 def oracle_sql() -> dict[str, str]:
     texts = {}
     for name, sql in SQL.items():
-        parts = ",\n".join(f"{table} AS ({TABLES[table]})" for table in needed(sql))
+        parts = ",\n".join(
+            f"{table} AS {'MATERIALIZED ' if table in MATERIALIZED else ''}({TABLES[table]})" for table in needed(sql)
+        )
         texts[name] = f"WITH {parts}\n{sql}" if parts else sql
     return texts

@@ -6,9 +6,14 @@ their rows.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +31,9 @@ from tarmac.functions.text import (
 )
 from tarmac.operators import adhoc, anomalies, cells, coverage, dashboard, delay_model, features, marts, nas, weather
 from tarmac.operators import flight_cleaning as cleaning
-from tarmac.schemas import RAW_FLIGHTS, columns
+from tarmac.operators.keys import sample_rows
+from tarmac.plans import flight_history
+from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS, columns
 from tarmac.session import ensure_checkpoint_dir, work_path
 from tarmac.sources import landed, tables
 from tarmac.streaming import nas_feed
@@ -42,7 +49,6 @@ ROUTE = ("LAX", "DFW")
 MONTH = dt.date(1998, 5, 20)
 DAY = dt.date(2024, 1, 9)
 REQUESTED = ("1995-01", "2003-12")
-BOOSTING_ROUNDS = 10
 # nearly every airport of the stand-in is under some program every day, so the
 # severe-but-not-grounded rows are those without this one
 GROUNDED = ("GroundStop",)
@@ -129,10 +135,7 @@ def staged(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.staging_flights(raw)
 
 
-STAGED_SHOWN = [
-    "FLIGHT_ID", "FLIGHT_DATE", "YEAR", "AIRLINE_CODE", "FLIGHT_NUMBER", "ORIGIN", "DEST",
-    "DEP_DELAY_MIN", "IS_DEP_DELAYED", "IS_CANCELLED", "IS_DIVERTED", "ARR_DELAY_MIN", "DATA_SOURCE",
-]
+STAGED_SHOWN = [name for name in STAGING_FLIGHTS.names if name != "_LOAD_TS"]
 
 
 @register
@@ -145,14 +148,68 @@ def deduplicated_flights(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.deduplicate_flights(staged(spark, folder)).select(STAGED_SHOWN)
 
 
+# columns that files of odd years lack
+ABSENT_IN_ODD_YEARS = ["TaxiOut", "DistanceGroup", "NASDelay"]
+
+
 @register
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of two headers: one with an unknown and a nameless column, one with fewer columns in another order."""
     path = work_path(spark, "csv-scan")
     rows = stand_ins.source_rows(spark, folder)
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.write.options(header=True, emptyValue="", **spaces).csv(path)
-    scanned = landed.read_source_csv(spark, path, columns(", ".join(f"{name} string" for name in rows.columns)))
-    return cleaning.clean_flights(scanned)
+    even, odd = rows.where("int(Year) % 2 = 0"), rows.where("int(Year) % 2 = 1").drop(*ABSENT_IN_ODD_YEARS)
+    even.withColumn("", F.lit(None).cast("string")).write.options(header=True, emptyValue="", **spaces).csv(f"{path}/even")
+    odd.select(*reversed(odd.columns)).write.options(header=True, emptyValue="", **spaces).csv(f"{path}/odd")
+    return cleaning.clean_flights(landed.read_source_csv(spark, f"{path}/*"))
+
+
+def landed_archives(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """The source rows as one ZIP per month; the month of MONTH is cut short and one archive holds no CSV.
+
+    Every hundredth line has surplus fields.  Returns the names written.
+    """
+
+    def pack(month: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        name = f"ontime_{int(month[0])}_{int(month[1]):02d}.zip"
+        text = io.StringIO()
+        lines = csv.writer(text, lineterminator="\n")
+        lines.writerow([*rows.columns, ""])
+        for at, row in enumerate(rows.itertuples(index=False)):
+            lines.writerow(["" if value is None else value for value in row] + [""] + ["surplus"] * (at % 100 == 0))
+        held = io.BytesIO()
+        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("readme.html", "about")
+            archive.writestr("on_time.csv", text.getvalue())
+        content = held.getvalue()
+        if (int(month[0]), int(month[1])) == (MONTH.year, MONTH.month):
+            content = content[: len(content) // 2]
+        system, place = fs.FileSystem.from_uri(path)
+        system.create_dir(place, recursive=True)
+        with system.open_output_stream(f"{place}/{name}") as out:
+            out.write(content)
+        return pd.DataFrame({"ARCHIVE": [name]})
+
+    rows = stand_ins.source_rows(spark, folder)
+    return rows.groupBy("Year", "Month").applyInPandas(pack, "ARCHIVE string")
+
+
+def load_of_archives(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    path = work_path(spark, "archives")
+    landed_archives(spark, folder, path).write.format("noop").mode("overwrite").save()
+    raw = work_path(spark, "raw")
+    return raw, flight_history.load_archives(spark, path, raw, work_path(spark, "archive-errors"))
+
+
+@register
+def archives_loaded(spark: SparkSession, folder: str) -> DataFrame:
+    raw, _ = load_of_archives(spark, folder)
+    return spark.read.schema(RAW_FLIGHTS).parquet(raw).drop("_LOAD_TS", "_SOURCE")
+
+
+@register
+def archives_that_failed(spark: SparkSession, folder: str) -> DataFrame:
+    return load_of_archives(spark, folder)[1].select("ARCHIVE")
 
 
 @register
@@ -234,12 +291,24 @@ def delay_trends_of_one_month(spark: SparkSession, folder: str) -> DataFrame:
     return marts.delay_trends_monthly(flights(spark, folder), MONTH)
 
 
+def mart_with_month(spark: SparkSession, folder: str, fresh: DataFrame) -> DataFrame:
+    """The mart with cancellations counted, then one month of it refreshed twice."""
+    path = work_path(spark, "mart")
+    before = marts.delay_trends_monthly(flights(spark, folder), count_cancelled=True)
+    tables.refresh_mart(before, path, ["YEAR", "MONTH"])
+    for _ in range(2):
+        tables.refresh_mart(fresh, path, month=MONTH)
+    return spark.read.schema(before.schema).parquet(path)
+
+
 @register
 def mart_month_refreshed_on_disk(spark: SparkSession, folder: str) -> DataFrame:
-    path, rows = work_path(spark, "mart"), flights(spark, folder)
-    tables.refresh_mart(marts.delay_trends_monthly(rows), path, ["YEAR", "MONTH"])
-    tables.refresh_mart(marts.delay_trends_monthly(rows, MONTH), path, ["YEAR", "MONTH"], whole=False)
-    return spark.read.schema(marts.delay_trends_monthly(rows).schema).parquet(path)
+    return mart_with_month(spark, folder, marts.delay_trends_monthly(flights(spark, folder), MONTH))
+
+
+@register
+def mart_month_emptied_on_disk(spark: SparkSession, folder: str) -> DataFrame:
+    return mart_with_month(spark, folder, marts.delay_trends_monthly(flights(spark, folder).where("YEAR < 0")))
 
 
 @register
@@ -714,18 +783,38 @@ def completed_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def new_day(rows: DataFrame) -> DataFrame:
+    """Other rows of DAY than the stored ones."""
+    return rows.where((F.col("FETCH_DATE") == F.lit(DAY)) & F.col("HAS_DELAY")).withColumn(
+        "DELAY_COUNT", F.col("DELAY_COUNT") + 100
+    )
+
+
 @register
 def date_replaced(spark: SparkSession, folder: str) -> DataFrame:
     rows = cleaned_nas(spark, folder)
-    return tables.replace_date(rows, rows.where(F.col("FETCH_DATE") == F.lit(DAY)), DAY)
+    return tables.replace_date(rows, new_day(rows), DAY)
+
+
+def table_with_day(spark: SparkSession, rows: DataFrame, incoming: DataFrame) -> DataFrame:
+    """The stored table after ``incoming`` has replaced DAY, and the same load once more."""
+    path = work_path(spark, "nas-table")
+    tables.write_partitions(rows.where(F.col("FETCH_DATE").isNotNull()), f"{path}/dated", ["FETCH_DATE"])
+    for _ in range(2):
+        tables.write_replacing_date(incoming, path, DAY)
+    return tables.read_dated(spark, path, rows.schema)
 
 
 @register
 def date_replaced_on_disk(spark: SparkSession, folder: str) -> DataFrame:
-    path, rows = work_path(spark, "nas-table"), cleaned_nas(spark, folder)
-    tables.write_partitions(rows, f"{path}/dated", ["FETCH_DATE"])
-    tables.write_replacing_date(rows.where(F.col("FETCH_DATE") == F.lit(DAY)), path, DAY)
-    return tables.read_dated(spark, path, rows.schema)
+    rows = cleaned_nas(spark, folder)
+    return table_with_day(spark, rows, new_day(rows))
+
+
+@register
+def date_emptied_on_disk(spark: SparkSession, folder: str) -> DataFrame:
+    rows = cleaned_nas(spark, folder)
+    return table_with_day(spark, rows, rows.where("FETCH_DATE IS NULL AND FETCH_DATE IS NOT NULL"))
 
 
 @register
@@ -803,21 +892,24 @@ def landed_lines(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def streamed_table(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    out, rows = work_path(spark, "stream-table"), nas_feed.clean_lines(lines)
+    nas_feed.replace_dates_in(rows, out, work_path(spark, "stream-state")).awaitTermination()
+    return tables.read_dated(spark, out, rows.schema)
+
+
 @register
 def snapshot_stream_keys(spark: SparkSession, folder: str) -> DataFrame:
-    lines = nas_feed.snapshot_stream(spark, landed_lines(spark, folder))
-    out = work_path(spark, "stream-rows")
-    keys = nas_feed.deduplicated(nas_feed.clean_lines(lines)).select(nas_feed.KEYS)
-    nas_feed.append_to(keys, out, work_path(spark, "stream-state")).awaitTermination()
-    return spark.read.schema(keys.schema).parquet(out)
+    """All files in one trigger."""
+    return streamed_table(spark, nas_feed.snapshot_stream(spark, landed_lines(spark, folder)))
 
 
 @register
 def snapshot_stream_table(spark: SparkSession, folder: str) -> DataFrame:
-    lines = nas_feed.snapshot_stream(spark, landed_lines(spark, folder))
-    out, rows = work_path(spark, "stream-table"), nas_feed.clean_lines(lines)
-    nas_feed.replace_dates_in(rows, out, work_path(spark, "stream-state")).awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
+    """Every date is spread over the files, and each file is a trigger of its own."""
+    path = work_path(spark, "feed")
+    stand_ins.nas_lines(spark, folder).repartition(4).write.json(f"{path}/landed")
+    return streamed_table(spark, nas_feed.snapshot_stream(spark, path, files_per_trigger=1))
 
 
 @register
@@ -892,16 +984,20 @@ def out_of_fold_delay_minutes(spark: SparkSession, folder: str) -> DataFrame:
     return encoded(spark, folder, "LABEL_REG")
 
 
+SAMPLE_KEYS = ["FLIGHT_DATE", "FLIGHT_NUMBER", "ORIGIN", "DEST", "TAIL_NUMBER", "SCHEDULED_DEP"]
+
+
 @register
 def flight_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return flights(spark, folder).sample(0.1, seed=features.SEED).select("FLIGHT_DATE", "ORIGIN", "DEST", "TAIL_NUMBER")
+    sample = sample_rows(flights(spark, folder), SAMPLE_KEYS, 10, features.SEED)
+    return sample.select("FLIGHT_DATE", "ORIGIN", "DEST", "TAIL_NUMBER")
 
 
 def trained(spark: SparkSession, folder: str):
     ensure_checkpoint_dir(spark)
     rows = features.with_split(model_rows(spark, folder)).checkpoint()
-    classifier = delay_model.fit_classifier(rows, delay_model.Boosting(rounds=BOOSTING_ROUNDS))
-    regressor = delay_model.fit_regressor(rows, delay_model.Boosting(rounds=BOOSTING_ROUNDS, depth=7))
+    classifier = delay_model.fit_classifier(rows, delay_model.Boosting())
+    regressor = delay_model.fit_regressor(rows, delay_model.Boosting(depth=7))
     return rows, classifier, regressor
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.functions.text import delay_minutes, delay_type
-from tarmac.schemas import HOURLY_FIELDS
+from tarmac.schemas import FLIGHT_SOURCE_COLUMNS, HOURLY_FIELDS
 
 AIRPORTS = "'ATLDFWDENORDLAXCLTLASPHXMCOSEA'"
 NAS_AIRPORTS = "'ATLDFWDENORDLAXCLTLASPHXMCOSEAMEMONT'"
@@ -82,6 +82,7 @@ FLIGHTS = {
 # The flag columns, written once and shared by the string-typed source shape.
 SOURCE_ROWS = {
     "Year": "CAST(CAST(EXTRACT(YEAR FROM l_shipdate) AS INT) AS VARCHAR(9))",
+    "Month": "CAST(CAST(EXTRACT(MONTH FROM l_shipdate) AS INT) AS VARCHAR(9))",
     "FlightDate": "CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10)) END",
     "IATA_CODE_Reporting_Airline": (
         "CASE WHEN l_partkey % 53 = 0 THEN NULL WHEN l_partkey % 59 = 0 THEN '  '"
@@ -100,6 +101,28 @@ SOURCE_ROWS = {
     "Unused_Extra": "'x'",
 }
 
+
+
+def _source_text(place: int, name: str, kind: str) -> str:
+    """A rule for the source columns that need no shape of their own: padded, blank and absent text, decimal numbers."""
+    if kind == "string":
+        return (
+            f"CASE WHEN l_partkey % {71 + place} = 0 THEN '  ' WHEN l_partkey % {131 + place} = 0 THEN NULL"
+            f" ELSE CONCAT(' {name[:4]}', CAST(l_partkey % 9 AS VARCHAR(9)), ' ') END"
+        )
+    if kind == "int":
+        return f"CASE WHEN l_partkey % {149 + place} = 0 THEN 'n/a' ELSE CONCAT(CAST((l_orderkey + {place}) % 28 + 1 AS VARCHAR(9)), '.00') END"
+    return f"CASE WHEN l_partkey % {151 + place} = 0 THEN '' ELSE CONCAT(CAST(CAST(arrm AS INT) + {place} AS VARCHAR(9)), '.50') END"
+
+
+SOURCE_ROWS = {
+    **{
+        source: SOURCE_ROWS.get(source, _source_text(place, source, kind))
+        for place, (source, _, kind) in enumerate(FLIGHT_SOURCE_COLUMNS)
+    },
+    "Unused_Extra": "'x'",
+}
+
 MINUTES_TEXT = "CONCAT(CAST(CAST(FLOOR(value) AS INT) AS VARCHAR(9)),' minutes')"
 NAS = {
     "event_id": "event_id",
@@ -138,6 +161,7 @@ WEATHER = {
     "cloud_cover": "CAST((k*11+h*4+doy)%101 AS DOUBLE)",
     "weather_code": "CAST((k+doy+h)%100 AS DOUBLE)",
 }
+UNDATED_EVERY = 97  # every such snapshot line has no date
 RAIN_HOURS = 12  # the rain array is shorter than the others; three arrays are absent
 
 
@@ -201,7 +225,7 @@ def nas_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Status rows as snapshot lines: times as ISO text, airports in odd case."""
     return nas(spark, folder).select(
         F.date_format("SNAPSHOT_TS", "yyyy-MM-dd'T'HH:mm:ss").alias("SNAPSHOT_TS"),
-        F.col("FETCH_DATE").cast("string").alias("FETCH_DATE"),
+        F.when(F.col("event_id") % UNDATED_EVERY != 0, F.col("FETCH_DATE").cast("string")).alias("FETCH_DATE"),
         F.concat(F.lit(" "), F.lower("IATA_CODE")).alias("IATA_CODE"),
         "HAS_DELAY", "DELAY_COUNT", "DELAY_TYPE", "REASON", "AVG_DELAY_MIN", "MIN_DELAY_MIN", "MAX_DELAY_MIN",
         "TREND", "END_TIME", "WEATHER_TEMP_F", "WEATHER_VIS_MI", "WEATHER_WIND", "WEATHER_CONDITION",
@@ -209,20 +233,32 @@ def nas_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def weather_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One nested document per airport and flight date, with gaps."""
+    """One nested document per airport and flight date, with gaps.
+
+    Airport 3 comes twice, airport 4 has a second document with observations at
+    half past, whose values are those of the next hour, and one document has no
+    airport.
+    """
     days = table(spark, folder, "lineitem").selectExpr("CAST(l_shipdate AS DATE) AS d").distinct()
     places = days.selectExpr("d", "dayofyear(d) AS doy", "explode(sequence(0, 9)) AS k")
     # a handful of dates lands in one partition; real documents arrive as many files
     places = places.repartition(spark.sparkContext.defaultParallelism, "d", "k")
-    arrays = []
-    for field, _, _ in HOURLY_FIELDS:
-        if field in WEATHER:
-            last = RAIN_HOURS - 1 if field == "rain" else 23
-            arrays.append(f"'{field}', transform(sequence(0, {last}), h -> {WEATHER[field]})")
-        else:
-            arrays.append(f"'{field}', CAST(NULL AS ARRAY<DOUBLE>)")
-    time = "transform(sequence(0, 23), h -> CONCAT(CAST(d AS STRING), 'T', LPAD(CAST(h AS STRING), 2, '0'), ':00'))"
-    return places.where("(k + doy) % 11 <> 0").selectExpr(
-        f"lower(SUBSTR({AIRPORTS}, 3*k+1, 3)) AS iata_code",
-        f"named_struct('time', {time}, {', '.join(arrays)}) AS hourly",
-    )
+
+    def documents(rows: DataFrame, minute: str, shift: int) -> DataFrame:
+        arrays = []
+        for field, _, _ in HOURLY_FIELDS:
+            if field in WEATHER:
+                last = RAIN_HOURS - 1 if field == "rain" else 23
+                arrays.append(f"'{field}', transform(sequence({shift}, {last + shift}), h -> {WEATHER[field]})")
+            else:
+                arrays.append(f"'{field}', CAST(NULL AS ARRAY<DOUBLE>)")
+        stamp = f"CONCAT(CAST(d AS STRING), 'T', LPAD(CAST(h AS STRING), 2, '0'), ':{minute}')"
+        time = f"transform(sequence(0, 23), h -> {stamp})"
+        return rows.selectExpr(
+            f"CASE WHEN k >= 0 THEN lower(SUBSTR({AIRPORTS}, 3*k+1, 3)) END AS iata_code",
+            f"named_struct('time', {time}, {', '.join(arrays)}) AS hourly",
+        )
+
+    places = places.where("(k + doy) % 11 <> 0")
+    whole = documents(places.union(places.where("k = 3")).union(places.where("k = 5").selectExpr("d", "doy", "-1")), "00", 0)
+    return whole.unionByName(documents(places.where("k = 4"), "30", 1))

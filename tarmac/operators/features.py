@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import clock_hour
+from tarmac.operators.keys import hash_bucket
 from tarmac.operators.lookup import LOOKUP_ROWS, counted, join_lookup
 
 # Feature names in model order.
@@ -122,10 +123,10 @@ def class_weight(rows: DataFrame) -> DataFrame:
 def with_split(rows: DataFrame, percent: int = TRAIN_PERCENT, seed: int = SEED) -> DataFrame:
     """IS_VALIDATION from a hash of the row: no sort, no shuffle, repeatable.
 
-    The hash is independent of the label, so both classes are split alike.
+    All columns, the labels among them, go into the hash, so equal rows share a
+    side and the classes are split alike only on average, not exactly.
     """
-    bucket = F.pmod(F.xxhash64(*rows.columns, F.lit(seed)), F.lit(100))
-    return rows.withColumn("IS_VALIDATION", bucket >= percent)
+    return rows.withColumn("IS_VALIDATION", hash_bucket(rows.columns, seed) >= percent)
 
 
 def split_summary(rows: DataFrame) -> DataFrame:

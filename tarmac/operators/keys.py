@@ -23,3 +23,18 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], first: Sequence[Column] =
 def largest(rows: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
     """The ``n`` rows with the largest ``by``; ``ties`` complete the order."""
     return rows.where(F.col(by).isNotNull()).orderBy(F.col(by).desc(), *[F.col(tie).asc() for tie in ties]).limit(n)
+
+
+def hash_bucket(names: Sequence[str], seed: int, buckets: int = 100) -> Column:
+    """A number below ``buckets`` from the MD5 of the named values as text.
+
+    It depends on the row alone, not on partitions, and any engine can work it
+    out.  NULL values are left out of the text.
+    """
+    text = F.concat_ws("|", *[F.col(name).cast("string") for name in names], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % buckets
+
+
+def sample_rows(rows: DataFrame, keys: Sequence[str], percent: int, seed: int) -> DataFrame:
+    """About ``percent`` of the rows, the same in every run and partitioning."""
+    return rows.where(hash_bucket(keys, seed) < percent)

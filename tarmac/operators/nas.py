@@ -28,10 +28,9 @@ def has_program_key() -> Column:
 def deduplicate_programs(rows: DataFrame) -> DataFrame:
     """Typed rows: one per date, airport, type, NULL keys dropped.  Untyped rows:
     one per date and airport, NULL keys kept.  The latest snapshot wins."""
-    latest = [F.col("SNAPSHOT_TS").desc_nulls_last()]
-    typed = one_per_key(rows.where(has_program_key()), ["FETCH_DATE", "IATA_CODE", "DELAY_TYPE"], latest)
-    untyped = one_per_key(rows.where(F.col("DELAY_TYPE").isNull()), ["FETCH_DATE", "IATA_CODE"], latest)
-    return typed.unionByName(untyped)
+    # NULL is one key to a window, so one pass serves both kinds
+    kept = rows.where(has_program_key() | F.col("DELAY_TYPE").isNull())
+    return one_per_key(kept, ["FETCH_DATE", "IATA_CODE", "DELAY_TYPE"], [F.col("SNAPSHOT_TS").desc_nulls_last()])
 
 
 def clean_nas(rows: DataFrame) -> DataFrame:

@@ -60,18 +60,18 @@ def clean_weather(documents: DataFrame, year: int | None = None) -> DataFrame:
 def fill_weather(flights: DataFrame, weather: DataFrame, side: str, fields: list[str], keys: list[Column]) -> DataFrame:
     """Left join on airport, date, hour; fill only rows whose temperature is NULL.
 
-    ``weather`` must be unique by airport and timestamp, so no flight is doubled.
-    Only the needed columns of it travel.  Airport, date and hour together
+    Of several observations in one hour the first by timestamp counts (by value
+    where there is none), so no flight is doubled.  Only the needed columns travel, and the aggregate leaves
+    them partitioned as the join needs them.  Airport, date and hour together
     spread the flights; a key that is still hot is split by AQE's skew join.
     """
     flights = add_missing_columns(flights)
     airport, date, hour = keys
-    obs = weather.select(
-        F.col("IATA_CODE").alias("_airport"),
-        F.col("OBS_DATE").alias("_date"),
-        F.col("OBS_HOUR").alias("_hour"),
-        *[F.col(name).alias(f"_{name}") for name in fields],
+    hour_keys = {"_airport": "IATA_CODE", "_date": "OBS_DATE", "_hour": "OBS_HOUR"}
+    first = weather.groupBy(*[F.col(name).alias(alias) for alias, name in hour_keys.items()]).agg(
+        F.min(F.struct(*[name for name in ("OBS_TIMESTAMP",) if name in weather.columns], *fields)).alias("first")
     )
+    obs = first.select(*hour_keys, *[F.col(f"first.{name}").alias(f"_{name}") for name in fields])
     open_row = F.col(f"{side}_TEMP_C").isNull()
     matched = (airport == F.col("_airport")) & (date == F.col("_date")) & (hour == F.col("_hour")) & open_row
     hit = F.col("_airport").isNotNull()

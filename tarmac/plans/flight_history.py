@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators.flight_cleaning import (
     clean_flights,
@@ -14,27 +13,26 @@ from tarmac.operators.flight_cleaning import (
 )
 from tarmac.operators.weather import with_weather
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS
-from tarmac.sources.archives import list_archives, read_zip_csv, source_rows
-from tarmac.sources.tables import add_missing_columns, write_partitions
+from tarmac.sources.archives import archive_errors, list_archives, read_zip_csv, source_rows
+from tarmac.sources.tables import add_missing_columns, write_batch, write_partitions
 
 
 def load_archives(
-    spark: SparkSession, folder: str, raw_path: str, year: int | None = None, month: int | None = None
-) -> list[str]:
+    spark: SparkSession, folder: str, raw_path: str, errors_path: str, year: int | None = None, month: int | None = None
+) -> DataFrame:
     """Clean all archives in one job into the raw layer.
 
-    Returns a message per archive that failed, gathered by the same pass.  An
-    archive holds one month, so each task writes few partitions and nothing is
-    shuffled.
+    An archive that cannot be read to its end leaves its stored month as it is;
+    a table of them is written to ``errors_path`` and returned.  An archive
+    holds one month, so each task writes few partitions and nothing is shuffled.
     """
-    unpacked = read_zip_csv(list_archives(spark, folder, year, month))
-    seen = Observation()
-    message = F.concat("ARCHIVE", F.lit(": "), "ERROR")  # NULL, and so not collected, where all went well
-    unpacked = unpacked.observe(seen, F.collect_list(message).alias("failed"))
-    rows = tag_source(clean_flights(source_rows(unpacked).drop("ARCHIVE")))
+    archives = list_archives(spark, folder, year, month)
+    rows = tag_source(clean_flights(source_rows(read_zip_csv(archives)).drop("ARCHIVE")))
     whole = add_missing_columns(rows, RAW_FLIGHTS).select(RAW_FLIGHTS.names)
     write_partitions(whole, raw_path, ["YEAR", "MONTH"], rebalance=False)
-    return sorted(seen.get["failed"])
+    errors = archive_errors(archives)
+    write_batch(errors, errors_path)
+    return spark.read.schema(errors.schema).parquet(errors_path)
 
 
 def build_staging(raw: DataFrame, staging_path: str, weather: DataFrame | None = None, dedup: bool = False) -> None:

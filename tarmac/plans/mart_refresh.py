@@ -116,5 +116,5 @@ def _refresh_one(
     else:
         from_cells = shared is not None and name in CELL_MARTS
         mart = CELL_MARTS[name](shared) if from_cells else FLIGHT_MARTS[name](flights, target_date)
-        refresh_mart(mart, path, MONTHLY, whole=target_date is None)
+        refresh_mart(mart, path, MONTHLY, month=target_date)
     return "refreshed"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,7 +27,6 @@ SETTINGS = {
 
 
 PARTITION_BYTES = 192 * 1024**2
-MAX_PARTITIONS = 100_000
 
 
 def shuffle_width(input_bytes: int, cores: int) -> int:
@@ -34,7 +35,7 @@ def shuffle_width(input_bytes: int, cores: int) -> int:
     About 192 MB per partition, so one fits in a task's memory; at least two
     waves of cores.  AQE merges what turns out smaller.
     """
-    return min(max(2 * cores, -(-input_bytes // PARTITION_BYTES)), MAX_PARTITIONS)
+    return max(2 * cores, -(-input_bytes // PARTITION_BYTES))
 
 
 def build_session(
@@ -67,7 +68,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
     Only a ``local`` master may go without the setting; it then gets a folder of
-    its own, since driver and executors share one machine.
+    its own, since driver and executors share one machine, and that folder goes
+    when the process ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -78,6 +80,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = context.applicationId
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="tarmac-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
     return _local_folders[app]
 
 
@@ -91,3 +94,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -44,9 +47,11 @@ def read_zip_csv(archives: DataFrame) -> DataFrame:
     """All rows of the first CSV in each archive, as text, in source columns.
 
     Members are unpacked on the executors and handed on in chunks, so a task
-    holds one compressed archive and one chunk, not a whole member.  An archive
-    without a CSV yields nothing.  One that cannot be read yields a single row
-    with ERROR set; the other archives are not affected.
+    holds one compressed archive and one chunk, not a whole member.  A line
+    with too many fields loses the surplus, one with too few is filled with
+    NULL, as Spark's permissive reader does.  An archive without a CSV yields
+    nothing.  One that cannot be read to its end yields a single row with ERROR
+    set and no other: it is unpacked once to check before its first row.
     """
     return archives.select("ARCHIVE", "content").mapInPandas(_unpack, ARCHIVE_ROWS)
 
@@ -54,26 +59,56 @@ def read_zip_csv(archives: DataFrame) -> DataFrame:
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for name, content in zip(batch["ARCHIVE"], batch["content"]):
-            try:
-                for chunk in _member_chunks(content):
-                    chunk = chunk.reindex(columns=SOURCE_CSV.names)
-                    chunk.insert(0, "ERROR", None)
-                    chunk.insert(0, "ARCHIVE", name)
-                    yield chunk.astype(object).where(chunk.notna(), None)
-            except Exception as problem:  # noqa: BLE001 - reported as a row
-                failed = pd.DataFrame([{"ARCHIVE": name, "ERROR": f"{type(problem).__name__}: {problem}"}])
+            problem = _problem(content)
+            if problem:
+                failed = pd.DataFrame([{"ARCHIVE": name, "ERROR": problem}])
                 yield failed.reindex(columns=ARCHIVE_ROWS.names).astype(object)
+                continue
+            for chunk in _member_chunks(content):
+                chunk.insert(0, "ERROR", None)
+                chunk.insert(0, "ARCHIVE", name)
+                yield chunk
+
+
+def _csv_member(archive: zipfile.ZipFile) -> str | None:
+    return next((entry for entry in archive.namelist() if entry.endswith(".csv")), None)
+
+
+def _problem(content: bytes) -> str | None:
+    """What keeps an archive from being unpacked to its end, checksum included."""
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            member = _csv_member(archive)
+            if member is not None:
+                with archive.open(member) as stream:
+                    while stream.read(1 << 20):
+                        pass
+    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError) as problem:
+        return f"{type(problem).__name__}: {problem}"
+    return None
 
 
 def _member_chunks(content: bytes) -> Iterator[pd.DataFrame]:
+    csv.field_size_limit(1 << 30)
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
-        member = next((entry for entry in archive.namelist() if entry.endswith(".csv")), None)
+        member = _csv_member(archive)
         if member is None:
             return
         with archive.open(member) as stream:
-            yield from pd.read_csv(
-                stream, dtype=str, keep_default_na=False, na_values=[""], chunksize=ROWS_PER_CHUNK
-            )
+            lines = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", errors="replace", newline=""))
+            header = next(lines, [])
+            at = {name: place for place, name in reversed(list(enumerate(header)))}
+            places = [at.get(name) for name in SOURCE_CSV.names]
+            for rows in batched((line for line in lines if line), ROWS_PER_CHUNK):
+                yield pd.DataFrame(
+                    {
+                        name: [
+                            (line[place] or None) if place is not None and place < len(line) else None for line in rows
+                        ]
+                        for name, place in zip(SOURCE_CSV.names, places)
+                    },
+                    dtype=object,
+                )
 
 
 def source_rows(unpacked: DataFrame) -> DataFrame:
@@ -81,6 +116,12 @@ def source_rows(unpacked: DataFrame) -> DataFrame:
     return unpacked.where(F.col("ERROR").isNull()).drop("ERROR")
 
 
-def archive_errors(unpacked: DataFrame) -> DataFrame:
-    """One row per archive that could not be read."""
-    return unpacked.where(F.col("ERROR").isNotNull()).select("ARCHIVE", "ERROR")
+def archive_errors(archives: DataFrame) -> DataFrame:
+    """One row per archive that cannot be read, without parsing any."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(name, _problem(content)) for name, content in zip(batch["ARCHIVE"], batch["content"])]
+            yield pd.DataFrame([row for row in found if row[1]], columns=["ARCHIVE", "ERROR"], dtype=object)
+
+    return archives.select("ARCHIVE", "content").mapInPandas(check, "ARCHIVE string, ERROR string")

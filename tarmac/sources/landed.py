@@ -2,22 +2,48 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.schemas import NAS_SNAPSHOT, SOURCE_CSV, WEATHER_DOCUMENT
 
 
 def read_source_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_CSV) -> DataFrame:
-    """On-time CSV with a header; every column is text."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
+    """On-time CSV by header name; every column is text.
+
+    Files may have more columns than ``schema``, fewer, or another order.  The
+    headers are read first, the first line of each file, and files of one header
+    are read together.  A column no file of a header has is NULL.
+    """
+    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    first = (
+        spark.read.text(path)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+        .where("start = 0")
+        .withColumn("line", F.monotonically_increasing_id())
+        .groupBy("file")
+        .agg(F.min_by("value", "line").alias("header"))
     )
+    files = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    parts = []
+    for header, names in ((row["header"], row["files"]) for row in files):
+        given = next(csv.reader([header.removeprefix("\ufeff")]))
+        unique = [name if name and name not in given[:at] else f"_unnamed_{at}" for at, name in enumerate(given)]
+        text = StructType([StructField(name, StringType()) for name in unique])
+        rows = spark.read.schema(text).options(header=True, enforceSchema=True, **spaces).csv(names)
+        parts.append(
+            rows.select(
+                *[
+                    F.col(f"`{f.name}`") if f.name in unique else F.lit(None).cast("string").alias(f.name)
+                    for f in schema.fields
+                ]
+            )
+        )
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], schema)
 
 
 def read_nas_snapshots(spark: SparkSession, folder: str, date: str | None = None) -> DataFrame:

@@ -6,6 +6,8 @@ snapshot shape.  A response is a few kilobytes, so parsing stays per row.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,21 +15,32 @@ from tarmac.functions.text import blank_to_null, delay_minutes, delay_type, firs
 from tarmac.schemas import NAS_SNAPSHOT
 
 # Stored lengths of the free-text fields.
-REASON_LENGTH = 500
-TREND_LENGTH = 20
-END_TIME_LENGTH = 50
-WEATHER_TEXT_LENGTH = 100
+LENGTHS = {"REASON": 500, "TREND": 20, "END_TIME": 50, "WEATHER_WIND": 100, "WEATHER_CONDITION": 100}
+
+# The lists a response may hold and the element of their entries.
+XML_LISTS = [
+    ("Ground_Delay_List", "Ground_Delay"),
+    ("Ground_Stop_List", "Program"),
+    ("Arrival_Departure_Delay_List", "Delay"),
+    ("Airport_Closure_List", "Airport"),
+    ("Airspace_Flow_List", "Airspace_Flow"),
+]
 
 FIELD_MAP = "map<string,string>"
 
-# A list block, and inside it any element that has an ARPT child: complete
-# sibling elements may come before ARPT.
-BLOCK_PATTERN = r"(?s)<Delay_type\b[^>]*>(.*?)</Delay_type>"
-ENTRY_PATTERN = (
-    r"(?s)<(\w+)\b[^>/]*>"
-    r"(?:\s*<(?!ARPT\b)(?:\w+\b[^>]*/>|(\w+)\b[^>]*>(?:(?!<ARPT\b).)*?</\2>))*"
-    r"\s*<ARPT\b[^>]*>.*?</\1>"
+_RANGE = "Min string, Max string, Trend string"
+_ENTRY = (
+    f"struct<ARPT: string, Reason: string, Avg: string, {_RANGE.replace(' string', ': string')}, Reopen: string,"
+    f" EndTime: string, Arrival_Departure: array<struct<{_RANGE.replace(' string', ': string')}>>>"
 )
+_LISTS = ", ".join(f"{outer}: struct<{inner}: array<{_ENTRY}>>" for outer, inner in XML_LISTS)
+XML_RESPONSE = f"Delay_type array<struct<Name: string, {_LISTS}>>"
+
+
+def cut(value: Column, name: str, lengths: Mapping[str, int | None]) -> Column:
+    """``value`` at the stored length of column ``name``; whole where that has none."""
+    length = lengths.get(name)
+    return value if length is None else F.left(value, F.lit(length))
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -35,39 +48,46 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("BODY"))
 
 
-def rows_from_xml(responses: DataFrame) -> DataFrame:
-    """Columns SNAPSHOT_TS, FETCH_DATE, BODY → one row per airport entry."""
+def rows_from_xml(responses: DataFrame, lengths: Mapping[str, int | None] = LENGTHS) -> DataFrame:
+    """Columns SNAPSHOT_TS, FETCH_DATE, BODY → one row per airport entry.
+
+    The XML parser reads a response once, whatever it holds; an entry without
+    an airport code gives no row.  ``lengths`` cuts the texts, {} leaves them whole.
+    """
     blocks = responses.select(
-        "SNAPSHOT_TS", "FETCH_DATE", F.explode(F.regexp_extract_all("BODY", F.lit(BLOCK_PATTERN), F.lit(1))).alias("block")
+        "SNAPSHOT_TS", "FETCH_DATE", F.inline(F.from_xml("BODY", XML_RESPONSE)["Delay_type"])
     )
+    nothing = F.array().cast(f"array<{_ENTRY}>")
+    lists = [F.coalesce(F.col(f"{outer}.{inner}"), nothing) for outer, inner in XML_LISTS]
     entries = blocks.select(
-        "SNAPSHOT_TS",
-        "FETCH_DATE",
-        F.regexp_extract("block", r"(?s)<Name\b[^>]*>(.*?)</Name>", 1).alias("name"),
-        F.explode(F.regexp_extract_all("block", F.lit(ENTRY_PATTERN), F.lit(0))).alias("entry"),
+        "SNAPSHOT_TS", "FETCH_DATE", F.col("Name").alias("name"), F.explode(F.concat(*lists)).alias("entry")
     )
 
-    def at(path: str) -> Column:
-        return F.coalesce(F.xpath_string("entry", F.lit(path)), F.lit(""))
+    def at(name: str) -> Column:
+        return F.coalesce(F.col(f"entry.{name}"), F.lit(""))
+
+    def ranged(name: str) -> Column:
+        inner = F.filter("entry.Arrival_Departure", lambda part: part[name].isNotNull())
+        return F.coalesce(F.col(f"entry.{name}"), F.try_element_at(inner, F.lit(1))[name], F.lit(""))
 
     rows = entries.select(
         "SNAPSHOT_TS",
         "FETCH_DATE",
-        F.upper(strip(at("/*/ARPT"))).alias("IATA_CODE"),
+        F.upper(strip(at("ARPT"))).alias("IATA_CODE"),
         F.lit(True).alias("HAS_DELAY"),
         F.lit(1).alias("DELAY_COUNT"),
         delay_type("name").alias("DELAY_TYPE"),
-        F.left(at("/*/Reason"), F.lit(REASON_LENGTH)).alias("REASON"),
-        delay_minutes(at("/*/Avg")).alias("AVG_DELAY_MIN"),
-        delay_minutes(at("/*//Min")).alias("MIN_DELAY_MIN"),
-        delay_minutes(at("/*//Max")).alias("MAX_DELAY_MIN"),
-        F.left(at("/*//Trend"), F.lit(TREND_LENGTH)).alias("TREND"),
-        F.left(F.coalesce(blank_to_null(at("/*/Reopen")), at("/*/EndTime")), F.lit(END_TIME_LENGTH)).alias("END_TIME"),
+        cut(at("Reason"), "REASON", lengths).alias("REASON"),
+        delay_minutes(at("Avg")).alias("AVG_DELAY_MIN"),
+        delay_minutes(ranged("Min")).alias("MIN_DELAY_MIN"),
+        delay_minutes(ranged("Max")).alias("MAX_DELAY_MIN"),
+        cut(ranged("Trend"), "TREND", lengths).alias("TREND"),
+        cut(F.coalesce(blank_to_null(at("Reopen")), at("EndTime")), "END_TIME", lengths).alias("END_TIME"),
     )
     return in_snapshot_shape(rows.where(F.col("IATA_CODE") != ""))
 
 
-def rows_from_airport_json(responses: DataFrame) -> DataFrame:
+def rows_from_airport_json(responses: DataFrame, lengths: Mapping[str, int | None] = LENGTHS) -> DataFrame:
     """Columns SNAPSHOT_TS, FETCH_DATE, IATA_CODE, BODY → one row per program.
 
     An airport without a delay or without a status list gives one row with
@@ -87,7 +107,7 @@ def rows_from_airport_json(responses: DataFrame) -> DataFrame:
     listed = F.when(F.col("delayed") & (F.size("programs") > 0), F.col("programs"))
     rows = airports.select("*", F.explode_outer(listed).alias("program"))
     active = F.col("program").isNotNull()
-    fields = program_fields("program")
+    fields = program_fields("program", lengths=lengths)
     return in_snapshot_shape(
         rows.select(
             "SNAPSHOT_TS",
@@ -98,15 +118,15 @@ def rows_from_airport_json(responses: DataFrame) -> DataFrame:
             *[F.when(active, value).alias(name) for name, value in fields.items()],
             temperature(weather[0]).alias("WEATHER_TEMP_F"),
             visibility(weather[1]).alias("WEATHER_VIS_MI"),
-            F.left(first_text(either("weather", "Wind", "wind")), F.lit(WEATHER_TEXT_LENGTH)).alias("WEATHER_WIND"),
-            F.left(first_text(either("weather", "Conditions", "conditions")), F.lit(WEATHER_TEXT_LENGTH)).alias(
+            cut(first_text(either("weather", "Wind", "wind")), "WEATHER_WIND", lengths).alias("WEATHER_WIND"),
+            cut(first_text(either("weather", "Conditions", "conditions")), "WEATHER_CONDITION", lengths).alias(
                 "WEATHER_CONDITION"
             ),
         )
     )
 
 
-def rows_from_aggregate_json(responses: DataFrame) -> DataFrame:
+def rows_from_aggregate_json(responses: DataFrame, lengths: Mapping[str, int | None] = LENGTHS) -> DataFrame:
     """Columns SNAPSHOT_TS, FETCH_DATE, BODY → one row per airport entry of every list."""
     opened = responses.withColumn("doc", F.from_json("BODY", FIELD_MAP))
     root = F.coalesce(F.from_json(field("doc", "airport_status_information"), FIELD_MAP), F.col("doc"))
@@ -119,7 +139,7 @@ def rows_from_aggregate_json(responses: DataFrame) -> DataFrame:
         delay_type(F.coalesce(field("block", "Name"), F.lit("Unknown"))).alias("DELAY_TYPE"),
         F.explode(json_list(field("block", "airport_closure_list"))).alias("entry"),
     )
-    fields = program_fields("entry", minutes=("Avg", "Min", "Max"))
+    fields = program_fields("entry", minutes=("Avg", "Min", "Max"), lengths=lengths)
     rows = entries.select(
         "SNAPSHOT_TS",
         "FETCH_DATE",
@@ -147,20 +167,22 @@ def json_list(text: Column) -> Column:
 
 
 def program_fields(
-    column: str, minutes: tuple[str, str, str] = ("AvgDelay", "MinDelay", "MaxDelay")
+    column: str,
+    minutes: tuple[str, str, str] = ("AvgDelay", "MinDelay", "MaxDelay"),
+    lengths: Mapping[str, int | None] = LENGTHS,
 ) -> dict[str, Column]:
-    def words(key: str, twin: str, length: int) -> Column:
-        return F.left(F.coalesce(either(column, key, twin), F.lit("")), F.lit(length))
+    def words(key: str, twin: str, name: str) -> Column:
+        return cut(F.coalesce(either(column, key, twin), F.lit("")), name, lengths)
 
     average, least, most = minutes
     return {
         "DELAY_TYPE": delay_type(F.coalesce(either(column, "Type", "type"), F.lit("Unknown"))),
-        "REASON": words("Reason", "reason", REASON_LENGTH),
+        "REASON": words("Reason", "reason", "REASON"),
         "AVG_DELAY_MIN": delay_minutes(either(column, average, "avg_delay")),
         "MIN_DELAY_MIN": delay_minutes(either(column, least, "min_delay")),
         "MAX_DELAY_MIN": delay_minutes(either(column, most, "max_delay")),
-        "TREND": words("Trend", "trend", TREND_LENGTH),
-        "END_TIME": words("EndTime", "end_time", END_TIME_LENGTH),
+        "TREND": words("Trend", "trend", "TREND"),
+        "END_TIME": words("EndTime", "end_time", "END_TIME"),
     }
 
 

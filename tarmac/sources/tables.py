@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarmac.schemas import FLIGHT_WEATHER, LAYER_TABLES
+from tarmac.session import path_exists, work_path
 
 STAMP = "_UPDATED_TS"
 
@@ -112,23 +114,65 @@ def write_partitions(
 def write_replacing_date(rows: DataFrame, path: str, date: dt.date, column: str = "FETCH_DATE") -> None:
     """On-disk form of ``replace_date``.
 
+    The folder of the date is overwritten even where no row is left for it.
     Rows without a date live in a folder of their own that every load replaces.
+    Rows of other dates join the stored ones of their dates, each row once, so
+    a repeated load changes nothing.
     """
-    write_partitions(rows.where(F.col(column) == F.lit(date)), f"{path}/dated", [column])
-    rows.where(F.col(column) != F.lit(date)).write.mode("append").partitionBy(column).parquet(f"{path}/dated")
+    of_day = F.col(column) == F.lit(date)
+    write_batch(rows.where(of_day).drop(column), f"{path}/dated/{column}={date.isoformat()}")
+    others = rows.where(F.col(column).isNotNull() & ~of_day)
+    if not others.isEmpty():
+        merge_dates(others, path, lambda all_rows: all_rows.distinct(), column)
     write_batch(rows.where(F.col(column).isNull()), f"{path}/undated")
 
 
+def merge_dates(
+    rows: DataFrame, path: str, winners: Callable[[DataFrame], DataFrame], column: str = "FETCH_DATE"
+) -> None:
+    """Add ``rows`` to the stored rows of their dates and keep the ``winners``.
+
+    Only the dates that occur in ``rows`` are read and rewritten; rows without a
+    date are merged with the stored ones of no date.  What is written is first
+    gathered in the shared folder, as a folder cannot be read and replaced in
+    one job.  Merging the same rows again changes nothing.
+    """
+    spark = rows.sparkSession
+    places = [f"{path}/{part}" for part in ("dated", "undated") if path_exists(spark, f"{path}/{part}")]
+    if places:
+        dates = rows.select(column).distinct()
+        stored = spark.read.schema(rows.schema).parquet(places[0])
+        for place in places[1:]:
+            stored = stored.unionByName(spark.read.schema(rows.schema).parquet(place))
+        touched = stored.alias("s").join(
+            dates.alias("d"), F.col(f"s.{column}").eqNullSafe(F.col(f"d.{column}")), "left_semi"
+        )
+        rows = touched.unionByName(rows)
+    merged_path = work_path(spark, "merged")
+    write_batch(winners(rows), merged_path)
+    merged = spark.read.schema(rows.schema).parquet(merged_path)
+    write_partitions(merged.where(F.col(column).isNotNull()), f"{path}/dated", [column])
+    undated = merged.where(F.col(column).isNull())
+    if not undated.isEmpty() or not path_exists(spark, f"{path}/undated"):
+        write_batch(undated, f"{path}/undated")
+
+
 def read_dated(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     dated = spark.read.schema(schema).parquet(f"{path}/dated")
     return dated.unionByName(spark.read.schema(schema).parquet(f"{path}/undated")).select(schema.names)
 
 
-def refresh_mart(mart: DataFrame, path: str, by: list[str] | None = None, whole: bool = True) -> None:
-    """Replace a mart, or only the partitions of an incremental result."""
+def refresh_mart(mart: DataFrame, path: str, by: list[str] | None = None, month: dt.date | None = None) -> None:
+    """Replace a mart, or with ``month`` the one month that date lies in.
+
+    A month is a folder, and is overwritten even where the mart has no row for it.
+    """
     stamped = mart.withColumn(STAMP, F.current_timestamp())
-    if by:
-        write_partitions(stamped, path, by, whole)
+    if month is not None:
+        in_month = (F.col("YEAR") == month.year) & (F.col("MONTH") == month.month)
+        write_batch(stamped.where(in_month).drop("YEAR", "MONTH"), f"{path}/YEAR={month.year}/MONTH={month.month}")
+    elif by:
+        write_partitions(stamped, path, by, whole=True)
     else:
         write_batch(stamped, path)
 

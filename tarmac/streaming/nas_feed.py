@@ -1,8 +1,9 @@
 """Delay-program snapshots as a file stream.
 
-The snapshot key carries the date, so state older than the watermark can go.
-A file for a date behind the watermark is dropped by the stream; loading it
-with the batch replace is the repair path.
+The table sink merges files by the batch rule whenever they come.  The
+append-only form keeps first arrivals under a watermark: a file for a date
+behind it is dropped there, and loading it with the batch replace is the repair
+path.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tarmac.operators.nas import deduplicate_programs, has_program_key, normalise_airport, parse_times
 from tarmac.schemas import NAS_SNAPSHOT
-from tarmac.sources.tables import write_batch, write_partitions
+from tarmac.sources.tables import merge_dates, write_batch
 
 WATERMARK = "1 day"
 KEYS = ["FETCH_DATE", "IATA_CODE", "DELAY_TYPE"]
@@ -35,7 +36,10 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 
 def deduplicated(rows: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """One row per date, airport and type; NULL keys are equal to each other.
+    """The first arrival per date, airport and type; NULL keys are equal to each other.
+
+    State is bounded by the watermark.  Where the latest snapshot has to win, as
+    in the batch rule, use ``replace_dates_in``.
 
     A watermark needs an instant, so the wall clock is read in the session zone.
     """
@@ -62,19 +66,15 @@ def append_to(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 
 def replace_dates_in(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Every date in a micro-batch replaces that date's partition.
+    """Every micro-batch is merged into the stored rows of its dates by the batch rule.
 
-    Within a batch the batch rule picks the winners, so stream and batch agree.
-    Replacing a partition twice with the same rows changes nothing, which makes
-    a retried batch safe.
+    The latest snapshot of a key wins over all files seen so far, however they
+    fall into triggers, so stream and batch agree; rows without a date are kept
+    as the batch keeps them.  A retried batch changes nothing.  The table is
+    the state: only the dates of a batch are read.
     """
-
-    def replace(batch: DataFrame, _: int) -> None:
-        rows = deduplicate_programs(batch)
-        write_partitions(rows.where(F.col("FETCH_DATE").isNotNull()), path, ["FETCH_DATE"])
-
     return (
-        rows.writeStream.foreachBatch(replace)
+        rows.writeStream.foreachBatch(lambda batch, _: merge_dates(batch, path, deduplicate_programs))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -60,7 +60,7 @@ def test_first_csv_of_each_archive(spark, folder):
 
 
 def test_bad_archive_is_a_row_and_does_not_stop_the_rest(spark, folder):
-    errors = rows(archives.archive_errors(archives.read_zip_csv(archives.list_archives(spark, folder))))
+    errors = rows(archives.archive_errors(archives.list_archives(spark, folder)))
     assert [name for name, _ in errors] == ["ontime_2024_03.zip"]
     assert "BadZipFile" in errors[0][1]
 
@@ -75,18 +75,42 @@ def test_chunks_cover_the_whole_member(spark, tmp_path, monkeypatch):
 
 def test_load_and_stage(spark, folder, tmp_path):
     raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
-    failed = load_archives(spark, folder, raw)
-    assert len(failed) == 1 and failed[0].startswith("ontime_2024_03.zip: BadZipFile")
+    ((name, problem),) = rows(load_archives(spark, folder, raw, str(tmp_path / "errors")))
+    assert name == "ontime_2024_03.zip" and problem.startswith("BadZipFile")
     stored = spark.read.parquet(raw)
     assert stored.count() == 9
     build_staging(stored, staging)
     flights = spark.read.parquet(staging)
     assert sorted(rows(flights.groupBy("YEAR", "MONTH").count())) == [(2023, 12, 4), (2024, 1, 5)]
     # loading one month again replaces that month only
-    assert load_archives(spark, folder, raw, 2024, 1) == []
+    assert rows(load_archives(spark, folder, raw, str(tmp_path / "errors"), 2024, 1)) == []
     assert spark.read.parquet(raw).count() == 9
 
 
+def test_ragged_lines_are_kept(spark, tmp_path):
+    lines = csv(2024, 1, 5).splitlines()
+    lines[2] += ",surplus,more"
+    lines[3] = "2024,1,3,2024-01-03,AA"
+    write_zip(tmp_path / "ontime_2024_01.zip", {"t.csv": "\n".join(lines) + "\n"})
+    flights = archives.source_rows(archives.read_zip_csv(archives.list_archives(spark, str(tmp_path))))
+    got = rows(flights.select("DayofMonth", "Dest").orderBy("DayofMonth"))
+    assert got == [("1", "LAX"), ("2", "LAX"), ("3", None), ("4", "LAX"), ("5", "LAX")]
+
+
+def test_an_archive_that_ends_early_leaves_its_month_alone(spark, tmp_path):
+    landed, raw, errors = tmp_path / "landed", str(tmp_path / "raw"), str(tmp_path / "errors")
+    landed.mkdir()
+    write_zip(landed / "ontime_2024_01.zip", {"t.csv": csv(2024, 1, 31)})
+    assert load_archives(spark, str(landed), raw, errors).count() == 0
+    whole = (landed / "ontime_2024_01.zip").read_bytes()
+    damaged = bytearray(whole)
+    damaged[80] ^= 0xFF  # inside the member: its checksum no longer fits
+    for broken in (whole[:200], bytes(damaged)):
+        (landed / "ontime_2024_01.zip").write_bytes(broken)
+        assert load_archives(spark, str(landed), raw, errors).count() == 1
+        assert spark.read.parquet(raw).count() == 31
+
+
 def test_staging_with_weather_and_deduplication(spark, folder, tmp_path):
     from pyspark.sql import functions as F
 
@@ -94,7 +118,7 @@ def test_staging_with_weather_and_deduplication(spark, folder, tmp_path):
     from tarmac.sources.tables import add_missing_columns
 
     raw, staging = str(tmp_path / "raw"), str(tmp_path / "staging")
-    load_archives(spark, folder, raw)
+    load_archives(spark, folder, raw, str(tmp_path / "errors"))
     stored = spark.read.parquet(raw).withColumn("CRS_DEP_TIME", F.lit(815))
     obs = add_missing_columns(
         spark.createDataFrame([("ATL", 8, 3.5)], "IATA_CODE string, OBS_HOUR int, TEMP_C double").withColumn(

@@ -54,6 +54,25 @@ def test_xml(spark, tmp_path):
     assert set(rows(frame.select("HAS_DELAY", "DELAY_COUNT", "FETCH_DATE"))) == {(True, 1, "2024-01-05")}
 
 
+def test_a_long_list_without_airport_codes_is_read_in_linear_time(spark):
+    entry = "<Airspace_Flow><CTL_Element>A</CTL_Element><Reason>x</Reason><Avg>5 minutes</Avg></Airspace_Flow>"
+    coded = "<Airspace_Flow><ARPT>BOS</ARPT><Avg>5 minutes</Avg></Airspace_Flow>"
+    body = (
+        "<A><Delay_type><Name>Airspace Flow Programs</Name><Airspace_Flow_List>"
+        + entry * 1000
+        + coded
+        + "</Airspace_Flow_List></Delay_type></A>"
+    )
+    assert rows(nas_feeds.rows_from_xml(responses(spark, body)).select("IATA_CODE", "AVG_DELAY_MIN")) == [("BOS", 5)]
+
+
+def test_texts_are_whole_where_no_length_is_given(spark):
+    body = XML.replace("low ceilings &amp; fog", "w" * 700)
+    reason = F.max(F.length("REASON"))
+    assert rows(nas_feeds.rows_from_xml(responses(spark, body)).select(reason)) == [(500,)]
+    assert rows(nas_feeds.rows_from_xml(responses(spark, body), lengths={}).select(reason)) == [(700,)]
+
+
 def test_xml_without_delays(spark):
     assert nas_feeds.rows_from_xml(responses(spark, "<AIRPORT_STATUS_INFORMATION/>")).count() == 0
 

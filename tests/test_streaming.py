@@ -55,18 +55,41 @@ def test_stream_table_equals_batch_and_a_rerun_replaces(spark, tmp_path):
     def run():
         stream = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, str(feed)))
         drain(nas_feed.replace_dates_in(stream, out, state))
-        return spark.read.schema(stream.schema).parquet(out)
+        return read_dated(spark, out, stream.schema)
 
     def shown(frame):
         return sorted(rows(frame.select("FETCH_DATE", "IATA_CODE", "DELAY_TYPE", "AVG_DELAY_MIN")), key=str)
 
     assert shown(run()) == shown(clean_nas(read_nas_snapshots(spark, str(feed))))
-    # a second snapshot of a date replaces that date and leaves the other alone
+    # a second file of a date adds to it and leaves the other alone
     late = feed / "2024-01-05" / "again.json"
     late.write_text(json.dumps({"SNAPSHOT_TS": "2024-01-05T20:00:00", "FETCH_DATE": "2024-01-05", "IATA_CODE": "BOS",
                                 "HAS_DELAY": True, "DELAY_TYPE": "Closure", "AVG_DELAY_MIN": 9}) + "\n")
     spark.catalog.refreshByPath(out)
-    assert [row[1:] for row in shown(run())] == [("BOS", "Closure", 9), ("ATL", "Closure", 3)]
+    got = [row[1:] for row in shown(run())]
+    assert got == [("ATL", "GroundStop", 5), ("BOS", "Closure", 9), ("ATL", "Closure", 3)]
+    assert shown(run()) == shown(clean_nas(read_nas_snapshots(spark, str(feed))))
+
+
+def test_every_trigger_size_gives_the_batch_table(spark, tmp_path):
+    feed = tmp_path / "feed"
+    for at, code in enumerate(("ATL", "LAX", "SEA")):
+        land(feed, f"2024-01-0{5 + at}", ("06:00:00", code, "GroundStop", at), ("06:00:00", "JFK", "Closure", at))
+        # one date in three files, and rows of no date
+        extra = feed / f"2024-01-0{5 + at}" / "extra.json"
+        body = [
+            {"SNAPSHOT_TS": f"2024-01-05T1{at}:00:00", "FETCH_DATE": "2024-01-05", "IATA_CODE": "BOS", "HAS_DELAY": True,
+             "DELAY_TYPE": "Closure", "AVG_DELAY_MIN": at},
+            {"SNAPSHOT_TS": None, "FETCH_DATE": None, "IATA_CODE": code, "HAS_DELAY": False},
+        ]
+        extra.write_text("\n".join(map(json.dumps, body)) + "\n")
+    batch = clean_nas(read_nas_snapshots(spark, str(feed)))
+    for files in (1, 2, None):
+        stream = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, str(feed), files))
+        out = str(tmp_path / f"out-{files}")
+        drain(nas_feed.replace_dates_in(stream, out, str(tmp_path / f"state-{files}")))
+        assert sorted(rows(read_dated(spark, out, stream.schema).select(batch.columns)), key=str) == sorted(rows(batch), key=str)
+    assert batch.where("FETCH_DATE IS NULL").count() == 3
 
 
 def test_daily_counts(spark, tmp_path):
@@ -112,5 +135,5 @@ def test_stream_and_batch_agree_on_the_given_tables(spark, small, tmp_path):
     stream = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, feed))
     drain(nas_feed.replace_dates_in(stream, str(tmp_path / "out"), str(tmp_path / "state")))
     batch = clean_nas(stand_ins.nas_lines(spark, small))
-    got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out")).select(batch.columns)
+    got = read_dated(spark, str(tmp_path / "out"), stream.schema).select(batch.columns)
     assert sorted(rows(got), key=str) == sorted(rows(batch), key=str)

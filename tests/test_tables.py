@@ -62,11 +62,35 @@ def test_replacing_a_date_on_disk(spark, tmp_path):
     assert got == {"DEN": (D1, 2), "LAX": (D2, 1), "SEA": (None, 2)}
 
 
+def test_an_empty_day_and_an_empty_month_are_replaced(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = dated(spark, (D1, "x", 1)).schema
+    tables.write_replacing_date(dated(spark, (D1, "ATL", 1), (D2, "LAX", 1)), path, D1)
+    for _ in range(2):
+        tables.write_replacing_date(dated(spark, (D2, "SEA", 1)).where("N > 1"), path, D1)
+    assert rows(tables.read_dated(spark, path, schema).select("IATA_CODE")) == [("LAX",)]
+    mart = spark.createDataFrame([(2024, 1, 5), (2024, 2, 6)], "YEAR int, MONTH int, N int")
+    tables.refresh_mart(mart, f"{path}-mart", ["YEAR", "MONTH"])
+    tables.refresh_mart(mart.where("N > 9"), f"{path}-mart", month=dt.date(2024, 2, 1))
+    stored = spark.read.schema(mart.schema).parquet(f"{path}-mart")
+    assert rows(stored.select("YEAR", "MONTH", "N")) == [(2024, 1, 5)]
+
+
+def test_rows_of_other_dates_are_not_doubled_by_a_retry(spark, tmp_path):
+    path = str(tmp_path / "table")
+    schema = dated(spark, (D1, "x", 1)).schema
+    tables.write_replacing_date(dated(spark, (D2, "LAX", 1)), path, D2)
+    for _ in range(2):
+        tables.write_replacing_date(dated(spark, (D1, "ATL", 1), (D2, "SEA", 1)), path, D1)
+    got = sorted(r[0] for r in rows(tables.read_dated(spark, path, schema).select("IATA_CODE")))
+    assert got == ["ATL", "LAX", "SEA"]
+
+
 def test_month_refresh_keeps_other_months(spark, tmp_path):
     path = str(tmp_path / "mart")
     mart = spark.createDataFrame([(2024, 1, 5), (2024, 2, 6)], "YEAR int, MONTH int, N int")
     tables.refresh_mart(mart, path, ["YEAR", "MONTH"])
-    tables.refresh_mart(mart.where("MONTH = 2").withColumn("N", F.lit(99)), path, ["YEAR", "MONTH"], whole=False)
+    tables.refresh_mart(mart.where("MONTH = 2").withColumn("N", F.lit(99)), path, ["YEAR", "MONTH"], month=dt.date(2024, 2, 1))
     stored = spark.read.parquet(path)
     assert sorted(rows(stored.select("YEAR", "MONTH", "N"))) == [(2024, 1, 5), (2024, 2, 99)]
     assert stored.where(F.col(tables.STAMP).isNull()).count() == 0
@@ -112,6 +136,15 @@ def test_csv_scan_is_all_text(spark, tmp_path):
     assert sorted(rows(frame), key=str) == sorted([("2024", "2024-01-05"), (None, None)], key=str)
 
 
+def test_csv_columns_go_by_header_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Unknown,FlightDate,Year,\nx,2024-01-05,2024,\n")
+    (tmp_path / "b.csv").write_text("Year\n2023\n")
+    frame = landed.read_source_csv(spark, str(tmp_path))
+    assert frame.columns == schemas.SOURCE_CSV.names
+    got = sorted(rows(frame.select("Year", "FlightDate", "Dest")))
+    assert got == [("2023", None, None), ("2024", "2024-01-05", None)]
+
+
 def test_mart_sets(spark, small, tmp_path):
     path = str(tmp_path / "marts")
     flights, status = stand_ins.flights(spark, small), stand_ins.nas(spark, small)
@@ -181,4 +214,4 @@ def test_local_folder_is_kept_for_the_session():
 def test_shuffle_width():
     assert shuffle_width(0, 8) == 16
     assert shuffle_width(10 * 1024**4, 4000) == 54614
-    assert shuffle_width(100 * 1024**4, 4000) == 100_000
+    assert shuffle_width(100 * 1024**4, 4000) == 546_134

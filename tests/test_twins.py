@@ -1,7 +1,5 @@
 """Every registered query that has an SQL twin gives the twin's rows."""
 
-import os
-
 import pytest
 
 import __spark_entry__ as contract
@@ -9,11 +7,6 @@ from checks import oracle, registry
 from checks.compare import differences, duck
 
 TEXTS = oracle.oracle_sql()
-# Half a million rows or a training run each; checks.compare covers them, and so
-# does setting SLOW_TESTS.
-SLOW = set() if os.environ.get("SLOW_TESTS") else {
-    "delay_scores", "delay_model_metrics", "hourly_weather", "weather_document_scan",
-}
 
 
 @pytest.fixture(scope="module")
@@ -21,7 +14,7 @@ def connection(small):
     return duck(small)
 
 
-@pytest.mark.parametrize("name", [name for name in registry.QUERIES if name not in SLOW])
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_twin(spark, small, connection, name):
     verdict, _, _ = differences(spark, connection, small, name, TEXTS.get(name))
     # the smallest tables leave a few thresholds without rows
