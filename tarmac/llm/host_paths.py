@@ -157,7 +157,7 @@ def votes(blocks: list[Block]) -> str | None:
         if size <= 0:
             continue
         bonus = 1.25 if any(step.split(".")[0] in MAIN_TAGS for step in path.split("/")) else 1.0
-        value = (bonus * size - 2 * junk[path], path.count("/"), path)
+        value = (bonus * size - 0.5 * junk[path], path.count("/"), path)
         if best is None or value > best:
             best = value
     return best[2] if best else None

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.hyperminhash import shingle_set
@@ -29,7 +29,7 @@ SYMBOLS = 7
 #: Fixed: seed words in English, German, French and Spanish.
 SEEDS = {
     INSULT: "idiot idiots moron morons scumbag bastard bastards asshole trottel arschloch dummkopf connard salaud abruti gilipollas imbécil cabrón",
-    WEAK_INSULT: "stupid dumb pathetic worthless disgusting loser losers dumm erbärmlich wertlos stupide minable nul estúpido patético inútil",
+    WEAK_INSULT: "stupid dumb pathetic worthless disgusting loser losers scum trash clown dumm erbärmlich wertlos stupide minable nul estúpido patético inútil",
     THREAT: "kill hurt destroy murder beat stab töten umbringen schlagen tuer frapper détruire matar golpear destruir",
     TARGET: "you your yours yourself he she him her they them their du dich dir dein deine ihr euch tu toi te ton ta vous votre tú te ti tu usted ustedes",
     NEGATION: "not no never isn't aren't wasn't don't nicht kein keine nie pas jamais aucun no nunca jamás",
@@ -234,28 +234,34 @@ class Model:
         return 1 / (1 + np.exp(-(found @ self.weights[:-1] + self.weights[-1])))
 
 
-def fitted(found: np.ndarray, labels: np.ndarray, penalty: float = 1e-2, rounds: int = 60) -> np.ndarray:
-    """Logistic regression with a small quadratic penalty, by damped Newton steps; the constant comes last.
+#: Weights of the features and the constant before any label is seen, and the largest constant.
+PRIOR = np.array([1.0, 1.0, 1.0, 0.0, 0.0, -4.0])
+MOST_CONSTANT = -1.0
+
+
+def fitted(found: np.ndarray, labels: np.ndarray, rounds: int = 60) -> np.ndarray:
+    """Logistic regression drawn towards ``PRIOR`` as by one label, by damped Newton steps; the constant comes last.
 
     Weights below zero are set to zero for the features that count matches, so
-    that a further match never lowers a score.
+    that a further match never lowers a score, and the constant is held low
+    enough that a text without a match is never called toxic.
     """
     x = np.column_stack([found, np.ones(len(found))])
-    free = np.ones(x.shape[1], bool)
-    weights = np.zeros(x.shape[1])
+    weights, free = PRIOR.copy(), np.ones(x.shape[1], bool)
     for _ in range(x.shape[1]):
-        weights[:] = 0
+        weights[free] = PRIOR[free]
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
-            gradient = x[:, free].T @ (p - labels) / len(x) + penalty / len(x) * weights[free]
-            curve = (x[:, free] * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x[:, free] / len(x)
-            change = np.linalg.solve(curve + (penalty / len(x) + 1e-9) * np.eye(free.sum()), gradient)
-            weights[free] -= np.clip(change, -2, 2)
+            gradient = x[:, free].T @ (p - labels) + weights[free] - PRIOR[free]
+            curve = (x[:, free] * (p * (1 - p))[:, None]).T @ x[:, free] + np.eye(free.sum())
+            weights[free] -= np.clip(np.linalg.solve(curve, gradient), -2, 2)
         low = free & (weights < 0)
         low[FEATURES - 1 :] = False
         if not low.any():
             break
         free &= ~low
+        weights[low] = 0
+    weights[-1] = min(weights[-1], MOST_CONSTANT)
     return weights
 
 
@@ -264,12 +270,14 @@ def _parts_of(core: str) -> list[str]:
     return [core, *(f"{core[:n]}*" for n in STEMS if len(core) > n)]
 
 
-def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, least_share: float = 0.01, least: int = 3) -> Lexicon:
+def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, least_share: float = 0.01, least_evidence: float = 24.0) -> Lexicon:
     """Words and stems that toxic documents of the sample have and clean ones lack.
 
-    A word has to stand in ``least_share`` of the toxic documents and ``least``
-    of them.  A stem is taken where it covers clearly more documents than the
-    commonest word that begins with it, which is the mark of inflection.
+    A word has to stand in ``least_share`` of the toxic documents, and the
+    log-likelihood ratio of its two counts has to reach ``least_evidence``,
+    which one word in a million does by chance.  A stem is taken where it covers
+    clearly more documents than the commonest word that begins with it, which is
+    the mark of inflection.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,13 +297,24 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, least_share: fl
                 names=["part", "n_toxic", "n_clean"],
             )
 
-    support = max(least, round(least_share * n_toxic))
+    both, n = F.col("n_toxic") + F.col("n_clean"), float(max(1, n_toxic + n_clean))
+
+    def term(count: Column, of: Column | int, group: int) -> Column:
+        share = count * n / F.greatest(of * F.lit(group), F.lit(1))
+        return F.when(count > 0, count * F.log(share)).otherwise(0.0)
+
+    evidence = 2 * (
+        term(F.col("n_toxic"), both, n_toxic)
+        + term(F.col("n_clean"), both, n_clean)
+        + term(n_toxic - F.col("n_toxic"), n - both, n_toxic)
+        + term(n_clean - F.col("n_clean"), n - both, n_clean)
+    )
     odds = ((F.col("n_toxic") + 0.5) / (n_toxic + 1)) / ((F.col("n_clean") + 0.5) / (n_clean + 1))
     rows = (
         sample.mapInArrow(count, "part string, n_toxic long, n_clean long")
         .groupBy("part")
         .agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
-        .where(F.col("n_toxic") >= support)
+        .where((F.col("n_toxic") >= max(1.0, least_share * n_toxic)) & (evidence >= least_evidence))
         .withColumn("odds", odds)
         .where("odds >= 8")
         # no more words than the support leaves room for: each has a share of the toxic documents
@@ -338,8 +357,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
     """Fit lexicon and weights on at most ``sample_rows`` labelled documents, those of the smallest hash of their id.
 
     Ids whose CRC-32 is divisible by five teach nothing.  Copies count
-    once.  Without labels of both kinds the seed words and fixed
-    weights are used.
+    once.  Without labels of both kinds the seed words and the
+    weights of ``PRIOR`` are used.
     """
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -357,7 +376,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000) -> Mode
     grammar = toxicity_grammar()
     lexicon = learn_lexicon(sample, n_toxic, n_clean)
     if not n_toxic or not n_clean:
-        return Model(lexicon, grammar, np.array([1.0, 1.0, 1.0, 0.0, 0.0, -4.0]))
+        return Model(lexicon, grammar, PRIOR)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -88,4 +88,55 @@ QUERIES = {
     "op10_cross_parsing": op10_cross_parsing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR_DUPLICATES = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+sh AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i+4], ' ') AS s
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c
+    FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+    SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+    WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(doc_id, r) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reach.doc_id, e.y FROM reach JOIN e ON e.x = reach.r),
+c AS (SELECT doc_id, MIN(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+_WORDS = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+
+_PASSAGES = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(COALESCE({_LOWER}, ''), {_WORDS}) AS ws FROM documents),
+b AS (SELECT item_id, ws, least(len(ws), 10) AS size
+    FROM (SELECT item_id, regexp_extract_all(COALESCE({_LOWER}, ''), {_WORDS}) AS ws FROM benchmark) WHERE len(ws) > 0),
+win AS (
+    SELECT DISTINCT item_id, size, array_to_string(ws[i:i+size-1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS i FROM b)),
+sizes AS (SELECT DISTINCT size FROM b),
+grams AS (
+    SELECT doc_id, i, size, array_to_string(ws[i:i+size-1], ' ') AS g
+    FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, sizes)),
+found AS (SELECT doc_id, i, win.size, item_id FROM grams JOIN win USING (g, size)),
+hit AS (SELECT doc_id, COUNT(DISTINCT place) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, COUNT(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+    sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+#: The others have no SQL form (vocabularies, automata, graphs, HTML, noise, lookarounds) and are tested by brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_hyperminhash": _NEAR_DUPLICATES,
+    "op4_suffix_arrays": _PASSAGES,
+}

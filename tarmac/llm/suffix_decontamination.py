@@ -68,7 +68,7 @@ def packed(words: np.ndarray, bits: int, per: int) -> np.ndarray:
     key = np.zeros(len(words), np.int64)
     for k in range(per):
         key <<= bits
-        key[: len(words) - k] |= words[k:]
+        key[: max(0, len(words) - k)] |= words[k:]
     return key
 
 

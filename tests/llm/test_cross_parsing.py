@@ -1,0 +1,77 @@
+"""Language identification: automata, phrases and held-out accuracy."""
+
+import itertools
+
+import numpy as np
+
+from tarmac.llm import cross_parsing as cp
+from tarmac.llm.tables import table
+
+
+def phrases(text, model, k):
+    """Plain greedy parse of one text."""
+    codes, _ = cp._codes([text])
+    symbols = model.symbols(codes).tolist()
+    symbols = [x for at, x in enumerate(symbols) if x or (at and symbols[at - 1])]
+    total = 0
+    for start in range(0, len(symbols), cp.STRETCH):
+        state = 0
+        for at, symbol in enumerate(symbols[start : start + cp.STRETCH]):
+            to = model.tables[k][state, symbol]
+            total += at == 0 or to == 0
+            state = to or model.tables[k][0, symbol]
+    return total
+
+
+def test_automaton_accepts_all_and_only_substrings():
+    text = np.array([1, 2, 1, 1, 2, 3, 1, 2, 1, 2, 2, 3, 3, 1])
+    table_of = cp.automaton(text, 5)
+    parts = {tuple(text[a:b].tolist()) for a in range(14) for b in range(a + 1, 15)}
+    for size in range(1, 6):
+        for word in itertools.product([1, 2, 3], repeat=size):
+            state = 0
+            for symbol in word:
+                state = table_of[state, symbol]
+                if not state:
+                    break
+            assert bool(state) == (word in parts)
+
+
+def test_phrases_and_held_out_accuracy(spark, small):
+    docs = table(spark, small, "documents")
+    model = cp.learn(docs)
+    rows = docs.collect()
+    counts, _ = model.phrases([r.text for r in rows])
+    for at in range(0, len(rows), 9):
+        assert counts[at].tolist() == [phrases(rows[at].text, model, k) for k in range(len(model.languages))]
+    got = {r.doc_id: r for r in cp.predict(docs, model).collect()}
+    truth = {r.doc_id: r.lang for r in rows}
+    held = [i for i, r in got.items() if r.held_out]
+    assert len(got) == len(rows) and held
+    assert np.mean([got[i].lang_pred == truth[i] for i in held]) > 0.95
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_edge_rows(edge_docs, no_docs):
+    model = cp.learn(edge_docs)
+    assert model.languages == ["en"]
+    got = cp.predict(edge_docs, model).collect()
+    assert len(got) == edge_docs.count()
+    for row in got:
+        assert (row.lang_pred == cp.UNDETERMINED) == (row.doc_id in (1, 2, 3, 9))
+    nothing = cp.learn(no_docs)
+    assert {r.lang_pred for r in cp.predict(edge_docs, nothing).collect()} == {cp.UNDETERMINED}
+    assert cp.predict(no_docs, model).count() == 0
+
+
+def test_noise_goes_and_clean_documents_stay(spark, small):
+    docs = table(spark, small, "documents")
+    model = cp.learn(docs)
+    names = docs.columns
+    odd = [(-1, None), (-2, "  12 34 !!"), (-3, "漢字仮名交文" * 10), (-4, "De."), (-5, "A")]
+    extra = spark.createDataFrame([(i, t, None, "x", 1) for i, t in odd], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = cp.keep_recognised(docs.unionByName(extra.select(names)), model)
+    assert kept.columns == names
+    got = {r.doc_id for r in kept.collect()}
+    assert {-1, -2, -3}.isdisjoint(got) and {-4, -5} <= got
+    assert {r.doc_id for r in docs.collect()} <= got
