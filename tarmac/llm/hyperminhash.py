@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from tarmac.llm.tables import rows_of, staged
 from tarmac.llm.word_hashes import MIX, mixed, word_hashes
 
 SHINGLE = 5
-BANDS, ROWS = 48, 4
+BANDS, ROWS = 32, 4
 BUCKETS = BANDS * ROWS
 MANTISSA = 10
 #: Bits of a hash that pick a bucket's value, and the largest count of leading zeros a register holds.
@@ -161,15 +162,16 @@ def full_sets(docs: DataFrame, by_digest: bool = False) -> DataFrame:
     )
 
 
+#: Chance that registers of unrelated sets agree: equal counts of leading zeros (the sum of 4^-k) and mantissas.
+CHANCE = (1 / 3) / (1 << MANTISSA)
+
+
 def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
     """Jaccard similarity from two arrays of band keys, corrected for registers that agree by chance.
 
-    Two unrelated registers agree when their counts of leading zeros do (a
-    third of the time: the sum of 4^-k) and their mantissas do.  With unequal
-    sets the smaller count is rarer; a third is the upper bound, so the
-    correction never raises an estimate of related sets.
+    With unequal sets the smaller count is rarer, so ``CHANCE`` is an upper
+    bound of the collisions.  No similarity exceeds the ratio of the sizes.
     """
-    chance = (1 / 3) / (1 << MANTISSA)
     lanes = F.zip_with(
         a,
         b,
@@ -179,9 +181,15 @@ def estimate(a: Column, b: Column, n_a: Column, n_b: Column) -> Column:
         ),
     )
     share = F.aggregate(lanes, F.lit(0), lambda total, x: total + x) / F.lit(float(BUCKETS))
-    corrected = (share - chance) / (1 - chance)
-    # no similarity exceeds the ratio of the sizes
-    return F.least(corrected, F.least(n_a, n_b) / F.greatest(n_a, n_b))
+    return F.least((share - CHANCE) / (1 - CHANCE), F.least(n_a, n_b) / F.greatest(n_a, n_b))
+
+
+def estimates(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The same between all rows of a small matrix of band keys."""
+    registers_of = keys.view(np.uint16).reshape(len(keys), BUCKETS)
+    share = np.array([(registers_of == row).mean(axis=1) for row in registers_of])
+    ratio = np.minimum(sizes[:, None], sizes) / np.maximum(sizes[:, None], sizes)
+    return np.minimum((share - CHANCE) / (1 - CHANCE), ratio)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -200,7 +208,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Smallest reachable id (``label``) of every ``id`` in the edges ``a``, ``b``.
+    """Smallest reachable id (``label``) of every ``id`` in the edges ``a``, ``b`` but for that smallest one.
 
     Large-star and small-star steps in turn: every node hands its smallest
     neighbour to the others, until nothing changes.  The number of edges never
@@ -237,21 +245,22 @@ def components(edges: DataFrame) -> DataFrame:
 def groups(
     docs: DataFrame,
     percent: int = 75,
-    floor: float = 0.45,
-    few_pairs_per_class: int = 20,
+    floor: float = 0.55,
+    small_bucket: int = 64,
     broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
 
-    Rows with equal shingle sets are one class from the start.  In every band
-    bucket the classes are first compared with one head; what a round links is
-    one component from then on, and the next round takes another head for what
-    is still apart.  Once the pairs still apart are few, at most
-    ``few_pairs_per_class`` per class, or a round has joined less than half of
-    them, all of them are compared.  So a group of copies costs a few
-    comparisons per member and no link is left out.  At a similarity of 0.75 a
-    pair shares no band with probability (1 - 0.75^4)^48 = 1e-8; ``floor`` lies
-    eight standard deviations below.
+    Rows with equal shingle sets are one class from the start.  First every
+    class of a band bucket is compared with the bucket's smallest one, which
+    joins nearly all copies at a few comparisons each.  Then all classes of a
+    bucket that are still apart are compared: by estimate and full sets up to
+    ``small_bucket`` classes, beyond that in blocks, in tasks of bounded size
+    that hold the full sets and hand on only links that join something.  So no
+    pair of a bucket goes unconfirmed and none is written out in vain.
+
+    At a similarity of 0.75 a pair shares no band with probability
+    (1 - 0.75^4)^32 = 5e-6; ``floor`` lies five standard deviations below.
 
     Null and empty texts, and texts without words, have no shingles and no
     link.  A row without an id has null as its component and is not kept.  Rows
@@ -271,47 +280,30 @@ def groups(
     members = staged(_members(classes), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wanted = members.select("id").distinct().join(classes, "id").select(F.col("first").alias("doc_id")).distinct()
-    sets = staged(full_sets(rows_of(texts, staged(wanted, "wanted"), "doc_id", broadcast_rows=broadcast_rows), by_digest), "sets")
+    wanted = staged(wanted, "wanted")
+    sets = staged(full_sets(rows_of(texts, wanted, "doc_id", broadcast_rows=broadcast_rows), by_digest), "sets")
     if by_digest:
         sets = sets.groupBy("id").agg(F.min("shingles").alias("shingles"))
-    bands = classes.select("id", "n_shingles", "bands")
-
-    limit, before = few_pairs_per_class * sizes["n"], None
-    links, labels, tested = None, None, None
-    turn = 0
-    while True:
-        labelled = members
-        if labels is None:
-            labelled = labelled.withColumn("label", F.col("id"))
-        else:
-            labelled = labelled.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        apart, left = _apart(labelled)
-        if left == 0:
-            break
-        last = left <= limit or (before is not None and 2 * left > before)
-        pairs = (_all_pairs(apart) if last else _head_pairs(apart, turn)).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        near = _estimated(pairs, bands).where(F.col("estimate") >= floor).select("a", "b")
-        found = staged(verified(near, sets, percent), "links")
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        labels = staged(components(links), "labels")
-        if last:
-            break
-        before, turn = left, turn + 1
+    sketch_of = classes.select("id", "n_shingles", "bands")
+
+    heads = members.groupBy("bucket").agg(F.min("id").alias("a"))
+    pairs = members.join(heads, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    near = _estimated(pairs, sketch_of).where(F.col("estimate") >= floor).select("a", "b")
+    links = staged(verified(near, sets, percent), "links")
+    apart = staged(_apart(members, components(links), sketch_of), "apart")
+    candidates = staged(_near_in_small_buckets(apart.where(F.col("n") <= small_bucket), sketch_of, floor), "candidates")
+    more = verified(candidates, sets, percent).union(
+        _links_in_large_buckets(apart.where(F.col("n") > small_bucket), sets, percent)
+    )
+    labels = staged(components(links.union(more)), "labels")
 
-    of_class = classes.select("n_shingles", "digest", "id", "first")
-    if labels is None:
-        of_class = of_class.withColumn("component", F.col("first"))
+    of_class = classes.select("n_shingles", "digest", "id", "first").join(labels, "id", "left")
+    if by_digest:
+        of_class = of_class.withColumn("label", F.coalesce("label", "id"))
+        least = of_class.groupBy("label").agg(F.min("first").alias("component"))
+        of_class = of_class.join(least, "label")
     else:
-        of_class = of_class.join(labels, "id", "left")
-        if by_digest:
-            least = of_class.groupBy("label").agg(F.min("first").alias("component"))
-            of_class = of_class.join(least, "label", "left").withColumn("component", F.coalesce("component", "first"))
-        else:
-            of_class = of_class.withColumn("component", F.coalesce("label", "first"))
+        of_class = of_class.withColumn("component", F.coalesce("label", "first"))
     found = sketched.select("doc_id", "n_shingles", "digest").join(
         of_class.select("n_shingles", "digest", "component"), ["n_shingles", "digest"], "left"
     )
@@ -333,40 +325,113 @@ def _members(classes: DataFrame) -> DataFrame:
     return keyed.join(shared, "bucket")
 
 
-def _apart(labelled: DataFrame) -> tuple[DataFrame, int]:
-    """Members of buckets that hold more than one component, and how many pairs they make across components."""
-    by_label = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    buckets = by_label.groupBy("bucket").agg(
-        F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("labels")
-    ).where("labels > 1")
-    buckets = staged(buckets, "buckets")
-    left = buckets.agg(F.coalesce(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2), F.lit(0.0))).first()[0]
-    apart = staged(labelled.join(buckets.select("bucket"), "bucket"), "apart") if left else labelled
-    return apart, int(left)
+def _apart(members: DataFrame, labels: DataFrame, sketch_of: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component: ``bucket``, ``id``, ``label``, size and shingles of the bucket."""
+    sized = sketch_of.select("id", "n_shingles").join(labels, "id", "left")
+    labelled = members.join(sized, "id").withColumn("label", F.coalesce("label", "id"))
+    buckets = (
+        labelled.groupBy("bucket")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("n_shingles").alias("values"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+        )
+        .where("low <> high")
+        .select("bucket", "n", "values")
+    )
+    return labelled.join(buckets, "bucket").select("bucket", "id", "label", "n", "values")
 
 
-def _head_pairs(apart: DataFrame, turn: int) -> DataFrame:
-    """Every member with the head of its bucket, another head each turn."""
-    order = F.col("id") if turn == 0 else F.xxhash64(F.lit(turn), "id")
-    heads = apart.groupBy("bucket").agg(
-        F.min_by(F.struct("id", "label"), order).alias("head")
-    )
-    joined = apart.join(heads, "bucket").where(F.col("head.label") != F.col("label"))
-    return joined.select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b"))
+def _near_in_small_buckets(apart: DataFrame, sketch_of: DataFrame, floor: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of one bucket in different components whose estimate reaches ``floor``."""
+
+    def compare(bucket: tuple, rows: pa.Table) -> pa.Table:
+        ids, labels = rows.column("id").to_numpy(), rows.column("label").to_numpy()
+        keys = rows.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), BANDS)
+        close = estimates(np.ascontiguousarray(keys), rows.column("n_shingles").to_numpy()) >= floor
+        one, other = np.nonzero(np.triu(close & (labels[:, None] != labels), 1))
+        return pa.table(
+            {"a": np.minimum(ids[one], ids[other]), "b": np.maximum(ids[one], ids[other])},
+            schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]),
+        )
+
+    sketched = apart.select("bucket", "id", "label").join(sketch_of, "id")
+    return sketched.groupBy("bucket").applyInArrow(compare, "a long, b long").distinct()
+
 
+def _links_in_large_buckets(apart: DataFrame, sets: DataFrame, percent: int, block: int = 512, block_values: int = 2_000_000) -> DataFrame:
+    """Links ``a``, ``b`` between components of one bucket, enough of them to join whatever is linked.
 
-def _all_pairs(apart: DataFrame) -> DataFrame:
-    """Every pair of one bucket across components."""
-    other = apart.select("bucket", F.col("id").alias("other"), F.col("label").alias("other_label"))
-    joined = apart.join(other, "bucket").where(
-        (F.col("id") < F.col("other")) & (F.col("label") != F.col("other_label"))
+    A bucket is cut into blocks by count and by shingles, and each pair of
+    blocks is one group of rows.
+    """
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("values") / block_values)).cast("int")
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rows = (
+        apart.withColumn("blocks", blocks)
+        .withColumn("mine", mine)
+        .select("bucket", "id", "label", "mine", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+        .select("bucket", "id", "label", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
+        .join(sets, "id")
     )
-    return joined.select(F.col("id").alias("a"), F.col("other").alias("b"))
+
+    def link(key: tuple, rows: pa.Table) -> pa.Table:
+        ids, labels = rows.column("id").to_numpy(), rows.column("label").to_numpy()
+        shingles = rows.column("shingles").combine_chunks()
+        ends = np.cumsum(pc.list_value_length(shingles).to_numpy())
+        one, other = spanning_links(shingles.flatten().to_numpy(zero_copy_only=False), ends, labels, percent)
+        return pa.table(
+            {"a": np.minimum(ids[one], ids[other]), "b": np.maximum(ids[one], ids[other])},
+            schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]),
+        )
+
+    return rows.groupBy("bucket", "low", "high").applyInArrow(link, "a long, b long").distinct()
 
 
-def _estimated(pairs: DataFrame, bands: DataFrame) -> DataFrame:
-    left = bands.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bands").alias("a_bands"))
-    right = bands.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bands").alias("b_bands"))
+def spanning_links(values: np.ndarray, ends: np.ndarray, labels: np.ndarray, percent: int, columns: int = 4_096):
+    """Pairs of sets that are linked and whose labels no earlier pair has joined.
+
+    Sets stand one behind the other in ``values``.  Shingles of one set alone
+    add nothing to an intersection; the others are columns of a 0-1 matrix that
+    is multiplied ``columns`` at a time.
+    """
+    n = len(ends)
+    sizes = np.diff(ends, prepend=0)
+    row = np.repeat(np.arange(n), sizes)
+    _, column, times = np.unique(values, return_inverse=True, return_counts=True)
+    place = np.cumsum(times > 1) - 1
+    common = times[column] > 1
+    row, column = row[common], place[column[common]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((n, n), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        low, high = np.searchsorted(column, [start, start + columns])
+        part = np.zeros((n, columns), np.float32)
+        part[row[low:high], column[low:high] - start] = 1
+        shared += part @ part.T
+    linked = 100 * shared >= percent * (sizes[:, None] + sizes - shared)
+    root = {label: label for label in labels.tolist()}
+
+    def top(label: int) -> int:
+        while root[label] != label:
+            root[label] = label = root[root[label]]
+        return label
+
+    kept = []
+    for one, other in np.argwhere(np.triu(linked & (labels[:, None] != labels), 1)).tolist():
+        a, b = top(int(labels[one])), top(int(labels[other]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            kept.append((one, other))
+    pairs = np.array(kept, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _estimated(pairs: DataFrame, sketch_of: DataFrame) -> DataFrame:
+    left = sketch_of.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bands").alias("a_bands"))
+    right = sketch_of.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bands").alias("b_bands"))
     joined = pairs.join(right, "b").join(left, "a")
     return joined.select("a", "b", estimate(F.col("a_bands"), F.col("b_bands"), F.col("n_a"), F.col("n_b")).alias("estimate"))
 
