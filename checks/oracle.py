@@ -571,6 +571,12 @@ SQL: dict[str, str] = {
     "weather_fill_status": f"""SELECT COUNT(*) AS TOTAL_FLIGHTS, COUNT(ORIGIN_TEMP_C) AS ORIGIN_FILLED,
         COUNT(DEST_TEMP_C) AS DEST_FILLED, {count_if('ORIGIN_TEMP_C IS NULL')} AS ORIGIN_NULL
         FROM f_both WHERE YEAR >= 1998""",
+    "weather_load_counts": """SELECT COUNT(*) AS ROWS_LOADED, CAST(0 AS BIGINT) AS ERRORS_SEEN,
+        COUNT(*) AS ROWS_STORED FROM fx_wx""",
+    "stored_weather_filled": f"""SELECT 'before' AS AT, COUNT(*) AS TOTAL_FLIGHTS, CAST(0 AS BIGINT) AS ORIGIN_FILLED,
+        CAST(0 AS BIGINT) AS DEST_FILLED, COUNT(*) AS ORIGIN_NULL FROM fx_flights WHERE YEAR >= 1998 UNION ALL
+        SELECT 'after', COUNT(*), COUNT(ORIGIN_TEMP_C), COUNT(DEST_TEMP_C), {count_if('ORIGIN_TEMP_C IS NULL')}
+        FROM f_both WHERE YEAR >= 1998""",
     "airport_coordinates": """SELECT DISTINCT lower(n.IATA_CODE) AS IATA_CODE, CAST(LATITUDE AS DOUBLE) AS LATITUDE,
         CAST(LONGITUDE AS DOUBLE) AS LONGITUDE, TIME_ZONE FROM fx_nas n JOIN d_airports d ON n.IATA_CODE = d.IATA_CODE
         WHERE HAS_COORDINATES""",

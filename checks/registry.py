@@ -32,8 +32,8 @@ from tarmac.functions.text import (
 from tarmac.operators import adhoc, anomalies, cells, coverage, dashboard, delay_model, features, marts, nas, weather
 from tarmac.operators import flight_cleaning as cleaning
 from tarmac.operators.keys import sample_rows
-from tarmac.plans import flight_history
-from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS, columns
+from tarmac.plans import flight_history, weather_history
+from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS, WEATHER_HOURLY, columns
 from tarmac.session import ensure_checkpoint_dir, work_path
 from tarmac.sources import landed, tables
 from tarmac.streaming import nas_feed
@@ -672,8 +672,7 @@ def hourly_weather_of_one_year(spark: SparkSession, folder: str) -> DataFrame:
     return weather.clean_weather(stand_ins.weather_documents(spark, folder), year=1998)
 
 
-@register
-def weather_document_scan(spark: SparkSession, folder: str) -> DataFrame:
+def landed_documents(spark: SparkSession, folder: str) -> str:
     path = work_path(spark, "weather-docs")
     documents = stand_ins.weather_documents(spark, folder)
     year = F.substring(F.get("hourly.time", F.lit(0)), 1, 4)
@@ -686,7 +685,30 @@ def weather_document_scan(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("value")
     )
     listed.write.partitionBy("airport", "year").text(path)
-    return weather.clean_weather(landed.read_weather_documents(spark, f"{path}/*", "*.txt"))
+    return f"{path}/*"
+
+
+@register
+def weather_document_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return weather.clean_weather(landed.read_weather_documents(spark, landed_documents(spark, folder), "*.txt"))
+
+
+@register
+def weather_load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of a full reload, with the rows that reading the table back gives."""
+    raw = work_path(spark, "weather-raw")
+    report = weather_history.load_weather(spark, landed_documents(spark, folder), raw, files="*.txt")
+    stored = spark.read.schema(WEATHER_HOURLY).parquet(raw).agg(F.count("OBS_TIMESTAMP").alias("ROWS_STORED"))
+    return report.select("ROWS_LOADED", "ERRORS_SEEN").crossJoin(stored)  # one row each
+
+
+@register
+def stored_weather_filled(spark: SparkSession, folder: str) -> DataFrame:
+    """Fill status of the stored flights before and after the fill."""
+    path = work_path(spark, "staging")
+    rows = tables.add_missing_columns(flights(spark, folder))
+    tables.write_partitions(rows, path, ["YEAR", "MONTH"])
+    return weather_history.fill_stored_weather(spark, path, hourly(spark, folder), since_year=1998)
 
 
 WEATHER_KEYS = ["FLIGHT_DATE", "ORIGIN", "DEST", "SCHEDULED_DEP", "SCHEDULED_ARR", "TAIL_NUMBER"]

@@ -34,15 +34,17 @@ def flights_counted() -> Column:
     return F.count(F.lit(1))
 
 
-def trend_measures() -> list[Column]:
+def trend_measures(total: Column | None = None) -> list[Column]:
+    total = flights_counted() if total is None else total
+
     def share(cause: str) -> Column:
         return percent(F.sum(cause), F.sum("DEP_DELAY_MIN"))
 
     return [
-        flights_counted().alias("TOTAL_FLIGHTS"),
+        total.alias("TOTAL_FLIGHTS"),
         F.count_if("IS_DEP_DELAYED").alias("TOTAL_DELAYED"),
         F.count_if("IS_CANCELLED").alias("TOTAL_CANCELLED"),
-        percent(F.count_if("IS_DEP_DELAYED"), flights_counted()).alias("DELAY_RATE"),
+        percent(F.count_if("IS_DEP_DELAYED"), total).alias("DELAY_RATE"),
         positive_mean("DEP_DELAY_MIN").alias("AVG_DEP_DELAY_MIN"),
         positive_mean("ARR_DELAY_MIN").alias("AVG_ARR_DELAY_MIN"),
         share("CARRIER_DELAY").alias("CARRIER_DELAY_SHARE"),
@@ -51,12 +53,18 @@ def trend_measures() -> list[Column]:
     ]
 
 
-def with_cancelled(trend: DataFrame, flights: DataFrame, keys: list[str]) -> DataFrame:
-    """Replace the always-zero cancelled count by the real one."""
-    cancelled = flights.groupBy(*keys).agg(F.count_if("IS_CANCELLED").alias("_cancelled"))
-    counted = F.coalesce("_cancelled", F.lit(0)).alias("TOTAL_CANCELLED")
-    joined = trend.join(cancelled, keys, "left")
-    return joined.select(*[counted if name == "TOTAL_CANCELLED" else F.col(name) for name in trend.columns])
+def trend(flights: DataFrame, keys: list[str], count_cancelled: bool) -> DataFrame:
+    """Trend measures of flown flights; ``count_cancelled`` counts the cancelled ones in the same pass.
+
+    Cancelled flights then stay in the groups with their measures blanked, and
+    a group without a flown flight is left out as ever.
+    """
+    if not count_cancelled:
+        return flown(flights).groupBy(*keys).agg(*trend_measures())
+    operated = ~F.col("IS_CANCELLED")
+    names = [f.name for f in flights.schema.fields if f.name not in (*keys, "IS_CANCELLED")]
+    blanked = flights.withColumns({name: F.when(operated, F.col(name)) for name in names})
+    return blanked.groupBy(*keys).agg(*trend_measures(F.count_if(operated))).where("TOTAL_FLIGHTS > 0")
 
 
 def delay_trends_monthly(
@@ -64,10 +72,7 @@ def delay_trends_monthly(
 ) -> DataFrame:
     """By year and month.  TOTAL_CANCELLED is zero by construction: cancelled
     flights are filtered out first.  ``count_cancelled`` gives the real count."""
-    keys = ["YEAR", "MONTH"]
-    flights = in_month(flights, target_date)
-    trend = flown(flights).groupBy(*keys).agg(*trend_measures())
-    return with_cancelled(trend, flights, keys) if count_cancelled else trend
+    return trend(in_month(flights, target_date), ["YEAR", "MONTH"], count_cancelled)
 
 
 def delay_trends_daily(
@@ -75,8 +80,7 @@ def delay_trends_daily(
 ) -> DataFrame:
     if target_date is not None:
         flights = flights.where(F.col("FLIGHT_DATE") == F.lit(target_date))
-    trend = flown(flights).groupBy("FLIGHT_DATE").agg(*trend_measures())
-    return with_cancelled(trend, flights, ["FLIGHT_DATE"]) if count_cancelled else trend
+    return trend(flights, ["FLIGHT_DATE"], count_cancelled)
 
 
 def airline_performance(flights: DataFrame, target_date: dt.date | None = None) -> DataFrame:

@@ -166,6 +166,7 @@ WEATHER_DOCUMENT = StructType([StructField("iata_code", StringType()), StructFie
 WEATHER_HOURLY = columns(
     "IATA_CODE string, OBS_TIMESTAMP string, OBS_DATE date, YEAR int, MONTH int, OBS_HOUR int, "
     + ", ".join(f"{name} {kind}" for _, name, kind in HOURLY_FIELDS)
+    + ", _LOAD_TS timestamp"
 )
 
 # Landing tables for aircraft positions and flights; nothing reads them yet.
@@ -183,6 +184,46 @@ OPENSKY_FLIGHTS = columns(
     " ARRIVAL_AIRPORT_CANDIDATES_COUNT int, _LOAD_TS timestamp"
 )
 
+_TREND = (
+    "TOTAL_FLIGHTS bigint, TOTAL_DELAYED bigint, TOTAL_CANCELLED bigint, DELAY_RATE double, AVG_DEP_DELAY_MIN double,"
+    " AVG_ARR_DELAY_MIN double, CARRIER_DELAY_SHARE double, WEATHER_DELAY_SHARE double, NAS_DELAY_SHARE double"
+)
+_CAUSES = ["CARRIER_DELAY", "WEATHER_DELAY", "NAS_DELAY", "SECURITY_DELAY", "LATE_AIRCRAFT_DELAY"]
+
+# Marts: columns as the operators give them, and the stamp of the refresh.
+MARTS = {
+    "delay_trends_monthly": f"YEAR int, MONTH int, {_TREND}",
+    "delay_trends_daily": f"FLIGHT_DATE date, {_TREND}, YEAR int, MONTH int",
+    "airline_performance": (
+        "YEAR int, MONTH int, AIRLINE_CODE string, TOTAL_FLIGHTS bigint, DELAYED_FLIGHTS bigint, CANCELLED_FLIGHTS bigint,"
+        " ON_TIME_FLIGHTS bigint, DELAY_RATE double, CANCEL_RATE double, ON_TIME_RATE double,"
+        " AVG_DEP_DELAY_MIN double, AVG_ARR_DELAY_MIN double"
+    ),
+    "airport_stats": (
+        "YEAR int, MONTH int, AIRPORT string, CITY string, STATE string, DEP_FLIGHTS bigint, ARR_FLIGHTS bigint,"
+        " DEP_DELAYED bigint, ARR_DELAYED bigint, DEP_CANCELLED bigint, AVG_DEP_DELAY_MIN double,"
+        " AVG_ARR_DELAY_MIN double, DEP_DELAY_RATE double, ARR_DELAY_RATE double"
+    ),
+    "delay_cause_breakdown": (
+        "YEAR int, MONTH int, "
+        + ", ".join(f"{cause}_FLIGHTS bigint" for cause in _CAUSES)
+        + ", "
+        + ", ".join(f"{cause}_TOTAL_MIN double" for cause in _CAUSES)
+    ),
+    "route_performance": (
+        "YEAR int, MONTH int, ORIGIN string, DEST string, ROUTE string, TOTAL_FLIGHTS bigint, DELAYED_FLIGHTS bigint,"
+        " DELAY_RATE double, AVG_DEP_DELAY_MIN double, AVG_DISTANCE double"
+    ),
+    "airport_nas_status": (
+        "FETCH_DATE date, IATA_CODE string, DELAY_PROGRAMS bigint, MAX_AVG_DELAY_MIN int,"
+        " HAS_GROUND_DELAY boolean, HAS_GROUND_STOP boolean"
+    ),
+    "weather_delay_correlation": (
+        "YEAR int, MONTH int, IATA_CODE string, AVG_TEMP_C double, AVG_WIND_SPEED_KMH double, AVG_VISIBILITY_M double,"
+        " SNOW_FLIGHT_COUNT bigint, AVG_DEP_DELAY_MIN double, DELAY_RATE double"
+    ),
+}
+
 # Layer tables: schema and the columns a table is partitioned by on disk.
 LAYER_TABLES = {
     "raw.on_time": (RAW_FLIGHTS, ["YEAR", "MONTH"]),
@@ -191,4 +232,8 @@ LAYER_TABLES = {
     "raw.opensky_states": (OPENSKY_STATES, ["FETCH_DATE"]),
     "raw.opensky_flights": (OPENSKY_FLIGHTS, ["FETCH_DATE"]),
     "staging.flights": (StructType(STAGING_FLIGHTS.fields + FLIGHT_WEATHER.fields), ["YEAR", "MONTH"]),
+    **{
+        f"analytics.{name}": (columns(f"{listing}, _UPDATED_TS timestamp"), ["YEAR", "MONTH"] if "YEAR int" in listing else [])
+        for name, listing in MARTS.items()
+    },
 }

@@ -192,7 +192,8 @@ def create_layer_tables(spark: SparkSession, names: list[str] | None = None) ->
         schema, by = LAYER_TABLES[name]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet PARTITIONED BY ({', '.join(by)})")
+        parts = f" PARTITIONED BY ({', '.join(by)})" if by else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING parquet{parts}")
 
 
 def add_missing_columns(rows: DataFrame, schema: StructType = FLIGHT_WEATHER) -> DataFrame:

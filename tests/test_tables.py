@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from checks import stand_ins
 from tarmac import schemas
 from tarmac.plans.daily_status import load_day, write_digest
-from tarmac.plans.mart_refresh import MART_SETS, refresh
+from tarmac.operators import marts
+from tarmac.plans.mart_refresh import FLIGHT_MARTS, MART_SETS, refresh
 from tarmac.session import shared_folder, shuffle_width, work_path
 from tarmac.sources import landed, tables
 from tests.conftest import one, rows
@@ -130,6 +131,21 @@ def test_layer_tables(spark):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_mart_tables_have_the_columns_of_the_marts(spark, small):
+    names = [f"analytics.{name}" for name in schemas.MARTS]
+    tables.create_layer_tables(spark, names)
+    assert len(names) == 8
+    flights, nas = stand_ins.flights(spark, small), stand_ins.nas(spark, small)
+    made = {name: query(flights) for name, query in FLIGHT_MARTS.items()}
+    made["airport_nas_status"] = marts.airport_nas_status(nas)
+    made["weather_delay_correlation"] = marts.weather_delay_correlation(tables.add_missing_columns(flights))
+    for name, mart in made.items():
+        declared = {f.name: f.dataType for f in schemas.columns(schemas.MARTS[name]).fields}
+        assert declared == {f.name: f.dataType for f in mart.schema.fields}, name
+        assert set(spark.table(f"analytics.{name}").columns) == {*declared, tables.STAMP}
+        spark.sql(f"DROP TABLE analytics.{name}")
+
+
 def test_csv_scan_is_all_text(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Year,FlightDate\n2024,2024-01-05\n,\n")
     frame = landed.read_source_csv(spark, str(tmp_path), schemas.columns("Year string, FlightDate string"))
