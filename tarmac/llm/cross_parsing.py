@@ -91,7 +91,7 @@ class LanguageModel:
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Phrases each text (row) takes in each language (column), and whether it has a letter."""
         codes, ends = _codes([text or "" for text in texts])
-        letter = np.append(0, np.cumsum(_letters()[0][codes]))
+        letter = np.append(np.uint32(0), np.cumsum(_letters()[0][codes], dtype=np.uint32))
         has_letter = letter[ends] > letter[np.append(0, ends[:-1])]
         symbols = self.symbols(codes)
         # runs of gaps are one gap, and a text has none at its start
@@ -100,7 +100,7 @@ class LanguageModel:
         starts = starts[:-1]
         gap = symbols == GAP
         keep = ~gap | ~(np.append(True, gap[:-1]) | starts)
-        kept = np.append(0, np.cumsum(keep))[ends]
+        kept = np.append(np.uint32(0), np.cumsum(keep, dtype=np.uint32))[ends].astype(np.int64)
         symbols = symbols[keep]
         sizes = np.diff(kept, prepend=0)
         # stretches of every text, the long ones first so that those still running are a prefix
@@ -154,7 +154,7 @@ def _symbol_lookup(letters: bytes) -> np.ndarray:
     return lookup
 
 
-def learn(docs: DataFrame, docs_per_language: int = 200, chars_per_doc: int = 400, max_letters: int = 4_000) -> LanguageModel:
+def learn(docs: DataFrame, docs_per_language: int = 100, chars_per_doc: int = 400, max_letters: int = 4_000) -> LanguageModel:
     """Fit on a bounded sample: ``docs_per_language`` labelled documents of each language, an excerpt of each.
 
     The documents are those of the smallest hash of their id; ids whose CRC-32
@@ -215,11 +215,12 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     ).mapInArrow(label, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def _in_slices(batches: Iterator[pa.RecordBatch], size: int = 2_000_000) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+def _in_slices(batches: Iterator[pa.RecordBatch], size: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Slices of about ``size`` characters, or of one text."""
     for batch in batches:
         start, held, n = 0, [], 0
-        for at, text in enumerate(batch.column("text").to_numpy(zero_copy_only=False).tolist()):
+        for at, value in enumerate(batch.column("text")):
+            text = value.as_py()
             if held and n + len(text or "") > size:
                 yield batch.slice(start, at - start), held
                 start, held, n = at, [], 0

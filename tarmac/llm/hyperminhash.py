@@ -441,16 +441,17 @@ def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     Documents without an id are kept, as nothing links them.  Of rows that share an id one stays.
     """
-    found = groups(docs, percent)
-    dropped = found.where("not kept and doc_id is not null").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    found = staged(groups(docs, percent), "groups")
+    dropped = staged(found.where("not kept and doc_id is not null").select("doc_id").distinct(), "dropped")
+    kept = rows_of(docs, dropped, "doc_id", "left_anti").select(docs.columns)
+    repeated = staged(
+        found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
+    )
     if repeated.isEmpty():
         return kept
-    # only the rows of repeated ids are dealt out; a window of one id keeps its first row by text
-    again = F.broadcast(repeated.select("doc_id")) if repeated.count() <= 2_000_000 else repeated.select("doc_id")
-    one = kept.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(
+    # only the rows of repeated ids are dealt out, and each id keeps its first row by text
+    one = rows_of(kept, repeated, "doc_id").groupBy("doc_id").agg(
         F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.col("text"))).alias("row")
     )
-    rest = kept.join(again, "doc_id", "left_anti")
+    rest = rows_of(kept, repeated, "doc_id", "left_anti").select(docs.columns)
     return rest.unionByName(one.select("row.*"))

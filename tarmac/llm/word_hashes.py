@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from tarmac.llm.kept import kept
+
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -17,7 +19,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """64-bit hashes of words, remembered between texts."""
 
-    def __init__(self, most: int = 500_000):
+    def __init__(self, most: int = 200_000):
         self.known: dict[bytes, int] = {}
         self.most = most
 
@@ -36,9 +38,6 @@ class WordHashes:
         return np.array(found, np.uint64)
 
 
-_HASHES = WordHashes()
-
-
 def word_hashes(text: str | None) -> np.ndarray:
     """A hash for every word: runs of bytes other than ASCII white space, A-Z in lower case."""
-    return _HASHES.of((text or "").encode("utf-8", "surrogatepass").lower().split())
+    return kept(WordHashes, WordHashes).of((text or "").encode("utf-8", "surrogatepass").lower().split())

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tarmac.llm.kept import kept
+
 _WORDS_PER_CALL = 200
 #: Marks that are a piece of their own behind letters.
 _MARKS = frozenset(".,;:!?")
@@ -27,7 +28,7 @@ class WholeTextEncoder:
     the speed and never the ids.
     """
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -44,8 +45,8 @@ class WholeTextEncoder:
     def _forget(self) -> None:
         self.places: dict[str, int] = {}
         self.ids = np.empty(1 << 20, self.id_type)
-        self.starts = np.empty(1 << 18, np.int64)
-        self.lengths = np.empty(1 << 18, np.int64)
+        self.starts = np.empty(1 << 18, np.uint32)
+        self.lengths = np.empty(1 << 18, np.uint32)
         self.hashes = np.empty(1 << 18, np.uint64)
         self.used = 0
 
@@ -117,10 +118,10 @@ class WholeTextEncoder:
             self._learn(new)
             places[missing] = [self.places[word] for word in new]
         places = places[coded.indices.to_numpy()]
-        lengths = self.lengths[places]
+        lengths = self.lengths[places].astype(np.int64)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.starts[places] - (ends - lengths), lengths) + np.arange(total)]
+        ids = self.ids[np.repeat(self.starts[places].astype(np.int64) - (ends - lengths), lengths) + np.arange(total)]
         word_ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
         text_ends = np.append(0, ends)[word_ends]
         # splitting gives every text one word at least, if an empty one
@@ -128,13 +129,12 @@ class WholeTextEncoder:
         return ids, text_ends, least
 
 
-@lru_cache(maxsize=1)
 def encoder(path: str) -> WholeTextEncoder:
     """One encoder per Python worker, kept between tasks."""
-    return WholeTextEncoder(path)
+    return kept(path, lambda: WholeTextEncoder(path))
 
 
-def slices(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(texts: pa.Array, size: int = 2_000_000) -> Iterator[tuple[int, int]]:
     """Consecutive ``(start, stop)`` of about ``size`` bytes of text, or one text."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(), dtype=np.int64)
     start = 0
