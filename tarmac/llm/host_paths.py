@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.tables import staged
+from tarmac.llm.tables import lookup_join, staged
 
 # Element and class names of HTML.
 RAW = frozenset("script style noscript template title textarea iframe xmp noembed noframes".split())
@@ -217,7 +217,7 @@ def extract(pages: DataFrame) -> DataFrame:
     empty text.  Repeated rows are returned each.
     """
     cut = staged(cut_pages(pages), "blocks")
-    joined = cut.join(elected(cut), "host", "left")
+    joined = lookup_join(cut, staged(elected(cut), "elected"), "host")
 
     def under(path: Column) -> Column:
         return F.filter("blocks", lambda block: F.startswith(block["path"], path))

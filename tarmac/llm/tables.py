@@ -42,3 +42,13 @@ def rows_of(frame: DataFrame, ids: DataFrame, key: str, how: str = "left_semi",
     """
     small = ids.count() <= broadcast_rows
     return frame.join(F.broadcast(ids) if small else ids, key, how)
+
+
+def lookup_join(frame: DataFrame, lookup: DataFrame, key: str, most_bytes: int = 32 << 20) -> DataFrame:
+    """``frame`` left-joined to a written ``lookup`` on ``key``.
+
+    The lookup is measured as text and broadcast up to ``most_bytes``, so that
+    the rows of ``frame`` stay where they are; a larger one is joined by shuffle.
+    """
+    size = lookup.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
+    return frame.join(F.broadcast(lookup) if size <= most_bytes else lookup, key, "left")
