@@ -174,8 +174,9 @@ def search(
     is_query: Column,
     k: int = 20,
     sample_rows: int = 8_192,
-    rows_per_part: int = 256,
-    max_parts: int = 256,
+    rows_per_part: int = 4_096,
+    min_parts: int = 32,
+    max_parts: int = 512,
     recall: float = 0.97,
     block_rows: int = 4_096,
     block_queries: int = 2_048,
@@ -188,7 +189,8 @@ def search(
     Equal vectors are one row of the index with the smallest ``k + 1`` of their
     ids, so a much repeated vector costs no more than any other.  The router is
     fitted on ``sample_rows`` vectors and cuts about ``rows_per_part`` rows a
-    part, up to ``max_parts``.  A part is searched in blocks of ``block_rows``
+    part, at least ``min_parts`` and at most ``max_parts``, sixteen vectors of
+    the sample in each.  A part is searched in blocks of ``block_rows``
     rows by ``block_queries`` queries, which bounds a task whatever the size of
     the part.  A query goes to as many parts as the sample needs for
     ``recall``, and to more until ``k + 1`` vectors are in reach; with fewer
@@ -222,7 +224,7 @@ def search(
     sample = index.orderBy(F.xxhash64("embedding"), "key").limit(sample_rows).select("embedding").toArrow()
     points = _matrix(sample.column("embedding"), dim)
     parts = 1
-    while parts < max_parts and parts * 2 * rows_per_part <= n and parts * 2 <= len(points) // 8:
+    while parts * 2 <= min(max_parts, max(min_parts, n // rows_per_part), len(points) // 16):
         parts *= 2
     router = fit(points, parts, k, recall) if parts > 1 else None
     shared = vectors.sparkSession.sparkContext.broadcast(router)
