@@ -1,8 +1,9 @@
 """Language identification by cross-parsing with suffix automata.
 
 Each language has the suffix automaton of a labelled sample.  A text is cut
-greedily into the longest phrases that occur in the sample; the language that
-needs the fewest phrases wins.
+greedily into the longest phrases that occur in the sample; the language whose
+phrases cost least wins, a phrase costing the more the larger the sample is
+that it points into.
 """
 
 from __future__ import annotations
@@ -83,6 +84,16 @@ class LanguageModel:
     languages: list[str]
     letters: np.ndarray  # code points, in order
     tables: list[np.ndarray]
+    sizes: list[int]  # symbols of each sample
+
+    def prices(self) -> np.ndarray:
+        """Bits a phrase costs in each language: a place in its sample, or one of all symbols."""
+        return np.log2(np.array(self.sizes, float) + len(self.letters) + 2)
+
+    def costs(self, counts: np.ndarray) -> np.ndarray:
+        """Counts of phrases as bits, over the bits of a phrase in the largest sample; equal samples leave the counts."""
+        prices = self.prices()
+        return counts * (prices / prices.max())
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         lookup = _symbol_lookup(self.letters.tobytes())
@@ -130,17 +141,18 @@ class LanguageModel:
         return counts, has_letter
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-        """The language of fewest phrases (of equals the first by name) and its share of the odds.
+        """The language of least cost (of equals the first by name) and its share of the odds.
 
-        Every phrase more halves a language's odds.  Texts that are null or have
+        Every phrase of the largest sample more halves a language's odds.  Texts that are null or have
         no letter are ``und`` with score 0; so is any text if nothing was learned.
         """
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
         counts, has_letter = self.phrases(texts)
-        best = counts.argmin(axis=1)
-        behind = counts - counts.min(axis=1, keepdims=True)
-        score = 1 / np.exp2(-np.minimum(behind, 1000).astype(float)).sum(axis=1)
+        costs = self.costs(counts)
+        best = costs.argmin(axis=1)
+        behind = costs - costs.min(axis=1, keepdims=True)
+        score = 1 / np.exp2(-np.minimum(behind, 1000)).sum(axis=1)
         score[~has_letter] = 0.0
         names = [self.languages[k] if known else UNDETERMINED for k, known in zip(best.tolist(), has_letter.tolist())]
         return names, score
@@ -159,9 +171,10 @@ def learn(docs: DataFrame, docs_per_language: int = 100, chars_per_doc: int = 40
 
     The documents are those of the smallest hash of their id; ids whose CRC-32
     is divisible by five, and rows without language or text, teach nothing.
-    The excerpt begins at a place the hash picks.  All samples have the size of
-    the smallest, so that no language gains by having been seen more.  The
-    sample is all that reaches the driver.
+    The excerpt begins at a place the hash picks.  Every language keeps its own
+    sample whatever the size of the others; phrases are priced by that size, so
+    that no language gains by having been seen more or less.  The sample is all
+    that reaches the driver.
     """
     order = F.xxhash64("doc_id", "text")
     labelled = docs.where(trained_on(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
@@ -183,18 +196,16 @@ def learn(docs: DataFrame, docs_per_language: int = 100, chars_per_doc: int = 40
     inner = _letters()[1][seen]
     seen, times = seen[inner], times[inner]
     seen = np.sort(seen[np.argsort(-times, kind="stable")[:max_letters]])
-    model = LanguageModel(list(joined), seen.astype(np.uint32), [])
-    parsed = []
+    model = LanguageModel(list(joined), seen.astype(np.uint32), [], [])
+    other = len(seen) + 1
     for text in joined.values():
         symbols = model.symbols(_codes([text])[0])
         gap = symbols == GAP
-        parsed.append(symbols[~gap | ~np.append(True, gap[:-1])])
-    least = min((len(symbols) for symbols in parsed), default=0)
-    other = len(seen) + 1
-    for symbols in parsed:
-        table = automaton(symbols[:least], other + 1)
+        symbols = symbols[~gap | ~np.append(True, gap[:-1])]
+        table = automaton(symbols, other + 1)
         table[:, other] = 0
         model.tables.append(table)
+        model.sizes.append(len(symbols))
     return model
 
 

@@ -75,3 +75,16 @@ def test_noise_goes_and_clean_documents_stay(spark, small):
     got = {r.doc_id for r in kept.collect()}
     assert {-1, -2, -3}.isdisjoint(got) and {-4, -5} <= got
     assert {r.doc_id for r in docs.collect()} <= got
+
+
+def test_a_rare_language_leaves_the_others_alone(spark, small):
+    """One labelled text of five letters, and one of a few words, change no other prediction worth a name."""
+    docs = table(spark, small, "documents")
+    rare = [(i, text, lang, "x", 5) for i, text, lang in [(10**9 + 1, "hello", "xa"), (10**9 + 2, "the cat sat on the mat", "xb")]]
+    taught = spark.createDataFrame([row for k in range(5) for row in [(r[0] + 10 * k, *r[1:]) for r in rare]], "doc_id long, text string, lang string, source string, n_chars long")
+    one = taught.where(cp.trained_on(taught.doc_id)).dropDuplicates(["lang"])
+    assert one.count() == 2
+    model = cp.learn(docs.unionByName(one.select(docs.columns)))
+    assert {"xa", "xb"} <= set(model.languages) and max(model.sizes) > 1_000
+    held = cp.predict(docs, model).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([r.lang_pred == r.lang for r in held]) > 0.95
