@@ -1,9 +1,14 @@
-"""Windows filled with lexical neighbours from a sharded BM25 index."""
+"""Windows filled with lexical neighbours from a sharded BM25 index.
+
+Document frequencies and the mean length are those of all documents; what is
+searched is the seed's own shard.
+"""
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,15 +16,55 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.tables import staged
 from tarmac.llm.word_tokens import encoder, slices
 
 K1, B = 1.2, 0.75
 
 
+@dataclass
+class Corpus:
+    """What BM25 has to know of all documents: their number, their mean length, and how many hold each term."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+
+def corpus_of(encoded: DataFrame, id_type: np.dtype) -> Corpus:
+    """Counts over all rows; a task sends a row per term, so what is collected is bounded by the vocabulary."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, total = np.zeros(0, np.int64), 0, 0
+        for batch in batches:
+            for value in batch.column("ids"):
+                ids = np.frombuffer(value.as_buffer(), id_type)
+                found = np.unique(ids)
+                if len(found) and found[-1] >= len(df):
+                    df = np.append(df, np.zeros(int(found[-1]) + 1 - len(df), np.int64))
+                df[found] += 1
+                n, total = n + 1, total + len(ids)
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(held, [-1, -2])), pa.array(np.append(df[held], [n, total]))], names=["term", "n"]
+        )
+
+    sums = encoded.select("ids").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    counts = {row["term"]: row["n"] for row in sums.collect()}
+    n, total = counts.pop(-1, 0), counts.pop(-2, 0)
+    df = np.zeros(max(counts, default=-1) + 1, np.int64)
+    df[list(counts)] = list(counts.values())
+    return Corpus(n, total / max(n, 1), df)
+
+
 class ShardIndex:
-    """BM25 postings over the documents of one shard; terms are token ids."""
+    """BM25 postings over the documents of one shard; terms are token ids.
 
-    def __init__(self, tokens: list[np.ndarray], query_terms: int):
+    Without a ``corpus`` the shard is the corpus; without ``query_terms`` a
+    document is searched by all its terms.
+    """
+
+    def __init__(self, tokens: list[np.ndarray], query_terms: int | None = None, corpus: Corpus | None = None):
         self.n = len(tokens)
         self.query_terms = query_terms
         terms, counts, sizes = [], [], []
@@ -34,27 +79,27 @@ class ShardIndex:
         lengths = np.array([len(ids) for ids in tokens], float)
         tf = np.concatenate(counts).astype(float)
         df = np.bincount(self.terms)
-        self.idf = np.log1p((self.n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths / max(lengths.mean(), 1.0))
+        corpus = corpus or Corpus(self.n, lengths.mean(), df)
+        held = corpus.df[: len(df)]
+        self.idf = np.log1p((corpus.n - held + 0.5) / (held + 0.5))
+        norm = K1 * (1 - B + B * lengths / max(corpus.mean, 1.0))
         weights = self.idf[self.terms] * tf * (K1 + 1) / (tf + norm[documents])
         order = np.argsort(self.terms, kind="stable")
         self.posted, self.weights = documents[order], weights[order]
         self.places = np.append(0, np.cumsum(df))
 
     def scores(self, document: int) -> np.ndarray:
-        """BM25 of all documents for the rarest terms of one, those that occur elsewhere."""
+        """BM25 of all documents of the shard for the terms of one, those that occur elsewhere in it."""
         mine = self.terms[self.ends[document - 1] if document else 0 : self.ends[document]]
         mine = mine[np.diff(self.places)[mine] > 1]
-        if len(mine) > self.query_terms:
+        if self.query_terms is not None and len(mine) > self.query_terms:
             mine = mine[np.argsort(-self.idf[mine], kind="stable")[: self.query_terms]]
         if not len(mine):
             return np.zeros(self.n)
-        spans = [slice(self.places[t], self.places[t + 1]) for t in mine]
-        return np.bincount(
-            np.concatenate([self.posted[s] for s in spans]),
-            np.concatenate([self.weights[s] for s in spans]),
-            minlength=self.n,
-        )
+        sizes = self.places[mine + 1] - self.places[mine]
+        ends = np.cumsum(sizes)
+        at = np.repeat(self.places[mine] - (ends - sizes), sizes) + np.arange(ends[-1])
+        return np.bincount(self.posted[at], self.weights[at], minlength=self.n)
 
 
 class Packer:
@@ -99,7 +144,9 @@ class Packer:
         self.open, self.filled = [], 0
 
 
-def pack_shard(documents: list[tuple], packer: Packer, query_terms: int, out: list[tuple]) -> None:
+def pack_shard(
+    documents: list[tuple], packer: Packer, query_terms: int | None, out: list[tuple], corpus: Corpus | None = None
+) -> None:
     """Pack ``(doc_id, ids)`` of one shard.
 
     Whole windows of long documents go first.  Then each unused document in
@@ -109,7 +156,7 @@ def pack_shard(documents: list[tuple], packer: Packer, query_terms: int, out: li
     """
     placed = np.zeros(len(documents), np.int64)
     sizes = np.array([len(ids) for _, ids in documents])
-    index = ShardIndex([ids for _, ids in documents], query_terms)
+    index = ShardIndex([ids for _, ids in documents], query_terms, corpus)
     free = np.ones(len(documents), bool)
     next_seed, seed = 0, -1
     while True:
@@ -146,15 +193,16 @@ def pack(
     size: int = 4096,
     shard_docs: int = 1024,
     shard_tokens: int = 4_000_000,
-    query_terms: int = 24,
+    query_terms: int | None = None,
 ) -> DataFrame:
     """Pack every document into sequences of ``size`` ids; a row per piece.
 
     Documents are dealt out by the smallest hash of their words, so texts of
     one vocabulary meet; Spark splits a hash that is too frequent.  A task cuts
     its sorted documents into shards of at most ``shard_docs`` documents or
-    ``shard_tokens`` ids, which bounds its memory, and indexes each.  Every
-    document is in one shard and every id in one piece.  Sequences are full but
+    ``shard_tokens`` ids, which bounds its memory, and indexes each.  Scores use
+    counts over all documents and, without ``query_terms``, all terms of the
+    seed; neighbours in other shards are not searched.  Every document is in one shard and every id in one piece.  Sequences are full but
     for the last of a task, which is cut into powers of two.
 
     Null and empty texts are the end id alone.  Rows that share an id are
@@ -200,19 +248,21 @@ def pack(
                 ids = np.frombuffer(ids.as_buffer(), kind).copy()
                 if shard and (len(shard) >= shard_docs or tokens + len(ids) > shard_tokens):
                     out: list[tuple] = []
-                    pack_shard(shard, packer, query_terms, out)
+                    pack_shard(shard, packer, query_terms, out, shared.value)
                     yield rows(out)
                     shard, tokens = [], 0
                 shard.append((doc_id, ids))
                 tokens += len(ids)
         out = []
         if shard:
-            pack_shard(shard, packer, query_terms, out)
+            pack_shard(shard, packer, query_terms, out, shared.value)
         packer.finish(out)
         yield rows(out)
 
     encoded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         encode, "doc_id long, signature long, ids binary"
     )
+    encoded = staged(encoded, "encoded")
+    shared = docs.sparkSession.sparkContext.broadcast(corpus_of(encoded, encoder(vocabulary).id_type))
     dealt = encoded.hint("rebalance", "signature").sortWithinPartitions("signature", "doc_id", "ids")
     return dealt.mapInArrow(fill, ", ".join(f"{name} long" for name in names))

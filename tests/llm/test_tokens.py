@@ -151,3 +151,18 @@ def test_neighbours_share_a_window():
     for piece in out:
         windows[piece[5]].add(piece[0] % 6)
     assert all(len(found) == 1 for found in windows.values())
+
+
+def test_scores_weigh_terms_by_all_documents(spark):
+    """A term that is common in the shard and rare in the corpus counts as rare; no term of a seed is left out."""
+    rows = [np.array([1, 2, 3], np.uint16)] * 3 + [np.array([2, 4], np.uint16)] * 97
+    frame = spark.createDataFrame([(bytes(ids.tobytes()),) for ids in rows], "ids binary").repartition(4)
+    corpus = bm25_packing.corpus_of(frame, np.dtype(np.uint16))
+    assert (corpus.n, corpus.mean) == (100, 2.03) and corpus.df.tolist() == [0, 3, 100, 3, 97]
+    shard = bm25_packing.ShardIndex(rows[:3], None, corpus)
+    assert np.allclose(shard.idf[[1, 2]], np.log1p([97.5 / 3.5, 0.5 / 100.5]))
+    # 40 rare terms that lead nowhere good, one more common term that half of the seed consists of
+    seed = np.append(np.arange(100, 140), [7] * 40).astype(np.uint16)
+    near, far = np.array([7] * 40, np.uint16), [np.array([k, 9], np.uint16) for k in range(100, 140)]
+    index = bm25_packing.ShardIndex([seed, near, np.array([7, 8], np.uint16), *far])
+    assert index.scores(0)[1] > 0
