@@ -15,19 +15,42 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+#: Fixed: characters of an account number by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_shape() -> str:
+    """A known country's number ends where its length says, whatever follows; others end at a word's end."""
+    known = "|".join(
+        f"(?:{'|'.join(names.split())})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+        + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, names in IBAN_LENGTHS.items()
+    )
+    countries = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    other = rf"(?!{countries})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?\b"
+    return rf"\b(?=[A-Z]{{2}}[0-9]{{2}})(?:{known}|{other})"
+
+
 #: Fixed: shapes of the values looked for, the more special first.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@[A-Za-z0-9.\-]{1,253}\.[A-Za-z]{2,24}",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
+    "iban": _iban_shape(),
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?!\.?[0-9])",
     "iso_date": r"(?<![0-9\-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9\-])",
     "day_first_date": r"(?<![0-9.])[0-9]{2}\.[0-9]{2}\.[0-9]{4}(?![0-9]|\.[0-9])",
     "month_first_date": r"(?<![0-9/])[0-9]{2}/[0-9]{2}/[0-9]{4}(?![0-9/])",
     "ssn": r"(?<![0-9\-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9\-])",
     "phone": r"\+[0-9]{1,3}[ .\-]?\([0-9]{2,4}\)[ .\-]?[0-9]{3,4}[ .\-]?[0-9]{3,4}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9.\-])[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}(?![0-9])|\+[0-9]{1,3}(?:[ .\-]?[0-9]){7,12}(?![0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9])",
 }
 
+#: Fixed: groups of digits one behind the other, in which card numbers are looked for.
+DIGIT_GROUPS = r"(?<![0-9])[0-9](?:[ \-]?[0-9]){12,}+"
+
 #: Fixed: two noncharacters, the first parts values from text, the second escapes both.
 PART, ESCAPE = "\ufdd0", "\ufdd1"
 
@@ -117,6 +140,37 @@ def card_number(key: str, value: Column) -> Column:
     )
 
 
+def card_numbers(key: str, value: Column) -> Column:
+    """Groups of digits with every card number in them replaced, the longest from the first group on, and so forth.
+
+    A card number begins and ends at a border of groups, has 13 to 19 digits and passes the Luhn check.
+    """
+    groups = F.split(value, r"(?<=[ \-])")
+
+    def step(groups: Column, state: Column, i: Column) -> Column:
+        def passes(run: Column) -> Column:
+            return _bound(_digits(run), lambda d: F.when(F.length(d).between(13, 19), luhn_sum(d) % 10 == 0).otherwise(F.lit(False)))
+
+        widths = F.sequence(F.least(F.lit(19), F.size(groups) - i), F.lit(1), F.lit(-1))
+        # the separator behind the last group belongs to no number; _refilled leaves it
+        runs = F.transform(widths, lambda n: F.struct(n.alias("n"), F.array_join(F.slice(groups, i + 1, n), "").alias("run")))
+        longest = F.try_element_at(F.filter(runs, lambda x: passes(x["run"])), F.lit(1))
+        taken = _bound(
+            longest,
+            lambda x: F.when(
+                x.isNotNull(),
+                F.struct(F.concat(state["out"], card_number(key, x["run"])).alias("out"), (i + x["n"]).alias("next")),
+            ).otherwise(F.struct(F.concat(state["out"], groups[i]).alias("out"), (i + 1).alias("next"))),
+        )
+        return F.when(i < state["next"], state).otherwise(taken)
+
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("next"))
+    return _bound(
+        groups,
+        lambda g: F.aggregate(F.sequence(F.lit(0), F.size(g) - 1), start, lambda state, i: step(g, state, i))["out"],
+    )
+
+
 def phone_number(key: str, value: Column) -> Column:
     """The digits behind the country code permuted."""
     country = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[ .\-(])", 0)
@@ -253,21 +307,31 @@ def pseudonym(key: str, value: Column) -> Column:
         .when(has("day_first_date"), _date_in(key, value, "dd.MM.yyyy"))
         .when(has("month_first_date"), _date_in(key, value, "MM/dd/yyyy"))
         .when(has("ssn"), social_number(key, value))
-        .when(has("phone"), phone_number(key, value))
-        .otherwise(card_number(key, value))
+        .otherwise(phone_number(key, value))
     )
 
 
+def _each(text: Column, shape: str, found: Callable[[Column], Column], between: Callable[[Column], Column]) -> Column:
+    """The text with ``found`` of whatever has the shape and ``between`` of what stands before, between and behind."""
+    parts = F.split(F.regexp_replace(text, f"({shape})", f"{PART}$1{PART}"), PART, -1)
+    return F.array_join(F.transform(parts, lambda part, i: F.when(i % 2 == 1, found(part)).otherwise(between(part))), "")
+
+
 def pseudonymised(key: str, text: Column) -> Column:
-    """The text with every value replaced; all else is kept character by character."""
+    """The text with every value replaced; all else is kept character by character.
+
+    Card numbers are looked for in what the other shapes leave.
+    """
     escaped = F.replace(F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE + "e")), F.lit(PART), F.lit(ESCAPE + "p"))
     every = "|".join(SHAPES.values())
-    parts = F.split(F.regexp_replace(escaped, f"({every})", f"{PART}$1{PART}"), PART, -1)
-    done = F.array_join(
-        F.transform(parts, lambda part, i: F.when(i % 2 == 1, pseudonym(key, part)).otherwise(part)), ""
+    done = _each(
+        escaped,
+        every,
+        lambda value: pseudonym(key, value),
+        lambda rest: _each(rest, DIGIT_GROUPS, lambda run: card_numbers(key, run), lambda other: other),
     )
     restored = F.replace(F.replace(done, F.lit(ESCAPE + "p"), F.lit(PART)), F.lit(ESCAPE + "e"), F.lit(ESCAPE))
-    return F.when(escaped.rlike(every), restored).otherwise(text)
+    return F.when(escaped.rlike(f"{every}|{DIGIT_GROUPS}"), restored).otherwise(text)
 
 
 def pseudonymise(docs: DataFrame, key: str) -> DataFrame:

@@ -168,3 +168,20 @@ def test_given_documents(spark, small):
         if len(pieces) == 1:
             assert after[doc_id] == text
     assert mails < len(before)
+
+
+def test_neighbours_hide_no_value(spark):
+    """Digits, codes, dates and words beside a card or an account number leave it found, and stay themselves."""
+    cards = ["{} 123", "{} 12/25", "2024 {}", "{}-999 x", "12 {} 35 56", "{} {}", "{} 2024-02-30", "{} 123-45"]
+    number = "4111 1111 1111 1111"
+    plain = number.replace(" ", "")
+    texts = [text.replace("{}", n) for text in cards for n in (number, plain)]
+    assert changed(spark, texts) == [text.replace("{}", card(n)) for text in cards for n in (number, plain)]
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68 5390 0754 7034", "PL61109010140000071219812874"]
+    alone = changed(spark, ibans)
+    assert all(new != old and len(new) == len(old) for new, old in zip(alone, ibans))
+    for after in (" BIC", " 2023", "X", " ABCD 12", ", 7"):
+        assert changed(spark, [i + after for i in ibans]) == [new + after for new in alone]
+    assert changed(spark, [f"{number} 123-456-7890"]) == [f"{card(number)} {phone('123-456-7890')}"]
+    (long,) = changed(spark, ["7" * 100_000])
+    assert long == "7" * 100_000
