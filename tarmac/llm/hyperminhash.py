@@ -27,6 +27,8 @@ BUCKETS = BANDS * ROWS
 MANTISSA = 10
 #: Bits of a hash that pick a bucket's value, and the largest count of leading zeros a register holds.
 VALUE_BITS, MOST_ZEROS = 48, 63
+#: Shingles of the smaller set below which a pair is decided without an estimate, as many registers are borrowed.
+FEW = 128
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles.
@@ -45,10 +47,10 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(total)
 
 
-def probes(count: int = 64) -> np.ndarray:
-    """For every bucket the order in which an empty one looks for a value to borrow."""
-    at = np.arange(BUCKETS, dtype=np.uint64)[:, None] * np.uint64(count) + np.arange(count, dtype=np.uint64)
-    return ((mixed(at + MIX) >> np.uint64(32)) * np.uint64(BUCKETS) >> np.uint64(32)).astype(np.int64)
+def probes() -> np.ndarray:
+    """For every bucket the order, over all buckets, in which an empty one looks for a value to borrow."""
+    at = np.arange(BUCKETS * BUCKETS, dtype=np.uint64).reshape(BUCKETS, BUCKETS)
+    return np.argsort(mixed(at + MIX), axis=1)
 
 
 _PROBES = probes()
@@ -78,10 +80,7 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     if not filled.all():
         empty = np.flatnonzero(~filled)
         reach = filled[_PROBES[empty]]
-        lender = _PROBES[empty, np.argmax(reach, axis=1)]
-        lost = ~reach.any(axis=1)
-        lender[lost] = bucket[0]
-        register[empty] = register[lender]
+        register[empty] = register[_PROBES[empty, np.argmax(reach, axis=1)]]
     return register
 
 
@@ -260,7 +259,9 @@ def groups(
     pair of a bucket goes unconfirmed and none is written out in vain.
 
     At a similarity of 0.75 a pair shares no band with probability
-    (1 - 0.75^4)^32 = 5e-6; ``floor`` lies five standard deviations below.
+    (1 - 0.75^4)^32 = 5e-6; ``floor`` lies five standard deviations below
+    for sets that fill their registers; pairs with a set of fewer than ``FEW``
+    shingles are decided on full sets whatever their estimate.
 
     Null and empty texts, and texts without words, have no shingles and no
     link.  A row without an id has null as its component and is not kept.  Rows
@@ -288,7 +289,7 @@ def groups(
 
     heads = members.groupBy("bucket").agg(F.min("id").alias("a"))
     pairs = members.join(heads, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    near = _estimated(pairs, sketch_of).where(F.col("estimate") >= floor).select("a", "b")
+    near = _estimated(pairs, sketch_of).where((F.col("estimate") >= floor) | (F.col("n") < FEW)).select("a", "b")
     links = staged(verified(near, sets, percent), "links")
     apart = staged(_apart(members, components(links), sketch_of), "apart")
     candidates = staged(_near_in_small_buckets(apart.where(F.col("n") <= small_bucket), sketch_of, floor), "candidates")
@@ -344,12 +345,13 @@ def _apart(members: DataFrame, labels: DataFrame, sketch_of: DataFrame) -> DataF
 
 
 def _near_in_small_buckets(apart: DataFrame, sketch_of: DataFrame, floor: float) -> DataFrame:
-    """Pairs ``a``, ``b`` of one bucket in different components whose estimate reaches ``floor``."""
+    """Pairs ``a``, ``b`` of one bucket in different components whose estimate reaches ``floor``, and those with a small set."""
 
     def compare(bucket: tuple, rows: pa.Table) -> pa.Table:
         ids, labels = rows.column("id").to_numpy(), rows.column("label").to_numpy()
         keys = rows.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), BANDS)
-        close = estimates(np.ascontiguousarray(keys), rows.column("n_shingles").to_numpy()) >= floor
+        sizes = rows.column("n_shingles").to_numpy()
+        close = (estimates(np.ascontiguousarray(keys), sizes) >= floor) | (np.minimum(sizes[:, None], sizes) < FEW)
         one, other = np.nonzero(np.triu(close & (labels[:, None] != labels), 1))
         return pa.table(
             {"a": np.minimum(ids[one], ids[other]), "b": np.maximum(ids[one], ids[other])},
@@ -433,7 +435,8 @@ def _estimated(pairs: DataFrame, sketch_of: DataFrame) -> DataFrame:
     left = sketch_of.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("bands").alias("a_bands"))
     right = sketch_of.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("bands").alias("b_bands"))
     joined = pairs.join(right, "b").join(left, "a")
-    return joined.select("a", "b", estimate(F.col("a_bands"), F.col("b_bands"), F.col("n_a"), F.col("n_b")).alias("estimate"))
+    close = estimate(F.col("a_bands"), F.col("b_bands"), F.col("n_a"), F.col("n_b"))
+    return joined.select("a", "b", close.alias("estimate"), F.least("n_a", "n_b").alias("n"))
 
 
 def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:

@@ -117,3 +117,14 @@ def test_components_of_a_long_chain(spark):
     labels = hyperminhash.components(spark.createDataFrame(edges, "a long, b long"))
     got = {r.id: r.label for r in labels.collect()}
     assert got == {**{k: 0 for k in range(1, 61)}, 101: 100, 102: 100}
+
+
+def test_pairs_of_very_short_texts(spark):
+    """Three shingles within four: every pair is linked, far below the floor of the estimate or not."""
+    rows = []
+    for k in range(1_500):
+        text = [f"p{k}x{j}" for j in range(8)]
+        rows += [(2 * k, " ".join(text[:7])), (2 * k + 1, " ".join(text))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lost = [r.doc_id for r in hyperminhash.groups(frame).collect() if r.component_id != r.doc_id // 2 * 2]
+    assert lost == []
