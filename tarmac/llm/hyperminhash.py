@@ -267,6 +267,16 @@ def groups(
     link.  A row without an id has null as its component and is not kept.  Rows
     that share an id are returned each, by their own text.
     """
+    return _grouped(docs, percent, floor, small_bucket, broadcast_rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _grouped(
+    docs: DataFrame, percent: int = 75, floor: float = 0.55, small_bucket: int = 64, broadcast_rows: int = 2_000_000
+) -> DataFrame:
+    """The rows of ``groups`` with the ``digest`` of the set and the ``label`` of its group.
+
+    Unlike ``component_id`` the label tells groups apart whose smallest id stands on a text of each.
+    """
     sketched = staged(sketches(docs), "sketches")
     classes = staged(
         sketched.where("n_shingles > 0 and doc_id is not null")
@@ -304,14 +314,16 @@ def groups(
         least = of_class.groupBy("label").agg(F.min("first").alias("component"))
         of_class = of_class.join(least, "label")
     else:
-        of_class = of_class.withColumn("component", F.coalesce("label", "first"))
+        of_class = of_class.withColumn("component", F.coalesce("label", "first")).withColumn("label", F.col("component"))
     found = sketched.select("doc_id", "n_shingles", "digest").join(
-        of_class.select("n_shingles", "digest", "component"), ["n_shingles", "digest"], "left"
+        of_class.select("n_shingles", "digest", "component", "label"), ["n_shingles", "digest"], "left"
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select(
         "doc_id",
         "n_shingles",
+        "digest",
+        "label",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
@@ -442,19 +454,39 @@ def _estimated(pairs: DataFrame, sketch_of: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = 75) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns.
 
-    Documents without an id are kept, as nothing links them.  Of rows that share an id one stays.
+    Documents without an id are kept, as nothing links them.  Rows that share
+    an id are told apart by their shingle sets: those of one group share one
+    place, those of different groups each have their own.
     """
-    found = staged(groups(docs, percent), "groups")
-    dropped = staged(found.where("not kept and doc_id is not null").select("doc_id").distinct(), "dropped")
-    kept = rows_of(docs, dropped, "doc_id", "left_anti").select(docs.columns)
-    repeated = staged(
-        found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated"
-    )
+    found = staged(_grouped(docs, percent), "groups").where("doc_id is not null")
+    dropped = staged(found.where("not kept").select("doc_id").distinct(), "dropped")
+    repeated = staged(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return kept
-    # only the rows of repeated ids are dealt out, and each id keeps its first row by text
-    one = rows_of(kept, repeated, "doc_id").groupBy("doc_id").agg(
-        F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.col("text"))).alias("row")
+        return rows_of(docs, dropped, "doc_id", "left_anti").select(docs.columns)
+    gone = staged(dropped.union(repeated).distinct(), "gone")
+    rest = rows_of(docs, gone, "doc_id", "left_anti").select(docs.columns)
+    # only the rows of repeated ids are dealt out, and each place keeps its first row by text
+    places = found.where("kept").join(repeated, "doc_id", "left_semi").select("doc_id", "digest", "label").distinct()
+    one = (
+        _digested(rows_of(docs, repeated, "doc_id").select(docs.columns))
+        .join(places, ["doc_id", "digest"])
+        .groupBy("doc_id", "label")
+        .agg(F.min_by("row", F.struct(F.xxhash64("row.text"), F.col("row.text"))).alias("row"))
     )
-    rest = rows_of(kept, repeated, "doc_id", "left_anti").select(docs.columns)
     return rest.unionByName(one.select("row.*"))
+
+
+def _digested(docs: DataFrame) -> DataFrame:
+    """``doc_id``, the whole ``row`` and the ``digest`` of its shingle set."""
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_digest
+
+        for batch in batches:
+            own = [xxh3_128_digest(shingle_set(text.as_py()).tobytes()) for text in batch.column("text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("row"), pa.array(own, pa.binary())], names=["doc_id", "row", "digest"]
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(*docs.columns).alias("row"), "text")
+    return rows.mapInArrow(digest, rows.select("doc_id", "row").schema.add("digest", "binary"))

@@ -128,3 +128,11 @@ def test_pairs_of_very_short_texts(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     lost = [r.doc_id for r in hyperminhash.groups(frame).collect() if r.component_id != r.doc_id // 2 * 2]
     assert lost == []
+
+
+def test_ids_on_two_texts_lose_neither(spark):
+    """An id on a kept text and on a copy, and one on two unrelated texts; copies under one id share a place."""
+    a, b, c, d = (" ".join(f"{name}{k}" for k in range(12)) for name in "abcd")
+    rows = [(1, a), (2, b), (2, a), (3, c), (3, d), (3, d), (4, b), (5, c + " more")]
+    kept = hyperminhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, a), (2, b), (3, c), (3, d)]
