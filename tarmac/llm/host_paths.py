@@ -38,6 +38,9 @@ CHROME_WORDS = frozenset(
 )
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search form dialog menu menubar alert".split())
 MAIN_TAGS = frozenset({"article", "main"})
+#: Containers that no class or id makes chrome, and words behind which a class only tells what a page has or lacks.
+WHOLE_TAGS = frozenset({"html", "body", "main", "article"})
+MODIFIERS = frozenset("no not has have with without".split())
 # End of fixed values.
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""", re.S)
@@ -52,6 +55,7 @@ class Block:
     text: str
     chrome: bool
     linked: int
+    named: tuple[int, ...] = ()  # containers around it that are chrome by class, id or as a form, by order of opening
 
 
 @dataclass
@@ -59,16 +63,17 @@ class Cutter:
     """Cuts one page into blocks of text."""
 
     blocks: list[Block] = field(default_factory=list)
-    stack: list[tuple[str, str, bool, bool]] = field(default_factory=list)  # tag, path, chrome, main
+    stack: list[tuple[str, str, bool, bool, tuple]] = field(default_factory=list)  # tag, path, chrome, main, named
     parts: list[str] = field(default_factory=list)
     links: int = 0
     linked: int = 0
+    n_named: int = 0
 
     def flush(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split()) if self.parts else ""
         if text:
-            _, path, chrome, _ = self.stack[-1] if self.stack else ("", "", False, False)
-            self.blocks.append(Block(path, text, chrome, min(self.linked, len(text))))
+            _, path, chrome, _, named = self.stack[-1] if self.stack else ("", "", False, False, ())
+            self.blocks.append(Block(path, text, chrome, min(self.linked, len(text)), named))
         self.parts, self.linked = [], 0
 
     def words(self, text: str) -> None:
@@ -78,27 +83,31 @@ class Cutter:
 
     def open(self, tag: str, attributes: str) -> None:
         self.flush()
-        _, above, chrome, main = self.stack[-1] if self.stack else ("", "", False, False)
+        _, above, chrome, main, inside = self.stack[-1] if self.stack else ("", "", False, False, ())
         named = {
             key.lower(): a or b or c for key, a, b, c in _ATTRIBUTE.findall(attributes)
         } if attributes else {}
-        words = [
-            word
-            for word in re.split(r"[^a-z]+", _CAMEL.sub(" ", f"{named.get('class', '')} {named.get('id', '')}").lower())
-            if word
-        ]
+        words = set()
+        for name in f"{named.get('class', '')} {named.get('id', '')}".split():
+            for word in re.split(r"[^a-z]+", _CAMEL.sub(" ", name).lower()):
+                if word in MODIFIERS:
+                    break
+                words.add(word)
         role = named.get("role", "").lower()
+        if tag not in WHOLE_TAGS and role != "main":
+            if tag == "form" or not CHROME_WORDS.isdisjoint(words) or (not main and "header" in words):
+                self.n_named += 1
+                inside = (*inside, self.n_named)
         chrome = (
             chrome
-            or tag in CHROME
+            or (tag in CHROME and tag != "form")
             or role in CHROME_ROLES
-            or not CHROME_WORDS.isdisjoint(words)
-            or (not main and (tag == "header" or "header" in words))
+            or (not main and tag == "header")
             or (bool(attributes) and _HIDDEN.search(attributes) is not None)
         )
         classes = re.sub(r"[^a-z-]+", "", named.get("class", "").lower().split(" ")[0] if named.get("class") else "")
         step = f"{tag}.{classes}" if classes else tag
-        self.stack.append((tag, f"{above}{step}/", chrome, main or tag in MAIN_TAGS or role == "main"))
+        self.stack.append((tag, f"{above}{step}/", chrome, main or tag in MAIN_TAGS or role == "main", inside))
 
     def close(self, tag: str) -> None:
         if any(open_tag == tag for open_tag, *_ in self.stack):
@@ -133,8 +142,31 @@ class Cutter:
         if at < len(page):
             self.words(page[at:])
         self.flush()
+        self.settle()
         return self.blocks
 
+    def settle(self) -> None:
+        """Make chrome what stands in containers named so, but for those the page is wrapped in.
+
+        A wrapper holds more than half of the page's text and leaves less than a
+        tenth as much clean text outside; the outer containers are asked first.
+        """
+        if not self.n_named:
+            return
+        held = dict.fromkeys(range(1, self.n_named + 1), 0)
+        for block in self.blocks:
+            for name in block.named:
+                held[name] += len(block.text)
+        total = sum(len(block.text) for block in self.blocks)
+        wrappers: set[int] = set()
+        for name, size in held.items():
+            if 2 * size > total:
+                outside = sum(len(b.text) for b in self.blocks if not b.chrome and name not in b.named and wrappers.issuperset(b.named))
+                if 10 * outside < size:
+                    wrappers.add(name)
+        for block in self.blocks:
+            block.chrome = block.chrome or not wrappers.issuperset(block.named)
+
 
 def votes(blocks: list[Block]) -> str | None:
     """The container path with most text and least chrome or links in it; of equals the deepest.

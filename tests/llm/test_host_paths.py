@@ -62,3 +62,26 @@ def test_a_host_elects_its_path(spark):
     assert texts["10"] == texts["11"] == ("beside " * 30).strip() and texts["None"] == ""
     assert len(got) == len(pages)
     assert hp.extract(frame.where("page_id < 0")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='single no-sidebar'><nav>menu</nav>{}</body>",
+        "<div class='content with-sidebar'>{}</div><div class='sidebar'>see also</div>",
+        "<article class='post has-comments'>{}<div class='comments'>no</div></article>",
+        "<main id='page-widgets'>{}</main>",
+        "<div class='elementor-widget-container'>{}</div><div class='elementor-widget-container'>more</div>",
+        "<form id='aspnetForm'><div class='menu'>x</div>{}<div class='footer'>y</div></form>",
+    ],
+)
+def test_a_name_on_the_whole_page_is_no_chrome(page):
+    text = "the text of the page " * 5
+    blocks = hp.Cutter().cut(page.format(f"<p>{text}</p>"))
+    assert [b.text for b in blocks if not b.chrome] == [text.strip()]
+    assert hp.votes(blocks) is not None
+
+
+def test_many_comments_stay_chrome():
+    page = "<div class='post'><p>a short post</p></div><div id='comments'><p>" + "long talk " * 9 + "</p></div>"
+    assert [b.text for b in hp.Cutter().cut(page) if not b.chrome] == ["a short post"]
