@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tarmac.llm import (
     arrow_sequences,
+    assignment_lexing,
     bm25_packing,
     cross_parsing,
     feistel_pseudonyms,
@@ -16,6 +17,8 @@ from tarmac.llm import (
     importance_resampling,
     learned_partitions,
     pattern_grammar,
+    periodic_runs,
+    prefix_tries,
     suffix_decontamination,
 )
 from tarmac.llm.tables import table
@@ -75,6 +78,19 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_parsing.predict(docs, cross_parsing.learn(docs))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_periods(table(spark, sf_dir, "documents"))
+    return periodic_runs.report(periodic_runs.detect(docs))
+
+
+def op12_assignment_lexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assignment_lexing.report(assignment_lexing.scan(table(spark, sf_dir, "documents")))
+
+
+def op13_prefix_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tries.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_learned_partitions": op1_learned_partitions,
     "op2_hyperminhash": op2_hyperminhash,
@@ -86,6 +102,9 @@ QUERIES = {
     "op8_importance_resampling": op8_importance_resampling,
     "op9_arrow_sequences": op9_arrow_sequences,
     "op10_cross_parsing": op10_cross_parsing,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_assignment_lexing": op12_assignment_lexing,
+    "op13_prefix_tries": op13_prefix_tries,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -135,8 +154,90 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit
     sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+# CRC-32 of the id's decimal digits: a byte is mixed in, then eight bits are shifted out
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295::BIGINT)"""
+
+_RUNS = f"""
+WITH w AS (
+    SELECT row_number() OVER () AS r, doc_id, {_CRC32} AS h,
+        regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT *, (h // 10) % greatest(len(ws), 1) AS a FROM w),
+p AS (SELECT *, 1 + (len(ws) - a) // (3 + (h // 10) % 8) AS p FROM g),
+d AS MATERIALIZED (
+    SELECT r, doc_id, CASE WHEN h % 10 = 0
+        THEN list_transform(range(len(ws)), lambda i: CASE WHEN i < a THEN ws[i + 1] ELSE ws[a + (i - a) % p + 1] END)
+        ELSE ws END AS ws FROM p),
+fives AS MATERIALIZED (
+    SELECT r, len(ws) AS n, unnest(range(len(ws) - 4)) AS i, ws FROM d WHERE len(ws) >= 6),
+grams AS MATERIALIZED (SELECT r, n, i, array_to_string(ws[i + 1:i + 5], ' ') AS g FROM fives),
+met AS (
+    SELECT y.r, y.i, y.i - x.i AS q FROM grams x JOIN grams y
+    ON x.r = y.r AND x.g = y.g AND x.i < y.i AND 4 * (y.i - x.i) <= x.n),
+stretches AS (
+    SELECT r, q, MIN(i) - q AS s, COUNT(*) + 4 + q AS l
+    FROM (SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM met)
+    GROUP BY r, q, island HAVING COUNT(*) + 4 + q >= greatest(6, 4 * q)),
+runs AS MATERIALIZED (SELECT r, s, l, MIN(q) AS q FROM stretches GROUP BY r, s, l),
+told AS (
+    SELECT r, COUNT(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+        arg_min({{'s': s, 'l': l, 'q': q}}, {{'l': -l, 's': s, 'q': q}}) AS best
+    FROM runs GROUP BY r),
+gone AS (SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs),
+places AS (SELECT r, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM d WHERE r IN (SELECT r FROM runs)),
+collapsed AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS kept FROM places ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, COALESCE(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period,
+    (1000 * best.l) // best.q AS exponent_milli, sha256(COALESCE(lines, '')) AS runs_sha256,
+    sha256(COALESCE(kept, array_to_string(ws, ' '), '')) AS collapsed_sha256
+FROM d LEFT JOIN told USING (r) LEFT JOIN collapsed USING (r)"""
+
+
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Lloyd rounds one after the other; squared distances by inner products of whole doubles, which are exact."""
+    steps = [
+        f"""
+kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+        list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+part AS MATERIALIZED (
+    SELECT r, k, v[k * len(v) // {parts} + 1:(k + 1) * len(v) // {parts}] AS x FROM kept, range({parts}) t(k)),
+long AS MATERIALIZED (SELECT r, k, unnest(range(len(x))) AS place, unnest(x) AS value FROM part),
+book0 AS MATERIALIZED (SELECT k, r - 1 AS entry, x AS c FROM part WHERE r <= {entries})"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+met{n} AS MATERIALIZED (
+    SELECT r, k, arg_min(entry, (d, entry)) AS entry, MIN(d) AS d FROM (
+        SELECT r, k, entry, list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c) AS d
+        FROM part JOIN book{n} USING (k)) GROUP BY r, k)""")
+        if n < rounds:
+            steps.append(f"""
+mean{n} AS (
+    SELECT k, entry, list(m ORDER BY place) AS c FROM (
+        SELECT k, entry, place, floor(SUM(value) / COUNT(*)) AS m FROM long JOIN met{n} USING (r, k) GROUP BY k, entry, place)
+    GROUP BY k, entry),
+book{n + 1} AS MATERIALIZED (
+    SELECT k, entry, COALESCE(mean{n}.c, book{n}.c) AS c FROM book{n} LEFT JOIN mean{n} USING (k, entry))""")
+    return f"""
+WITH {",".join(steps)},
+digest AS (
+    SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: CAST(x AS BIGINT)), ','), ',' ORDER BY k, entry)) AS sha
+    FROM book{rounds}),
+coded AS (
+    SELECT r, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY k) AS code, CAST(SUM(d) AS BIGINT) AS error
+    FROM met{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, sha AS codebooks_sha256
+FROM kept JOIN coded USING (r), digest"""
+
+
 #: The others have no SQL form (vocabularies, automata, graphs, HTML, noise, lookarounds) and are tested by brute force.
 ORACLE_SQL: dict[str, str] = {
     "op2_hyperminhash": _NEAR_DUPLICATES,
     "op4_suffix_arrays": _PASSAGES,
+    "op11_periodic_runs": _RUNS,
+    "op13_prefix_tries": _vector_codes(),
 }
