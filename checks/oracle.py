@@ -124,6 +124,16 @@ AIRPORT_ROWS = [
     for code in [*SITES, *[c for c in NAS_AIRPORTS if c not in SITES]]
 ]
 
+#: Target, source and type of the columns that are loaded by name.
+LOADED_FROM = [
+    ("YEAR", "Year", "INT"),
+    ("FLIGHT_DATE", "FlightDate", "DATE"),
+    ("FLIGHT_NUMBER", "Flight_Number_Reporting_Airline", "VARCHAR"),
+    ("ORIGIN", "Origin", "VARCHAR"),
+    ("DEP_DELAY_MINUTES", "DepDelayMinutes", "DOUBLE"),
+    ("DISTANCE", "Distance", "DOUBLE"),
+]
+
 CORE = "IATA_CODE_REPORTING_AIRLINE IS NOT NULL AND FLIGHT_DATE IS NOT NULL AND ORIGIN IS NOT NULL AND DEST IS NOT NULL"
 
 
@@ -202,10 +212,18 @@ TABLES: dict[str, str] = {
     "staged": f"""SELECT CONCAT(COALESCE(IATA_CODE_REPORTING_AIRLINE, 'XX'), '_', COALESCE(FLIGHT_NUMBER, '0'), '_',
         strftime(FLIGHT_DATE, '%Y%m%d'), '_', COALESCE(ORIGIN, 'XXX'), '_', COALESCE(DEST, 'XXX')) AS FLIGHT_ID,
         {STAGED_PARTS}, 'BTS' AS DATA_SOURCE FROM cleaned""",
-    "by_name": """SELECT TRY_CAST(Year AS INT) AS YEAR, TRY_CAST(FlightDate AS DATE) AS FLIGHT_DATE,
-        Flight_Number_Reporting_Airline AS FLIGHT_NUMBER, Origin AS ORIGIN,
-        TRY_CAST(DepDelayMinutes AS DOUBLE) AS DEP_DELAY_MINUTES, CAST(NULL AS DOUBLE) AS DISTANCE,
-        DepDelayMinutes IS NOT NULL AND TRY_CAST(DepDelayMinutes AS DOUBLE) IS NULL AS IS_BAD FROM fx_raw""",
+    "by_name": "SELECT "
+    + ", ".join(
+        f"{source} AS {name}" if kind == "VARCHAR" else f"TRY_CAST(NULLIF(trim({source}), '') AS {kind}) AS {name}"
+        for name, source, kind in LOADED_FROM
+    )
+    + ", "
+    + " OR ".join(
+        f"(NULLIF(trim({source}), '') IS NOT NULL AND TRY_CAST(NULLIF(trim({source}), '') AS {kind}) IS NULL)"
+        for _, source, kind in LOADED_FROM
+        if kind != "VARCHAR"
+    )
+    + " AS IS_BAD FROM fx_raw",
     "m_monthly": f"SELECT YEAR, MONTH, {TREND} FROM fx_flights WHERE NOT IS_CANCELLED GROUP BY YEAR, MONTH",
     "m_daily": f"SELECT FLIGHT_DATE, {TREND} FROM fx_flights WHERE NOT IS_CANCELLED GROUP BY FLIGHT_DATE",
     "m_cancelled": f"SELECT YEAR, MONTH, {count_if('IS_CANCELLED')} AS N FROM fx_flights GROUP BY YEAR, MONTH",
@@ -604,6 +622,9 @@ SQL: dict[str, str] = {
     "date_replaced": f"{OTHER_DAYS} UNION ALL {NEW_DAY}",
     "date_replaced_on_disk": f"{OTHER_DAYS} UNION ALL {NEW_DAY}",
     "date_emptied_on_disk": OTHER_DAYS,
+    "loads_cut_short": f"""SELECT 'stopped' AS STATE, FETCH_DATE, COUNT(*) AS N FROM programs GROUP BY FETCH_DATE UNION ALL
+        SELECT 'loaded', FETCH_DATE, COUNT(*) FROM ({OTHER_DAYS} UNION ALL {NEW_DAY}) GROUP BY FETCH_DATE UNION ALL
+        SELECT 'mart', FLIGHT_DATE, TOTAL_FLIGHTS FROM m_daily""",
     "feed_summary": """SELECT COUNT(DISTINCT IATA_CODE) AS AIRPORTS_FETCHED,
         COUNT(DISTINCT CASE WHEN HAS_DELAY THEN IATA_CODE END) AS AIRPORTS_WITH_DELAY FROM fx_status""",
     "status_totals": f"""SELECT COUNT(DISTINCT IATA_CODE) AS AIRPORTS_WITH_DELAY,
@@ -642,6 +663,9 @@ SQL: dict[str, str] = {
     # streams
     "snapshot_stream_keys": "SELECT * FROM programs",
     "snapshot_stream_table": "SELECT * FROM programs",
+    "late_files_repaired": "SELECT * FROM programs",
+    "late_rows_diverted": """SELECT FETCH_DATE, COUNT(*) AS LATE_ROWS, CAST(0 AS BIGINT) AS WITHOUT_REPAIR FROM lines
+        WHERE FETCH_DATE < DATE '2024-01-09' GROUP BY FETCH_DATE""",
     "daily_count_stream": """SELECT CAST(SNAPSHOT_TS AS DATE) AS DAY, COUNT(*) AS PROGRAMS FROM lines
         WHERE HAS_DELAY AND FETCH_DATE IS NOT NULL GROUP BY ALL""",
     # split and sample

@@ -36,6 +36,7 @@ from tarmac.plans import flight_history, weather_history
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS, WEATHER_HOURLY, columns
 from tarmac.session import ensure_checkpoint_dir, work_path
 from tarmac.sources import landed, tables
+from tarmac.sources.versions import VersionedTable
 from tarmac.streaming import nas_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,7 +299,7 @@ def mart_with_month(spark: SparkSession, folder: str, fresh: DataFrame) -> DataF
     tables.refresh_mart(before, path, ["YEAR", "MONTH"])
     for _ in range(2):
         tables.refresh_mart(fresh, path, month=MONTH)
-    return spark.read.schema(before.schema).parquet(path)
+    return tables.read_mart(spark, path, before.schema)
 
 
 @register
@@ -698,8 +699,8 @@ def weather_load_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The report of a full reload, with the rows that reading the table back gives."""
     raw = work_path(spark, "weather-raw")
     report = weather_history.load_weather(spark, landed_documents(spark, folder), raw, files="*.txt")
-    stored = spark.read.schema(WEATHER_HOURLY).parquet(raw).agg(F.count("OBS_TIMESTAMP").alias("ROWS_STORED"))
-    return report.select("ROWS_LOADED", "ERRORS_SEEN").crossJoin(stored)  # one row each
+    stored = spark.read.schema(WEATHER_HOURLY).parquet(raw).where("OBS_TIMESTAMP IS NOT NULL").count()
+    return report.select("ROWS_LOADED", "ERRORS_SEEN", F.lit(stored).cast("long").alias("ROWS_STORED"))
 
 
 @register
@@ -707,7 +708,7 @@ def stored_weather_filled(spark: SparkSession, folder: str) -> DataFrame:
     """Fill status of the stored flights before and after the fill."""
     path = work_path(spark, "staging")
     rows = tables.add_missing_columns(flights(spark, folder))
-    tables.write_partitions(rows, path, ["YEAR", "MONTH"])
+    VersionedTable(spark, path).replace(rows, ["YEAR", "MONTH"])
     return weather_history.fill_stored_weather(spark, path, hourly(spark, folder), since_year=1998)
 
 
@@ -821,12 +822,37 @@ def date_replaced(spark: SparkSession, folder: str) -> DataFrame:
 def table_with_day(spark: SparkSession, rows: DataFrame, incoming: DataFrame) -> DataFrame:
     """The stored table after ``incoming`` has replaced DAY, and the same load once more."""
     path = work_path(spark, "nas-table")
-    tables.write_partitions(rows.where(F.col("FETCH_DATE").isNotNull()), f"{path}/dated", ["FETCH_DATE"])
+    VersionedTable(spark, path).replace(rows.where(F.col("FETCH_DATE").isNotNull()), ["FETCH_DATE"])
     for _ in range(2):
         tables.write_replacing_date(incoming, path, DAY)
     return tables.read_dated(spark, path, rows.schema)
 
 
+@register
+def loads_cut_short(spark: SparkSession, folder: str) -> DataFrame:
+    """The table and a mart after loads that were stopped before their last step, and after the loads that followed.
+
+    The stopped load of the table had written other rows for every date, the
+    stopped refresh an empty month.
+    """
+    rows, path = cleaned_nas(spark, folder), work_path(spark, "nas-table")
+    table = VersionedTable(spark, path)
+    table.replace(rows, ["FETCH_DATE"])
+    table.prepare(rows.where("HAS_DELAY").withColumn("DELAY_COUNT", F.lit(-1)), ["FETCH_DATE"])
+    stopped = tables.read_dated(spark, path, rows.schema)
+    parts = [stopped.groupBy("FETCH_DATE").agg(F.count(F.lit(1)).alias("N")).select(F.lit("stopped").alias("STATE"), "*")]
+    tables.write_replacing_date(new_day(rows), path, DAY)
+    loaded = tables.read_dated(spark, path, rows.schema)
+    parts.append(loaded.groupBy("FETCH_DATE").agg(F.count(F.lit(1)).alias("N")).select(F.lit("loaded").alias("STATE"), "*"))
+    mart, mart_path = marts.delay_trends_daily(flights(spark, folder)), work_path(spark, "mart")
+    by_month = mart.withColumns({"YEAR": F.year("FLIGHT_DATE"), "MONTH": F.month("FLIGHT_DATE")})
+    tables.refresh_mart(by_month, mart_path, ["YEAR", "MONTH"])
+    VersionedTable(spark, mart_path).prepare(by_month.limit(0), ["YEAR", "MONTH"])
+    kept = tables.read_mart(spark, mart_path, by_month.schema)
+    parts.append(kept.select(F.lit("mart").alias("STATE"), F.col("FLIGHT_DATE").alias("FETCH_DATE"), F.col("TOTAL_FLIGHTS").alias("N")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @register
 def date_replaced_on_disk(spark: SparkSession, folder: str) -> DataFrame:
     rows = cleaned_nas(spark, folder)
@@ -920,10 +946,64 @@ def streamed_table(spark: SparkSession, lines: DataFrame) -> DataFrame:
     return tables.read_dated(spark, out, rows.schema)
 
 
+FEED_SPAN = 8  # days of a feed file
+
+
+def landed_in_turn(spark: SparkSession, folder: str, order: tuple[int, ...], overlap: bool) -> str:
+    """The lines in files of eight days each, landed one after the other in the ``order`` of those spans.
+
+    With ``overlap`` the second half of every day comes a file later, so that
+    later and better snapshots of a key follow the one already seen.
+    """
+    path, lines = work_path(spark, "feed"), stand_ins.nas_lines(spark, folder)
+    clock = F.col("SNAPSHOT_TS").cast("timestamp_ntz")
+    span = F.floor((F.dayofmonth(clock) - 1) / FEED_SPAN)
+    if overlap:
+        span = span + F.when(F.hour(clock) >= 12, 1).otherwise(0)
+    spans = lines.withColumn("span", span)
+    for at, part in enumerate(order):
+        spans.where(F.col("span") == part).drop("span").coalesce(1).write.json(f"{path}/{at}")
+    return path
+
+
+def latest_table(spark: SparkSession, lines: DataFrame, out: str, delay: str) -> DataFrame:
+    rows = nas_feed.clean_lines(lines)
+    latest = nas_feed.deduplicated(rows, delay)
+    nas_feed.latest_into(latest, out, work_path(spark, "stream-state")).awaitTermination()
+    return tables.read_dated(spark, out, rows.schema)
+
+
 @register
 def snapshot_stream_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """All files in one trigger."""
-    return streamed_table(spark, nas_feed.snapshot_stream(spark, landed_lines(spark, folder)))
+    """The latest snapshot per key from the stream's own state; every file is a trigger of its own."""
+    path = landed_in_turn(spark, folder, (0, 1, 2, 3, 4), overlap=True)
+    lines = nas_feed.snapshot_stream(spark, path, files_per_trigger=1)
+    return latest_table(spark, lines, work_path(spark, "stream-table"), "20 days")
+
+
+def late_feed(spark: SparkSession, folder: str) -> tuple[DataFrame, str, str]:
+    """The first days land last, behind the watermark; the table of the stream before their repair."""
+    path = landed_in_turn(spark, folder, (1, 2, 3, 0), overlap=False)
+    out, counts = work_path(spark, "stream-table"), work_path(spark, "late-counts")
+    table = latest_table(spark, nas_feed.snapshot_stream(spark, path, files_per_trigger=1), out, "1 day")
+    lines = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, path, files_per_trigger=1))
+    nas_feed.repair_late(lines, out, counts, work_path(spark, "stream-state"), days=1).awaitTermination()
+    return table, out, counts
+
+
+@register
+def late_files_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    before, out, _ = late_feed(spark, folder)
+    return tables.read_dated(spark, out, before.schema)
+
+
+@register
+def late_rows_diverted(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows counted by the repair, and rows of those dates in the stream's table without it."""
+    before, _, counts = late_feed(spark, folder)
+    diverted = nas_feed.late_counts(spark, counts).drop("BATCH")
+    held = before.groupBy("FETCH_DATE").agg(F.count(F.lit(1)).alias("N"))
+    return diverted.join(held, "FETCH_DATE", "left").select("FETCH_DATE", "LATE_ROWS", F.coalesce("N", F.lit(0)).alias("WITHOUT_REPAIR"))
 
 
 @register

@@ -15,6 +15,7 @@ from tarmac.operators.weather import with_weather
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS
 from tarmac.sources.archives import archive_errors, list_archives, read_zip_csv, source_rows
 from tarmac.sources.tables import add_missing_columns, write_batch, write_partitions
+from tarmac.sources.versions import VersionedTable
 
 
 def load_archives(
@@ -49,4 +50,4 @@ def build_staging(raw: DataFrame, staging_path: str, weather: DataFrame | None =
     stamped = stamp_load(rows)
     ordered = [*STAGING_FLIGHTS.names, *[name for name in stamped.columns if name not in STAGING_FLIGHTS.names]]
     moved = dedup or weather is not None
-    write_partitions(stamped.select(ordered), staging_path, ["YEAR", "MONTH"], rebalance=moved)
+    VersionedTable(raw.sparkSession, staging_path).replace(stamped.select(ordered), ["YEAR", "MONTH"], rebalance=moved)

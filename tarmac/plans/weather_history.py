@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tarmac.operators.weather import clean_weather, fill_status, with_weather
 from tarmac.schemas import FLIGHT_WEATHER, STAGING_FLIGHTS, WEATHER_HOURLY
-from tarmac.session import work_path
 from tarmac.sources.landed import read_weather_documents
-from tarmac.sources.tables import load_by_name, loaded_rows, write_batch, write_partitions
+from tarmac.sources.tables import load_by_name, loaded_rows, write_partitions
+from tarmac.sources.versions import VersionedTable, partition_of
 
 
 def load_weather(
@@ -35,27 +35,19 @@ def load_weather(
 def fill_stored_weather(spark: SparkSession, staging_path: str, weather: DataFrame, since_year: int = 2025) -> DataFrame:
     """Fill weather into the stored months that lack any; returns the fill status ``before`` and ``after``.
 
-    Only months with an empty temperature are read and rewritten.  The filled
-    rows are gathered in the shared folder first, as a month cannot be read and
-    replaced in one job.
+    Only months with an empty temperature are read and rewritten, as one step
+    of the versioned staging table.
     """
     fields = {f.name: f for f in [*STAGING_FLIGHTS.fields, *FLIGHT_WEATHER.fields]}
-
-    def stored() -> DataFrame:
-        return spark.read.schema(type(STAGING_FLIGHTS)(list(fields.values()))).parquet(staging_path)
+    table, schema = VersionedTable(spark, staging_path), type(STAGING_FLIGHTS)(list(fields.values()))
 
     def status(when: str) -> DataFrame:
-        return fill_status(stored(), since_year).select(F.lit(when).alias("AT"), "*")
+        return fill_status(table.read(schema), since_year).select(F.lit(when).alias("AT"), "*")
 
-    before_path = work_path(spark, "fill-before")
-    write_batch(status("before"), before_path)
-    before = spark.read.parquet(before_path)
+    before = status("before")  # reads the version of now, which stays in place
     empty = (F.col("YEAR") >= since_year) & (F.col("ORIGIN_TEMP_C").isNull() | F.col("DEST_TEMP_C").isNull())
-    months = stored().where(empty).select("YEAR", "MONTH").distinct()
-    filled_path = work_path(spark, "filled")
-    rows = stored().join(F.broadcast(months), ["YEAR", "MONTH"], "left_semi")  # one row per month
-    write_batch(with_weather(rows, weather), filled_path)
-    filled = spark.read.schema(rows.schema).parquet(filled_path)
-    write_partitions(filled, staging_path, ["YEAR", "MONTH"])
-    spark.catalog.refreshByPath(staging_path)
+    months = table.read(schema).where(empty).select("YEAR", "MONTH").distinct().collect()  # calendar months
+    open_months = [partition_of(YEAR=year, MONTH=month) for year, month in months]
+    if open_months:
+        table.replace(with_weather(table.read(schema, open_months), weather), ["YEAR", "MONTH"])
     return before.unionByName(status("after"))

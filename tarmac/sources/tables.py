@@ -7,10 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tarmac.schemas import FLIGHT_WEATHER, LAYER_TABLES
-from tarmac.session import path_exists, work_path
+from tarmac.sources.versions import VersionedTable, partition_of, read_versioned
 
 STAMP = "_UPDATED_TS"
 
@@ -21,8 +21,9 @@ STAMP = "_UPDATED_TS"
 def load_by_name(rows: DataFrame, schema: StructType) -> DataFrame:
     """Columns matched by name, ignoring case, and cast to the table's types.
 
-    Names the source lacks are NULL.  ``IS_BAD`` marks rows in which a present
-    value does not fit its type; the caller keeps the others.
+    Names the source lacks are NULL, and so is blank text where the target is no
+    text, as in the CSV reader.  ``IS_BAD`` marks rows in which any other value
+    does not fit its type; the caller keeps the others.
     """
     given = {name.lower(): name for name in rows.columns}
     casts, misfits = [], F.lit(False)
@@ -31,9 +32,12 @@ def load_by_name(rows: DataFrame, schema: StructType) -> DataFrame:
         if source is None:
             casts.append(F.lit(None).cast(target.dataType).alias(target.name))
             continue
-        value = F.col(f"`{source}`").try_cast(target.dataType)
+        given_value = F.col(f"`{source}`")
+        if isinstance(rows.schema[source].dataType, StringType) and not isinstance(target.dataType, StringType):
+            given_value = F.nullif(F.trim(given_value), F.lit(""))
+        value = given_value.try_cast(target.dataType)
         casts.append(value.alias(target.name))
-        misfits = misfits | (F.col(f"`{source}`").isNotNull() & value.isNull())
+        misfits = misfits | (given_value.isNotNull() & value.isNull())
     return rows.select(*casts, misfits.alias("IS_BAD"))
 
 
@@ -112,69 +116,51 @@ def write_partitions(
 
 
 def write_replacing_date(rows: DataFrame, path: str, date: dt.date, column: str = "FETCH_DATE") -> None:
-    """On-disk form of ``replace_date``.
+    """On-disk form of ``replace_date``, on a versioned table and in one step.
 
-    The folder of the date is overwritten even where no row is left for it.
-    Rows without a date live in a folder of their own that every load replaces.
-    Rows of other dates join the stored ones of their dates, each row once, so
-    a repeated load changes nothing.
+    The date is replaced even where no row is left for it, and so are the rows
+    without a date.  Rows of other dates join the stored ones of their dates,
+    each row once, so a repeated load changes nothing.  Until the load is
+    finished the table reads as before.
     """
-    of_day = F.col(column) == F.lit(date)
-    write_batch(rows.where(of_day).drop(column), f"{path}/dated/{column}={date.isoformat()}")
-    others = rows.where(F.col(column).isNotNull() & ~of_day)
-    if not others.isEmpty():
-        merge_dates(others, path, lambda all_rows: all_rows.distinct(), column)
-    write_batch(rows.where(F.col(column).isNull()), f"{path}/undated")
+    table = VersionedTable(rows.sparkSession, path)
+    replaced = F.col(column).isNull() | (F.col(column) == F.lit(date))
+    others = rows.where(~replaced)
+    dates = [row[0] for row in others.select(column).distinct().collect()]  # calendar days
+    stored = table.read(rows.schema, [partition_of(**{column: day}) for day in dates])
+    loaded = rows.where(replaced).unionByName(others.unionByName(stored).distinct())
+    table.replace(loaded, [column], removed=[partition_of(**{column: day}) for day in (date, None)])
 
 
 def merge_dates(
     rows: DataFrame, path: str, winners: Callable[[DataFrame], DataFrame], column: str = "FETCH_DATE"
 ) -> None:
-    """Add ``rows`` to the stored rows of their dates and keep the ``winners``.
-
-    Only the dates that occur in ``rows`` are read and rewritten; rows without a
-    date are merged with the stored ones of no date.  What is written is first
-    gathered in the shared folder, as a folder cannot be read and replaced in
-    one job.  Merging the same rows again changes nothing.
-    """
-    spark = rows.sparkSession
-    places = [f"{path}/{part}" for part in ("dated", "undated") if path_exists(spark, f"{path}/{part}")]
-    if places:
-        dates = rows.select(column).distinct()
-        stored = spark.read.schema(rows.schema).parquet(places[0])
-        for place in places[1:]:
-            stored = stored.unionByName(spark.read.schema(rows.schema).parquet(place))
-        touched = stored.alias("s").join(
-            dates.alias("d"), F.col(f"s.{column}").eqNullSafe(F.col(f"d.{column}")), "left_semi"
-        )
-        rows = touched.unionByName(rows)
-    merged_path = work_path(spark, "merged")
-    write_batch(winners(rows), merged_path)
-    merged = spark.read.schema(rows.schema).parquet(merged_path)
-    write_partitions(merged.where(F.col(column).isNotNull()), f"{path}/dated", [column])
-    undated = merged.where(F.col(column).isNull())
-    if not undated.isEmpty() or not path_exists(spark, f"{path}/undated"):
-        write_batch(undated, f"{path}/undated")
+    """Add ``rows`` to the stored rows of their dates and keep the ``winners``; see ``VersionedTable.merge``."""
+    VersionedTable(rows.sparkSession, path).merge(rows, column, winners)
 
 
 def read_dated(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    dated = spark.read.schema(schema).parquet(f"{path}/dated")
-    return dated.unionByName(spark.read.schema(schema).parquet(f"{path}/undated")).select(schema.names)
+    return read_versioned(spark, path, schema)
 
 
 def refresh_mart(mart: DataFrame, path: str, by: list[str] | None = None, month: dt.date | None = None) -> None:
-    """Replace a mart, or with ``month`` the one month that date lies in.
+    """Replace a mart, or with ``month`` the one month that date lies in, in one step.
 
-    A month is a folder, and is overwritten even where the mart has no row for it.
+    A month is a folder, and is replaced even where the mart has no row for it.
     """
     stamped = mart.withColumn(STAMP, F.current_timestamp())
+    table = VersionedTable(mart.sparkSession, path)
     if month is not None:
         in_month = (F.col("YEAR") == month.year) & (F.col("MONTH") == month.month)
-        write_batch(stamped.where(in_month).drop("YEAR", "MONTH"), f"{path}/YEAR={month.year}/MONTH={month.month}")
-    elif by:
-        write_partitions(stamped, path, by, whole=True)
+        gone = [partition_of(YEAR=month.year, MONTH=month.month)]
+        table.replace(stamped.where(in_month), ["YEAR", "MONTH"], removed=gone)
     else:
-        write_batch(stamped, path)
+        table.replace(stamped, by or [], whole=True)
+
+
+def read_mart(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The mart as its last finished refresh left it."""
+    return read_versioned(spark, path, schema)
 
 
 def write_report(lines: DataFrame, path: str, order: list[Column], column: str = "FETCH_DATE") -> None:

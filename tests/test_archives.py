@@ -6,6 +6,7 @@ import pytest
 from tarmac.plans.flight_history import build_staging, load_archives
 from tarmac.schemas import SOURCE_CSV
 from tarmac.sources import archives
+from tarmac.sources.versions import read_versioned
 from tests.conftest import rows
 
 HEADER = "Year,Month,DayofMonth,FlightDate,IATA_CODE_Reporting_Airline,Flight_Number_Reporting_Airline,Origin,Dest,Cancelled,DepDel15,DepDelayMinutes,Extra"
@@ -80,7 +81,7 @@ def test_load_and_stage(spark, folder, tmp_path):
     stored = spark.read.parquet(raw)
     assert stored.count() == 9
     build_staging(stored, staging)
-    flights = spark.read.parquet(staging)
+    flights = read_versioned(spark, staging)
     assert sorted(rows(flights.groupBy("YEAR", "MONTH").count())) == [(2023, 12, 4), (2024, 1, 5)]
     # loading one month again replaces that month only
     assert rows(load_archives(spark, folder, raw, str(tmp_path / "errors"), 2024, 1)) == []
@@ -127,7 +128,7 @@ def test_staging_with_weather_and_deduplication(spark, folder, tmp_path):
         WEATHER_HOURLY,
     )
     build_staging(stored.unionByName(stored), staging, weather=obs, dedup=True)
-    flights = spark.read.parquet(staging)
+    flights = read_versioned(spark, staging)
     assert flights.count() == 9
     assert set(flights.columns) == {*STAGING_FLIGHTS.names, *FLIGHT_WEATHER.names}
     assert rows(flights.where("ORIGIN_TEMP_C = 3.5").select("FLIGHT_ID")) == [("AA_2_20240102_ATL_LAX",)]

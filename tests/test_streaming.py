@@ -1,12 +1,12 @@
+import itertools
 import json
 
 from pyspark.sql import functions as F
 
 from checks import stand_ins
 from tarmac.operators.nas import clean_nas
-from tarmac.schemas import NAS_STATUS
 from tarmac.sources.landed import read_nas_snapshots
-from tarmac.sources.tables import read_dated, write_partitions, write_replacing_date
+from tarmac.sources.tables import read_dated
 from tarmac.streaming import nas_feed
 from tests.conftest import rows
 
@@ -27,18 +27,6 @@ def drain(query):
     assert query.exception() is None
 
 
-def test_keys_are_unique_across_batches(spark, tmp_path):
-    feed = tmp_path / "feed"
-    land(feed, "2024-01-05", ("06:00:00", "atl", "GroundStop", 1), ("07:00:00", "ATL ", "GroundStop", 2), ("06:00:00", "LAX", None, None))
-    land(feed, "2024-01-06", ("06:00:00", "ATL", "GroundStop", 3), ("06:00:00", "LAX", None, None), ("08:00:00", "LAX", None, None))
-    keys = nas_feed.deduplicated(nas_feed.clean_lines(nas_feed.snapshot_stream(spark, str(feed), 1))).select(nas_feed.KEYS)
-    drain(nas_feed.append_to(keys, str(tmp_path / "out"), str(tmp_path / "state")))
-    got = rows(spark.read.schema(keys.schema).parquet(str(tmp_path / "out")))
-    batch = clean_nas(read_nas_snapshots(spark, str(feed))).select(nas_feed.KEYS)
-    assert sorted(got, key=str) == sorted(rows(batch), key=str)
-    assert len(got) == 4
-
-
 def test_typed_rows_without_keys_are_dropped(spark, tmp_path):
     feed = tmp_path / "feed"
     land(feed, "2024-01-05", ("06:00:00", None, "GroundStop", 1), ("06:00:00", None, None, None))
@@ -102,31 +90,75 @@ def test_daily_counts(spark, tmp_path):
     assert got == [("2024-01-05", 2), ("2024-01-06", 1)]
 
 
-def test_late_file_is_dropped_by_the_stream_and_repaired_by_the_batch(spark, tmp_path):
-    feed, out, state = tmp_path / "feed", str(tmp_path / "out"), str(tmp_path / "state")
+def test_the_latest_snapshot_wins_over_triggers(spark, tmp_path):
+    """Later files bring better, worse and equal snapshots of keys already emitted, and rows without clock or date."""
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
+    at = itertools.count()
+
+    def put(*rows):
+        day = feed / f"{next(at):02d}"
+        day.mkdir(parents=True)
+        body = [
+            {"SNAPSHOT_TS": clock, "FETCH_DATE": date, "IATA_CODE": code, "HAS_DELAY": True, "DELAY_TYPE": kind, "AVG_DELAY_MIN": n}
+            for clock, date, code, kind, n in rows
+        ]
+        (day / "snapshot.json").write_text("\n".join(map(json.dumps, body)) + "\n")
+
+    put(("2024-01-05T06:00:00", "2024-01-05", "ATL", "GroundStop", 1), (None, "2024-01-05", "LAX", "Closure", 2), (None, None, "SEA", None, 3))
+    put(("2024-01-05T09:00:00", "2024-01-05", "atl ", "GroundStop", 4), ("2024-01-05T01:00:00", "2024-01-05", "LAX", "Closure", 5))
+    put(("2024-01-05T08:00:00", "2024-01-05", "ATL", "GroundStop", 6), ("2024-01-05T01:00:00", "2024-01-05", "LAX", "Closure", 4))
+    put(("2024-01-06T08:00:00", None, "SEA", None, 7), ("2024-01-06T08:00:00", "2024-01-06", "ATL", "GroundStop", 8))
+    lines = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, str(feed), 1))
+    query = nas_feed.latest_into(nas_feed.deduplicated(lines), out, str(tmp_path / "state"))
+    drain(query)
+    batch = clean_nas(read_nas_snapshots(spark, str(feed)))
+    got = sorted(rows(read_dated(spark, out, lines.schema).select(batch.columns)), key=str)
+    assert got == sorted(rows(batch), key=str) and len(got) == 4
+
+
+def test_state_is_bounded_by_the_watermark(spark, tmp_path):
+    feed = tmp_path / "feed"
+    for day in range(1, 13):
+        land(feed, f"2024-01-{day:02d}", *[("06:00:00", f"A{k}", "Closure", k) for k in range(10)])
+    lines = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, str(feed), 1))
+    query = nas_feed.latest_into(nas_feed.deduplicated(lines, "2 days"), str(tmp_path / "out"), str(tmp_path / "state"))
+    drain(query)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    read = [p["numInputRows"] for p in query.recentProgress]
+    # the dates of two days, of the batch and of the one before, whose watermark is not yet in force
+    assert max(held) <= 40 + 2 * max(read) < 120, (held, read)
+    assert read_dated(spark, str(tmp_path / "out"), lines.schema).count() == 120
+
+
+def test_late_rows_are_diverted_and_counted(spark, tmp_path):
+    feed, out, counts = tmp_path / "feed", str(tmp_path / "out"), str(tmp_path / "counts")
 
     def run():
-        lines = nas_feed.snapshot_stream(spark, str(feed), 1)
-        keyed = nas_feed.deduplicated(nas_feed.clean_lines(lines))
-        drain(nas_feed.append_to(keyed, out, state))
-        return sorted({str(r[0]) for r in rows(spark.read.schema(keyed.schema).parquet(out).select("FETCH_DATE"))})
+        lines = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, str(feed), 1))
+        query = nas_feed.latest_into(nas_feed.deduplicated(lines, "1 day"), out, str(tmp_path / "state"))
+        drain(query)
+        without = sorted({str(r[0]) for r in rows(read_dated(spark, out, lines.schema).select("FETCH_DATE"))})
+        drain(nas_feed.repair_late(lines, out, counts, str(tmp_path / "late-state"), 1))
+        spark.catalog.refreshByPath(out)
+        dropped = sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress if p["stateOperators"])
+        return without, sorted({str(r[0]) for r in rows(read_dated(spark, out, lines.schema).select("FETCH_DATE"))}), dropped
 
     land(feed, "2024-01-10", ("06:00:00", "ATL", "GroundStop", 1))
-    assert run() == ["2024-01-10"]
+    run()
     land(feed, "2024-01-20", ("06:00:00", "ATL", "GroundStop", 1))
-    assert run() == ["2024-01-10", "2024-01-20"]
-    land(feed, "2024-01-05", ("06:00:00", "ATL", "GroundStop", 1))
-    assert run() == ["2024-01-10", "2024-01-20"]
-
-    import datetime as dt
-
-    table = str(tmp_path / "table")
-    done = clean_nas(read_nas_snapshots(spark, str(feed), "2024-01-10")).withColumn("_LOAD_TS", F.current_timestamp())
-    write_partitions(done, f"{table}/dated", ["FETCH_DATE"])
-    late = clean_nas(read_nas_snapshots(spark, str(feed), "2024-01-05")).withColumn("_LOAD_TS", F.current_timestamp())
-    write_replacing_date(late, table, dt.date(2024, 1, 5))
-    dates = rows(read_dated(spark, table, NAS_STATUS).select("FETCH_DATE").distinct())
-    assert sorted(str(r[0]) for r in dates) == ["2024-01-05", "2024-01-10"]
+    assert run() == (["2024-01-10", "2024-01-20"], ["2024-01-10", "2024-01-20"], 0)
+    # on the border: one day back is late, as the watermark has reached it; the day itself is not
+    land(feed, "2024-01-05", ("06:00:00", "ATL", "GroundStop", 1), ("07:00:00", "LAX", "GroundStop", 1))
+    without, repaired, dropped = run()
+    assert without == ["2024-01-10", "2024-01-20"] and repaired == ["2024-01-05", "2024-01-10", "2024-01-20"]
+    late = nas_feed.late_counts(spark, counts)
+    assert sorted((str(d), n) for d, n in rows(late.select("FETCH_DATE", "LATE_ROWS"))) == [("2024-01-05", 2)]
+    land(feed, "2024-01-19", ("06:00:00", "ATL", "GroundStop", 1))
+    land(feed, "2024-01-21", ("06:00:00", "ATL", "GroundStop", 1))
+    without, repaired, _ = run()
+    assert "2024-01-19" in repaired and "2024-01-21" in repaired
+    assert run()[1] == repaired
+    assert sorted(n for (n,) in rows(nas_feed.late_counts(spark, counts).select("LATE_ROWS"))) == [1, 2]
 
 
 def test_stream_and_batch_agree_on_the_given_tables(spark, small, tmp_path):
