@@ -130,23 +130,28 @@ def _half(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def full_sets(docs: DataFrame, by_digest: bool = False) -> DataFrame:
-    """``id`` and sorted shingle hashes; the id is ``doc_id``, or half of the set's digest."""
+def full_sets(rows: DataFrame) -> DataFrame:
+    """``id`` and sorted shingle hashes of the rows of ``id``, ``half`` and ``text`` whose set has that half digest.
+
+    An id of a document may stand on several texts; only the one that is meant is taken.
+    """
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
 
         for batch in batches:
-            ids = batch.column("doc_id")
-            start, held, size = 0, [], 0
-            for at, text in enumerate(batch.column("text")):
-                held.append(shingle_set(text.as_py()))
-                size += len(held[-1])
-                if size > 1_000_000 or at == batch.num_rows - 1:
-                    own = [_half(xxh3_128_digest(x.tobytes())) for x in held] if by_digest else None
+            ids, held, size = [], [], 0
+            halves = zip(batch.column("id").to_pylist(), batch.column("half").to_pylist())
+            for at, ((own, half), text) in enumerate(zip(halves, batch.column("text"))):
+                found = shingle_set(text.as_py())
+                if _half(xxh3_128_digest(found.tobytes())) == half:
+                    ids.append(own)
+                    held.append(found)
+                    size += len(found)
+                if held and (size > 1_000_000 or at == batch.num_rows - 1):
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(own, pa.int64()) if by_digest else ids.slice(start, at + 1 - start),
+                            pa.array(ids, pa.int64()),
                             pa.ListArray.from_arrays(
                                 pa.array(np.append(0, np.cumsum([len(x) for x in held])), pa.int32()),
                                 pa.array(np.concatenate(held).view(np.int64)),
@@ -154,11 +159,9 @@ def full_sets(docs: DataFrame, by_digest: bool = False) -> DataFrame:
                         ],
                         names=["id", "shingles"],
                     )
-                    start, held, size = at + 1, [], 0
+                    ids, held, size = [], [], 0
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        shingles, "id long, shingles array<long>"
-    )
+    return rows.select("id", "half", "text").mapInArrow(shingles, "id long, shingles array<long>")
 
 
 #: Chance that registers of unrelated sets agree: equal counts of leading zeros (the sum of 4^-k) and mantissas.
@@ -284,16 +287,19 @@ def _grouped(
         .agg(F.min("doc_id").alias("first"), F.first("bands").alias("bands")),
         "classes",
     )
-    # an id on rows of different texts cannot name a class
+    # an id that is the smallest of several texts cannot name a class; a number of its own can, once it is written
     sizes = classes.agg(F.count("*").alias("n"), F.countDistinct("first").alias("ids")).first()
-    by_digest = sizes["n"] != sizes["ids"]
-    classes = classes.withColumn("id", F.col("half" if by_digest else "first"))
+    numbered = sizes["n"] != sizes["ids"]
+    if numbered:
+        classes = staged(classes.withColumn("id", F.monotonically_increasing_id()), "numbered")
+    else:
+        classes = classes.withColumn("id", F.col("first"))
     members = staged(_members(classes), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    wanted = members.select("id").distinct().join(classes, "id").select(F.col("first").alias("doc_id")).distinct()
+    wanted = members.select("id").distinct().join(classes, "id").select(F.col("first").alias("doc_id"), "id", "half")
     wanted = staged(wanted, "wanted")
-    sets = staged(full_sets(rows_of(texts, wanted, "doc_id", broadcast_rows=broadcast_rows), by_digest), "sets")
-    if by_digest:
+    sets = staged(full_sets(rows_of(texts, wanted, "doc_id", "inner", broadcast_rows)), "sets")
+    if sets.count() != wanted.count():  # a row that stands there more than once
         sets = sets.groupBy("id").agg(F.min("shingles").alias("shingles"))
     sketch_of = classes.select("id", "n_shingles", "bands")
 
@@ -309,7 +315,7 @@ def _grouped(
     labels = staged(components(links.union(more)), "labels")
 
     of_class = classes.select("n_shingles", "digest", "id", "first").join(labels, "id", "left")
-    if by_digest:
+    if numbered:
         of_class = of_class.withColumn("label", F.coalesce("label", "id"))
         least = of_class.groupBy("label").agg(F.min("first").alias("component"))
         of_class = of_class.join(least, "label")

@@ -13,8 +13,8 @@ def words(text):
     return (text or "").encode().lower().split()
 
 
-def brute(rows, percent=75):
-    """Component of every row by comparing all pairs."""
+def grouped(rows, percent=75):
+    """Shingle set and group of every row by comparing all pairs."""
     sets = []
     for _, text in rows:
         w = words(text)
@@ -34,12 +34,18 @@ def brute(rows, percent=75):
             shared = len(sets[a] & sets[b])
             if 100 * shared >= percent * (len(sets[a]) + len(sets[b]) - shared):
                 root[top(a)] = top(b)
+    return sets, [top(k) for k in range(len(rows))]
+
+
+def brute(rows, percent=75):
+    """The rows of ``groups``."""
+    sets, group = grouped(rows, percent)
     least = {}
     for k, (doc_id, _) in enumerate(rows):
         if doc_id is not None:
-            least[top(k)] = min(least.get(top(k), doc_id), doc_id)
+            least[group[k]] = min(least.get(group[k], doc_id), doc_id)
     return sorted(
-        (str(doc_id), len(sets[k]), str(least.get(top(k))), doc_id is not None and doc_id == least[top(k)])
+        (str(doc_id), len(sets[k]), str(least.get(group[k])), doc_id is not None and doc_id == least[group[k]])
         for k, (doc_id, _) in enumerate(rows)
     )
 
@@ -136,3 +142,41 @@ def test_ids_on_two_texts_lose_neither(spark):
     rows = [(1, a), (2, b), (2, a), (3, c), (3, d), (3, d), (4, b), (5, c + " more")]
     kept = hyperminhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, a), (2, b), (3, c), (3, d)]
+
+
+def test_ids_on_two_similar_texts(spark):
+    """An id whose smallest place names one text also stands on a copy of another: each is compared by its own set."""
+    base = [f"w{k}" for k in range(104)]
+
+    def changed(places, mark):
+        return " ".join(f"{mark}{k}" if k in places else word for k, word in enumerate(base))
+
+    b, c = " ".join(base), " ".join([*base, "end"])
+    a = changed({3, 20, 50, 97}, "x")
+    rows = [(3, b), (5, a), (5, b), (9, c)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(frame) == brute(rows)
+    assert sorted((r.doc_id, r.text) for r in hyperminhash.keep_one(frame).collect()) == [(3, b), (5, a)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_random_tables_with_repeated_ids(spark, seed):
+    draw = random.Random(seed)
+    base, texts, rows = [f"w{k}" for k in range(60)], [], []
+    for _ in range(60):
+        text = list(draw.choice(texts) if texts and draw.random() < 0.7 else base)
+        for _ in range(draw.randint(0, 2)):
+            text[draw.randrange(60)] = f"x{draw.randrange(99)}"
+        texts.append(text)
+        rows += [(draw.randrange(40), " ".join(text))] * draw.choice([1, 1, 1, 2])
+    rows += [(None, rows[0][1]), (7, None), (7, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert found(frame) == brute(rows)
+    # every group keeps its place: one row, or several that share the id and have different sets
+    sets, group = grouped(rows)
+    kept = sorted(((r.doc_id, r.text) for r in hyperminhash.keep_one(frame).collect()), key=str)
+    assert kept.count((None, rows[0][1])) == 1
+    groups_kept = {group[k] for k, row in enumerate(rows) if row in kept}
+    assert {group[k] for k, row in enumerate(rows) if sets[k] and row[0] is not None} <= groups_kept
+    places = {(row[0], group[k]) for k, row in enumerate(rows) if row in kept and row[0] is not None and sets[k]}
+    assert len([row for row in kept if row[0] is not None and words(row[1])]) <= len(places)
