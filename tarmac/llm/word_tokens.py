@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,24 +12,60 @@ import pyarrow.compute as pc
 
 from tarmac.llm.kept import kept
 
-_WORDS_PER_CALL = 200
+_PIECES_PER_CALL = 200
 #: Marks that are a piece of their own behind letters.
 _MARKS = frozenset(".,;:!?")
+#: How the vocabulary cuts lower-case ASCII text without white space into pieces.
+_ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: Letters up to here have a lower case of one letter that does not depend on its neighbours.
+_LAST_PLAIN = "\u024f"
+
+
+class Ids:
+    """Ids of numbered things, one behind the other in one array."""
+
+    def __init__(self, id_type: np.dtype):
+        self.values = np.empty(1 << 20, id_type)
+        self.starts = np.empty(1 << 18, np.uint32)
+        self.lengths = np.empty(1 << 18, np.uint32)
+        self.n = self.used = 0
+
+    def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        while self.used + len(values) > len(self.values):
+            self.values = np.concatenate([self.values, np.empty_like(self.values)])
+        while self.n + len(lengths) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
+        own = slice(self.n, self.n + len(lengths))
+        self.values[self.used : self.used + len(values)] = values
+        self.lengths[own] = lengths
+        self.starts[own] = self.used + np.cumsum(lengths) - lengths
+        self.used += len(values)
+        self.n += len(lengths)
+
+    def of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the things at ``places`` in turn, and where those of each end."""
+        lengths = self.lengths[places].astype(np.int64)
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.repeat(self.starts[places].astype(np.int64) - (ends - lengths), lengths) + np.arange(total)
+        return self.values[at], ends
 
 
 class WholeTextEncoder:
-    """Encodes texts word by word and remembers the ids of words it has seen.
+    """Encodes texts word by word and remembers the ids of words and of their pieces.
 
     The vocabulary never joins characters across white space, so the ids of a
-    text are those of its words in order.  Words new to the encoder go to the
-    tokenizers library many at a time: words of letters, perhaps with a mark
-    behind them, as one text, whose word-end tokens tell them apart, and any
-    other word by itself.  At most
-    ``max_words`` words are remembered; then it starts afresh, which changes
-    the speed and never the ids.
+    text are those of its words in order; nor across the borders of its pieces
+    (runs of letters, runs of marks, single digits), and it folds case, so the
+    ids of a word are those of its pieces.  Pieces new to the encoder go to the
+    tokenizers library many at a time, as one text whose word-end tokens tell
+    them apart; words whose pieces take a closer look (other scripts with marks,
+    odd white space, special tokens) go there by themselves.  At most
+    ``max_words`` words and ``max_pieces`` pieces are remembered; then either
+    starts afresh, which changes the speed and never the ids.
     """
 
-    def __init__(self, path: str, max_words: int = 700_000):
+    def __init__(self, path: str, max_words: int = 400_000, max_pieces: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -39,60 +76,74 @@ class WholeTextEncoder:
         self.is_end[[key for token, key in vocabulary.items() if ends and token.endswith(ends)]] = True
         self.has_ends = bool(ends)
         self.id_type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.max_words = max_words
-        self._forget()
+        self.max_words, self.max_pieces = max_words, max_pieces
+        self._forget_words()
+        self._forget_pieces()
 
-    def _forget(self) -> None:
+    def _forget_words(self) -> None:
         self.places: dict[str, int] = {}
-        self.ids = np.empty(1 << 20, self.id_type)
-        self.starts = np.empty(1 << 18, np.uint32)
-        self.lengths = np.empty(1 << 18, np.uint32)
+        self.words = Ids(self.id_type)
         self.hashes = np.empty(1 << 18, np.uint64)
-        self.used = 0
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.id_type)
+    def _forget_pieces(self) -> None:
+        self.pieces: dict[str, int] = {}
+        self.of_piece = Ids(self.id_type)
 
-    def _pieces(self, word: str) -> int:
-        """Pieces the vocabulary cuts a word into before it merges letters; 0 if that takes a closer look."""
+    def _cut(self, word: str) -> list[str] | None:
+        """The pieces of a word, in lower case; None if that takes a closer look."""
+        if not self.has_ends or not word:
+            return None
         low = word.lower()
-        if not self.has_ends or not low:
-            return 0
+        key = low if word.isascii() or (max(word) <= _LAST_PLAIN and len(low) == len(word)) else word
         if low.isalpha():
-            return 1
-        return 2 if low[-1] in _MARKS and low[:-1].isalpha() else 0
+            return [key]
+        if low[-1] in _MARKS and low[:-1].isalpha():
+            return [key[:-1], key[-1]]
+        if word.isascii() and word.isprintable() and "<|" not in word:
+            return _ASCII_PIECES.findall(low)
+        return None
+
+    def _learn_pieces(self, pieces: list[str]) -> None:
+        """Every piece stands alone between blanks, so each has one word-end token, its last."""
+        for at in range(0, len(pieces), _PIECES_PER_CALL):
+            part = pieces[at : at + _PIECES_PER_CALL]
+            (encoded,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(encoded.ids, np.int64)
+            ends = np.flatnonzero(self.is_end[ids])
+            if len(ends) != len(part):
+                raise ValueError("a piece of letters or marks has more than one end")
+            self.pieces.update(zip(part, range(self.of_piece.n, self.of_piece.n + len(part))))
+            self.of_piece.add(ids, np.diff(ends, prepend=-1))
 
     def _learn(self, words: list[str]) -> None:
         from xxhash import xxh3_64_intdigest
 
-        pieces = [self._pieces(word) for word in words]
-        odd = [word for word, n in zip(words, pieces) if not n]
-        plain = [word for word, n in zip(words, pieces) if n]
-        counts = np.array([n for n in pieces if n], np.int64)
-        found: list[tuple[list[str], np.ndarray, np.ndarray]] = []
-        for at in range(0, len(plain), _WORDS_PER_CALL):
-            part = plain[at : at + _WORDS_PER_CALL]
-            (encoded,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
-            ids = np.array(encoded.ids, np.int64)
-            ends = np.flatnonzero(self.is_end[ids])[np.cumsum(counts[at : at + _WORDS_PER_CALL]) - 1]
-            found.append((part, ids, np.diff(ends, prepend=-1)))
-        for word in odd:
-            ids = self._whole(word)
-            found.append(([word], ids, np.array([len(ids)])))
-        for part, ids, lengths in found:
-            n, first = len(part), len(self.places)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            while first + n > len(self.starts):
-                self.starts, self.lengths, self.hashes = (
-                    np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths, self.hashes)
-                )
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.lengths[first : first + n] = lengths
-            self.starts[first : first + n] = self.used + np.cumsum(lengths) - lengths
-            self.hashes[first : first + n] = [xxh3_64_intdigest(word) for word in part]
-            self.used += len(ids)
-            self.places.update(zip(part, range(first, first + n)))
+        cut = [self._cut(word) for word in words]
+        wanted = dict.fromkeys(piece for pieces in cut if pieces is not None for piece in pieces)
+        new = [piece for piece in wanted if piece not in self.pieces]
+        if self.pieces and len(self.pieces) + len(new) > self.max_pieces:
+            self._forget_pieces()
+            new = list(wanted)
+        self._learn_pieces(new)
+        for plain in (True, False):
+            part = [word for word, pieces in zip(words, cut) if (pieces is not None) == plain]
+            if not part:
+                continue
+            if plain:
+                own = [pieces for pieces in cut if pieces is not None]
+                places = np.array([self.pieces[piece] for pieces in own for piece in pieces], np.int64)
+                ids, ends = self.of_piece.of(places)
+                ends = np.append(0, ends)[np.cumsum([len(pieces) for pieces in own])]
+            else:
+                encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                ids = np.array([key for one in encoded for key in one.ids], np.int64)
+                ends = np.cumsum([len(one.ids) for one in encoded])
+            first = self.words.n
+            self.words.add(ids, np.diff(ends, prepend=0))
+            while self.words.n > len(self.hashes):
+                self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
+            self.hashes[first : self.words.n] = [xxh3_64_intdigest(word) for word in part]
+            self.places.update(zip(part, range(first, self.words.n)))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in one array, the end of each text in it, and the smallest word hash of each.
@@ -112,16 +163,13 @@ class WholeTextEncoder:
         missing = np.flatnonzero(places < 0)
         if len(missing):
             if len(self.places) + len(missing) > self.max_words:
-                self._forget()
+                self._forget_words()
                 missing = np.arange(len(distinct))
             new = [distinct[at] for at in missing.tolist()]
             self._learn(new)
             places[missing] = [self.places[word] for word in new]
         places = places[coded.indices.to_numpy()]
-        lengths = self.lengths[places].astype(np.int64)
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.starts[places].astype(np.int64) - (ends - lengths), lengths) + np.arange(total)]
+        ids, ends = self.words.of(places)
         word_ends = np.cumsum(pc.list_value_length(words).to_numpy(), dtype=np.int64)
         text_ends = np.append(0, ends)[word_ends]
         # splitting gives every text one word at least, if an empty one

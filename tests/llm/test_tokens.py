@@ -23,13 +23,13 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
-@pytest.mark.parametrize("max_words", [3, 1_000_000])
-def test_encoder_equals_the_library(vocabulary, max_words):
+@pytest.mark.parametrize("max_words, max_pieces", [(3, 1_000_000), (1_000_000, 3), (1_000_000, 1_000_000)])
+def test_encoder_equals_the_library(vocabulary, max_words, max_pieces):
     draw = random.Random(0)
-    letters = "aZ'sS.,!?1²½ \n\t\x1c\x85\xa0é́İΣς<|>日ͅªⅣ"
-    texts = [None, "", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>", "it's DON'T 3.4 ß ŉ ǅ"]
+    letters = "aZ'sS.,!?1$%-_éÉŞ²½ \n\t\x1c\x85\xa0é́İΣς<|>日ͅªⅣ"
+    texts = [None, "", "<|endoftext|>", "a<|endoftext|>b <|startoftext|>", "it's DON'T 3.4 ß ŉ ǅ", "x''s we'll'd a$$$ b%%%, 's 'S 're ÀÉ. ẞ İI. ΟΔΟΣ οδος ΣΑΣ. ſK"]
     texts += ["".join(draw.choice(letters) for _ in range(draw.randint(0, 30))) for _ in range(2000)]
-    codec = WholeTextEncoder(vocabulary, max_words)
+    codec = WholeTextEncoder(vocabulary, max_words, max_pieces)
     array = pa.array(texts, pa.string())
     got = []
     for start, stop in slices(array, 500):
