@@ -22,12 +22,14 @@ from checks.registry import (
     ROUTE,
     SAMPLE_KEYS,
     YEARS,
+    stored_model,
 )
 from checks.stand_ins import FLIGHTS, HELPERS, LINEITEM, NAS, RAIN_HOURS, SOURCE_ROWS, UNDATED_EVERY, WEATHER, expressions
 from tarmac.dims import AIRLINE_NAMES, AIRPORT_SITES, CAUSE_LABELS, MONTH_LABELS, NAS_AIRPORTS, NO_WEATHER_AIRPORTS
 from tarmac.dims import WEEKDAY_NAMES
 from tarmac.operators.features import CATEGORICAL_FEATURES, LABELS, NUMERIC_FEATURES, SEED, WEATHER_FEATURES, WEATHER_SOURCES
 from tarmac.operators.flight_cleaning import FLAGS, STAGING_NAMES
+from tarmac.operators.tree_rows import Node, margin_text
 from tarmac.operators.weather import DEST_FIELDS, ORIGIN_FIELDS
 from tarmac.schemas import (
     FLIGHT_DELAY_COLUMNS,
@@ -338,6 +340,8 @@ TABLES: dict[str, str] = {
         GREATEST(0, COALESCE(DEP_DELAY_MIN, 0)) AS LABEL_REG FROM fx_flights WHERE NOT IS_CANCELLED""",
     "x_labelled": """SELECT * REPLACE (LEAST(GREATEST(LABEL_REG, 0), 300) AS LABEL_REG) FROM x_weather
         WHERE LABEL_CLASS IS NOT NULL AND LABEL_REG IS NOT NULL""",
+    "x_plain_labelled": """SELECT * REPLACE (LEAST(GREATEST(LABEL_REG, 0), 300) AS LABEL_REG) FROM x_plain
+        WHERE LABEL_CLASS IS NOT NULL AND LABEL_REG IS NOT NULL""",
     "e_long": " UNION ALL ".join(
         f"SELECT '{name}' AS FEATURE, {name} AS VALUE, DEP_MONTH % 5 AS FOLD,"
         " CAST(LABEL_CLASS AS DOUBLE) AS y_class, CAST(LABEL_REG AS DOUBLE) AS y_reg FROM x_labelled"
@@ -393,7 +397,47 @@ def hashed(names: list[str]) -> str:
     return f"(CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) % 100)"
 
 
-SPLIT = hashed(NUMERIC_FEATURES + WEATHER_FEATURES + CATEGORICAL_FEATURES + LABELS)
+def numbered(names: list[str]) -> str:
+    """The number of a row, as ``row_number_of`` has it."""
+    text = ", ".join(f"COALESCE(CAST({name} AS VARCHAR), chr(8709))" for name in sorted(names))
+    return f"CAST(('0x' || substr(md5(concat_ws('|', {text})), 1, 15)) AS BIGINT)"
+
+
+MODEL_COLUMNS = NUMERIC_FEATURES + WEATHER_FEATURES + CATEGORICAL_FEATURES + LABELS
+SPLIT = f"""(SELECT *, ROW_NUMBER() OVER (PARTITION BY LABEL_CLASS ORDER BY {numbered(MODEL_COLUMNS)})
+    > (COUNT(*) OVER (PARTITION BY LABEL_CLASS) * 80 + 50) // 100 AS IS_VALIDATION FROM x_labelled)"""
+
+HOURLY_STAMP = "strftime(date_trunc('hour', SNAPSHOT_TS), '%Y-%m-%dT%H:%M:%S')"
+FED = f"""SELECT {{STAMP}} AS SNAPSHOT_TS, CAST(FETCH_DATE AS VARCHAR) AS FETCH_DATE, IATA_CODE, TRUE AS HAS_DELAY,
+    1 AS DELAY_COUNT, {program_type('TYPE_NAME')} AS DELAY_TYPE, COALESCE({{REASON}}, '') AS REASON,
+    {text_minutes('AVG_TXT')} AS AVG_DELAY_MIN, CAST(NULL AS INT) AS MIN_DELAY_MIN, {text_minutes('MAX_TXT')} AS MAX_DELAY_MIN,
+    COALESCE(TREND, '') AS TREND, '' AS END_TIME, CAST(NULL AS DOUBLE) AS WEATHER_TEMP_F, CAST(NULL AS DOUBLE) AS WEATHER_VIS_MI,
+    CAST(NULL AS VARCHAR) AS WEATHER_WIND, CAST(NULL AS VARCHAR) AS WEATHER_CONDITION FROM fx_nas WHERE HAS_DELAY"""
+
+
+def stored_scores() -> str:
+    """The stored trees over the plain features, as ``tree_rows.score`` has it."""
+    model = stored_model()
+    parts = []
+    for prefix, means in (("clf_", model["class_means"]), ("reg_", model["minute_means"])):
+        for feature in CATEGORICAL_FEATURES:
+            own = {value: mean for name, value, mean in means if name == feature}
+            known = " ".join(f"WHEN {literal(value)} THEN CAST({mean!r} AS DOUBLE)" for value, mean in own.items() if value is not None)
+            parts.append(f"CASE {feature} {known} ELSE CAST({own[None]!r} AS DOUBLE) END AS {prefix}{feature}_mean")
+    trees = {name: margin_text([Node(*node) for node in model[name]]) for name in ("classifier", "regressor")}
+    steps = " ".join(["WHEN 1 - q >= {}e0 THEN '{}'"] * 3)
+
+    def risk(*bands: str) -> str:
+        pairs = [x for pair in zip(("0.8", "0.6", "0.4"), bands) for x in pair]
+        return f"CASE {steps.format(*pairs)} ELSE '{bands[-1]}' END"
+
+    return f"""SELECT * EXCLUDE (q, m), round(1 - q, 4) AS ON_TIME_PROBABILITY, q AS DELAY_PROBABILITY,
+        round(m, 1) AS PREDICTED_DELAY_MIN, round(q * m, 1) AS EXPECTED_DELAY_MIN, {risk('Low', 'Medium', 'High', 'Severe')} AS RISK_LEVEL,
+        {risk('green', 'orange', 'red', 'darkred')} AS RISK_COLOR
+        FROM (SELECT * EXCLUDE ({', '.join(f'{p}{f}_mean' for p in ('clf_', 'reg_') for f in CATEGORICAL_FEATURES)}),
+            round(1 / (1 + exp(-2 * ({trees['classifier']}))), 4) AS q, least(greatest({trees['regressor']}, 0), 300) AS m
+            FROM (SELECT *, {', '.join(parts)} FROM x_plain_labelled))"""
+
 
 SQL: dict[str, str] = {
     # cleaning
@@ -405,13 +449,15 @@ SQL: dict[str, str] = {
     "cleaned_flights": "SELECT * FROM cleaned",
     "staging_rows": f"SELECT {', '.join(STAGED)} FROM staged",
     "deduplicated_flights": f"""SELECT {', '.join(STAGED)} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY FLIGHT_ID
-        ORDER BY {', '.join(f'{name} NULLS FIRST' for name in STAGED if name != 'FLIGHT_ID')}) AS rn FROM staged)
-        WHERE rn = 1""",
+        ORDER BY {numbered(STAGED)}) AS rn FROM staged) WHERE rn = 1""",
     "csv_scan": f"""SELECT {CLEAN} FROM (SELECT * REPLACE ({ABSENT}) FROM typed WHERE YEAR % 2 = 1
         UNION ALL SELECT * FROM typed WHERE YEAR % 2 = 0) WHERE {CORE}""",
     "archives_loaded": f"SELECT * FROM cleaned WHERE NOT ({BROKEN})",
     "archives_that_failed": f"""SELECT DISTINCT CONCAT('ontime_', CAST(YEAR AS VARCHAR), '_',
         LPAD(CAST(MONTH AS VARCHAR), 2, '0'), '.zip') AS ARCHIVE FROM typed WHERE {BROKEN}""",
+    "rows_by_source_tag": "SELECT 'BTS' AS _SOURCE, COUNT(*) AS N, COUNT(*) AS STAMPED FROM cleaned",
+    "guard_answers": """SELECT COUNT(*) AS N, COUNT(DISTANCE) > 0 AS HAS_DISTANCE, FALSE AS HAS_WEATHER, FALSE AS HAS_OTHER,
+        COUNT(*) > 0 AS READY FROM fx_flights""",
     "raw_parquet_batch": "SELECT * FROM cleaned",
     "rows_loaded_by_name": "SELECT * EXCLUDE (IS_BAD) FROM by_name WHERE NOT IS_BAD",
     "load_counts": f"SELECT {count_if('NOT IS_BAD')} AS ROWS_LOADED, {count_if('IS_BAD')} AS ERRORS_SEEN FROM by_name",
@@ -439,6 +485,13 @@ SQL: dict[str, str] = {
     "airport_stats_from_cells": "SELECT * FROM m_airports",
     "delay_causes_from_cells": "SELECT * FROM m_causes",
     "route_performance_from_cells": "SELECT * FROM m_routes",
+    "distinct_tails_from_sketches": """SELECT YEAR, COUNT(DISTINCT TAIL_NUMBER) AS TAILS, TRUE AS WITHIN_ERROR
+        FROM fx_flights GROUP BY YEAR""",
+    "airlines_of_years_from_sketches": "SELECT YEAR, COUNT(DISTINCT AIRLINE_CODE) AS N_AIRLINES FROM fx_flights GROUP BY YEAR",
+    "programs_of_airports_from_sketches": """SELECT IATA_CODE, COUNT(DISTINCT DELAY_TYPE) AS DELAY_PROGRAMS FROM fx_status
+        WHERE HAS_DELAY AND FETCH_DATE IS NOT NULL AND IATA_CODE IS NOT NULL GROUP BY IATA_CODE""",
+    "mart_set_refreshed": "SELECT *, 'refreshed' AS OUTCOME FROM m_airlines",
+    "mart_truncated_and_reloaded": "SELECT * FROM m_status",
     # ad-hoc
     "annual_trend": f"""SELECT YEAR, {half_up(mean('DELAY_RATE'))} AS AVG_ANNUAL_DELAY_RATE,
         {SUM_FLIGHTS} AS TOTAL_ANNUAL_FLIGHTS, CAST(SUM(TOTAL_CANCELLED) AS BIGINT) AS TOTAL_CANCELLATIONS
@@ -586,6 +639,10 @@ SQL: dict[str, str] = {
     "weather_document_scan": f"SELECT {WX_COLUMNS} FROM fx_wx",
     "origin_weather": f"SELECT {JOIN_KEYS}, " + ", ".join(f"ORIGIN_{n}" for n in ORIGIN_FIELDS) + " FROM f_origin",
     "destination_weather": f"SELECT {JOIN_KEYS}, " + ", ".join(f"DEST_{n}" for n in DEST_FIELDS) + " FROM f_dest",
+    "weather_from_buckets": f"SELECT {JOIN_KEYS}, "
+    + ", ".join([*(f"ORIGIN_{n}" for n in ORIGIN_FIELDS), *(f"DEST_{n}" for n in DEST_FIELDS)])
+    + " FROM f_both",
+    "weather_files_counted": "SELECT COUNT(*) AS ROWS_WRITTEN, COUNT(*) AS ROWS_READ, CAST(26 AS BIGINT) AS FILES FROM fx_wx",
     "weather_fill_status": f"""SELECT COUNT(*) AS TOTAL_FLIGHTS, COUNT(ORIGIN_TEMP_C) AS ORIGIN_FILLED,
         COUNT(DEST_TEMP_C) AS DEST_FILLED, {count_if('ORIGIN_TEMP_C IS NULL')} AS ORIGIN_NULL
         FROM f_both WHERE YEAR >= 1998""",
@@ -613,6 +670,18 @@ SQL: dict[str, str] = {
     "cleaned_nas": "SELECT * FROM programs",
     "snapshot_scan": "SELECT * FROM programs",
     "snapshot_scan_of_one_date": f"SELECT * FROM programs WHERE FETCH_DATE = DATE '{DAY}'",
+    "dated_files": "SELECT FETCH_DATE AS DATE_KEY, FETCH_DATE, COUNT(*) AS N FROM programs GROUP BY FETCH_DATE",
+    "programs_from_xml": FED.format(STAMP=HOURLY_STAMP, REASON="regexp_replace(left(REASON, 500), '$', '')"),
+    "programs_from_aggregate_json": FED.format(STAMP=HOURLY_STAMP, REASON="left(REASON, 500)"),
+    "programs_from_airport_json": f"""SELECT strftime(SNAPSHOT_TS, '%Y-%m-%dT%H:%M:%S') AS SNAPSHOT_TS,
+        CAST(FETCH_DATE AS VARCHAR) AS FETCH_DATE, IATA_CODE, HAS_DELAY, CASE WHEN HAS_DELAY THEN DELAY_COUNT ELSE 0 END AS DELAY_COUNT,
+        CASE WHEN HAS_DELAY THEN {program_type('TYPE_NAME')} END AS DELAY_TYPE,
+        CASE WHEN HAS_DELAY THEN left(COALESCE(REASON, ''), 500) END AS REASON, {text_minutes('AVG_TXT')} AS AVG_DELAY_MIN,
+        CAST(NULL AS INT) AS MIN_DELAY_MIN, {text_minutes('MAX_TXT')} AS MAX_DELAY_MIN,
+        CASE WHEN HAS_DELAY THEN COALESCE(TREND, '') END AS TREND, CASE WHEN HAS_DELAY THEN '' END AS END_TIME,
+        TRY_CAST(regexp_extract(TEMP_TXT, '(-?[0-9]+(\\.[0-9]+)?)', 1) AS DOUBLE) AS WEATHER_TEMP_F,
+        TRY_CAST(NULLIF(regexp_extract(VIS_TXT, '([0-9]+(\\.[0-9]+)?)', 1), '') AS DOUBLE) AS WEATHER_VIS_MI,
+        TREND AS WEATHER_WIND, CAST(NULL AS VARCHAR) AS WEATHER_CONDITION FROM fx_nas""",
     "completed_snapshot": """SELECT FETCH_DATE, IATA_CODE, HAS_DELAY, DELAY_COUNT, DELAY_TYPE, AVG_DELAY_MIN
         FROM fx_status WHERE HAS_DELAY UNION ALL
         SELECT FETCH_DATE, IATA_CODE, FALSE, 0, NULL, NULL FROM (SELECT DISTINCT FETCH_DATE FROM fx_status WHERE HAS_DELAY) d,
@@ -669,11 +738,25 @@ SQL: dict[str, str] = {
     "daily_count_stream": """SELECT CAST(SNAPSHOT_TS AS DATE) AS DAY, COUNT(*) AS PROGRAMS FROM lines
         WHERE HAS_DELAY AND FETCH_DATE IS NOT NULL GROUP BY ALL""",
     # split and sample
-    "split_summary": f"""SELECT LABEL_CLASS, {count_if('b < 80')} AS TRAIN_ROWS, {count_if('b >= 80')} AS VALIDATION_ROWS
-        FROM (SELECT LABEL_CLASS, {SPLIT} AS b FROM x_labelled) GROUP BY LABEL_CLASS""",
+    "split_summary": f"""SELECT LABEL_CLASS, {count_if('NOT IS_VALIDATION')} AS TRAIN_ROWS,
+        {count_if('IS_VALIDATION')} AS VALIDATION_ROWS FROM {SPLIT} GROUP BY LABEL_CLASS""",
+    "split_rows": f"SELECT * FROM {SPLIT}",
     "flight_sample": f"""SELECT FLIGHT_DATE, ORIGIN, DEST, TAIL_NUMBER FROM fx_flights
         WHERE {hashed(SAMPLE_KEYS)} < 10""",
     # models
+    "stored_tree_scores": stored_scores(),
+    "stored_tree_metrics": f"""SELECT round((n - alarms - (pos - hits)) / n, 6) AS ACCURACY,
+        round(2 * hits / NULLIF(hits + alarms + pos, 0), 6) AS F1,
+        round((ranks - pos * (pos + 1) / 2) / NULLIF(pos * (n - pos), 0), 6) AS AUC_ROC,
+        round(sqrt(squares / n), 4) AS RMSE, round(misses / n, 4) AS MAE, n AS "ROWS" FROM (
+        SELECT COUNT(*) AS n, SUM(LABEL_CLASS) AS pos, {count_if('LABEL_CLASS = 1 AND DELAY_PROBABILITY >= 0.5')} AS hits,
+            {count_if('LABEL_CLASS = 0 AND DELAY_PROBABILITY >= 0.5')} AS alarms,
+            SUM(CASE WHEN LABEL_CLASS = 1 THEN mean_rank END) AS ranks,
+            SUM((PREDICTED_DELAY_MIN - LABEL_REG) * (PREDICTED_DELAY_MIN - LABEL_REG)) AS squares,
+            SUM(abs(PREDICTED_DELAY_MIN - LABEL_REG)) AS misses FROM (
+            SELECT *, (MIN(place) OVER same + MAX(place) OVER same) / 2.0 AS mean_rank FROM (
+                SELECT *, ROW_NUMBER() OVER (ORDER BY DELAY_PROBABILITY) AS place FROM ({stored_scores()}))
+            WINDOW same AS (PARTITION BY DELAY_PROBABILITY)))""",
     "model_features": "SELECT * FROM x_weather",
     "model_features_without_weather": "SELECT * FROM x_plain",
     "labelled_rows": "SELECT * FROM x_labelled",
@@ -694,6 +777,18 @@ SQL: dict[str, str] = {
     + ", OP_CARRIER, ORIGIN, DEST, CAST(0 AS DOUBLE) AS EXTRA_FEATURE FROM x_plain",
 }
 
+SQL["digest_files"] = f"SELECT FETCH_DATE, LINE FROM ({SQL['daily_digest']})"
+# the same queries with limits below the number of rows
+for shorter, longer, old, new in [
+    ("worst_three_airports", "worst_airports", "LIMIT 20", "LIMIT 3"),
+    ("five_busiest_routes", "busiest_routes", "LIMIT 25", "LIMIT 5"),
+    ("airport_comparison_of_five", "airport_comparison", "LIMIT 60", "LIMIT 5"),
+    ("twenty_routes_by_distance", "routes_by_distance", "LIMIT 200", "LIMIT 20"),
+]:
+    assert old in SQL[longer]
+    SQL[shorter] = SQL[longer].replace(old, new)
+SQL["default_route_listed"] = "SELECT DISTINCT 'LAX-JFK' AS ROUTE FROM r_routes WHERE ROUTE LIKE 'LAX-%'"
+
 
 def needed(sql: str) -> list[str]:
     """Named subqueries that ``sql`` uses, in the order of ``TABLES``."""

@@ -9,6 +9,8 @@ from __future__ import annotations
 import csv
 import datetime as dt
 import io
+import json
+import os
 import zipfile
 from collections.abc import Callable
 
@@ -31,11 +33,12 @@ from tarmac.functions.text import (
 )
 from tarmac.operators import adhoc, anomalies, cells, coverage, dashboard, delay_model, features, marts, nas, weather
 from tarmac.operators import flight_cleaning as cleaning
+from tarmac.operators import sketches, tree_rows
 from tarmac.operators.keys import sample_rows
-from tarmac.plans import flight_history, weather_history
+from tarmac.plans import colocated_weather, flight_history, mart_refresh, weather_history
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS, WEATHER_HOURLY, columns
 from tarmac.session import ensure_checkpoint_dir, work_path
-from tarmac.sources import landed, tables
+from tarmac.sources import landed, nas_feeds, tables
 from tarmac.sources.versions import VersionedTable
 from tarmac.streaming import nas_feed
 
@@ -146,7 +149,8 @@ def staging_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def deduplicated_flights(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.deduplicate_flights(staged(spark, folder)).select(STAGED_SHOWN)
+    ensure_checkpoint_dir(spark)
+    return cleaning.deduplicate_flights(staged(spark, folder).select(STAGED_SHOWN).checkpoint())
 
 
 # columns that files of odd years lack
@@ -213,6 +217,24 @@ def archives_that_failed(spark: SparkSession, folder: str) -> DataFrame:
     return load_of_archives(spark, folder)[1].select("ARCHIVE")
 
 
+@register
+def rows_by_source_tag(spark: SparkSession, folder: str) -> DataFrame:
+    tagged = cleaning.tag_source(cleaned_flights(spark, folder))
+    return tagged.groupBy("_SOURCE").agg(F.count(F.lit(1)).alias("N"), F.count("_LOAD_TS").alias("STAMPED"))
+
+
+@register
+def guard_answers(spark: SparkSession, folder: str) -> DataFrame:
+    rows = tables.add_missing_columns(flights(spark, folder))
+    answers = {
+        "HAS_DISTANCE": tables.has_column(rows, "distance") and tables.has_values(rows, "DISTANCE"),
+        "HAS_WEATHER": tables.has_values(rows, "ORIGIN_TEMP_C"),
+        "HAS_OTHER": tables.has_column(rows, "OTHER"),
+        "READY": tables.is_ready(rows),
+    }
+    return rows.agg(F.count(F.lit(1)).alias("N"), *[F.lit(value).alias(name) for name, value in answers.items()])
+
+
 @register
 def raw_parquet_batch(spark: SparkSession, folder: str) -> DataFrame:
     path = work_path(spark, "raw-batch")
@@ -349,6 +371,49 @@ def route_performance_from_cells(spark: SparkSession, folder: str) -> DataFrame:
     return cells.route_performance(flight_cells(spark, folder))
 
 
+@register
+def distinct_tails_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Aircraft per year: the exact count, and whether the union of the stored month sketches is within its error."""
+    rows = flights(spark, folder).select("YEAR", "MONTH", "TAIL_NUMBER")
+    path = work_path(spark, "sketches")
+    tables.write_batch(sketches.sketched_counts(rows, ["YEAR", "MONTH"], "TAIL_NUMBER"), path)
+    years = sketches.rolled_up(spark.read.parquet(path), ["YEAR"])
+    exact = rows.groupBy("YEAR").agg(F.count_distinct("TAIL_NUMBER").alias("TAILS"))
+    near = F.abs(F.col("ESTIMATE") - F.col("TAILS")) <= F.col("TAILS") * sketches.relative_error() + 1
+    return exact.join(years, "YEAR").select("YEAR", "TAILS", near.alias("WITHIN_ERROR"))
+
+
+@register
+def airlines_of_years_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Airlines per year; a sketch that has seen so few values is exact."""
+    months = sketches.sketched_counts(flights(spark, folder), ["YEAR", "MONTH"], "AIRLINE_CODE")
+    return sketches.rolled_up(months, ["YEAR"]).withColumnRenamed("ESTIMATE", "N_AIRLINES")
+
+
+@register
+def programs_of_airports_from_sketches(spark: SparkSession, folder: str) -> DataFrame:
+    """Program types per airport over all dates, from the sketches of its days."""
+    delayed = stand_ins.nas(spark, folder).where("HAS_DELAY").dropna(subset=["FETCH_DATE", "IATA_CODE"])
+    days = sketches.sketched_counts(delayed, ["FETCH_DATE", "IATA_CODE"], "DELAY_TYPE")
+    return sketches.rolled_up(days, ["IATA_CODE"]).withColumnRenamed("ESTIMATE", "DELAY_PROGRAMS")
+
+
+@register
+def mart_set_refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_path(spark, "marts")
+    outcome = mart_refresh.refresh(flights(spark, folder), None, path, "airline")
+    mart = tables.read_mart(spark, f"{path}/airline_performance").drop(tables.STAMP)
+    return mart.withColumn("OUTCOME", F.lit(outcome["airline_performance"]))
+
+
+@register
+def mart_truncated_and_reloaded(spark: SparkSession, folder: str) -> DataFrame:
+    path, mart = work_path(spark, "mart"), status(spark, folder)
+    tables.refresh_mart(mart.withColumn("DELAY_PROGRAMS", F.lit(0).cast("long")), path)
+    tables.refresh_mart(mart, path)
+    return tables.read_mart(spark, path, mart.schema)
+
+
 # -- ad-hoc ------------------------------------------------------------------
 
 
@@ -588,6 +653,37 @@ def flights_with_route_history(spark: SparkSession, folder: str) -> DataFrame:
     return dashboard.with_route_history(rows, routes(spark, folder))
 
 
+# the same with limits below the number of rows
+
+
+@register
+def worst_three_airports(spark: SparkSession, folder: str) -> DataFrame:
+    return adhoc.worst_airports(airports(spark, folder), n=3)
+
+
+@register
+def five_busiest_routes(spark: SparkSession, folder: str) -> DataFrame:
+    return adhoc.busiest_routes(routes(spark, folder), n=5, more_than=BUSY_ROUTE)
+
+
+@register
+def airport_comparison_of_five(spark: SparkSession, folder: str) -> DataFrame:
+    return dashboard.airport_comparison(airport_rows(spark, folder), top_n=5)
+
+
+@register
+def twenty_routes_by_distance(spark: SparkSession, folder: str) -> DataFrame:
+    return dashboard.routes_by_distance(dashboard.route_summary(routes(spark, folder), 1990, None, 1), top_n=20)
+
+
+@register
+def default_route_listed(spark: SparkSession, folder: str) -> DataFrame:
+    """The list with the default route in it, if any route starts where it does."""
+    names = route_names(spark, folder)
+    listed = names.where(F.startswith("ROUTE", F.lit("LAX-"))).select(F.lit("LAX-JFK").alias("ROUTE")).distinct()
+    return dashboard.default_route(names.union(listed))
+
+
 # -- labels and text ---------------------------------------------------------
 
 
@@ -694,6 +790,19 @@ def weather_document_scan(spark: SparkSession, folder: str) -> DataFrame:
     return weather.clean_weather(landed.read_weather_documents(spark, landed_documents(spark, folder), "*.txt"))
 
 
+@register
+def weather_files_counted(spark: SparkSession, folder: str) -> DataFrame:
+    """A fixed number of files, and the count of the pass that wrote them beside that of a reader."""
+    path = work_path(spark, "weather-files")
+    written = tables.write_counted(hourly(spark, folder), path, files=26)
+    stored = spark.read.schema(hourly(spark, folder).schema).parquet(path)
+    return stored.select(F.col("_metadata.file_path").alias("file")).agg(
+        F.lit(written).cast("long").alias("ROWS_WRITTEN"),
+        F.count(F.lit(1)).alias("ROWS_READ"),
+        F.count_distinct("file").alias("FILES"),
+    )
+
+
 @register
 def weather_load_counts(spark: SparkSession, folder: str) -> DataFrame:
     """The report of a full reload, with the rows that reading the table back gives."""
@@ -727,6 +836,23 @@ def destination_weather(spark: SparkSession, folder: str) -> DataFrame:
     return joined.select(*WEATHER_KEYS, *[f"DEST_{name}" for name in weather.DEST_FIELDS])
 
 
+@register
+def weather_from_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """Weather at both ends from tables stored by the same buckets, two slices a date."""
+    names = []
+    rows = flights(spark, folder).select("YEAR", *WEATHER_KEYS)
+    for kind, store, frame in (
+        ("flights", colocated_weather.store_flights, rows),
+        ("observations", colocated_weather.store_observations, hourly(spark, folder)),
+    ):
+        path = work_path(spark, f"bucketed-{kind}")
+        names.append(f"{kind}_{path.rsplit('-', 1)[1]}")
+        store(frame, names[-1], path, buckets=8, slices=2)
+    joined = colocated_weather.joined_weather(spark, *names)
+    ends = [("ORIGIN", weather.ORIGIN_FIELDS), ("DEST", weather.DEST_FIELDS)]
+    return joined.select(*WEATHER_KEYS, *[f"{side}_{name}" for side, fields in ends for name in fields])
+
+
 @register
 def weather_fill_status(spark: SparkSession, folder: str) -> DataFrame:
     return weather.fill_status(flights_with_weather(spark, folder), since_year=1998)
@@ -798,6 +924,86 @@ def snapshot_scan_of_one_date(spark: SparkSession, folder: str) -> DataFrame:
     return nas.clean_nas(landed.read_nas_snapshots(spark, path, f"day={DAY.isoformat()}"))
 
 
+@register
+def dated_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by the date of their folder and the date in the file."""
+    path = work_path(spark, "dated")
+    tables.write_dated(cleaned_nas(spark, folder), path)
+    stored = spark.read.parquet(path)
+    return stored.groupBy(F.col("DATE_KEY").cast("date").alias("DATE_KEY"), "FETCH_DATE").agg(F.count(F.lit(1)).alias("N"))
+
+
+# responses as the feeds send them, one per hour of the snapshot clock; every airspace program
+# comes in a list that no feed has had so far
+HOUR_STAMP = "date_format(date_trunc('hour', SNAPSHOT_TS), \"yyyy-MM-dd'T'HH:mm:ss\")"
+
+
+def delayed_events(spark: SparkSession, folder: str) -> DataFrame:
+    rows = stand_ins.nas_text(spark, folder).where("HAS_DELAY")
+    return rows.withColumns({"STAMP": F.expr(HOUR_STAMP), "DAY": F.col("FETCH_DATE").cast("string")})
+
+
+def xml_responses(spark: SparkSession, folder: str) -> DataFrame:
+    def tag(name: str, text) -> object:
+        safe = F.coalesce(text, F.lit(""))
+        for mark, code in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            safe = F.replace(safe, F.lit(mark), F.lit(code))
+        return F.concat(F.lit(f"<{name}>"), safe, F.lit(f"</{name}>"))
+
+    deep = F.concat(F.lit("<Arrival_Departure><Range>"), tag("Max", F.col("MAX_TXT")), tag("Trend", F.col("TREND")), F.lit("</Range></Arrival_Departure>"))
+    texts = [tag("ARPT", F.concat(F.lit(" "), F.lower("IATA_CODE"))), tag("Reason", F.col("REASON")), tag("Avg", F.col("AVG_TXT")), deep]
+    outer = F.when(F.col("TYPE_NAME") == "Airspace Flow Programs", "Unheard_Of_List").otherwise("Ground_Delay_List")
+    entry = F.concat(F.lit("<Entry>"), *texts, F.lit("</Entry>"))
+    block = F.concat(
+        F.lit("<Delay_type>"), tag("Name", F.col("TYPE_NAME")), F.lit("<"), outer, F.lit(">"), entry, F.lit("</"), outer, F.lit("></Delay_type>")
+    )
+    blocks = delayed_events(spark, folder).withColumn("BLOCK", block).groupBy("STAMP", "DAY")
+    body = F.concat(F.lit("<AIRPORT_STATUS>"), F.concat_ws("", F.collect_list("BLOCK")), F.lit("</AIRPORT_STATUS>"))
+    return blocks.agg(body.alias("BODY")).withColumnsRenamed({"STAMP": "SNAPSHOT_TS", "DAY": "FETCH_DATE"})
+
+
+@register
+def programs_from_xml(spark: SparkSession, folder: str) -> DataFrame:
+    return nas_feeds.rows_from_xml(xml_responses(spark, folder))
+
+
+@register
+def programs_from_airport_json(spark: SparkSession, folder: str) -> DataFrame:
+    """One response per airport and event; the wind comes as a list, and a third of the keys in lower case."""
+    rows = stand_ins.nas_text(spark, folder)
+    program = F.struct(
+        F.col("TYPE_NAME").alias("Type"), F.col("AVG_TXT").alias("AvgDelay"), F.col("MAX_TXT").alias("MaxDelay"),
+        F.col("TREND").alias("Trend"), F.col("REASON").alias("Reason"),
+    )
+    sky = F.struct(
+        F.array(F.col("TEMP_TXT")).alias("Temp"), F.array(F.col("VIS_TXT")).alias("Visibility"),
+        F.array(F.concat(F.lit(" "), F.col("TREND"), F.lit(" "))).alias("Wind"),
+    )
+    programs = F.when(F.col("HAS_DELAY"), F.array(program)).otherwise(F.array().cast("array<struct<Type:string,AvgDelay:string,MaxDelay:string,Trend:string,Reason:string>>"))
+    upper = F.to_json(F.struct(F.col("HAS_DELAY").alias("Delay"), F.col("DELAY_COUNT").alias("DelayCount"), programs.alias("Status"), sky.alias("Weather")))
+    lower = F.to_json(F.struct(F.col("HAS_DELAY").alias("delay"), F.col("DELAY_COUNT").alias("delay_count"), programs.alias("status"), sky.alias("weather")))
+    responses = rows.select(
+        F.date_format("SNAPSHOT_TS", "yyyy-MM-dd'T'HH:mm:ss").alias("SNAPSHOT_TS"),
+        F.col("FETCH_DATE").cast("string").alias("FETCH_DATE"),
+        F.lower("IATA_CODE").alias("IATA_CODE"),
+        F.when(F.col("event_id") % 3 == 0, lower).otherwise(upper).alias("BODY"),
+    )
+    return nas_feeds.rows_from_airport_json(responses)
+
+
+@register
+def programs_from_aggregate_json(spark: SparkSession, folder: str) -> DataFrame:
+    entry = F.struct(
+        F.col("IATA_CODE").alias("ARPT"), F.col("REASON").alias("Reason"), F.col("AVG_TXT").alias("Avg"),
+        F.col("MAX_TXT").alias("Max"), F.col("TREND").alias("Trend"),
+    )
+    block = F.struct(F.col("TYPE_NAME").alias("Name"), F.array(entry).alias("airport_closure_list"))
+    grouped = delayed_events(spark, folder).withColumn("BLOCK", block).groupBy("STAMP", "DAY")
+    body = F.to_json(F.struct(F.struct(F.collect_list("BLOCK").alias("delay_type")).alias("airport_status_information")))
+    responses = grouped.agg(body.alias("BODY")).withColumnsRenamed({"STAMP": "SNAPSHOT_TS", "DAY": "FETCH_DATE"})
+    return nas_feeds.rows_from_aggregate_json(responses)
+
+
 @register
 def completed_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     delayed = stand_ins.nas(spark, folder).where("HAS_DELAY")
@@ -930,6 +1136,14 @@ def daily_digest(spark: SparkSession, folder: str) -> DataFrame:
     return anomalies.digest(stand_ins.nas(spark, folder), GROUNDED).select("FETCH_DATE", "SECTION", "LINE")
 
 
+@register
+def digest_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = work_path(spark, "digest")
+    tables.write_report(anomalies.digest(stand_ins.nas(spark, folder), GROUNDED), path, anomalies.digest_order())
+    stored = spark.read.schema("LINE string, FETCH_DATE date").text(path)
+    return stored.select("FETCH_DATE", "LINE")
+
+
 # -- streams -----------------------------------------------------------------
 
 
@@ -1071,6 +1285,11 @@ def split_summary(spark: SparkSession, folder: str) -> DataFrame:
     return features.split_summary(features.with_split(model_rows(spark, folder)))
 
 
+@register
+def split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return features.with_split(model_rows(spark, folder))
+
+
 def encoded(spark: SparkSession, folder: str, label: str) -> DataFrame:
     folded = model_rows(spark, folder).withColumn("FOLD", F.pmod("DEP_MONTH", F.lit(features.FOLDS)).cast("int"))
     return features.out_of_fold_means(folded, label).withColumn("ENCODING", F.round("ENCODING", 9))
@@ -1112,3 +1331,30 @@ def delay_scores(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def delay_model_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return delay_model.evaluate(*trained(spark, folder))
+
+
+def stored_model() -> dict:
+    """A small fitted ensemble as rows; both engines score these very trees."""
+    with open(os.path.join(os.path.dirname(__file__), "stored_model.json")) as file:
+        return json.load(file)
+
+
+def stored_scores(spark: SparkSession, folder: str) -> DataFrame:
+    model = stored_model()
+    rows = features.labelled(features.model_features(flights(spark, folder), start=None, end=None))
+    nodes = {name: [tree_rows.Node(*node) for node in model[name]] for name in ("classifier", "regressor")}
+    means = {
+        name: spark.createDataFrame([tuple(row) for row in model[name]], "FEATURE string, VALUE string, MEAN double")
+        for name in ("class_means", "minute_means")
+    }
+    return tree_rows.score(rows, **nodes, **means)
+
+
+@register
+def stored_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return stored_scores(spark, folder)
+
+
+@register
+def stored_tree_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return tree_rows.metrics(stored_scores(spark, folder))

@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.functions.clock import clock_hour
-from tarmac.operators.keys import hash_bucket
+from tarmac.operators.keys import row_number_of, smallest_per_group
 from tarmac.operators.lookup import LOOKUP_ROWS, counted, join_lookup
+from tarmac.session import ensure_checkpoint_dir
 
 # Feature names in model order.
 NUMERIC_FEATURES = ["DEP_HOUR", "DEP_DOW", "DEP_MONTH", "FLIGHT_DISTANCE", "SCHED_ELAPSED_MIN"]
@@ -120,13 +121,30 @@ def class_weight(rows: DataFrame) -> DataFrame:
     )
 
 
-def with_split(rows: DataFrame, percent: int = TRAIN_PERCENT, seed: int = SEED) -> DataFrame:
-    """IS_VALIDATION from a hash of the row: no sort, no shuffle, repeatable.
+def with_split(rows: DataFrame, percent: int = TRAIN_PERCENT, label: str = "LABEL_CLASS") -> DataFrame:
+    """IS_VALIDATION, with ``percent`` of every class in training, to the row.
 
-    All columns, the labels among them, go into the hash, so equal rows share a
-    side and the classes are split alike only on average, not exactly.
+    Within a class the rows with the smallest numbers by ``row_number_of`` are
+    for training.  The border is an exact quantile, found by counting; of equal
+    rows at the border as many go to either side as are needed.  The same rows
+    give the same split in any order and partitioning.  Nothing is sorted.
     """
-    return rows.withColumn("IS_VALIDATION", hash_bucket(rows.columns, seed) >= percent)
+    ensure_checkpoint_dir(rows.sparkSession)
+    spread = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << 60) - 1))
+    # written once: the numbers of equal rows must not change between the passes
+    numbered = rows.withColumns({"_number": row_number_of(rows.columns), "_place": spread}).checkpoint()
+    sizes = {row[0]: row[1] for row in numbered.groupBy(label).count().collect()}
+    wanted = {name: (n * percent + 50) // 100 for name, n in sizes.items()}
+    borders = smallest_per_group(numbered, label, "_number", wanted)
+    training = F.lit(False)
+    for name, (border, n) in borders.items():
+        of_class, at = F.col(label).eqNullSafe(F.lit(name)), F.col("_number") == F.lit(border)
+        equal = numbered.where(of_class & at)
+        last = F.lit((1 << 60) - 1)
+        if equal.count() > n:
+            last = F.lit(smallest_per_group(equal, label, "_place", {name: n})[name][0])
+        training = training | (of_class & ((F.col("_number") < F.lit(border)) | (at & (F.col("_place") <= last))))
+    return numbered.withColumn("IS_VALIDATION", ~training).drop("_number", "_place")
 
 
 def split_summary(rows: DataFrame) -> DataFrame:

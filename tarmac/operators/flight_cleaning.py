@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.clock import iso_date
 from tarmac.functions.text import blank_to_null
-from tarmac.operators.keys import one_per_key
+from tarmac.operators.keys import one_per_rare_key
 from tarmac.schemas import (
     FLIGHT_CORE_COLUMNS,
     FLIGHT_DELAY_COLUMNS,
@@ -140,5 +140,9 @@ def stamp_load(rows: DataFrame) -> DataFrame:
 
 
 def deduplicate_flights(flights: DataFrame) -> DataFrame:
-    """One row per FLIGHT_ID; not part of the default load."""
-    return one_per_key(flights, ["FLIGHT_ID"])
+    """One row per FLIGHT_ID; not part of the default load.
+
+    The id is nearly unique, so rows of ids that occur once stay where they
+    are.  The rows are read several times: pass a stored table.
+    """
+    return one_per_rare_key(flights, "FLIGHT_ID")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.operators.lookup import LOOKUP_ROWS, hashed
+
 
 def one_per_key(rows: DataFrame, keys: Sequence[str], first: Sequence[Column] = ()) -> DataFrame:
     """Keep the first row of every key, NULL keys being equal.
@@ -20,6 +22,33 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], first: Sequence[Column] =
     return rows.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") == 1).drop("_rank")
 
 
+def row_number_of(names: Sequence[str], digits: int = 15) -> Column:
+    """A whole number from the MD5 of the named values as text; NULL values have a mark of their own.
+
+    It depends on the row alone, not on the order of columns, and any engine can work it out.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(name).cast("string"), F.lit("\u2205")) for name in sorted(names)])
+    return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
+
+
+def one_per_rare_key(rows: DataFrame, key: str, limit: int = LOOKUP_ROWS) -> DataFrame:
+    """One row per ``key`` where most keys have one row: the one with the smallest ``row_number_of``.
+
+    Only the keys are counted by shuffle.  The repeated ones are measured and
+    sent to the rows, which stay where they are; rows of repeated keys alone are
+    aggregated, down to the smallest number and then to distinct rows.  Nothing
+    is sorted, and a key with a third of all rows is one row per task.  Unequal
+    rows of one key with the same 60-bit number would both stay.
+    """
+    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    keys = hashed(repeated, limit)
+    single = rows.join(keys, key, "left_anti")
+    numbered = rows.join(keys, key, "left_semi").withColumn("_number", row_number_of(rows.columns))
+    least = hashed(numbered.groupBy(key).agg(F.min("_number").alias("_number")), limit)
+    winners = numbered.join(least, [key, "_number"], "left_semi").select(rows.columns).distinct()
+    return single.unionByName(winners)
+
+
 def largest(rows: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
     """The ``n`` rows with the largest ``by``; ``ties`` complete the order."""
     return rows.where(F.col(by).isNotNull()).orderBy(F.col(by).desc(), *[F.col(tie).asc() for tie in ties]).limit(n)
@@ -38,3 +67,44 @@ def hash_bucket(names: Sequence[str], seed: int, buckets: int = 100) -> Column:
 def sample_rows(rows: DataFrame, keys: Sequence[str], percent: int, seed: int) -> DataFrame:
     """About ``percent`` of the rows, the same in every run and partitioning."""
     return rows.where(hash_bucket(keys, seed) < percent)
+
+
+#: Bits of a number that one pass tells apart.
+_STEP_BITS = 12
+
+
+def smallest_per_group(rows: DataFrame, group: str, number: str, wanted: Mapping[object, int], bits: int = 60) -> dict:
+    """For every group the number of its ``wanted``-th smallest row, and how many rows with that very number count.
+
+    An exact quantile by refinement: a pass counts the rows of a group by the
+    next bits of their number inside the range that holds the wanted row, so it
+    hands the driver some thousand counts per group whatever the number of rows.
+    A group with fewer rows than wanted has no entry.  Numbers are below ``1 << bits``.
+    """
+    low = {name: 0 for name, n in wanted.items() if n > 0}
+    rest = {name: wanted[name] for name in low}
+    found: dict = {}
+    width = bits
+    while low:
+        step = min(_STEP_BITS, width)
+        width -= step
+        inside = F.lit(False)
+        for name, start in low.items():
+            of_group = F.col(group).eqNullSafe(F.lit(name))
+            inside = inside | (of_group & (F.shiftright(number, width + step) == F.lit(start >> (width + step)).cast("long")))
+        counts: dict = {name: {} for name in low}
+        part = rows.where(inside).groupBy(group, F.shiftright(number, width).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        for name, value, n in part.collect():
+            counts[name][value] = n
+        for name in list(low):
+            if sum(counts[name].values()) < rest[name]:
+                del low[name]
+                continue
+            for value in sorted(counts[name]):
+                if rest[name] <= counts[name][value]:
+                    low[name] = value << width
+                    break
+                rest[name] -= counts[name][value]
+            if width == 0:
+                found[name] = (low.pop(name), rest[name])
+    return found

@@ -57,6 +57,26 @@ def clean_weather(documents: DataFrame, year: int | None = None) -> DataFrame:
     return one_per_key(hours, ["IATA_CODE", "OBS_TIMESTAMP"])
 
 
+HOUR_KEYS = {"_airport": "IATA_CODE", "_date": "OBS_DATE", "_hour": "OBS_HOUR"}
+
+
+def first_observations(weather: DataFrame, fields: list[str]) -> DataFrame:
+    """``_airport``, ``_date``, ``_hour`` and the fields, underscored, of the first observation in each hour."""
+    first = weather.groupBy(*[F.col(name).alias(alias) for alias, name in HOUR_KEYS.items()]).agg(
+        F.min(F.struct(*[name for name in ("OBS_TIMESTAMP",) if name in weather.columns], *fields)).alias("first")
+    )
+    return first.select(*HOUR_KEYS, *[F.col(f"first.{name}").alias(f"_{name}") for name in fields])
+
+
+def filled_from(flights: DataFrame, obs: DataFrame, keys: Column, side: str, fields: list[str]) -> DataFrame:
+    """Left join ``obs`` on ``keys``; fill only rows whose temperature is NULL."""
+    matched = keys & F.col(f"{side}_TEMP_C").isNull()
+    hit = F.col("_airport").isNotNull()
+    joined = flights.join(obs, matched, "left")
+    filled = {f"{side}_{name}": F.when(hit, F.col(f"_{name}")).otherwise(F.col(f"{side}_{name}")) for name in fields}
+    return joined.withColumns(filled).select(flights.columns)
+
+
 def fill_weather(flights: DataFrame, weather: DataFrame, side: str, fields: list[str], keys: list[Column]) -> DataFrame:
     """Left join on airport, date, hour; fill only rows whose temperature is NULL.
 
@@ -65,19 +85,9 @@ def fill_weather(flights: DataFrame, weather: DataFrame, side: str, fields: list
     them partitioned as the join needs them.  Airport, date and hour together
     spread the flights; a key that is still hot is split by AQE's skew join.
     """
-    flights = add_missing_columns(flights)
     airport, date, hour = keys
-    hour_keys = {"_airport": "IATA_CODE", "_date": "OBS_DATE", "_hour": "OBS_HOUR"}
-    first = weather.groupBy(*[F.col(name).alias(alias) for alias, name in hour_keys.items()]).agg(
-        F.min(F.struct(*[name for name in ("OBS_TIMESTAMP",) if name in weather.columns], *fields)).alias("first")
-    )
-    obs = first.select(*hour_keys, *[F.col(f"first.{name}").alias(f"_{name}") for name in fields])
-    open_row = F.col(f"{side}_TEMP_C").isNull()
-    matched = (airport == F.col("_airport")) & (date == F.col("_date")) & (hour == F.col("_hour")) & open_row
-    hit = F.col("_airport").isNotNull()
-    joined = flights.join(obs, matched, "left")
-    filled = {f"{side}_{name}": F.when(hit, F.col(f"_{name}")).otherwise(F.col(f"{side}_{name}")) for name in fields}
-    return joined.withColumns(filled).select(flights.columns)
+    matched = (airport == F.col("_airport")) & (date == F.col("_date")) & (hour == F.col("_hour"))
+    return filled_from(add_missing_columns(flights), first_observations(weather, fields), matched, side, fields)
 
 
 def with_origin_weather(flights: DataFrame, weather: DataFrame) -> DataFrame:

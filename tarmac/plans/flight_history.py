@@ -13,7 +13,8 @@ from tarmac.operators.flight_cleaning import (
 )
 from tarmac.operators.weather import with_weather
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS
-from tarmac.sources.archives import archive_errors, list_archives, read_zip_csv, source_rows
+from tarmac.session import work_path
+from tarmac.sources.archives import archive_errors, list_archives, unpack, unpacked_rows
 from tarmac.sources.tables import add_missing_columns, write_batch, write_partitions
 from tarmac.sources.versions import VersionedTable
 
@@ -21,17 +22,17 @@ from tarmac.sources.versions import VersionedTable
 def load_archives(
     spark: SparkSession, folder: str, raw_path: str, errors_path: str, year: int | None = None, month: int | None = None
 ) -> DataFrame:
-    """Clean all archives in one job into the raw layer.
+    """Unpack all archives once and clean their rows into the raw layer.
 
     An archive that cannot be read to its end leaves its stored month as it is;
     a table of them is written to ``errors_path`` and returned.  An archive
     holds one month, so each task writes few partitions and nothing is shuffled.
     """
-    archives = list_archives(spark, folder, year, month)
-    rows = tag_source(clean_flights(source_rows(read_zip_csv(archives)).drop("ARCHIVE")))
+    manifest = unpack(list_archives(spark, folder, year, month), work_path(spark, "unpacked"))
+    rows = tag_source(clean_flights(unpacked_rows(manifest).drop("ARCHIVE")))
     whole = add_missing_columns(rows, RAW_FLIGHTS).select(RAW_FLIGHTS.names)
     write_partitions(whole, raw_path, ["YEAR", "MONTH"], rebalance=False)
-    errors = archive_errors(archives)
+    errors = archive_errors(manifest)
     write_batch(errors, errors_path)
     return spark.read.schema(errors.schema).parquet(errors_path)
 

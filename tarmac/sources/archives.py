@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
 from itertools import batched
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -17,9 +21,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tarmac.schemas import SOURCE_CSV
 
 ROWS_PER_CHUNK = 50_000
-ARCHIVE_ROWS = StructType(
-    [StructField("ARCHIVE", StringType()), StructField("ERROR", StringType()), *SOURCE_CSV.fields]
-)
+ARCHIVE_ROWS = StructType([StructField("ARCHIVE", StringType()), *SOURCE_CSV.fields])
+UNPACKED = "ARCHIVE string, PLACE string, ROWS long, ERROR string"
+_FILE_SCHEMA = pa.schema([(name, pa.string()) for name in ARCHIVE_ROWS.names])
 
 
 def list_archives(spark: SparkSession, folder: str, year: int | None = None, month: int | None = None) -> DataFrame:
@@ -43,49 +47,67 @@ def list_archives(spark: SparkSession, folder: str, year: int | None = None, mon
     return archives
 
 
-def read_zip_csv(archives: DataFrame) -> DataFrame:
-    """All rows of the first CSV in each archive, as text, in source columns.
+def unpack(archives: DataFrame, staging: str) -> DataFrame:
+    """Unpack every archive once into a Parquet file under ``staging``: ARCHIVE, PLACE, ROWS, ERROR.
 
-    Members are unpacked on the executors and handed on in chunks, so a task
-    holds one compressed archive and one chunk, not a whole member.  A line
-    with too many fields loses the surplus, one with too few is filled with
-    NULL, as Spark's permissive reader does.  An archive without a CSV yields
-    nothing.  One that cannot be read to its end yields a single row with ERROR
-    set and no other: it is unpacked once to check before its first row.
+    Members are unpacked on the executors and written in chunks, so a task holds
+    one compressed archive and one chunk, not a whole member.  A line with too
+    many fields loses the surplus, one with too few is filled with NULL, as
+    Spark's permissive reader does.  PLACE is the file of an archive that could
+    be read to its end, checksum included; another has ERROR and leaves no file,
+    one without a CSV neither.  An attempt writes a file of its own name, and
+    only attempts that Spark commits are listed, so a lost executor leaves
+    nothing behind that is read.
     """
-    return archives.select("ARCHIVE", "content").mapInPandas(_unpack, ARCHIVE_ROWS)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [unpack_one(name, content, staging) for name, content in zip(batch["ARCHIVE"], batch["content"])]
+            yield pd.DataFrame(found, columns=["ARCHIVE", "PLACE", "ROWS", "ERROR"], dtype=object)
 
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for name, content in zip(batch["ARCHIVE"], batch["content"]):
-            problem = _problem(content)
-            if problem:
-                failed = pd.DataFrame([{"ARCHIVE": name, "ERROR": problem}])
-                yield failed.reindex(columns=ARCHIVE_ROWS.names).astype(object)
-                continue
-            for chunk in _member_chunks(content):
-                chunk.insert(0, "ERROR", None)
-                chunk.insert(0, "ARCHIVE", name)
-                yield chunk
+    listed = archives.select("ARCHIVE", "content").mapInPandas(run, UNPACKED)
+    manifest = f"{staging}/manifest"
+    listed.write.parquet(manifest)
+    return archives.sparkSession.read.schema(UNPACKED).parquet(manifest)
 
 
-def _csv_member(archive: zipfile.ZipFile) -> str | None:
-    return next((entry for entry in archive.namelist() if entry.endswith(".csv")), None)
+def unpack_one(name: str, content: bytes, staging: str) -> tuple[str, str | None, int, str | None]:
+    """One archive in one pass: its rows go to a file, which goes again when the archive turns out broken."""
+    place = f"{staging}/rows/{name}-{uuid.uuid4().hex[:8]}.parquet"
+    system, path = fs.FileSystem.from_uri(place)
+    writer, rows, problem = None, 0, None
+    try:
+        for chunk in _member_chunks(content):
+            if writer is None:
+                system.create_dir(path.rsplit("/", 1)[0], recursive=True)
+                writer = pq.ParquetWriter(path, _FILE_SCHEMA, filesystem=system)
+            chunk.insert(0, "ARCHIVE", name)
+            writer.write_table(pa.Table.from_pandas(chunk, _FILE_SCHEMA, preserve_index=False))
+            rows += len(chunk)
+    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError) as found:
+        problem = f"{type(found).__name__}: {found}"
+    finally:
+        if writer is not None:
+            writer.close()
+    if problem and writer is not None:
+        system.delete_file(path)
+    return name, place if writer is not None and not problem else None, 0 if problem else rows, problem
+
+
+def unpacked_rows(manifest: DataFrame) -> DataFrame:
+    """The rows of all archives that could be read: ARCHIVE and the source columns, as text."""
+    spark = manifest.sparkSession
+    places = [row[0] for row in manifest.where("PLACE IS NOT NULL").select("PLACE").collect()]  # one per archive
+    return spark.read.schema(ARCHIVE_ROWS).parquet(*places) if places else spark.createDataFrame([], ARCHIVE_ROWS)
+
+
+def archive_errors(manifest: DataFrame) -> DataFrame:
+    """One row per archive that cannot be read."""
+    return manifest.where("ERROR IS NOT NULL").select("ARCHIVE", "ERROR")
 
 
-def _problem(content: bytes) -> str | None:
-    """What keeps an archive from being unpacked to its end, checksum included."""
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
-            member = _csv_member(archive)
-            if member is not None:
-                with archive.open(member) as stream:
-                    while stream.read(1 << 20):
-                        pass
-    except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError) as problem:
-        return f"{type(problem).__name__}: {problem}"
-    return None
+def _csv_member(archive: zipfile.ZipFile) -> str | None:
+    return next((entry for entry in archive.namelist() if entry.endswith(".csv")), None)
 
 
 def _member_chunks(content: bytes) -> Iterator[pd.DataFrame]:
@@ -109,19 +131,3 @@ def _member_chunks(content: bytes) -> Iterator[pd.DataFrame]:
                     },
                     dtype=object,
                 )
-
-
-def source_rows(unpacked: DataFrame) -> DataFrame:
-    """The flight rows of ``read_zip_csv``."""
-    return unpacked.where(F.col("ERROR").isNull()).drop("ERROR")
-
-
-def archive_errors(archives: DataFrame) -> DataFrame:
-    """One row per archive that cannot be read, without parsing any."""
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [(name, _problem(content)) for name, content in zip(batch["ARCHIVE"], batch["content"])]
-            yield pd.DataFrame([row for row in found if row[1]], columns=["ARCHIVE", "ERROR"], dtype=object)
-
-    return archives.select("ARCHIVE", "content").mapInPandas(check, "ARCHIVE string, ERROR string")

@@ -6,8 +6,10 @@ snapshot shape.  A response is a few kilobytes, so parsing stays per row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from xml.etree import ElementTree
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,24 +19,11 @@ from tarmac.schemas import NAS_SNAPSHOT
 # Stored lengths of the free-text fields.
 LENGTHS = {"REASON": 500, "TREND": 20, "END_TIME": 50, "WEATHER_WIND": 100, "WEATHER_CONDITION": 100}
 
-# The lists a response may hold and the element of their entries.
-XML_LISTS = [
-    ("Ground_Delay_List", "Ground_Delay"),
-    ("Ground_Stop_List", "Program"),
-    ("Arrival_Departure_Delay_List", "Delay"),
-    ("Airport_Closure_List", "Airport"),
-    ("Airspace_Flow_List", "Airspace_Flow"),
-]
-
 FIELD_MAP = "map<string,string>"
 
-_RANGE = "Min string, Max string, Trend string"
-_ENTRY = (
-    f"struct<ARPT: string, Reason: string, Avg: string, {_RANGE.replace(' string', ': string')}, Reopen: string,"
-    f" EndTime: string, Arrival_Departure: array<struct<{_RANGE.replace(' string', ': string')}>>>"
-)
-_LISTS = ", ".join(f"{outer}: struct<{inner}: array<{_ENTRY}>>" for outer, inner in XML_LISTS)
-XML_RESPONSE = f"Delay_type array<struct<Name: string, {_LISTS}>>"
+#: Texts of an entry, and those that may also stand deeper inside it.
+ENTRY_TEXTS = ("ARPT", "Reason", "Avg", "Reopen", "EndTime")
+ENTRY_RANGES = ("Min", "Max", "Trend")
 
 
 def cut(value: Column, name: str, lengths: Mapping[str, int | None]) -> Column:
@@ -48,41 +37,68 @@ def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("BODY"))
 
 
-def rows_from_xml(responses: DataFrame, lengths: Mapping[str, int | None] = LENGTHS) -> DataFrame:
-    """Columns SNAPSHOT_TS, FETCH_DATE, BODY → one row per airport entry.
+def xml_entries(body: str | None) -> Iterator[tuple[str, dict[str, str]]]:
+    """Name of its block and texts of every element that has an airport code, in whatever list and at any depth.
 
-    The XML parser reads a response once, whatever it holds; an entry without
-    an airport code gives no row.  ``lengths`` cuts the texts, {} leaves them whole.
+    Each element is visited once: what may stand deeper comes up from below.  A
+    body that is no XML has no entries.
     """
-    blocks = responses.select(
-        "SNAPSHOT_TS", "FETCH_DATE", F.inline(F.from_xml("BODY", XML_RESPONSE)["Delay_type"])
-    )
-    nothing = F.array().cast(f"array<{_ENTRY}>")
-    lists = [F.coalesce(F.col(f"{outer}.{inner}"), nothing) for outer, inner in XML_LISTS]
-    entries = blocks.select(
-        "SNAPSHOT_TS", "FETCH_DATE", F.col("Name").alias("name"), F.explode(F.concat(*lists)).alias("entry")
-    )
+    try:
+        root = ElementTree.fromstring(body or "")
+    except ElementTree.ParseError:
+        return
+    for block in root.findall("Delay_type"):
+        name, found = block.findtext("Name") or "Unknown", []
+        below: dict[ElementTree.Element, dict[str, str]] = {}
+        for element in reversed(list(block.iter())):  # children before their parents, later ones first
+            inside: dict[str, str] = {}
+            for child in reversed(element):
+                inside |= below.pop(child, {})
+                if child.tag in ENTRY_RANGES:
+                    inside[child.tag] = child.text or ""
+            below[element] = inside
+            if element is not block and element.find("ARPT") is not None:
+                found.append({**{tag: element.findtext(tag) or "" for tag in ENTRY_TEXTS}, **inside})
+        for entry in reversed(found):
+            yield name, entry
 
-    def at(name: str) -> Column:
-        return F.coalesce(F.col(f"entry.{name}"), F.lit(""))
 
-    def ranged(name: str) -> Column:
-        inner = F.filter("entry.Arrival_Departure", lambda part: part[name].isNotNull())
-        return F.coalesce(F.col(f"entry.{name}"), F.try_element_at(inner, F.lit(1))[name], F.lit(""))
+def rows_from_xml(responses: DataFrame, lengths: Mapping[str, int | None] = LENGTHS) -> DataFrame:
+    """Columns SNAPSHOT_TS, FETCH_DATE, BODY → one row per airport entry.
 
+    An entry is any element with an airport code below a delay type; one whose
+    code is blank gives no row.  ``lengths`` cuts the texts, {} leaves them whole.
+    """
+    names = [*ENTRY_TEXTS, *ENTRY_RANGES]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                (stamp, date, name, *(entry.get(tag, "") for tag in names))
+                for stamp, date, body in zip(*(batch.column(c).to_pylist() for c in ("SNAPSHOT_TS", "FETCH_DATE", "BODY")))
+                for name, entry in xml_entries(body)
+            ]
+            columns = list(zip(*found)) or [()] * (3 + len(names))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, pa.string()) for column in columns], names=["SNAPSHOT_TS", "FETCH_DATE", "name", *names]
+            )
+
+    stamps = [F.col(name).cast("string").alias(name) for name in ("SNAPSHOT_TS", "FETCH_DATE", "BODY")]
+    shape = ", ".join(f"`{name}` string" for name in ("SNAPSHOT_TS", "FETCH_DATE", "name", *names))
+    entries = responses.select(*stamps).mapInArrow(parse, shape)
     rows = entries.select(
         "SNAPSHOT_TS",
         "FETCH_DATE",
-        F.upper(strip(at("ARPT"))).alias("IATA_CODE"),
+        F.upper(strip("ARPT")).alias("IATA_CODE"),
         F.lit(True).alias("HAS_DELAY"),
         F.lit(1).alias("DELAY_COUNT"),
         delay_type("name").alias("DELAY_TYPE"),
-        cut(at("Reason"), "REASON", lengths).alias("REASON"),
-        delay_minutes(at("Avg")).alias("AVG_DELAY_MIN"),
-        delay_minutes(ranged("Min")).alias("MIN_DELAY_MIN"),
-        delay_minutes(ranged("Max")).alias("MAX_DELAY_MIN"),
-        cut(ranged("Trend"), "TREND", lengths).alias("TREND"),
-        cut(F.coalesce(blank_to_null(at("Reopen")), at("EndTime")), "END_TIME", lengths).alias("END_TIME"),
+        cut(F.col("Reason"), "REASON", lengths).alias("REASON"),
+        delay_minutes("Avg").alias("AVG_DELAY_MIN"),
+        delay_minutes("Min").alias("MIN_DELAY_MIN"),
+        delay_minutes("Max").alias("MAX_DELAY_MIN"),
+        cut(F.col("Trend"), "TREND", lengths).alias("TREND"),
+        cut(F.coalesce(blank_to_null("Reopen"), F.col("EndTime")), "END_TIME", lengths).alias("END_TIME"),
     )
     return in_snapshot_shape(rows.where(F.col("IATA_CODE") != ""))
 

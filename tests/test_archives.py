@@ -51,17 +51,18 @@ def test_listing(spark, folder, year, month, names):
     assert [row[0] for row in rows(listed)] == names
 
 
-def test_first_csv_of_each_archive(spark, folder):
-    unpacked = archives.read_zip_csv(archives.list_archives(spark, folder))
-    flights = archives.source_rows(unpacked)
+def test_first_csv_of_each_archive(spark, folder, tmp_path):
+    unpacked = archives.unpack(archives.list_archives(spark, folder), str(tmp_path / "unpacked"))
+    flights = archives.unpacked_rows(unpacked)
     assert flights.columns == ["ARCHIVE", *SOURCE_CSV.names]
     counts = flights.groupBy("ARCHIVE", "Year").count().orderBy("ARCHIVE")
     assert rows(counts) == [("ontime_2023_12.zip", "2023", 4), ("ontime_2024_01.zip", "2024", 5)]
     assert rows(flights.select("Dest", "Tail_Number").distinct()) == [("LAX", None)]
 
 
-def test_bad_archive_is_a_row_and_does_not_stop_the_rest(spark, folder):
-    errors = rows(archives.archive_errors(archives.list_archives(spark, folder)))
+def test_bad_archive_is_a_row_and_does_not_stop_the_rest(spark, folder, tmp_path):
+    unpacked = archives.unpack(archives.list_archives(spark, folder), str(tmp_path / "unpacked"))
+    errors = rows(archives.archive_errors(unpacked))
     assert [name for name, _ in errors] == ["ontime_2024_03.zip"]
     assert "BadZipFile" in errors[0][1]
 
@@ -93,7 +94,7 @@ def test_ragged_lines_are_kept(spark, tmp_path):
     lines[2] += ",surplus,more"
     lines[3] = "2024,1,3,2024-01-03,AA"
     write_zip(tmp_path / "ontime_2024_01.zip", {"t.csv": "\n".join(lines) + "\n"})
-    flights = archives.source_rows(archives.read_zip_csv(archives.list_archives(spark, str(tmp_path))))
+    flights = archives.unpacked_rows(archives.unpack(archives.list_archives(spark, str(tmp_path)), str(tmp_path / "unpacked")))
     got = rows(flights.select("DayofMonth", "Dest").orderBy("DayofMonth"))
     assert got == [("1", "LAX"), ("2", "LAX"), ("3", None), ("4", "LAX"), ("5", "LAX")]
 
@@ -132,3 +133,19 @@ def test_staging_with_weather_and_deduplication(spark, folder, tmp_path):
     assert flights.count() == 9
     assert set(flights.columns) == {*STAGING_FLIGHTS.names, *FLIGHT_WEATHER.names}
     assert rows(flights.where("ORIGIN_TEMP_C = 3.5").select("FLIGHT_ID")) == [("AA_2_20240102_ATL_LAX",)]
+
+
+def test_an_archive_is_unpacked_once(tmp_path, monkeypatch):
+    write_zip(tmp_path / "ontime_2024_01.zip", {"t.csv": csv(2024, 1, 31)})
+    whole = (tmp_path / "ontime_2024_01.zip").read_bytes()
+    opened = []
+    real = zipfile.ZipFile.open
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, member, *a, **b: opened.append(str(member)) or real(self, member, *a, **b))
+    _, place, n, problem = archives.unpack_one("a.zip", whole, f"file://{tmp_path}/out")
+    assert (n, problem, len(opened)) == (31, None, 1) and place
+    damaged = bytearray(whole)
+    damaged[80] ^= 0xFF
+    _, place, n, problem = archives.unpack_one("b.zip", bytes(damaged), f"file://{tmp_path}/out")
+    assert place is None and n == 0 and problem and len(opened) == 2
+    assert len(list((tmp_path / "out" / "rows").iterdir())) == 1
+    assert archives.unpack_one("c.zip", b"", f"file://{tmp_path}/out")[1] is None

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from checks import registry
@@ -50,10 +51,56 @@ def test_labelled_clips_and_drops(spark):
 
 
 def test_split_is_repeatable_and_stratified(split_rows):
-    again = features.with_split(split_rows.drop("IS_VALIDATION"))
-    assert again.where("IS_VALIDATION").count() == split_rows.where("IS_VALIDATION").count()
-    for _, train, held in rows(features.split_summary(split_rows)):
-        assert 0.75 < train / (train + held) < 0.85
+    plain = split_rows.drop("IS_VALIDATION")
+    again = features.with_split(plain.repartition(7))
+    held = [sorted(rows(frame.where("IS_VALIDATION").drop("IS_VALIDATION")), key=str) for frame in (split_rows, again)]
+    assert held[0] == held[1]
+    for _, train, rest in rows(features.split_summary(split_rows)):
+        assert train == ((train + rest) * 80 + 50) // 100
+
+
+def test_split_of_equal_rows_few_rows_and_no_label(spark):
+    given = [(0, 1)] * 1_000 + [(1, k) for k in range(7)] + [(None, 5)] * 3 + [(2, 9)]
+    frame = spark.createDataFrame(given, "LABEL_CLASS int, N int").repartition(5)
+    got = {label: (train, held) for label, train, held in rows(features.split_summary(features.with_split(frame)))}
+    assert got == {0: (800, 200), 1: (6, 1), None: (2, 1), 2: (1, 0)}
+    assert rows(features.with_split(frame.limit(0))) == []
+
+
+def test_smallest_per_group_equals_sorting(spark):
+    from tarmac.operators.keys import smallest_per_group
+
+    frame = spark.range(5_000).select((F.col("id") % 3).cast("int").alias("g"), F.shiftrightunsigned(F.xxhash64(F.col("id") % 4_000), 4).alias("h"))
+    for wanted in (1, 700, 1_600, 9_999):
+        found = smallest_per_group(frame, "g", "h", {g: wanted for g in range(3)})
+        for g in range(3):
+            values = sorted(r.h for r in frame.where(F.col("g") == g).collect())
+            if wanted > len(values):
+                assert g not in found
+            else:
+                border = values[wanted - 1]
+                assert found[g] == (border, wanted - values.index(border))
+
+
+def test_best_round():
+    assert delay_model.best_round([3, 2, 1, 1, 1], 2) == (3, True)
+    assert delay_model.best_round([3, 2, 1, 1, 0.5], 3) == (5, False)
+    assert delay_model.best_round([1, 2, 3], 30) == (1, False)
+
+
+def test_a_fit_to_noise_stops_early(spark):
+    """Labels that have nothing to do with the features: more rounds only fit the training rows."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    noise = spark.range(600).select(F.rand(1).alias("x"), F.rand(2).alias("y"), F.randn(3).alias("label"), (F.col("id") % 3 == 0).alias("held"))
+    ready = VectorAssembler(inputCols=["x", "y"], outputCol="features").transform(noise).cache()
+    settings = delay_model.Boosting(rounds=40, depth=4, rate=0.3, flat_rounds=5)
+    model = GBTRegressor(featuresCol="features", labelCol="label", maxDepth=4, stepSize=0.3, seed=1, maxIter=40)
+    fitted = delay_model.fit_stopping(model, ready.where("NOT held"), ready.where("held"), settings)
+    losses = model.fit(ready.where("NOT held")).evaluateEachIteration(ready.where("held"), "squared")
+    best = losses.index(min(losses[: fitted.getNumTrees + 5])) + 1
+    assert fitted.getNumTrees == best < 10
 
 
 def test_class_weight_without_positives(spark):
@@ -114,6 +161,21 @@ def test_scores_and_metrics(split_rows, models):
     assert 0 <= metrics["ACCURACY"] <= 1 and 0 < metrics["AUC_ROC"] <= 1 and metrics["RMSE"] >= metrics["MAE"] > 0
 
 
+def test_tree_rows_score_as_the_model_does(spark, split_rows, models):
+    from tarmac.operators import tree_rows
+
+    classifier, regressor = models
+    both = regressor.transform(classifier.transform(split_rows))
+    delay, minutes = (tree_rows.margin_text(tree_rows.tree_nodes(spark, model)) for model in models)
+    off = both.select(
+        F.abs(1 / (1 + F.exp(-2 * F.expr(delay))) - vector_to_array("clf_probability")[1]).alias("p"),
+        F.abs(F.expr(minutes) - F.col("reg_prediction")).alias("m"),
+    )
+    assert all(x < 1e-9 for x in one(off.agg(F.max("p"), F.max("m"))))
+    table = tree_rows.node_table(spark, tree_rows.tree_nodes(spark, classifier))
+    assert table.where("FEATURE IS NULL").count() == table.where("FEATURE IS NOT NULL").count() + delay_model.rounds_of(classifier)
+
+
 def test_unknown_carrier_is_scored(split_rows, models):
     unseen = split_rows.limit(3).withColumn("OP_CARRIER", F.lit("??"))
     assert delay_model.score(unseen, *models).where("DELAY_PROBABILITY IS NOT NULL").count() == 3
@@ -131,4 +193,5 @@ def test_artifacts(spark, split_rows, models, tmp_path):
     assert [r[0] for r in rows(names.select("FEATURE"))] == features.feature_names(split_rows)
     origins = split_rows.select("ORIGIN").distinct().count()
     assert spark.read.json(f"{path}/category_values").where("FEATURE = 'ORIGIN'").count() == origins
-    assert "TRAINED_AT" in spark.read.json(f"{path}/metrics").columns
+    noted = {"TRAINED_AT", "SAMPLE_SHARE", "TRAINING_ROWS", "USE_WEATHER", "CLASSIFIER_ROUNDS", "REGRESSOR_ROUNDS"}
+    assert noted <= set(spark.read.json(f"{path}/metrics").columns)

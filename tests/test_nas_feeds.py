@@ -66,6 +66,18 @@ def test_a_long_list_without_airport_codes_is_read_in_linear_time(spark):
     assert rows(nas_feeds.rows_from_xml(responses(spark, body)).select("IATA_CODE", "AVG_DELAY_MIN")) == [("BOS", 5)]
 
 
+def test_entries_of_any_list_and_depth():
+    deep = (
+        "<A><Delay_type><Name>New Programs</Name><Some_New_List><Group><Entry><ARPT>bos</ARPT><a><Min>1 minute</Min>"
+        "<b><Max>2 minutes</Max></b><Max>3 minutes</Max></a><Min>4 minutes</Min></Entry></Group></Some_New_List>"
+        "<Loose><ARPT>SEA</ARPT></Loose></Delay_type><Other><X><ARPT>LAX</ARPT></X></Other></A>"
+    )
+    found = list(nas_feeds.xml_entries(deep))
+    assert [(name, entry["ARPT"]) for name, entry in found] == [("New Programs", "bos"), ("New Programs", "SEA")]
+    assert (found[0][1]["Min"], found[0][1]["Max"]) == ("1 minute", "2 minutes") and "Min" not in found[1][1]
+    assert list(nas_feeds.xml_entries("<A><Delay_type>")) == list(nas_feeds.xml_entries(None)) == []
+
+
 def test_texts_are_whole_where_no_length_is_given(spark):
     body = XML.replace("low ceilings &amp; fog", "w" * 700)
     reason = F.max(F.length("REASON"))
