@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.llm.tables import held_out, trained_on
+from tarmac.llm.tables import held_out, staged, trained_on
 
 UNDETERMINED = "und"
 #: Symbols parsed in a row; a longer text goes on in a parse of its own, in every language alike.
@@ -42,8 +42,57 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.cumsum([len(text) for text in low], dtype=np.int64)
 
 
-def automaton(symbols: np.ndarray, n_symbols: int) -> np.ndarray:
-    """Transitions of the suffix automaton of a sequence, a row per state; 0 is the root and stands for none."""
+#: Bits of a symbol: a code point, or 0 for a gap.
+_SYMBOL_BITS = 21
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
+@dataclass
+class Transitions:
+    """Ways from state to state in an open hash table: as large as the ways there are, whatever the alphabet."""
+
+    keys: np.ndarray  # state and symbol, or -1 where a slot is free
+    targets: np.ndarray
+
+    @classmethod
+    def of(cls, states: np.ndarray, symbols: np.ndarray, targets: np.ndarray) -> Transitions:
+        bits = max(1, int(2 * len(targets)).bit_length())
+        table = cls(np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32))
+        keys = (states << _SYMBOL_BITS) | symbols
+        slots = table._slots(keys)
+        left = np.arange(len(keys))
+        while len(left):
+            free = left[table.keys[slots[left]] < 0]
+            _, first = np.unique(slots[free], return_index=True)
+            placed = free[first]
+            table.keys[slots[placed]] = keys[placed]
+            table.targets[slots[placed]] = targets[placed]
+            left = left[table.keys[slots[left]] != keys[left]]
+            slots[left] = (slots[left] + 1) & (len(table.keys) - 1)
+        return table
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        shift = np.uint64(65 - len(self.keys).bit_length())
+        return ((keys.astype(np.uint64) * _SPREAD) >> shift).astype(np.int64)
+
+    def follow(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The state each way leads to, 0 where there is none."""
+        keys = (states << _SYMBOL_BITS) | symbols
+        slots = self._slots(keys)
+        there = self.keys[slots]
+        to = np.where(there == keys, self.targets[slots], 0)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        while len(left):
+            slots[left] = (slots[left] + 1) & (len(self.keys) - 1)
+            there = self.keys[slots[left]]
+            met = there == keys[left]
+            to[left[met]] = self.targets[slots[left[met]]]
+            left = left[~met & (there >= 0)]
+        return to
+
+
+def automaton(symbols: np.ndarray) -> Transitions:
+    """Transitions of the suffix automaton of a sequence; state 0 is the root and stands for none."""
     follow: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -70,41 +119,35 @@ def automaton(symbols: np.ndarray, n_symbols: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[state] = copy
         last = state
-    table = np.zeros((len(follow), n_symbols), np.int32)
-    for state, ways in enumerate(follow):
-        for symbol, to in ways.items():
-            table[state, symbol] = to
-    return table
+    ways = [(state, symbol, to) for state, out in enumerate(follow) for symbol, to in out.items()]
+    return Transitions.of(*np.array(ways, np.int64).reshape(-1, 3).T)
 
 
 @dataclass
 class LanguageModel:
-    """Automata of all languages over one alphabet: the gap 0, the letters seen, and one symbol for other letters."""
+    """Automata of all languages; symbols are code points of letters and marks, and 0 for the gaps between words."""
 
     languages: list[str]
-    letters: np.ndarray  # code points, in order
-    tables: list[np.ndarray]
+    tables: list[Transitions]
     sizes: list[int]  # symbols of each sample
+    n_symbols: int = 0  # distinct symbols of all samples
+    most_per_letter: float = math.inf  # phrases a letter of a text in a known language takes at most
 
     def prices(self) -> np.ndarray:
         """Bits a phrase costs in each language: a place in its sample, or one of all symbols."""
-        return np.log2(np.array(self.sizes, float) + len(self.letters) + 2)
+        return np.log2(np.array(self.sizes, float) + self.n_symbols + 2)
 
     def costs(self, counts: np.ndarray) -> np.ndarray:
         """Counts of phrases as bits, over the bits of a phrase in the largest sample; equal samples leave the counts."""
         prices = self.prices()
         return counts * (prices / prices.max())
 
-    def symbols(self, codes: np.ndarray) -> np.ndarray:
-        lookup = _symbol_lookup(self.letters.tobytes())
-        return lookup[codes]
-
     def phrases(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases each text (row) takes in each language (column), and whether it has a letter."""
+        """Phrases each text (row) takes in each language (column), and how many letters it has."""
         codes, ends = _codes([text or "" for text in texts])
         letter = np.append(np.uint32(0), np.cumsum(_letters()[0][codes], dtype=np.uint32))
-        has_letter = letter[ends] > letter[np.append(0, ends[:-1])]
-        symbols = self.symbols(codes)
+        letters = (letter[ends] - letter[np.append(0, ends[:-1])]).astype(np.int64)
+        symbols = _symbols(codes)
         # runs of gaps are one gap, and a text has none at its start
         starts = np.zeros(len(codes) + 1, bool)
         starts[np.append(0, ends[:-1])] = True
@@ -124,21 +167,20 @@ class LanguageModel:
         running = np.searchsorted(-length, -np.arange(1, STRETCH + 1), side="right")
         counts = np.zeros((len(texts), len(self.tables)), np.int64)
         for column, table in enumerate(self.tables):
-            width = table.shape[1]
-            flat, root = table.ravel(), table[0]
             state = np.zeros(len(of), np.int64)
             taken = np.ones(len(of), np.int64)
             for at, n in enumerate(running.tolist()):
                 if not n:
                     break
                 symbol = symbols[first[:n] + at]
-                to = flat[state[:n] * width + symbol]
-                ended = to == 0
+                to = table.follow(state[:n], symbol)
+                ended = np.flatnonzero(to == 0)
                 if at:
-                    taken[:n] += ended
-                state[:n] = np.where(ended, root[symbol], to)
+                    taken[ended] += 1
+                to[ended] = table.follow(np.zeros(len(ended), np.int64), symbol[ended])
+                state[:n] = to
             counts[:, column] = np.bincount(of, weights=taken, minlength=len(texts))
-        return counts, has_letter
+        return counts, letters
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language of least cost (of equals the first by name) and its share of the odds.
@@ -148,7 +190,8 @@ class LanguageModel:
         """
         if not self.languages:
             return [UNDETERMINED] * len(texts), np.zeros(len(texts))
-        counts, has_letter = self.phrases(texts)
+        counts, letters = self.phrases(texts)
+        has_letter = letters > 0
         costs = self.costs(counts)
         best = costs.argmin(axis=1)
         behind = costs - costs.min(axis=1, keepdims=True)
@@ -158,23 +201,34 @@ class LanguageModel:
         return names, score
 
 
-@lru_cache(maxsize=2)
-def _symbol_lookup(letters: bytes) -> np.ndarray:
-    codes = np.frombuffer(letters, np.uint32)
-    lookup = np.where(_letters()[1], len(codes) + 1, GAP).astype(np.uint16)
-    lookup[codes] = np.arange(1, len(codes) + 1)
-    return lookup
+def _symbols(codes: np.ndarray) -> np.ndarray:
+    return np.where(_letters()[1][codes], codes, GAP).astype(np.int64)
 
 
-def learn(docs: DataFrame, docs_per_language: int = 100, chars_per_doc: int = 400, max_letters: int = 4_000) -> LanguageModel:
+def _one_gap(symbols: np.ndarray) -> np.ndarray:
+    gap = symbols == GAP
+    return symbols[~gap | ~np.append(True, gap[:-1])]
+
+
+def learn(
+    docs: DataFrame,
+    docs_per_language: int = 100,
+    chars_per_doc: int = 400,
+    docs_to_calibrate: int = 50,
+    max_languages: int = 1_000,
+) -> LanguageModel:
     """Fit on a bounded sample: ``docs_per_language`` labelled documents of each language, an excerpt of each.
 
     The documents are those of the smallest hash of their id; ids whose CRC-32
-    is divisible by five, and rows without language or text, teach nothing.
+    is divisible by five, and rows without language or text, teach nothing; nor
+    do labels beyond the ``max_languages`` that most documents have.
     The excerpt begins at a place the hash picks.  Every language keeps its own
     sample whatever the size of the others; phrases are priced by that size, so
-    that no language gains by having been seen more or less.  The sample is all
-    that reaches the driver.
+    that no language gains by having been seen more or less.  An automaton is as
+    large as its own sample, whatever letters other languages have.  The next
+    ``docs_to_calibrate`` documents of each language say how many phrases a
+    letter takes where the language is known.  The samples are all that reaches
+    the driver.
     """
     order = F.xxhash64("doc_id", "text")
     labelled = docs.where(trained_on(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
@@ -187,28 +241,51 @@ def learn(docs: DataFrame, docs_per_language: int = 100, chars_per_doc: int = 40
         ).alias("text"),
     )
     first = Window.partitionBy("lang").orderBy("order", "text")
-    rows = labelled.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= docs_per_language).collect()
+    last = docs_per_language + docs_to_calibrate
+    sample = staged(labelled.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= last), "samples")
+    commonest = sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+    rows = sample.join(F.broadcast(commonest), "lang", "left_semi").collect()
     texts: dict[str, list[str]] = {}
+    spare: list[str] = []
     for row in sorted(rows, key=lambda row: (row["lang"], row["rank"])):
-        texts.setdefault(row["lang"], []).append(row["text"])
-    joined = {lang: " ".join(parts) for lang, parts in sorted(texts.items())}
-    seen, times = np.unique(np.concatenate([_codes([text])[0] for text in joined.values()] or [np.empty(0, np.uint32)]), return_counts=True)
-    inner = _letters()[1][seen]
-    seen, times = seen[inner], times[inner]
-    seen = np.sort(seen[np.argsort(-times, kind="stable")[:max_letters]])
-    model = LanguageModel(list(joined), seen.astype(np.uint32), [], [])
-    other = len(seen) + 1
-    for text in joined.values():
-        symbols = model.symbols(_codes([text])[0])
-        gap = symbols == GAP
-        symbols = symbols[~gap | ~np.append(True, gap[:-1])]
-        table = automaton(symbols, other + 1)
-        table[:, other] = 0
-        model.tables.append(table)
+        if row["rank"] <= docs_per_language:
+            texts.setdefault(row["lang"], []).append(row["text"])
+        else:
+            spare.append(row["text"])
+    model = LanguageModel(sorted(texts), [], [])
+    seen: list[np.ndarray] = []
+    for lang in model.languages:
+        symbols = _one_gap(_symbols(_codes([" ".join(texts[lang])])[0]))
+        model.tables.append(automaton(symbols))
         model.sizes.append(len(symbols))
+        seen.append(symbols)
+    if seen:
+        pool = np.concatenate(seen)
+        model.n_symbols = len(np.unique(pool)) - 1
+        model.most_per_letter = _border(model, pool, spare)
     return model
 
 
+def _border(model: LanguageModel, pool: np.ndarray, spare: list[str], n: int = 200, length: int = 100) -> float:
+    """Phrases per letter between text of the learning folds and letters drawn without order from the samples.
+
+    Halfway from the 99th percentile of documents that are in no automaton to
+    the fifth of the noise; without such documents four fifths of its median.
+    """
+
+    def rates(texts: list[str]) -> np.ndarray:
+        counts, letters = model.phrases(texts)
+        return counts.min(axis=1) / np.maximum(letters, 1)
+
+    drawn = np.random.default_rng(0).choice(pool, (n, length))
+    noise = rates(["".join(chr(code) if code else " " for code in line) for line in drawn.tolist()])
+    border = 0.8 * float(np.median(noise))
+    if len(spare) >= 20:
+        known, low = float(np.percentile(rates(spare), 99)), float(np.percentile(noise, 5))
+        border = (known + low) / 2 if known < low else float(np.median(noise))
+    return border
+
+
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` of every row, by its whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -244,17 +321,21 @@ def _in_slices(batches: Iterator[pa.RecordBatch], size: int = 1_000_000) -> Iter
 def keep_recognised(docs: DataFrame, model: LanguageModel, min_phrases: int = 8) -> DataFrame:
     """The rows of ``docs`` in a recognised language, with all their columns.
 
-    Rejected are texts without a letter, and those of ``min_phrases`` or more
-    that all languages need equally many phrases for, as noise in no language
-    does.  A text too short to tell is kept.
+    Rejected are null texts and those without a letter, and texts of
+    ``min_phrases`` phrases or more that take more phrases per letter in every
+    language than text of the learning folds does: letters without order, or of
+    unknown scripts.  A text too short to tell is kept, and with nothing learned
+    every text that has a letter.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in _in_slices(batches):
-            counts, known = shared.value.phrases(texts)
-            if counts.shape[1] > 1:
-                known &= (counts.min(axis=1) < counts.max(axis=1)) | (counts.min(axis=1) < min_phrases)
+            counts, letters = shared.value.phrases(texts)
+            known = letters > 0
+            if counts.shape[1]:
+                least = counts.min(axis=1)
+                known &= (least < min_phrases) | (least <= shared.value.most_per_letter * letters)
             yield batch.filter(pa.array(known))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -1,6 +1,7 @@
 """Language identification: automata, phrases and held-out accuracy."""
 
 import itertools
+import random
 
 import numpy as np
 
@@ -8,30 +9,34 @@ from tarmac.llm import cross_parsing as cp
 from tarmac.llm.tables import table
 
 
+def step(table_of, state, symbol):
+    return int(table_of.follow(np.array([state]), np.array([symbol]))[0])
+
+
 def phrases(text, model, k):
     """Plain greedy parse of one text."""
     codes, _ = cp._codes([text])
-    symbols = model.symbols(codes).tolist()
+    symbols = cp._symbols(codes).tolist()
     symbols = [x for at, x in enumerate(symbols) if x or (at and symbols[at - 1])]
     total = 0
     for start in range(0, len(symbols), cp.STRETCH):
         state = 0
         for at, symbol in enumerate(symbols[start : start + cp.STRETCH]):
-            to = model.tables[k][state, symbol]
+            to = step(model.tables[k], state, symbol)
             total += at == 0 or to == 0
-            state = to or model.tables[k][0, symbol]
+            state = to or step(model.tables[k], 0, symbol)
     return total
 
 
 def test_automaton_accepts_all_and_only_substrings():
     text = np.array([1, 2, 1, 1, 2, 3, 1, 2, 1, 2, 2, 3, 3, 1])
-    table_of = cp.automaton(text, 5)
+    table_of = cp.automaton(text)
     parts = {tuple(text[a:b].tolist()) for a in range(14) for b in range(a + 1, 15)}
     for size in range(1, 6):
         for word in itertools.product([1, 2, 3], repeat=size):
             state = 0
             for symbol in word:
-                state = table_of[state, symbol]
+                state = step(table_of, state, symbol)
                 if not state:
                     break
             assert bool(state) == (word in parts)
@@ -88,3 +93,48 @@ def test_a_rare_language_leaves_the_others_alone(spark, small):
     assert {"xa", "xb"} <= set(model.languages) and max(model.sizes) > 1_000
     held = cp.predict(docs, model).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert np.mean([r.lang_pred == r.lang for r in held]) > 0.95
+
+
+def test_hashed_transitions_equal_a_dictionary():
+    draw = np.random.default_rng(3)
+    states, symbols = draw.integers(0, 3_000, 9_000), draw.choice([1, 97, 0x4E00, 0x10FFFF], 9_000)
+    ways = {(a, b): k + 1 for k, (a, b) in enumerate(zip(states.tolist(), symbols.tolist()))}
+    keys = np.array(list(ways))
+    table_of = cp.Transitions.of(keys[:, 0], keys[:, 1], np.array(list(ways.values())))
+    asked, by = draw.integers(0, 4_000, 20_000), draw.choice([1, 2, 97, 0x4E00, 0x10FFFF], 20_000)
+    assert table_of.follow(asked, by).tolist() == [ways.get(key, 0) for key in zip(asked.tolist(), by.tolist())]
+
+
+def test_an_alphabet_of_thousands_costs_the_others_nothing(spark, small):
+    docs = table(spark, small, "documents")
+    draw = np.random.default_rng(4)
+    words = ["".join(map(chr, draw.integers(0x4E00, 0x4E00 + 5_000, 3))) for _ in range(2_000)]
+    rows = [(10**9 + k, "".join(draw.choice(words, 130)), "zz", "x", 390) for k in range(100)]
+    more = spark.createDataFrame(rows, docs.schema)
+    alone, both = cp.learn(docs), cp.learn(docs.unionByName(more))
+    for lang, table_of in zip(alone.languages, alone.tables):
+        assert len(both.tables[both.languages.index(lang)].keys) == len(table_of.keys)
+    size = sum(t.keys.nbytes + t.targets.nbytes for t in both.tables)
+    assert size < 30_000_000
+    got = {r.doc_id: r.lang_pred for r in cp.predict(more, both).collect()}
+    assert set(got.values()) == {"zz"}
+
+
+def test_letters_without_order_go(spark, small):
+    """Random letters, random words, letters drawn as often as in the texts, and unknown scripts among a few known words."""
+    docs = table(spark, small, "documents")
+    model = cp.learn(docs)
+    draw = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    known = "".join(c for r in docs.limit(50).collect() for c in (r.text or "").lower() if c.isalpha() or c == " ")
+    texts = []
+    for size in (30, 60, 200, 1_000):
+        for _ in range(50):
+            texts.append("".join(draw.choices(letters, k=size)))
+            texts.append(" ".join("".join(draw.choices(letters, k=draw.randint(2, 9))) for _ in range(size // 6)))
+            texts.append("".join(draw.choices(known, k=size)))
+            texts.append("the and " + "".join(chr(0x0410 + draw.randrange(32)) for _ in range(size)))
+    frame = spark.createDataFrame([(k, t, None, "x", 1) for k, t in enumerate(texts)], docs.schema)
+    kept = {r.doc_id for r in cp.keep_recognised(frame, model).collect()}
+    assert len(kept) <= 0.05 * len(texts)
+    assert cp.keep_recognised(docs, model).count() == docs.count()
