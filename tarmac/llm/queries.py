@@ -44,9 +44,8 @@ def op3_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_decontamination.find_passages(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    )
+    found = suffix_decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return suffix_decontamination.report(found)
 
 
 def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,10 +148,25 @@ hit AS (SELECT doc_id, COUNT(DISTINCT place) AS n_hit
     FROM (SELECT doc_id, unnest(range(i, i + size)) AS place FROM found) GROUP BY doc_id),
 items AS (
     SELECT doc_id, COUNT(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
-    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id),
+spots AS (
+    SELECT item, COALESCE(CAST(item_id AS VARCHAR), '') AS name, size, j, array_to_string(ws[j:j+size-1], ' ') AS g
+    FROM (SELECT *, unnest(range(1, len(ws) - size + 2)) AS j FROM (
+        SELECT row_number() OVER () AS item, * FROM (SELECT DISTINCT item_id, ws, size FROM b)))),
+diagonals AS (
+    SELECT doc_id, item, name, size, i, j, i - row_number() OVER (PARTITION BY doc_id, item, i - j ORDER BY i) AS island
+    FROM grams JOIN spots USING (g, size)),
+longest AS (
+    SELECT doc_id, item, name, MIN(i) - 1 AS doc_start, MIN(j) - 1 AS item_start, COUNT(*) + MIN(size) - 1 AS length
+    FROM diagonals GROUP BY doc_id, item, name, i - j, island),
+best AS (
+    SELECT doc_id, COUNT(*) AS n_matches,
+        arg_min({{'n': length, 'd': doc_start, 'name': name, 's': item_start}}, (-length, doc_start, name, item_start)) AS m
+    FROM longest GROUP BY doc_id)
+SELECT d.doc_id, COALESCE(n_matches, 0) AS n_matches, m.n AS longest_words, m.d AS longest_doc_start,
+    m.name AS longest_item, m.s AS longest_item_start, CAST(len(ws) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
     sha256(COALESCE(names, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN best USING (doc_id)"""
 
 # CRC-32 of the id's decimal digits: a byte is mixed in, then eight bits are shifted out
 _CRC32 = """xor(list_reduce(

@@ -8,8 +8,7 @@ match, so a suffix array needs no order behind such a word.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.tables import staged
+
 #: Fixed: bytes that part words (ASCII but digits and letters); A-Z become a-z.
 _TO_WORDS = bytes(
     code + 32 if 65 <= code <= 90 else code if 48 <= code <= 57 or 97 <= code <= 122 or code >= 128 else 32
@@ -242,8 +243,8 @@ def _batches_in_shards(
             yield batch.slice(start), held
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[Probes]:
-    """The items as blocks of about ``block_bytes`` of text each, as each goes to every task.
+def benchmark_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> tuple[int, Callable[[int], Probes]]:
+    """How many blocks of about ``block_bytes`` of text the items make, and what collects one of them.
 
     The text is measured first.  Items without words have no suffix.
     """
@@ -251,10 +252,19 @@ def benchmark_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> lis
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n = max(1, -(-size // block_bytes))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [
-        probes_of([tuple(row) for row in items.where(block == k).distinct().collect()], window)
-        for k in range(n)
-    ]
+    return n, lambda k: probes_of([tuple(row) for row in items.where(block == k).distinct().collect()], window)
+
+
+_MATCH = pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("doc_start", pa.int64()), ("length", pa.int64())])
+_SPAN = pa.struct([("start", pa.int64()), ("stop", pa.int64())])
+_MATCHES = "array<struct<item_id: string, item_start: long, doc_start: long, length: long>>"
+_PASS = f"doc_id long, text string, n_words long, spans array<struct<start: long, stop: long>>, items array<string>, matches {_MATCHES}"
+
+
+def _spans(hit: np.ndarray) -> list[dict]:
+    """Stretches of marked words."""
+    edges = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
+    return [{"start": start, "stop": stop} for start, stop in edges.reshape(-1, 2).tolist()]
 
 
 def find_passages(
@@ -263,58 +273,99 @@ def find_passages(
     window: int = 10,
     shard_words: int = 1_000_000,
     block_bytes: int = 32 << 20,
-    with_matches: bool = False,
 ) -> DataFrame:
     """What each document shares with the benchmark; a row per row of ``docs``, without a shuffle.
 
     ``n_words``; ``n_hit``, words inside an occurrence of ``window``
     consecutive item words, or of a whole shorter item; ``n_items``;
     ``items_sha256`` over the item ids in text order, comma-joined (over
-    nothing: of the empty text); ``contaminated``.  ``with_matches`` adds
-    ``matches``, the longest verbatim matches with their places in words.
+    nothing: of the empty text); ``contaminated``; and ``matches``, the longest
+    verbatim matches with their places in words, by place in the document, item
+    and place in the item.
 
     Null and empty texts have no words.  Rows of one item id count as one item;
-    rows without an id hit words but are neither counted nor named.  A task
-    holds one shard of words at a time.
+    rows without an id hit words but are neither counted nor named.  An empty
+    benchmark hits nothing.  Rows of ``docs`` that share an id, or have none,
+    are searched each; their other columns play no part.  A task holds one
+    shard of words and one block of the benchmark at a time: a benchmark of
+    several blocks is searched block after block, each pass written to the
+    shared folder with what it has found.
     """
-    blocks = benchmark_blocks(benchmark, window, block_bytes)
-    context = docs.sparkSession.sparkContext
-    shared = [context.broadcast(block) for block in blocks]
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _batches_in_shards(batches, shard_words):
-            hit = None
-            names: list[set[str]] = [set() for _ in texts]
-            matches: list[list[dict]] = [[] for _ in texts]
-            for block in shared:
-                shard = Shard(texts, block.value, window)
-                hit = shard.hits() if hit is None else hit | shard.hits()
-                for of, items in zip(names, shard.found()):
-                    of |= {block.value.names[item] for item in items} - {None}
-                if with_matches:
-                    matches = [a + b for a, b in zip(matches, shard.matches())]
-            n_hit = np.add.reduceat(hit.astype(np.int64), shard.starts)
-            columns = {
-                "doc_id": batch.column("doc_id"),
-                "n_words": shard.sizes,
-                "n_hit": n_hit,
-                "n_items": [len(of) for of in names],
-                "items_sha256": [hashlib.sha256(",".join(sorted(of)).encode()).hexdigest() for of in names],
-                "contaminated": n_hit > 0,
-            }
-            if with_matches:
-                columns["matches"] = pa.array(matches, _MATCHES)
-            yield pa.RecordBatch.from_pydict(columns)
-
-    schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    if with_matches:
-        schema += ", matches array<struct<item_id: string, item_start: long, doc_start: long, length: long>>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(search, schema)
-
-
-_MATCHES = pa.list_(
-    pa.struct([("item_id", pa.string()), ("item_start", pa.int64()), ("doc_start", pa.int64()), ("length", pa.int64())])
-)
+    n_blocks, collect = benchmark_blocks(benchmark, window, block_bytes)
+    spark = docs.sparkSession
+    nothing = {"n_words": "long", "spans": "array<struct<start: long, stop: long>>", "items": "array<string>", "matches": _MATCHES}
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+        *[F.lit(None).cast(kind).alias(name) for name, kind in nothing.items()],
+    )
+
+    def search(shared, last: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, texts in _batches_in_shards(batches, shard_words):
+                shard = Shard(texts, shared.value, window)
+                hit = shard.hits()
+                before = [batch.column(name).to_pylist() for name in ("spans", "items", "matches")]
+                spans, items, matches = [], [], []
+                for at, (found, longest_ones, start, size) in enumerate(
+                    zip(shard.found(), shard.matches(), shard.starts.tolist(), shard.sizes.tolist())
+                ):
+                    own = hit[start : start + size]
+                    for span in before[0][at] or ():
+                        own[span["start"] : span["stop"]] = True
+                    spans.append(_spans(own) if own.any() else [])
+                    items.append(sorted({shared.value.names[item] for item in found} - {None} | set(before[1][at] or ())))
+                    every = [*(before[2][at] or ()), *longest_ones]
+                    matches.append(sorted(every, key=lambda m: (m["doc_start"], m["item_id"] or "", m["item_start"])))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id"),
+                        pa.nulls(len(texts), pa.string()) if last else batch.column("text"),
+                        pa.array(shard.sizes, pa.int64()),
+                        pa.array(spans, pa.list_(_SPAN)),
+                        pa.array(items, pa.list_(pa.string())),
+                        pa.array(matches, pa.list_(_MATCH)),
+                    ],
+                    names=["doc_id", "text", "n_words", "spans", "items", "matches"],
+                )
+
+        return run
+
+    for k in range(n_blocks):
+        shared = spark.sparkContext.broadcast(collect(k))
+        rows = rows.mapInArrow(search(shared, k == n_blocks - 1), _PASS)
+        if k < n_blocks - 1:
+            rows = staged(rows, "passages")
+            shared.unpersist()
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span.stop - span.start)
+    return rows.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+        "matches",
+    )
+
+
+def report(found: DataFrame) -> DataFrame:
+    """The rows of ``find_passages`` with the number of matches and the longest one in place of all.
+
+    Of equal lengths the first in the document counts, then by item and place in it.
+    """
+    longest_one = F.array_min(
+        F.transform("matches", lambda m: F.struct(-m.length, m.doc_start, F.coalesce(m.item_id, F.lit("")), m.item_start))
+    )
+    best = found.withColumn("best", longest_one)
+    return best.select(
+        *[name for name in found.columns if name != "matches"],
+        F.size("matches").cast("long").alias("n_matches"),
+        (-F.col("best.col1")).alias("longest_words"),
+        F.col("best.doc_start").alias("longest_doc_start"),
+        F.col("best.col3").alias("longest_item"),
+        F.col("best.item_start").alias("longest_item_start"),
+    )
 
 
 def remove_affected(
@@ -324,17 +375,25 @@ def remove_affected(
     shard_words: int = 1_000_000,
     block_bytes: int = 32 << 20,
 ) -> DataFrame:
-    """The rows of ``docs`` without a benchmark passage, with all their columns, in one pass."""
-    shared = [
-        docs.sparkSession.sparkContext.broadcast(block) for block in benchmark_blocks(benchmark, window, block_bytes)
-    ]
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in _batches_in_shards(batches, shard_words):
-            hit = np.zeros(len(texts), bool)
-            for block in shared:
-                shard = Shard(texts, block.value, window)
-                hit |= np.logical_or.reduceat(shard.hits(), shard.starts)
-            yield batch.filter(pa.array(~hit))
-
-    return docs.mapInArrow(keep, docs.schema)
+    """The rows of ``docs`` without a benchmark passage, with all their columns.
+
+    Null and empty texts, and all rows where the benchmark is empty, stay.  A
+    benchmark of several blocks takes a pass for each.
+    """
+    n_blocks, collect = benchmark_blocks(benchmark, window, block_bytes)
+
+    def keep_clean(shared):
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch, texts in _batches_in_shards(batches, shard_words):
+                shard = Shard(texts, shared.value, window)
+                yield batch.filter(pa.array(~np.logical_or.reduceat(shard.hits(), shard.starts)))
+
+        return keep
+
+    for k in range(n_blocks):
+        shared = docs.sparkSession.sparkContext.broadcast(collect(k))
+        docs = docs.mapInArrow(keep_clean(shared), docs.schema)
+        if k < n_blocks - 1:
+            docs = staged(docs, "clean")
+            shared.unpersist()
+    return docs

@@ -56,6 +56,49 @@ def test_given_documents(spark, small, options):
     assert found(docs, benchmark, **options) == expected
 
 
+def longest(docs, items, window=10):
+    """Maximal verbatim matches by plain extension of every window."""
+    rows = {}
+    items = [(i, words(t)) for i, t in dict.fromkeys(items) if words(t)]
+    for doc_id, text in docs:
+        own, out = words(text), set()
+        for item_id, item in items:
+            size = min(window, len(item))
+            for b in range(len(item) - size + 1):
+                for a in range(len(own) - size + 1):
+                    if own[a : a + size] == item[b : b + size]:
+                        x, y, n = a, b, size
+                        while x and y and own[x - 1] == item[y - 1]:
+                            x, y, n = x - 1, y - 1, n + 1
+                        while x + n < len(own) and y + n < len(item) and own[x + n] == item[y + n]:
+                            n += 1
+                        out.add((x, "" if item_id is None else str(item_id), y, n))
+        rows[str(doc_id)] = sorted(out)
+    return rows
+
+
+@pytest.mark.parametrize("block_bytes", [32 << 20, 40])
+def test_longest_matches_and_their_places(spark, block_bytes):
+    """Overlapping, repeated and nested passages, items shorter than a window, blocks one after the other."""
+    draw = random.Random(5)
+    letters = "a b c d e f".split()
+    items = [(k, " ".join(draw.choices(letters, k=draw.choice([2, 3, 5, 9])))) for k in range(6)] + [(None, "f a f a f")]
+    docs = [(k, " ".join(draw.choices([*letters, "z"], k=40))) for k in range(25)] + [(90, None), (91, "")]
+    docs += [(92, " ".join(t for _, t in items))]
+    frame = spark.createDataFrame([(*row, "x", 1) for row in docs], "doc_id long, text string, spans string, items int").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    expected = longest(docs, items, window=4)
+    found_rows = sd.find_passages(frame, benchmark, window=4, block_bytes=block_bytes)
+    for row in found_rows.collect():
+        assert [(m.doc_start, m.item_id or "", m.item_start, m.length) for m in row.matches] == expected[str(row.doc_id)]
+    for row in sd.report(found_rows).collect():
+        want = expected[str(row.doc_id)]
+        best = min(((-n, x, i, y) for x, i, y, n in want), default=(None,) * 4)
+        got = (row.longest_words and -row.longest_words, row.longest_doc_start, row.longest_item, row.longest_item_start)
+        assert (row.n_matches, got) == (len(want), best)
+    assert sd.remove_affected(frame, benchmark, window=4, block_bytes=block_bytes).count() == sum(not m for m in expected.values())
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     items = [(1, None), (2, ""), (3, "one"), (None, "two three four"), (4, "ELEVEN"), (4, "lorem ipsum"),
              (5, "one two three four five six seven eight nine ten eleven twelve")]
