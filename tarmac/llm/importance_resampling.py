@@ -64,7 +64,7 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     return np.log(share[1]) - np.log(share[0])
 
 
-def weighted(docs: DataFrame, ratio: np.ndarray, effective_grams: int) -> DataFrame:
+def weighted(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_grams`` and ``log_weight`` of every row."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
@@ -74,7 +74,7 @@ def weighted(docs: DataFrame, ratio: np.ndarray, effective_grams: int) -> DataFr
             for text in batch.column("text"):
                 grams = gram_buckets(text.as_py())
                 sizes.append(len(grams))
-                weights.append(float(shared.value[grams].mean()) * min(len(grams), effective_grams) if len(grams) else 0.0)
+                weights.append(float(shared.value[grams].sum()) if len(grams) else 0.0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(weights, pa.float64())],
                 names=["doc_id", "text_hash", "n_grams", "log_weight"],
@@ -95,40 +95,62 @@ def gumbel(seed: int) -> Column:
 def kth_largest(rows: DataFrame, k: int, few: int = 50_000) -> tuple[float, int] | None:
     """``sample_key`` and ``text_hash`` of the row in place ``k`` by falling key, then by ``text_hash``.
 
-    The place is closed in by quantiles until ``few`` rows are left to sort, so
-    no more than those ever meet in one task.
+    The place is closed in by quantiles of the key, then, if all keys that are
+    left tie, of the hash, until ``few`` rows are left to sort, so no more than
+    those ever meet in one task.  Rows equal in both are one place to look at.
     """
-    band, above = rows, 0
-    n = band.count()
+    n = rows.count()
     if not 0 < k <= n:
         return None
+    counted = rows.select("sample_key", "text_hash")
+    key, before = _closed_in(counted, "sample_key", n - k + 1, n, few)
+    ties = counted.where(F.col("sample_key") == F.lit(key))
+    m = ties.count()
+    # places from the top among the ties, whose hashes rise
+    place = k - (n - before - m)
+    text_hash, _ = _closed_in(ties, "text_hash", place, m, few)
+    return key, text_hash
+
+
+def _closed_in(rows: DataFrame, column: str, place: int, n: int, few: int):
+    """The value in ``place`` from the smallest on, and the rows with smaller values."""
+    below = 0
     while n > few:
-        near = 1 - (k - above) / n
-        low, high = (
-            band.agg(F.percentile_approx("sample_key", [max(0.0, near - 0.002), min(1.0, near + 0.002)], 10_000)).first()[0]
-        )
-        over = band.where(F.col("sample_key") > high).count()
-        inside = F.col("sample_key").between(low, high)
-        m = band.where(inside).count()
-        if not over < k - above <= over + m or m == n:
-            break
-        band, above, n = band.where(inside), above + over, m
-    place = k - above
-    last = band.orderBy(F.desc("sample_key"), "text_hash").limit(place).orderBy("sample_key", F.desc("text_hash")).first()
-    return last["sample_key"], last["text_hash"]
-
-
-def resample(docs: DataFrame, target_ids: DataFrame, share: float = 0.75, effective_grams: int = 64, seed: int = 0) -> DataFrame:
+        near = (place - below) / n
+        cuts = [max(0.0, near - 0.002), min(1.0, near + 0.002)]
+        low, high = rows.agg(F.percentile_approx(column, cuts, 10_000)).first()[0]
+        sides = rows.agg(F.count_if(F.col(column) < low).alias("under"), F.count_if(F.col(column) <= high).alias("upto")).first()
+        if below + sides["upto"] < place:
+            rows, n, below = rows.where(F.col(column) > high), n - sides["upto"], below + sides["upto"]
+        elif below + sides["under"] >= place:
+            rows, n = rows.where(F.col(column) < low), sides["under"]
+        elif low == high:
+            return low, below + sides["under"]
+        elif sides["upto"] - sides["under"] == n:
+            # no cut helps: the distinct values are few enough to be counted, or the range is halved
+            middle = (low + high) / 2 if isinstance(low, float) else (low + high) // 2
+            upto = rows.where(F.col(column) <= middle).count()
+            rows, n, below = (
+                (rows.where(F.col(column) <= middle), upto, below)
+                if below + upto >= place
+                else (rows.where(F.col(column) > middle), n - upto, below + upto)
+            )
+        else:
+            rows, n, below = rows.where(F.col(column).between(low, high)), sides["upto"] - sides["under"], below + sides["under"]
+    values = [row[0] for row in rows.select(column).orderBy(column).limit(place - below).collect()]
+    value = values[-1]
+    return value, below + values.index(value)
+
+
+def resample(docs: DataFrame, target_ids: DataFrame, share: float = 0.75, seed: int = 0) -> DataFrame:
     """``doc_id``, ``n_grams``, ``log_weight``, ``sample_key`` and ``selected`` for every row of ``docs``.
 
     ``target_ids`` holds the ``doc_id`` of target documents.  Both models are
-    counted over all documents.  The log weight is the mean log ratio of a
-    text's n-grams times their number, of which no more than
-    ``effective_grams`` count as independent, so that length alone decides
-    nothing.  The ``share`` of rows with the largest sum of log weight and
+    counted over all documents.  The log weight is the importance ratio of the
+    two models: the sum of the log ratios of all n-grams of a text.  The ``share`` of rows with the largest sum of log weight and
     Gumbel noise is selected; rows equal in id and text share their fate.
 
-    Null and empty texts have no n-grams and weigh as much as the raw mean.
+    Null and empty texts have no n-grams and log weight 0: both models give them equally.
     With an empty target all weigh nearly the same.  Rows without an id are
     sampled like others.
     """
@@ -137,7 +159,7 @@ def resample(docs: DataFrame, target_ids: DataFrame, share: float = 0.75, effect
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids.withColumn("in_target", F.lit(True)), "doc_id", "left"
     )
     ratio = log_ratio(gram_counts(marked))
-    rows = weighted(docs, ratio, effective_grams).withColumn("sample_key", F.col("log_weight") + gumbel(seed))
+    rows = weighted(docs, ratio).withColumn("sample_key", F.col("log_weight") + gumbel(seed))
     rows = staged(rows, "weights")
     last = kth_largest(rows, math.ceil(share * rows.count()))
     chosen = F.lit(False)

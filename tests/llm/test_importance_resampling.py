@@ -3,7 +3,6 @@
 import collections
 import math
 
-import numpy as np
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -44,7 +43,7 @@ def test_weights_and_sample_of_the_given_documents(spark, small):
         grams = buckets(text)
         logs = [math.log((aimed[g] + 1) / n_aimed) - math.log((raw[g] + 1) / n_raw) for g in grams]
         assert got[doc_id].n_grams == len(grams)
-        assert math.isclose(got[doc_id].log_weight, np.mean(logs) * min(len(grams), 64), abs_tol=1e-9)
+        assert math.isclose(got[doc_id].log_weight, math.fsum(logs), rel_tol=1e-9, abs_tol=1e-6)
     order = sorted(got.values(), key=lambda r: -r.sample_key)
     k = math.ceil(0.4 * len(order))
     assert [r.selected for r in order] == [True] * k + [False] * (len(order) - k)
@@ -64,6 +63,20 @@ def test_place_in_order_is_exact_whatever_is_held(spark):
     assert ir.kth_largest(rows, 0) is None
 
 
+def test_ties_are_closed_in_by_the_hash(spark):
+    """All keys equal, a few keys, and rows equal in both: no more than ``few`` rows are ever sorted."""
+    frames = {
+        "one key": spark.range(6_000).select(F.lit(0.5).alias("sample_key"), F.xxhash64("id").alias("text_hash")),
+        "three keys": spark.range(6_000).select((F.col("id") % 3 / 2.0).alias("sample_key"), F.xxhash64("id").alias("text_hash")),
+        "one hash": spark.range(6_000).select(F.lit(0.5).alias("sample_key"), F.lit(7).cast("long").alias("text_hash")),
+        "steps": spark.range(6_000).select(F.exp(F.col("id") % 40).alias("sample_key"), (F.col("id") % 5).alias("text_hash")),
+    }
+    for name, rows in frames.items():
+        order = sorted(((r.sample_key, r.text_hash) for r in rows.collect()), key=lambda r: (-r[0], r[1]))
+        for k in (1, 2_000, 4_500, 6_000):
+            assert ir.kth_largest(rows, k, few=200) == order[k - 1], (name, k)
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     ids = spark.createDataFrame([(5,), (None,), (4,), (4,)], "doc_id long")
     got = ir.resample(edge_docs, ids, share=0.5).collect()
