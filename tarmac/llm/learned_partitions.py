@@ -238,7 +238,8 @@ def search(
                 [*batch.columns, pa.array(part, pa.int32())], names=[*batch.schema.names, "part"]
             )
 
-    placed = staged(index.mapInArrow(place, "embedding array<float>, ids array<long>, key long, part int"), "parts")
+    element = index.schema["embedding"].dataType.simpleString()  # float or double, as given
+    placed = staged(index.mapInArrow(place, f"embedding {element}, ids array<long>, key long, part int"), "parts")
     sizes = [0] * parts
     for row in placed.groupBy("part").count().collect():
         sizes[row["part"]] = row["count"]
@@ -268,7 +269,7 @@ def search(
             )
 
     routed = staged(
-        queries.mapInArrow(route, "key long, embedding array<float>, parts array<int>"), "routes"
+        queries.mapInArrow(route, f"key long, embedding {element}, parts array<int>"), "routes"
     ).withColumn("part", F.explode("parts"))
     asked_of = [0] * parts
     for row in routed.groupBy("part").count().collect():

@@ -317,9 +317,8 @@ def learn_lexicon(sample: DataFrame, n_toxic: int, n_clean: int, least_share: fl
         .where((F.col("n_toxic") >= max(1.0, least_share * n_toxic)) & (evidence >= least_evidence))
         .withColumn("odds", odds)
         .where("odds >= 8")
-        # no more words than the support leaves room for: each has a share of the toxic documents
+        # every part has its share of the toxic documents of the sample, which bounds their number
         .orderBy(F.desc("n_toxic"), "part")
-        .limit(5_000)
         .collect()
     )
     lexicon = Lexicon()
