@@ -1,7 +1,9 @@
 """Main text of pages, page by page and by the vote of a host."""
 
 import html
+import random
 import re
+import time
 
 import pytest
 
@@ -39,6 +41,20 @@ def test_given_pages(spark, small):
         ("<![CDATA[raw <b>]]> end", "raw <b> end"),
         (None, ""),
         ("", ""),
+        # quotes count where a value begins, and only if they are closed
+        ("<p>a<img alt=\"5\" tall\">b</p>", "ab"),
+        ("<p>one <a href=\"x>two</a> three", "one two three"),
+        ("<p>1 <2 and 3> 2, a<b", "1 <2 and 3> 2, a<b"),
+        ("<p>x</p  ><script>1</SCRIPT x>y<!-->z--><p>w<!-- never", "x yz--> w"),
+        # a headline in a container of its own, before a text without one
+        ("<div class='menu'>" + "many links " * 9 + "</div><div class='title'>The News</div><div class='content'><p>" + "body " * 9
+         + "</p></div><div class='footer'>" + "foot " * 9 + "</div>", "The News " + ("body " * 9).strip()),
+        ("<div><h1>Name</h1></div><div><div class=a><p>" + "long " * 9 + "</p></div></div>", "Name " + ("long " * 9).strip()),
+        ("<div class=site-title>Site</div><div class=c><h1>Own</h1><p>" + "text " * 9 + "</p></div>", "Own " + ("text " * 9).strip()),
+        # names of topics are no chrome inside an article, names of chrome are
+        ("<article><p>" + "body " * 9 + "</p><div class='notice-of-award'>won</div><div class='search-results-analysis'>found</div>"
+         "<div class='related-posts'>more</div><div class='cookie-notice'>ok?</div><div id=ad-300x250>buy</div></article>",
+         "body " * 9 + "won found"),
         ("<p>" + "long " * 200_000 + "</p>", ("long " * 200_000).strip()),
     ],
 )
@@ -77,11 +93,47 @@ def test_a_host_elects_its_path(spark):
 )
 def test_a_name_on_the_whole_page_is_no_chrome(page):
     text = "the text of the page " * 5
-    blocks = hp.Cutter().cut(page.format(f"<p>{text}</p>"))
+    cutter = hp.Cutter()
+    blocks = cutter.cut(page.format(f"<p>{text}</p>"))
     assert [b.text for b in blocks if not b.chrome] == [text.strip()]
-    assert hp.votes(blocks) is not None
+    assert cutter.vote() is not None
 
 
 def test_many_comments_stay_chrome():
     page = "<div class='post'><p>a short post</p></div><div id='comments'><p>" + "long talk " * 9 + "</p></div>"
     assert [b.text for b in hp.Cutter().cut(page) if not b.chrome] == ["a short post"]
+
+
+ODD = ['"', "'", '<a "', "<a <a ", "<a b='", "<div>", "<div class=x>y", "<!--", "<![CDATA[", "<script>", "</script ", "<h1>", "</div>", "&amp", "<a=\"", "<x y ", "< ", "<p title='a>b' "]
+
+
+@pytest.mark.parametrize("part", ODD)
+def test_odd_pages_of_a_megabyte_take_linear_time(part):
+    started = time.process_time()
+    page, vote = hp._cut_page("<p>start " + part * (1_000_000 // len(part)))
+    hp.text_under(page, [vote] if vote else [])
+    assert time.process_time() - started < 8
+
+
+def test_the_vote_equals_that_over_all_path_prefixes():
+    """Running sums over the tree against sums over every prefix of every path."""
+    draw = random.Random(9)
+    for _ in range(300):
+        parts = []
+        for _ in range(draw.randint(1, 40)):
+            parts.append(draw.choice(["<div>", "<div class=a>", "<article>", "<nav>", "</div>", "</article>", "</nav>", "<p>", "w w w", "some words", "<a>x y</a>"]))
+        cutter = hp.Cutter()
+        blocks = cutter.cut("".join(parts))
+        clean, junk = {}, {}
+        for block in blocks:
+            spoiled = len(block.text) if block.chrome else block.linked
+            steps = cutter.path(block.node).split("/")[:-1]
+            for k in range(1, len(steps) + 1):
+                prefix = "".join(f"{step}/" for step in steps[:k])
+                clean[prefix] = clean.get(prefix, 0) + len(block.text) - spoiled
+                junk[prefix] = junk.get(prefix, 0) + spoiled
+        values = [
+            ((1.25 if any(step.split(".")[0] in hp.MAIN_TAGS for step in path.split("/")) else 1.0) * size - 0.5 * junk[path], path.count("/"), path)
+            for path, size in clean.items() if size > 0
+        ]
+        assert cutter.vote() == max(values, default=(0, 0, None))[2]
