@@ -67,9 +67,15 @@ class WholeTextEncoder:
 
     def __init__(self, path: str, max_words: int = 400_000, max_pieces: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # what is left to do for pieces that are cut and folded already
+        self.of_pieces = Tokenizer.from_file(path)
+        self.of_pieces.normalizer = normalizers.Sequence([])
+        self.of_pieces.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         ends = self.tokenizer.model.end_of_word_suffix
         vocabulary = self.tokenizer.get_vocab()
         self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -105,20 +111,26 @@ class WholeTextEncoder:
 
     def _learn_pieces(self, pieces: list[str]) -> None:
         """Every piece stands alone between blanks, so each has one word-end token, its last."""
-        for at in range(0, len(pieces), _PIECES_PER_CALL):
-            part = pieces[at : at + _PIECES_PER_CALL]
-            (encoded,) = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
-            ids = np.array(encoded.ids, np.int64)
-            ends = np.flatnonzero(self.is_end[ids])
-            if len(ends) != len(part):
-                raise ValueError("a piece of letters or marks has more than one end")
-            self.pieces.update(zip(part, range(self.of_piece.n, self.of_piece.n + len(part))))
-            self.of_piece.add(ids, np.diff(ends, prepend=-1))
+        folded = [piece for piece in pieces if piece.isascii() or max(piece) <= _LAST_PLAIN]
+        others = [piece for piece in pieces if not (piece.isascii() or max(piece) <= _LAST_PLAIN)]
+        for codec, some in ((self.of_pieces, folded), (self.tokenizer, others)):
+            for at in range(0, len(some), _PIECES_PER_CALL):
+                part = some[at : at + _PIECES_PER_CALL]
+                (encoded,) = codec.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+                ids = np.array(encoded.ids, np.int64)
+                ends = np.flatnonzero(self.is_end[ids])
+                if len(ends) != len(part):
+                    raise ValueError("a piece of letters or marks has more than one end")
+                self.pieces.update(zip(part, range(self.of_piece.n, self.of_piece.n + len(part))))
+                self.of_piece.add(ids, np.diff(ends, prepend=-1))
 
     def _learn(self, words: list[str]) -> None:
         from xxhash import xxh3_64_intdigest
 
-        cut = [self._cut(word) for word in words]
+        if self.has_ends:  # most words are plain letters
+            cut = [[word.lower()] if word.isascii() and word.isalpha() else self._cut(word) for word in words]
+        else:
+            cut = [None] * len(words)
         wanted = dict.fromkeys(piece for pieces in cut if pieces is not None for piece in pieces)
         new = [piece for piece in wanted if piece not in self.pieces]
         if self.pieces and len(self.pieces) + len(new) > self.max_pieces:
@@ -177,9 +189,13 @@ class WholeTextEncoder:
         return ids, text_ends, least
 
 
-def encoder(path: str) -> WholeTextEncoder:
+#: Words a worker remembers where it does nothing else; some hundred bytes each.
+REMEMBERED_WORDS = 700_000
+
+
+def encoder(path: str, max_words: int = REMEMBERED_WORDS) -> WholeTextEncoder:
     """One encoder per Python worker, kept between tasks."""
-    return kept(path, lambda: WholeTextEncoder(path))
+    return kept((path, max_words), lambda: WholeTextEncoder(path, max_words))
 
 
 def slices(texts: pa.Array, size: int = 2_000_000) -> Iterator[tuple[int, int]]:
