@@ -44,6 +44,21 @@ def test_recall_on_the_given_vectors(spark, small):
     assert recall(got, expected) >= 0.9
 
 
+def test_vectors_of_doubles(spark):
+    """Doubles are scored as they are, past what a float holds."""
+    draw = np.random.default_rng(8)
+    points = draw.standard_normal((300, 6)) + 1e-9
+    frame = spark.createDataFrame([(k, p.tolist()) for k, p in enumerate(points)], "vec_id long, embedding array<double>")
+    got = searched(frame)
+    hits = 0
+    for q in range(0, 300, 20):
+        scores = points @ points[q]
+        ids = [i for i, _ in got[q]]
+        assert np.allclose([s for _, s in got[q]], scores[ids], rtol=1e-13, atol=0) and q not in ids
+        hits += len(set(ids) & set([i for i in np.argsort(-scores, kind="stable") if i != q][:20]))
+    assert hits >= 0.9 * 20 * 15
+
+
 def test_clusters_are_searched_in_few_parts(spark):
     draw = np.random.default_rng(5)
     centres = draw.standard_normal((16, 24))
