@@ -15,28 +15,36 @@ from tarmac.llm.tables import staged, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a recognised language."""
+    """Documents in a recognised language; those without a letter go, and longer ones no language explains.
+
+    With nothing labelled every text that has a letter stays.
+    """
     return cross_parsing.keep_recognised(docs, cross_parsing.learn(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, the one of the smallest id.
+
+    Empty and null texts, and rows without an id, are linked with nothing and
+    stay; rows that share an id are told apart by their texts.
+    """
     return hyperminhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage; all of them where the benchmark is empty."""
     return suffix_decontamination.remove_affected(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data pseudonymised."""
+    """All documents, with personal data pseudonymised; null and empty texts as they are."""
     return feistel_pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 4096 tokens."""
-    return bm25_packing.pack(docs, public_tokenizers.path(VOCABULARY), end_id=2)
+    """Pieces of documents in sequences of 4096 tokens; a null or empty text is its end id alone."""
+    # the workers remember other stages, too
+    return bm25_packing.pack(docs, public_tokenizers.path(VOCABULARY), end_id=2, remembered_words=400_000)
 
 
 STAGES = [
