@@ -1,8 +1,9 @@
 """Headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
-Each query runs to the no-op sink, so all of its rows are computed.  A query is
-run ``BENCH_RUNS`` times (default 2): ``queries`` holds the best time, ``first``
-the first.
+Each query runs to the no-op sink, so all of its rows are computed.  The
+stand-in tables are written once before the clock starts, as the operators read
+stored tables.  A query is run ``BENCH_RUNS`` times (default 2): ``queries``
+holds the best time, ``first`` the first.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ import json
 import os
 import time
 
+from checks import stand_ins
 from checks.registry import QUERIES
-from tarmac.session import build_session
+from tarmac.session import build_session, work_path
 
 HEADLINE = [
     "cleaned_flights",
@@ -58,6 +60,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     spark.range(1000).selectExpr("sum(id)").collect()
+    stand_ins.store(spark, folder, work_path(spark, "stand-ins"))
     best, first = {}, {}
     for name in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(","):
         for run in range(runs):

@@ -54,8 +54,8 @@ def delay_minutes(text: str | Column) -> Column:
     return F.coalesce(F.nullif(worded, F.lit(0)), captured_int(lowered, BARE_PATTERN))
 
 
-def delay_type(name: str | Column) -> Column:
-    """Compact program code of a program name."""
+def delay_type(name: str | Column, length: int | None = DELAY_TYPE_LENGTH) -> Column:
+    """Compact program code of a program name; an unknown name at the stored ``length``, or whole with None."""
     name = as_column(name)
     lowered = F.lower(name)
     code = F.lit(None).cast("string")
@@ -67,7 +67,8 @@ def delay_type(name: str | Column) -> Column:
                 every = every & F.contains(lowered, F.lit(word))
             hit = hit | every
         code = F.when(hit, F.lit(label)).otherwise(code)
-    rest = F.coalesce(blank_to_null(F.left(strip(name), F.lit(DELAY_TYPE_LENGTH))), F.lit(UNKNOWN_TYPE))
+    given = strip(name) if length is None else F.left(strip(name), F.lit(length))
+    rest = F.coalesce(blank_to_null(given), F.lit(UNKNOWN_TYPE))
     return F.coalesce(code, rest)
 
 

@@ -56,13 +56,21 @@ def day_summary(nas: DataFrame) -> DataFrame:
     )
 
 
-def digest(nas: DataFrame, types: Sequence[str] = GROUND_TYPES, **thresholds: int) -> DataFrame:
+def digest(
+    nas: DataFrame,
+    types: Sequence[str] = GROUND_TYPES,
+    severe_lines: int = SEVERE_LINES,
+    reason_length: int | None = REASON_LENGTH,
+    **thresholds: int,
+) -> DataFrame:
     """The daily digest, one row per line.
 
     Lines are not gathered per day: SECTION and SEQ give their place, and the
-    writer sorts by them.  The first ten severe lines of a day come from
-    ``row_number() <= 10``, which Spark limits per task before the shuffle.
+    writer sorts by them.  The first ``severe_lines`` severe lines of a day come
+    from ``row_number()``, which Spark limits per task before the shuffle; their
+    reasons are cut at ``reason_length``, or whole with None.
     """
+    reason = F.coalesce("REASON", F.lit("unknown"))
     shown = F.coalesce(F.col("AVG_DELAY_MIN").cast("string"), F.lit("N/A"))
     place = F.concat(
         F.lpad((F.lit(1_000_000) - F.coalesce("AVG_DELAY_MIN", F.lit(0))).cast("string"), 8, "0"),
@@ -97,7 +105,7 @@ def digest(nas: DataFrame, types: Sequence[str] = GROUND_TYPES, **thresholds: in
     by_day = Window.partitionBy("FETCH_DATE").orderBy(
         F.coalesce("AVG_DELAY_MIN", F.lit(0)).desc(), "IATA_CODE", "DELAY_TYPE", "REASON"
     )
-    first = remaining.withColumn("_rank", F.row_number().over(by_day)).where(F.col("_rank") <= SEVERE_LINES)
+    first = remaining.withColumn("_rank", F.row_number().over(by_day)).where(F.col("_rank") <= severe_lines)
     listed = first.select(
         "FETCH_DATE",
         F.lit("severe").alias("SECTION"),
@@ -108,7 +116,7 @@ def digest(nas: DataFrame, types: Sequence[str] = GROUND_TYPES, **thresholds: in
             F.concat(F.lit("mean delay "), shown, F.lit(" min")),
             F.concat(F.lit("max delay "), F.coalesce(F.col("MAX_DELAY_MIN").cast("string"), F.lit("N/A")), F.lit(" min")),
             F.concat(F.lit("weather "), F.coalesce("WEATHER_CONDITION", F.lit("N/A"))),
-            F.concat(F.lit("reason "), F.left(F.coalesce("REASON", F.lit("unknown")), F.lit(REASON_LENGTH))),
+            F.concat(F.lit("reason "), reason if reason_length is None else F.left(reason, F.lit(reason_length))),
         ).alias("LINE"),
     )
     noted = grounded.select("FETCH_DATE").unionByName(remaining.select("FETCH_DATE")).distinct()

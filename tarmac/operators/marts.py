@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.dims import CAUSE_LABELS
@@ -106,41 +106,43 @@ def airline_performance(flights: DataFrame, target_date: dt.date | None = None)
     )
 
 
-def airport_departures(flights: DataFrame) -> DataFrame:
-    return flights.groupBy(
-        "YEAR",
-        "MONTH",
-        F.col("ORIGIN").alias("AIRPORT"),
-        F.col("ORIGIN_CITY").alias("CITY"),
-        F.col("ORIGIN_STATE").alias("STATE"),
-    ).agg(
-        flights_counted().alias("DEP_FLIGHTS"),
-        F.count_if("IS_DEP_DELAYED").alias("DEP_DELAYED"),
-        F.count_if("IS_CANCELLED").alias("DEP_CANCELLED"),
-        positive_mean("DEP_DELAY_MIN").alias("AVG_DEP_DELAY_MIN"),
-    )
-
-
-def airport_arrivals(flights: DataFrame) -> DataFrame:
-    return (
-        flown(flights)
-        .groupBy("YEAR", "MONTH", F.col("DEST").alias("AIRPORT"))
-        .agg(
-            flights_counted().alias("ARR_FLIGHTS"),
-            F.count_if("IS_ARR_DELAYED").alias("ARR_DELAYED"),
-            positive_mean("ARR_DELAY_MIN").alias("AVG_ARR_DELAY_MIN"),
-        )
-    )
-
-
 def airport_stats(flights: DataFrame, target_date: dt.date | None = None) -> DataFrame:
-    """Departures left-joined to arrivals.
+    """Departures with the arrivals of their airport and month, from one scan.
 
-    Both sides are aggregated before they meet, so the join sees one row per
-    airport and month.  Departures include cancelled flights, arrivals do not.
+    A flight is a row at each end; departures include cancelled flights,
+    arrivals do not.  The ends meet after they have been aggregated, as rows of
+    one airport and month.
     """
     flights = in_month(flights, target_date)
-    both = airport_departures(flights).join(airport_arrivals(flights), ["YEAR", "MONTH", "AIRPORT"], "left")
+    nowhere = F.lit(None).cast("string")
+    ends = F.array(
+        F.struct(
+            F.lit("dep").alias("END"), F.col("ORIGIN").alias("AIRPORT"), F.col("ORIGIN_CITY").alias("CITY"),
+            F.col("ORIGIN_STATE").alias("STATE"), F.col("IS_DEP_DELAYED").alias("LATE"), F.col("DEP_DELAY_MIN").alias("MINUTES"),
+        ),
+        F.struct(
+            F.lit("arr").alias("END"), F.col("DEST").alias("AIRPORT"), nowhere.alias("CITY"),
+            nowhere.alias("STATE"), F.col("IS_ARR_DELAYED").alias("LATE"), F.col("ARR_DELAY_MIN").alias("MINUTES"),
+        ),
+    )
+    rows = flights.select("YEAR", "MONTH", "IS_CANCELLED", F.inline(ends))
+    counted = (
+        rows.where((F.col("END") == "dep") | ~F.col("IS_CANCELLED"))
+        .groupBy("YEAR", "MONTH", "AIRPORT", "CITY", "STATE", "END")
+        .agg(
+            flights_counted().alias("FLIGHTS"),
+            F.count_if("LATE").alias("DELAYED"),
+            F.count_if("IS_CANCELLED").alias("DEP_CANCELLED"),
+            positive_mean("MINUTES").alias("MEAN_MIN"),
+        )
+    )
+    place = Window.partitionBy("YEAR", "MONTH", "AIRPORT")
+    known = F.col("YEAR").isNotNull() & F.col("MONTH").isNotNull() & F.col("AIRPORT").isNotNull()
+    arrived = {"ARR_FLIGHTS": "FLIGHTS", "ARR_DELAYED": "DELAYED", "AVG_ARR_DELAY_MIN": "MEAN_MIN"}
+    both = counted.withColumns(
+        {name: F.max(F.when((F.col("END") == "arr") & known, F.col(of))).over(place) for name, of in arrived.items()}
+    ).where(F.col("END") == "dep")
+    both = both.withColumnsRenamed({"FLIGHTS": "DEP_FLIGHTS", "DELAYED": "DEP_DELAYED", "MEAN_MIN": "AVG_DEP_DELAY_MIN"})
     return both.select(
         "YEAR", "MONTH", "AIRPORT", "CITY", "STATE", "DEP_FLIGHTS", "ARR_FLIGHTS",
         "DEP_DELAYED", "ARR_DELAYED", "DEP_CANCELLED", "AVG_DEP_DELAY_MIN", "AVG_ARR_DELAY_MIN",

@@ -12,11 +12,12 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared").as_uri()
     session = build_session(
         "tarmac-tests",
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -96,3 +96,9 @@ def test_iso_texts(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert shown == ["2024-03-10 02:30:00"] + ["None"] * 5
+
+
+def test_an_unknown_program_name_may_stay_whole(spark):
+    long_name = "Some Program Of A Name That Is Longer Than The Column"
+    frame = spark.createDataFrame([(long_name,)], "name string")
+    assert rows(frame.select(delay_type("name"), delay_type("name", None))) == [(long_name[:30], long_name)]
