@@ -31,41 +31,50 @@ PSEUDONYM_KEY = "tarmac"
 
 
 def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every vec_id divisible by 20, among all rows of ``embeddings``."""
     return learned_partitions.search(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
 
 
 def op2_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all ``documents``."""
     return hyperminhash.groups(table(spark, sf_dir, "documents"))
 
 
 def op3_pattern_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all ``documents``, learned from ``labels`` outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     return pattern_grammar.score(docs, pattern_grammar.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def op4_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all ``documents`` that ``benchmark`` items hold, and the longest match of each document."""
     found = suffix_decontamination.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return suffix_decontamination.report(found)
 
 
 def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` with personal data pseudonymised under a fixed key."""
     return feistel_pseudonyms.pseudonymise(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
 
 
 def op5_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` in sequences of 4096 tokens, a row per piece."""
     return bm25_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=2)
 
 
 def op7_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all ``pages``."""
     return host_paths.extract(table(spark, sf_dir, "pages"))
 
 
 def op8_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights and selection of all ``documents`` towards those of quality 1."""
     target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return importance_resampling.resample(table(spark, sf_dir, "documents"), target)
 
 
 def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all ``documents``, written to sequence files and read back."""
     manifest = arrow_sequences.write_sequences(
         table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), end_id=1
     )
@@ -73,20 +82,24 @@ def op9_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all ``documents``, learned outside the held-out fold."""
     docs = table(spark, sf_dir, "documents")
     return cross_parsing.predict(docs, cross_parsing.learn(docs))
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all ``documents``, one in ten of which the contract makes periodic."""
     docs = periodic_runs.with_planted_periods(table(spark, sf_dir, "documents"))
     return periodic_runs.report(periodic_runs.detect(docs))
 
 
 def op12_assignment_lexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all ``documents``."""
     return assignment_lexing.report(assignment_lexing.scan(table(spark, sf_dir, "documents")))
 
 
 def op13_prefix_tries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors of ``embeddings``."""
     return prefix_tries.compress(table(spark, sf_dir, "embeddings"))
 
 

@@ -67,6 +67,18 @@ def test_scores_of_held_out_documents(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
 
 
+def test_every_language_is_caught_with_enough_labels(spark):
+    """With the labels of ten thousand documents; of a few hundred, languages other than English are caught in part."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    scored = pg.score(docs, pg.learn(docs, labels)).where("held_out")
+    rows = scored.join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.predicted for r in rows if r.toxic == 0) <= 0.02 * sum(r.toxic == 0 for r in rows)
+    for lang in ("de", "en", "es", "fr"):
+        toxic = [r.predicted for r in rows if r.toxic == 1 and r.lang == lang]
+        assert toxic and sum(toxic) >= 0.85 * len(toxic), lang
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(4, 1, 0), (5, None, 1), (None, 1, 1), (6, 0, 7)], "doc_id long, quality int, toxic int")
     for known in (labels, labels.where("doc_id > 9")):

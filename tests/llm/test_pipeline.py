@@ -42,3 +42,9 @@ def test_run_equals_the_stages_on_edge_rows(spark, edge_docs, small, tmp_path):
     assert {r.doc_id for r in pieces} == {4, 5, 7, 8, None}
     edge_docs.where("doc_id < 0").write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_an_empty_benchmark_removes_nothing(spark, edge_docs, tmp_path):
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = corpus_pipeline.decontamination(spark, edge_docs, str(tmp_path))
+    assert kept.schema == edge_docs.schema and kept.count() == edge_docs.count()
