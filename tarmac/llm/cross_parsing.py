@@ -318,14 +318,15 @@ def _in_slices(batches: Iterator[pa.RecordBatch], size: int = 1_000_000) -> Iter
             yield batch.slice(start), held
 
 
-def keep_recognised(docs: DataFrame, model: LanguageModel, min_phrases: int = 8) -> DataFrame:
+def keep_recognised(docs: DataFrame, model: LanguageModel, spare_phrases: int = 8) -> DataFrame:
     """The rows of ``docs`` in a recognised language, with all their columns.
 
-    Rejected are null texts and those without a letter, and texts of
-    ``min_phrases`` phrases or more that take more phrases per letter in every
-    language than text of the learning folds does: letters without order, or of
-    unknown scripts.  A text too short to tell is kept, and with nothing learned
-    every text that has a letter.
+    Rejected are null texts and those without a letter, and texts that take
+    more phrases in every language than their letters would in text of the
+    learning folds, and ``spare_phrases`` more: letters without order, or of
+    unknown scripts.  What is spared leaves room for a number, a key or an
+    address in a short text, and keeps a text too short to tell.  With nothing
+    learned every text that has a letter is kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -334,8 +335,7 @@ def keep_recognised(docs: DataFrame, model: LanguageModel, min_phrases: int = 8)
             counts, letters = shared.value.phrases(texts)
             known = letters > 0
             if counts.shape[1]:
-                least = counts.min(axis=1)
-                known &= (least < min_phrases) | (least <= shared.value.most_per_letter * letters)
+                known &= counts.min(axis=1) <= shared.value.most_per_letter * letters + spare_phrases
             yield batch.filter(pa.array(known))
 
     return docs.mapInArrow(keep, docs.schema)
