@@ -194,8 +194,8 @@ REMEMBERED_WORDS = 700_000
 
 
 def encoder(path: str, max_words: int = REMEMBERED_WORDS) -> WholeTextEncoder:
-    """One encoder per Python worker, kept between tasks."""
-    return kept((path, max_words), lambda: WholeTextEncoder(path, max_words))
+    """One encoder per Python worker, kept between tasks; its memory of pieces goes with that of words."""
+    return kept((path, max_words), lambda: WholeTextEncoder(path, max_words, max_words * 6 // 7))
 
 
 def slices(texts: pa.Array, size: int = 2_000_000) -> Iterator[tuple[int, int]]:
