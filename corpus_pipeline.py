@@ -44,7 +44,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 4096 tokens; a null or empty text is its end id alone."""
     # the workers remember other stages, too
-    return bm25_packing.pack(docs, public_tokenizers.path(VOCABULARY), end_id=2, remembered_words=400_000)
+    return bm25_packing.pack(docs, public_tokenizers.path(VOCABULARY), end_id=2, remembered_words=250_000)
 
 
 STAGES = [
