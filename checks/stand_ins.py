@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.text import delay_minutes, delay_type
 from tarmac.schemas import FLIGHT_SOURCE_COLUMNS, HOURLY_FIELDS
+from tarmac.session import wide
 
 AIRPORTS = "'ATLDFWDENORDLAXCLTLASPHXMCOSEA'"
 NAS_AIRPORTS = "'ATLDFWDENORDLAXCLTLASPHXMCOSEAMEMONT'"
@@ -208,7 +209,7 @@ def base(spark: SparkSession, folder: str) -> DataFrame:
         .join(table(spark, folder, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     )
-    return joined.selectExpr(*LINEITEM, *expressions(HELPERS, "spark"))
+    return wide(joined).selectExpr(*LINEITEM, *expressions(HELPERS, "spark"))
 
 
 @storable

@@ -15,6 +15,7 @@ from tarmac.schemas import (
     FLIGHT_TYPES,
     RENAMES,
 )
+from tarmac.session import wide
 
 SOURCE_TAG = "BTS"  # fixed value
 
@@ -43,7 +44,7 @@ FLAGS = {
 
 def rename_columns(rows: DataFrame) -> DataFrame:
     """Source names → internal names; absent names are skipped."""
-    return rows.withColumnsRenamed(RENAMES)
+    return wide(rows).withColumnsRenamed(RENAMES)
 
 
 def known_columns(rows: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def typed(name: str) -> Column:
 
 
 def cast_columns(rows: DataFrame) -> DataFrame:
-    return rows.select([typed(name) for name in rows.columns])
+    return wide(rows).select([typed(name) for name in rows.columns])
 
 
 def with_core_keys(rows: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def staging_flights(raw: DataFrame, source_tag: str = SOURCE_TAG) -> DataFrame:
         value = F.col(FLAGS[name]) == 1 if name in FLAGS else F.col(raw_names.get(name, name))
         return value.alias(name)
 
-    return raw.select(flight_id().alias("FLIGHT_ID"), *map(staged, listing), F.lit(source_tag).alias("DATA_SOURCE"))
+    return wide(raw).select(flight_id().alias("FLIGHT_ID"), *map(staged, listing), F.lit(source_tag).alias("DATA_SOURCE"))
 
 
 def stamp_load(rows: DataFrame) -> DataFrame:

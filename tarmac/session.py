@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators are written for.  Widths are left to AQE: the
 # initial partition count only has to be high enough, AQE merges what is small
@@ -23,6 +23,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot never compiles a method of more bytes; Spark cuts such a stage into small methods instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -61,6 +63,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+def wide(rows: DataFrame) -> DataFrame:
+    """``rows``, in a session that gives up generated methods HotSpot would only interpret.
+
+    Expressions over some dozen columns make one such method, which runs several
+    times slower.  A runtime setting, for sessions that were not built here.
+    """
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    conf = rows.sparkSession.conf
+    if int(conf.get(limit)) > int(SETTINGS[limit]):
+        conf.set(limit, SETTINGS[limit])
+    return rows
+
+
 _local_folders: dict[str, str] = {}
 
 

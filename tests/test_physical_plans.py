@@ -174,3 +174,12 @@ def test_skew_is_split_at_run_time(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_wide_rows_run_as_compiled_methods(spark, small):
+    limit, fresh = "spark.sql.codegen.hugeMethodLimit", spark.newSession()
+    assert int(spark.conf.get(limit)) <= 8000
+    fresh.conf.set(limit, "65535")  # what Spark starts with
+    registry.QUERIES["cleaned_flights"](fresh, small)
+    # a stage with a larger method is interpreted by HotSpot unless Spark gives it up
+    assert int(fresh.conf.get(limit)) <= 8000
