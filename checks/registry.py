@@ -149,8 +149,10 @@ def staging_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def deduplicated_flights(spark: SparkSession, folder: str) -> DataFrame:
-    ensure_checkpoint_dir(spark)
-    return cleaning.deduplicate_flights(staged(spark, folder).select(STAGED_SHOWN).checkpoint())
+    # columns on disk take a fraction of checkpointed rows
+    path, rows = work_path(spark, "staged-flights"), staged(spark, folder).select(STAGED_SHOWN)
+    tables.write_batch(rows, path)
+    return cleaning.deduplicate_flights(spark.read.schema(rows.schema).parquet(path))
 
 
 # columns that files of odd years lack

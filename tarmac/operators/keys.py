@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tarmac.operators.lookup import LOOKUP_ROWS, hashed
+from tarmac.operators.lookup import LOOKUP_BYTES, LOOKUP_ROWS, counted, hashed, text_bytes
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str], first: Sequence[Column] = ()) -> DataFrame:
@@ -32,16 +32,26 @@ def row_number_of(names: Sequence[str], digits: int = 15) -> Column:
 
 
 def one_per_rare_key(rows: DataFrame, key: str, limit: int = LOOKUP_ROWS) -> DataFrame:
-    """One row per ``key`` where most keys have one row: the one with the smallest ``row_number_of``.
-
-    Only the keys are counted by shuffle.  The repeated ones are measured and
-    sent to the rows, which stay where they are; rows of repeated keys alone are
-    aggregated, down to the smallest number and then to distinct rows.  Nothing
-    is sorted, and a key with a third of all rows is one row per task.  Unequal
-    rows of one key with the same 60-bit number would both stay.
+    """One row per ``key``: the one with the smallest ``row_number_of``; rows without a key stay.
+
+    Where most keys have one row, only the keys are counted by shuffle.  The
+    repeated ones are measured and sent to the rows, which stay where they are;
+    rows of repeated keys alone are aggregated, down to the smallest number and
+    then to distinct rows.  Where the repeated keys are too many to send, every
+    row moves once, see ``one_per_common_key``.  Nothing is sorted, and a key
+    with a third of all rows is one row per task.  Unequal rows of one key with
+    the same 60-bit number would both stay.
     """
-    repeated = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
-    keys = hashed(repeated, limit)
+    n, distinct = rows.agg(F.count(key), F.approx_count_distinct(key, 0.01)).first()
+    # a repeated key has two rows at least and may have any number, so only the far end is settled by this
+    if distinct > limit and n - distinct > max(n // 4, limit):
+        return one_per_common_key(rows, key)
+    keyed = rows.where(F.col(key).isNotNull())  # what has no key matches none
+    repeated = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    stored, n_keys = counted(repeated)
+    if n_keys > limit or text_bytes(stored) > LOOKUP_BYTES:
+        return one_per_common_key(rows, key)
+    keys = F.broadcast(stored)
     single = rows.join(keys, key, "left_anti")
     numbered = rows.join(keys, key, "left_semi").withColumn("_number", row_number_of(rows.columns))
     least = hashed(numbered.groupBy(key).agg(F.min("_number").alias("_number")), limit)
@@ -49,6 +59,20 @@ def one_per_rare_key(rows: DataFrame, key: str, limit: int = LOOKUP_ROWS) -> Dat
     return single.unionByName(winners)
 
 
+def one_per_common_key(rows: DataFrame, key: str) -> DataFrame:
+    """As ``one_per_rare_key`` where keys are repeated as a rule.
+
+    Keys and numbers are aggregated first; then every row goes once to where the
+    winner of its key and number is, by hash, and what is left is made distinct
+    there.  The rows are read twice and never sorted.
+    """
+    numbered = rows.withColumn("_number", row_number_of(rows.columns))
+    least = numbered.groupBy(key).agg(F.min("_number").alias("_number"))
+    met = numbered.join(least.hint("shuffle_hash"), [key, "_number"], "left_semi")
+    # the rows lie by key and number, so this moves nothing
+    return met.distinct().drop("_number").unionByName(rows.where(F.col(key).isNull()))
+
+
 def largest(rows: DataFrame, n: int, by: str, *ties: str) -> DataFrame:
     """The ``n`` rows with the largest ``by``; ``ties`` complete the order."""
     return rows.where(F.col(by).isNotNull()).orderBy(F.col(by).desc(), *[F.col(tie).asc() for tie in ties]).limit(n)

@@ -183,3 +183,21 @@ def test_wide_rows_run_as_compiled_methods(spark, small):
     registry.QUERIES["cleaned_flights"](fresh, small)
     # a stage with a larger method is interpreted by HotSpot unless Spark gives it up
     assert int(fresh.conf.get(limit)) <= 8000
+
+
+def test_rows_of_common_keys_move_once(spark):
+    numbers = spark.range(4000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL ELSE CONCAT('k', CAST(id % 700 AS STRING)) END AS k", "id % 900 AS a", "CAST(id % 3 AS STRING) AS b"
+    )
+    listed = [tuple(row) for row in numbers.withColumn("n", keys.row_number_of(["k", "a", "b"])).collect()]
+    least = {}
+    for k, _, _, n in listed:
+        least[k] = min(n, least.get(k, n))
+    wanted = {(k, a, b) for k, a, b, n in listed if k is not None and n == least[k]}
+    for limit in (0, 1_000_000):
+        found = keys.one_per_rare_key(numbers, "k", limit)
+        got = [tuple(row) for row in found.collect()]
+        assert sorted(row for row in got if row[0] is not None) == sorted(wanted)
+        assert len([row for row in got if row[0] is None]) == 80  # rows without a key stay
+    # keys, the winners' keys and numbers, and once the rows
+    assert plan(keys.one_per_rare_key(numbers, "k", 0), "simple").count("Exchange hashpartitioning") == 3
