@@ -33,7 +33,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage; all of them where the benchmark is empty."""
-    return suffix_decontamination.remove_affected(docs, table(spark, sf_dir, "benchmark"))
+    # the executors' memory is full of other stages: smaller shards, the same rows
+    return suffix_decontamination.remove_affected(docs, table(spark, sf_dir, "benchmark"), shard_words=300_000)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
+
 Thing = TypeVar("Thing")
 _kept: dict[Hashable, object] = {}
 
@@ -20,3 +22,9 @@ def kept(name: Hashable, make: Callable[[], Thing]) -> Thing:
         _kept.clear()
         found = _kept[name] = make()
     return found
+
+
+def forget() -> None:
+    """Give up whatever is remembered, for a step that remembers nothing itself."""
+    _kept.clear()
+    pa.default_memory_pool().release_unused()

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarmac.llm.kept import forget
 from tarmac.llm.tables import staged
 
 #: Fixed: bytes that part words (ASCII but digits and letters); A-Z become a-z.
@@ -384,6 +385,7 @@ def remove_affected(
 
     def keep_clean(shared):
         def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()  # a worker may come from another operator
             for batch, texts in _batches_in_shards(batches, shard_words):
                 shard = Shard(texts, shared.value, window)
                 yield batch.filter(pa.array(~np.logical_or.reduceat(shard.hits(), shard.starts)))

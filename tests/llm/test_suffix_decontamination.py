@@ -156,3 +156,12 @@ def test_affected_documents_go(spark, small, edge_docs):
 
 def test_sql_twin_is_registered():
     assert "op4_suffix_arrays" in ORACLE_SQL
+
+
+def test_workers_give_up_what_other_operators_remembered():
+    from tarmac.llm import kept
+
+    held = kept.kept("of another operator", lambda: ["much"])
+    assert kept.kept("of another operator", list) is held
+    kept.forget()
+    assert kept.kept("of another operator", list) == []
