@@ -86,17 +86,18 @@ class ShardIndex:
         weights = self.idf[self.terms] * tf * (K1 + 1) / (tf + norm[documents])
         order = np.argsort(self.terms, kind="stable")
         self.posted, self.weights = documents[order], weights[order]
+        self.df = df
         self.places = np.append(0, np.cumsum(df))
 
     def scores(self, document: int) -> np.ndarray:
         """BM25 of all documents of the shard for the terms of one, those that occur elsewhere in it."""
         mine = self.terms[self.ends[document - 1] if document else 0 : self.ends[document]]
-        mine = mine[np.diff(self.places)[mine] > 1]
+        mine = mine[self.df[mine] > 1]
         if self.query_terms is not None and len(mine) > self.query_terms:
             mine = mine[np.argsort(-self.idf[mine], kind="stable")[: self.query_terms]]
         if not len(mine):
             return np.zeros(self.n)
-        sizes = self.places[mine + 1] - self.places[mine]
+        sizes = self.df[mine]
         ends = np.cumsum(sizes)
         at = np.repeat(self.places[mine] - (ends - sizes), sizes) + np.arange(ends[-1])
         return np.bincount(self.posted[at], self.weights[at], minlength=self.n)

@@ -28,6 +28,7 @@ class Ids:
         self.values = np.empty(1 << 20, id_type)
         self.starts = np.empty(1 << 18, np.uint32)
         self.lengths = np.empty(1 << 18, np.uint32)
+        self.again = np.zeros(1 << 18, bool)  # asked for since it was added
         self.n = self.used = 0
 
     def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
@@ -35,6 +36,7 @@ class Ids:
             self.values = np.concatenate([self.values, np.empty_like(self.values)])
         while self.n + len(lengths) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         own = slice(self.n, self.n + len(lengths))
         self.values[self.used : self.used + len(values)] = values
         self.lengths[own] = lengths
@@ -50,6 +52,22 @@ class Ids:
         at = np.repeat(self.starts[places].astype(np.int64) - (ends - lengths), lengths) + np.arange(total)
         return self.values[at], ends
 
+    def only(self, places: np.ndarray) -> Ids:
+        """The things at ``places``, numbered anew."""
+        values, ends = self.of(places)
+        kept = Ids(self.values.dtype)
+        kept.add(values, np.diff(ends, prepend=0))
+        return kept
+
+
+def _used(names: dict[str, int], ids: Ids, most: int) -> tuple[list[str], np.ndarray]:
+    """Names that have come again, and their places; none if they are more than ``most``."""
+    again = ids.again.tolist()
+    kept = [name for name, at in names.items() if again[at]]
+    if len(kept) > most:
+        kept = []
+    return kept, np.array([names[name] for name in kept], np.int64)
+
 
 class WholeTextEncoder:
     """Encodes texts word by word and remembers the ids of words and of their pieces.
@@ -61,8 +79,8 @@ class WholeTextEncoder:
     tokenizers library many at a time, as one text whose word-end tokens tell
     them apart; words whose pieces take a closer look (other scripts with marks,
     odd white space, special tokens) go there by themselves.  At most
-    ``max_words`` words and ``max_pieces`` pieces are remembered; then either
-    starts afresh, which changes the speed and never the ids.
+    ``max_words`` words and ``max_pieces`` pieces are remembered; then those
+    that came once are forgotten, which changes the speed and never the ids.
     """
 
     def __init__(self, path: str, max_words: int = 400_000, max_pieces: int = 600_000):
@@ -83,18 +101,24 @@ class WholeTextEncoder:
         self.has_ends = bool(ends)
         self.id_type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.max_words, self.max_pieces = max_words, max_pieces
-        self._forget_words()
-        self._forget_pieces()
-
-    def _forget_words(self) -> None:
         self.places: dict[str, int] = {}
         self.words = Ids(self.id_type)
         self.hashes = np.empty(1 << 18, np.uint64)
-
-    def _forget_pieces(self) -> None:
         self.pieces: dict[str, int] = {}
         self.of_piece = Ids(self.id_type)
 
+    def _forget_words(self) -> None:
+        """What has come again since it was learned stays, unless that is more than half."""
+        words, at = _used(self.places, self.words, self.max_words // 2)
+        self.hashes = np.append(self.hashes[at], np.empty(1 << 18, np.uint64))
+        self.words = self.words.only(at)
+        self.places = dict(zip(words, range(len(words))))
+
+    def _forget_pieces(self) -> None:
+        pieces, at = _used(self.pieces, self.of_piece, self.max_pieces // 2)
+        self.of_piece = self.of_piece.only(at)
+        self.pieces = dict(zip(pieces, range(len(pieces))))
+
     def _cut(self, word: str) -> list[str] | None:
         """The pieces of a word, in lower case; None if that takes a closer look."""
         if not self.has_ends or not word:
@@ -124,6 +148,12 @@ class WholeTextEncoder:
                 self.pieces.update(zip(part, range(self.of_piece.n, self.of_piece.n + len(part))))
                 self.of_piece.add(ids, np.diff(ends, prepend=-1))
 
+    def _unknown(self, wanted: dict[str, None]) -> list[str]:
+        known = self.pieces.get
+        at = np.fromiter([known(piece, -1) for piece in wanted], np.int64, len(wanted))
+        self.of_piece.again[at[at >= 0]] = True
+        return [piece for piece, place in zip(wanted, at.tolist()) if place < 0]
+
     def _learn(self, words: list[str]) -> None:
         from xxhash import xxh3_64_intdigest
 
@@ -132,10 +162,10 @@ class WholeTextEncoder:
         else:
             cut = [None] * len(words)
         wanted = dict.fromkeys(piece for pieces in cut if pieces is not None for piece in pieces)
-        new = [piece for piece in wanted if piece not in self.pieces]
+        new = self._unknown(wanted)
         if self.pieces and len(self.pieces) + len(new) > self.max_pieces:
             self._forget_pieces()
-            new = list(wanted)
+            new = self._unknown(wanted)
         self._learn_pieces(new)
         for plain in (True, False):
             part = [word for word, pieces in zip(words, cut) if (pieces is not None) == plain]
@@ -157,6 +187,13 @@ class WholeTextEncoder:
             self.hashes[first : self.words.n] = [xxh3_64_intdigest(word) for word in part]
             self.places.update(zip(part, range(first, self.words.n)))
 
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where the words are remembered, -1 where they are not."""
+        known = self.places.get
+        places = np.fromiter([known(word, -1) for word in words], np.int64, len(words))
+        self.words.again[places[places >= 0]] = True
+        return places
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts in one array, the end of each text in it, and the smallest word hash of each.
 
@@ -170,13 +207,13 @@ class WholeTextEncoder:
         words = pc.split_pattern(spaced, " ")
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        known = self.places.get
-        places = np.fromiter([known(word, -1) for word in distinct], np.int64, len(distinct))
+        places = self._places(distinct)
         missing = np.flatnonzero(places < 0)
         if len(missing):
-            if len(self.places) + len(missing) > self.max_words:
+            if self.places and len(self.places) + len(missing) > self.max_words:
                 self._forget_words()
-                missing = np.arange(len(distinct))
+                places = self._places(distinct)
+                missing = np.flatnonzero(places < 0)
             new = [distinct[at] for at in missing.tolist()]
             self._learn(new)
             places[missing] = [self.places[word] for word in new]

@@ -166,3 +166,15 @@ def test_scores_weigh_terms_by_all_documents(spark):
     near, far = np.array([7] * 40, np.uint16), [np.array([k, 9], np.uint16) for k in range(100, 140)]
     index = bm25_packing.ShardIndex([seed, near, np.array([7, 8], np.uint16), *far])
     assert index.scores(0)[1] > 0
+
+
+def test_words_that_come_again_are_not_forgotten(vocabulary):
+    small, large = WholeTextEncoder(vocabulary, 40, 40), WholeTextEncoder(vocabulary, 10_000, 10_000)
+    for at in range(6):
+        texts = pa.array([f"often Known, {' '.join(f'word{at}x{k}' for k in range(15))}", None, ""])
+        for one, other in zip(small.encode(texts), large.encode(texts)):
+            assert one.tolist() == other.tolist()
+    # the memory was full several times over
+    assert len(small.places) < 60 and {"often", "Known,"} <= small.places.keys()
+    small.max_words = 1  # a batch of more words than fit is still encoded
+    assert small.encode(texts)[0].tolist() == large.encode(texts)[0].tolist()
