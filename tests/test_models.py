@@ -1,7 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from checks import registry
@@ -195,3 +198,26 @@ def test_artifacts(spark, split_rows, models, tmp_path):
     assert spark.read.json(f"{path}/category_values").where("FEATURE = 'ORIGIN'").count() == origins
     noted = {"TRAINED_AT", "SAMPLE_SHARE", "TRAINING_ROWS", "USE_WEATHER", "CLASSIFIER_ROUNDS", "REGRESSOR_ROUNDS"}
     assert noted <= set(spark.read.json(f"{path}/metrics").columns)
+
+
+@pytest.mark.parametrize("kind", ["classifier", "regressor"])
+def test_a_stopped_fit_is_the_start_of_a_longer_one(spark, kind):
+    rows = spark.range(600).selectExpr("double(id % 2) AS y", "double(id * 7919 % 101) AS a", "double((id * 31 + id % 2 * 9) % 17) AS b")
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="x").transform(rows).cache()
+    model = (GBTClassifier if kind == "classifier" else GBTRegressor)(
+        featuresCol="x", labelCol="y", predictionCol="said", maxIter=6, maxDepth=3, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=7
+    )
+    part, short = delay_model.first_rounds(model.fit(rows), 4), model.copy({model.maxIter: 4}).fit(rows)
+    assert part.getNumTrees == 4 and part.toDebugString.split("\n", 1)[1] == short.toDebugString.split("\n", 1)[1]
+    assert part.transform(rows).select("said").collect() == short.transform(rows).select("said").collect()
+    fits = []
+
+    class Counted(type(model)):
+        def fit(self, dataset, params=None):
+            fits.append(self.getMaxIter())
+            return super().fit(dataset, params)
+
+    counted = Counted(featuresCol="x", labelCol="y", predictionCol="said", maxDepth=3, seed=7)
+    settings = delay_model.Boosting(rounds=5, flat_rounds=2)
+    delay_model.fit_stopping(counted, rows, rows.where("a < 50"), settings)
+    assert fits == [5]  # no second fit up to the best round
