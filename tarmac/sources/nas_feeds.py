@@ -7,6 +7,7 @@ snapshot shape.  A response is a few kilobytes, so parsing stays per row.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from itertools import batched
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -25,6 +26,9 @@ FIELD_MAP = "map<string,string>"
 ENTRY_TEXTS = ("ARPT", "Reason", "Avg", "Reopen", "EndTime")
 ENTRY_RANGES = ("Min", "Max", "Trend")
 
+#: Entries a task hands on at a time.
+ENTRIES_PER_PART = 2000
+
 
 def cut(value: Column, name: str, lengths: Mapping[str, int | None]) -> Column:
     """``value`` at the stored length of column ``name``; whole where that has none."""
@@ -72,15 +76,16 @@ def rows_from_xml(responses: DataFrame, lengths: Mapping[str, int | None] = LENG
     names = [*ENTRY_TEXTS, *ENTRY_RANGES]
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [
-                (stamp, date, name, *(entry.get(tag, "") for tag in names))
-                for stamp, date, body in zip(*(batch.column(c).to_pylist() for c in ("SNAPSHOT_TS", "FETCH_DATE", "BODY")))
-                for name, entry in xml_entries(body)
-            ]
-            columns = list(zip(*found)) or [()] * (3 + len(names))
+        # one response at a time, and what it gives in parts: neither the number nor the size of responses adds up
+        entries = (
+            (stamp.as_py(), date.as_py(), name, *(entry.get(tag, "") for tag in names))
+            for batch in batches
+            for stamp, date, body in zip(*(batch.column(c) for c in ("SNAPSHOT_TS", "FETCH_DATE", "BODY")))
+            for name, entry in xml_entries(body.as_py())
+        )
+        for found in batched(entries, ENTRIES_PER_PART):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, pa.string()) for column in columns], names=["SNAPSHOT_TS", "FETCH_DATE", "name", *names]
+                [pa.array(column, pa.string()) for column in zip(*found)], names=["SNAPSHOT_TS", "FETCH_DATE", "name", *names]
             )
 
     stamps = [F.col(name).cast("string").alias(name) for name in ("SNAPSHOT_TS", "FETCH_DATE", "BODY")]

@@ -137,3 +137,12 @@ def test_aggregate_json(spark):
         responses(spark, '{"delay_type": [{"Name": "GDP", "airport_closure_list": [{"ARPT": "BOS"}]}]}')
     )
     assert shown(bare, "IATA_CODE", "DELAY_TYPE") == [("BOS", "GroundDelay")]
+
+
+def test_entries_of_a_large_response_come_in_parts(spark):
+    entry = "<E><ARPT>atl</ARPT><Avg>5 minutes</Avg></E>"
+    body = f"<A><Delay_type><Name>Ground Stop</Name>{entry * (2 * nas_feeds.ENTRIES_PER_PART + 1)}</Delay_type></A>"
+    responses = spark.createDataFrame([("2024-01-01T00:00:00", "2024-01-01", body), (None, None, "no xml")], "SNAPSHOT_TS string, FETCH_DATE string, BODY string")
+    found = nas_feeds.rows_from_xml(responses.coalesce(1))
+    assert found.count() == 2 * nas_feeds.ENTRIES_PER_PART + 1
+    assert [row[0] for row in found.select("AVG_DELAY_MIN").distinct().collect()] == [5]
