@@ -840,16 +840,17 @@ def destination_weather(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def weather_from_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    """Weather at both ends from tables stored by the same buckets, two slices a date."""
+    """Weather at both ends from tables stored by the same buckets, eight and two slices a date at least."""
     names = []
     rows = flights(spark, folder).select("YEAR", *WEATHER_KEYS)
+    buckets = colocated_weather.buckets_for(rows, least=8)
     for kind, store, frame in (
         ("flights", colocated_weather.store_flights, rows),
         ("observations", colocated_weather.store_observations, hourly(spark, folder)),
     ):
         path = work_path(spark, f"bucketed-{kind}")
         names.append(f"{kind}_{path.rsplit('-', 1)[1]}")
-        store(frame, names[-1], path, buckets=8, slices=2)
+        store(frame, names[-1], path, buckets=buckets, slices=2)
     joined = colocated_weather.joined_weather(spark, *names)
     ends = [("ORIGIN", weather.ORIGIN_FIELDS), ("DEST", weather.DEST_FIELDS)]
     return joined.select(*WEATHER_KEYS, *[f"{side}_{name}" for side, fields in ends for name in fields])

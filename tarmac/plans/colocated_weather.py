@@ -17,6 +17,12 @@ from tarmac.operators.weather import DEST_FIELDS, ORIGIN_FIELDS, filled_from, fi
 from tarmac.sources.tables import add_missing_columns
 
 BUCKET_KEYS = ["FLIGHT_DATE", "SLICE"]
+ROWS_PER_BUCKET = 300_000
+
+
+def buckets_for(flights: DataFrame, least: int = 1) -> int:
+    """Buckets of about ``ROWS_PER_BUCKET`` flights: a task sorts one bucket, so its memory does not grow with the table."""
+    return max(least, -(-flights.count() // ROWS_PER_BUCKET))
 
 
 def store_flights(flights: DataFrame, table: str, path: str, buckets: int, slices: int = 1) -> None:

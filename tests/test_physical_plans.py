@@ -201,3 +201,8 @@ def test_rows_of_common_keys_move_once(spark):
         assert len([row for row in got if row[0] is None]) == 80  # rows without a key stay
     # keys, the winners' keys and numbers, and once the rows
     assert plan(keys.one_per_rare_key(numbers, "k", 0), "simple").count("Exchange hashpartitioning") == 3
+
+
+def test_buckets_grow_with_the_flights(spark):
+    assert colocated_weather.buckets_for(spark.range(10), least=8) == 8
+    assert colocated_weather.buckets_for(spark.range(6_000_000), least=8) == 20
