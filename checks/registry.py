@@ -11,10 +11,14 @@ import datetime as dt
 import io
 import json
 import os
+import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import csv as pa_csv
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -177,28 +181,45 @@ def landed_archives(spark: SparkSession, folder: str, path: str) -> DataFrame:
     Every hundredth line has surplus fields.  Returns the names written.
     """
 
-    def pack(month: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        name = f"ontime_{int(month[0])}_{int(month[1]):02d}.zip"
-        text = io.StringIO()
-        lines = csv.writer(text, lineterminator="\n")
-        lines.writerow([*rows.columns, ""])
-        for at, row in enumerate(rows.itertuples(index=False)):
-            lines.writerow(["" if value is None else value for value in row] + [""] + ["surplus"] * (at % 100 == 0))
-        held = io.BytesIO()
-        with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("readme.html", "about")
-            archive.writestr("on_time.csv", text.getvalue())
-        content = held.getvalue()
-        if (int(month[0]), int(month[1])) == (MONTH.year, MONTH.month):
-            content = content[: len(content) // 2]
-        system, place = fs.FileSystem.from_uri(path)
-        system.create_dir(place, recursive=True)
-        with system.open_output_stream(f"{place}/{name}") as out:
-            out.write(content)
-        return pd.DataFrame({"ARCHIVE": [name]})
-
     rows = stand_ins.source_rows(spark, folder)
-    return rows.groupBy("Year", "Month").applyInPandas(pack, "ARCHIVE string")
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow([*rows.columns, ""])
+
+    def pack(month: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # batch by batch, as a month has any number of rows
+        name, place = f"ontime_{int(month[0].as_py())}_{int(month[1].as_py()):02d}.zip", tempfile.TemporaryFile()
+        plain = pa_csv.WriteOptions(include_header=False, quoting_style="none")
+        with place as held:
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("readme.html", "about")
+                with archive.open("on_time.csv", "w", force_zip64=True) as member:
+                    member.write(header.getvalue().encode())
+                    at = 0
+                    for batch in batches:
+                        nameless = pa.nulls(batch.num_rows, pa.string())
+                        lines = pa.table([*batch.columns, nameless], [*batch.schema.names, "_nameless"])
+                        long = pa.array((np.arange(at, at + batch.num_rows) % 100) == 0)
+                        surplus = lines.filter(long)
+                        surplus = surplus.append_column("_surplus", pa.array(["surplus"] * len(surplus), pa.string()))
+                        for part in (lines.filter(pc.invert(long)), surplus):
+                            text = io.BytesIO()
+                            pa_csv.write_csv(part, text, plain)
+                            member.write(text.getbuffer())
+                        at += batch.num_rows
+            size = held.tell()
+            if (int(month[0].as_py()), int(month[1].as_py())) == (MONTH.year, MONTH.month):
+                size //= 2
+            system, path_of = fs.FileSystem.from_uri(path)
+            system.create_dir(path_of, recursive=True)
+            held.seek(0)
+            with system.open_output_stream(f"{path_of}/{name}") as out:
+                while size:
+                    block = held.read(min(size, 1 << 20))
+                    out.write(block)
+                    size -= len(block)
+        yield pa.RecordBatch.from_pydict({"ARCHIVE": [name]})
+
+    return rows.groupBy("Year", "Month").applyInArrow(pack, "ARCHIVE string")
 
 
 def load_of_archives(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:

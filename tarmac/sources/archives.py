@@ -7,12 +7,13 @@ import io
 import uuid
 import zipfile
 import zlib
-from collections.abc import Iterator
-from itertools import batched
+from collections.abc import Iterator, Sequence
+from itertools import batched, chain
 
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import csv as pa_csv
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tarmac.schemas import SOURCE_CSV
 
 ROWS_PER_CHUNK = 50_000
+BLOCK_CHARACTERS = 16 << 20
 ARCHIVE_ROWS = StructType([StructField("ARCHIVE", StringType()), *SOURCE_CSV.fields])
 UNPACKED = "ARCHIVE string, PLACE string, ROWS long, ERROR string"
 _FILE_SCHEMA = pa.schema([(name, pa.string()) for name in ARCHIVE_ROWS.names])
@@ -81,9 +83,9 @@ def unpack_one(name: str, content: bytes, staging: str) -> tuple[str, str | None
             if writer is None:
                 system.create_dir(path.rsplit("/", 1)[0], recursive=True)
                 writer = pq.ParquetWriter(path, _FILE_SCHEMA, filesystem=system)
-            chunk.insert(0, "ARCHIVE", name)
-            writer.write_table(pa.Table.from_pandas(chunk, _FILE_SCHEMA, preserve_index=False))
-            rows += len(chunk)
+            named = pa.repeat(name, chunk.num_rows)
+            writer.write_table(pa.Table.from_arrays([named, *chunk.columns], schema=_FILE_SCHEMA))
+            rows += chunk.num_rows
     except (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError) as found:
         problem = f"{type(found).__name__}: {found}"
     finally:
@@ -110,24 +112,82 @@ def _csv_member(archive: zipfile.ZipFile) -> str | None:
     return next((entry for entry in archive.namelist() if entry.endswith(".csv")), None)
 
 
-def _member_chunks(content: bytes) -> Iterator[pd.DataFrame]:
-    csv.field_size_limit(1 << 30)
+def _member_chunks(content: bytes) -> Iterator[pa.Table]:
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         member = _csv_member(archive)
         if member is None:
             return
         with archive.open(member) as stream:
-            lines = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", errors="replace", newline=""))
-            header = next(lines, [])
+            text = io.TextIOWrapper(stream, "utf-8-sig", errors="replace", newline="")
+            csv.field_size_limit(1 << 30)
+            header = next(csv.reader(_first_lines(text)), [])
             at = {name: place for place, name in reversed(list(enumerate(header)))}
             places = [at.get(name) for name in SOURCE_CSV.names]
-            for rows in batched((line for line in lines if line), ROWS_PER_CHUNK):
-                yield pd.DataFrame(
-                    {
-                        name: [
-                            (line[place] or None) if place is not None and place < len(line) else None for line in rows
-                        ]
-                        for name, place in zip(SOURCE_CSV.names, places)
-                    },
-                    dtype=object,
-                )
+            # whole lines a block at a time; those without quotes are cut by Arrow, the others by the csv module
+            for plain, quoted in _blocks(text):
+                if plain:
+                    yield from _plain_lines(plain, len(header), places)
+                for rows in batched((line for line in csv.reader(quoted) if line), ROWS_PER_CHUNK):
+                    yield _table(rows, places)
+
+
+def _first_lines(text: io.TextIOWrapper) -> Iterator[str]:
+    """Lines from where the text stands, read as they are asked for."""
+    while line := text.readline():
+        yield line
+
+
+def _blocks(text: io.TextIOWrapper) -> Iterator[tuple[str, Iterator[str]]]:
+    """Blocks of whole lines: a text free of quotes, and after it the lines from the first quote on to the end."""
+    rest = ""
+    while read := text.read(BLOCK_CHARACTERS):
+        rest += read
+        if '"' in read:
+            start = max(rest.rfind("\n", 0, rest.index('"')), rest.rfind("\r", 0, rest.index('"'))) + 1
+            yield rest[:start], chain(io.StringIO(rest[start:] + text.readline(), newline=""), _first_lines(text))
+            return
+        # a line feed may follow a carriage return at the edge
+        end = max(rest.rfind("\n"), rest.rfind("\r", 0, len(rest) - 1)) + 1
+        if end:
+            yield rest[:end], iter(())
+            rest = rest[end:]
+    yield rest, iter(())
+
+
+def _plain_lines(text: str, width: int, places: list[int | None]) -> Iterator[pa.Table]:
+    """Lines without quotes as Arrow reads them; those of another width than the header are cut one by one."""
+    others: list[list[str]] = []
+
+    def other(row: pa_csv.InvalidRow) -> str:
+        others.append(row.text.split(","))
+        return "skip"
+
+    if width > 1:
+        found = pa_csv.read_csv(
+            pa.BufferReader(text.encode("utf-8", "surrogatepass")),
+            pa_csv.ReadOptions(column_names=[str(at) for at in range(width)], block_size=4 * len(text) + 1024, use_threads=False),
+            pa_csv.ParseOptions(quote_char=False, invalid_row_handler=other),
+            pa_csv.ConvertOptions(
+                column_types={str(at): pa.string() for at in range(width)},
+                include_columns=[str(at) for at in sorted({place for place in places if place is not None})],
+                null_values=[""],
+                strings_can_be_null=True,
+            ),
+        )
+        columns = [pa.nulls(len(found), pa.string()) if at is None else found.column(str(at)) for at in places]
+        yield pa.Table.from_arrays(columns, names=SOURCE_CSV.names)
+    else:
+        others = [line for line in csv.reader(io.StringIO(text, newline="")) if line]
+    yield _table(others, places)
+
+
+def _table(lines: Sequence[list[str]], places: list[int | None]) -> pa.Table:
+    """Fields of single lines by place; an empty or absent one is NULL."""
+    return pa.table(
+        {
+            name: pa.array(
+                [(line[place] or None) if place is not None and place < len(line) else None for line in lines], pa.string()
+            )
+            for name, place in zip(SOURCE_CSV.names, places)
+        }
+    )

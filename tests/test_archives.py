@@ -149,3 +149,21 @@ def test_an_archive_is_unpacked_once(tmp_path, monkeypatch):
     assert place is None and n == 0 and problem and len(opened) == 2
     assert len(list((tmp_path / "out" / "rows").iterdir())) == 1
     assert archives.unpack_one("c.zip", b"", f"file://{tmp_path}/out")[1] is None
+
+
+@pytest.mark.parametrize("block", [1, 40, 1 << 20])
+def test_members_are_cut_block_by_block(monkeypatch, block):
+    monkeypatch.setattr(archives, "BLOCK_CHARACTERS", block)
+    lines = ["Year,Other,Origin,Dest", "2024,x,ATL,LAX", "2024,x,,LAX,surplus", "", "2024,x", "2024,x,é,  "]
+    quoted = ['2024,"a ""b"", c",ATL,"L', 'AX"', "2025,x,DEN,ORD"]
+    for end in ("\n", "\r\n"):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as archive:
+            archive.writestr("a.csv", end.join(lines + quoted))
+        found = [row for part in archives._member_chunks(buffer.getvalue()) for row in part.to_pylist()]
+        got = sorted((row["Year"], row["Origin"] or "", row["Dest"] or "") for row in found)
+        assert got == sorted(
+            [("2024", "ATL", "LAX"), ("2024", "", "LAX"), ("2024", "", ""), ("2024", "é", "  "),
+             ("2024", "ATL", f"L{end}AX"), ("2025", "DEN", "ORD")]
+        )
+        assert {row["Tail_Number"] for row in found} == {None}
