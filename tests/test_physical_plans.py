@@ -206,3 +206,30 @@ def test_rows_of_common_keys_move_once(spark):
 def test_buckets_grow_with_the_flights(spark):
     assert colocated_weather.buckets_for(spark.range(10), least=8) == 8
     assert colocated_weather.buckets_for(spark.range(6_000_000), least=8) == 20
+
+
+def test_source_texts_are_picked_and_the_same_on_odd_lines(spark, small):
+    lines = stand_ins.base(spark, small).selectExpr(
+        "CASE WHEN l_orderkey % 7 = 0 THEN -l_orderkey WHEN l_orderkey % 7 <> 1 THEN l_orderkey END AS l_orderkey",
+        "CASE WHEN l_orderkey % 5 = 0 THEN -l_partkey WHEN l_orderkey % 5 <> 1 THEN l_partkey END AS l_partkey",
+        "CASE WHEN l_orderkey % 3 = 0 THEN arrm * 9 WHEN l_orderkey % 3 = 1 THEN -arrm WHEN l_linenumber <> 2 THEN arrm END AS arrm",
+        *[name for name in stand_ins.LINEITEM + list(stand_ins.HELPERS) if name not in ("l_orderkey", "l_partkey", "arrm")],
+    )
+    plain = lines.selectExpr(*stand_ins.expressions(stand_ins.SOURCE_ROWS, "spark"))
+    picked = stand_ins.source_shape(lines)
+    assert picked.columns == plain.columns
+    assert picked.exceptAll(plain).isEmpty() and plain.exceptAll(picked).isEmpty()
+    # forming a text takes most of the time of a row
+    assert len(stand_ins.SOURCE_ROWS_PICKED) == len(stand_ins.SOURCE_ROWS)
+    assert sum("get(array(" in text for text in stand_ins.SOURCE_ROWS_PICKED.values()) >= 35
+
+
+def test_lines_are_not_moved_for_the_customers(spark, small):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(stand_ins.base(spark, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    moved = re.findall(r"Exchange *\nInput[^:]*: \[([^\]]*)\]\nArguments: hashpartitioning\(o_custkey", text)
+    assert moved and not any("l_" in names for names in moved)
