@@ -233,3 +233,27 @@ def test_lines_are_not_moved_for_the_customers(spark, small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     moved = re.findall(r"Exchange *\nInput[^:]*: \[([^\]]*)\]\nArguments: hashpartitioning\(o_custkey", text)
     assert moved and not any("l_" in names for names in moved)
+
+
+def counting(spark, make):
+    """``make``, and an accumulator of the rows that are taken from it."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(session, folder):
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        rows = make(session, folder)
+        return rows.mapInArrow(count, rows.schema)
+
+    return counted, seen
+
+
+def test_lines_are_joined_once_for_csv_files_of_two_headers(spark, small, monkeypatch):
+    lines = stand_ins.base(spark, small).count()
+    made, seen = counting(spark, stand_ins.base)
+    monkeypatch.setattr(stand_ins, "base", made)
+    registry.QUERIES["csv_scan"](spark, small).collect()
+    assert seen.value == lines
