@@ -1038,6 +1038,13 @@ def completed_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_nas(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned rows, read from disk: several loads of them clean the lines once."""
+    path, rows = work_path(spark, "nas-cleaned"), cleaned_nas(spark, folder)
+    tables.write_batch(rows, path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def new_day(rows: DataFrame) -> DataFrame:
     """Other rows of DAY than the stored ones."""
     return rows.where((F.col("FETCH_DATE") == F.lit(DAY)) & F.col("HAS_DELAY")).withColumn(
@@ -1067,7 +1074,7 @@ def loads_cut_short(spark: SparkSession, folder: str) -> DataFrame:
     The stopped load of the table had written other rows for every date, the
     stopped refresh an empty month.
     """
-    rows, path = cleaned_nas(spark, folder), work_path(spark, "nas-table")
+    rows, path = stored_nas(spark, folder), work_path(spark, "nas-table")
     table = VersionedTable(spark, path)
     table.replace(rows, ["FETCH_DATE"])
     table.prepare(rows.where("HAS_DELAY").withColumn("DELAY_COUNT", F.lit(-1)), ["FETCH_DATE"])
@@ -1087,13 +1094,13 @@ def loads_cut_short(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def date_replaced_on_disk(spark: SparkSession, folder: str) -> DataFrame:
-    rows = cleaned_nas(spark, folder)
+    rows = stored_nas(spark, folder)
     return table_with_day(spark, rows, new_day(rows))
 
 
 @register
 def date_emptied_on_disk(spark: SparkSession, folder: str) -> DataFrame:
-    rows = cleaned_nas(spark, folder)
+    rows = stored_nas(spark, folder)
     return table_with_day(spark, rows, rows.where("FETCH_DATE IS NULL AND FETCH_DATE IS NOT NULL"))
 
 

@@ -259,7 +259,7 @@ def source_shape(lines: DataFrame) -> DataFrame:
 
 @storable
 def nas_text(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").selectExpr(*expressions(NAS, "spark"))
+    return wide(table(spark, folder, "events")).selectExpr(*expressions(NAS, "spark"))
 
 
 @storable

@@ -257,3 +257,19 @@ def test_lines_are_joined_once_for_csv_files_of_two_headers(spark, small, monkey
     monkeypatch.setattr(stand_ins, "base", made)
     registry.QUERIES["csv_scan"](spark, small).collect()
     assert seen.value == lines
+
+
+@pytest.mark.parametrize("name", ["loads_cut_short", "date_replaced_on_disk", "date_emptied_on_disk"])
+def test_lines_are_cleaned_once_for_several_loads(spark, small, monkeypatch, name):
+    lines = stand_ins.nas_lines(spark, small).count()
+    made, seen = counting(spark, stand_ins.nas_lines)
+    monkeypatch.setattr(stand_ins, "nas_lines", made)
+    registry.QUERIES[name](spark, small).collect()
+    assert seen.value == lines
+
+
+def test_program_texts_run_as_compiled_methods(spark, small):
+    limit, fresh = "spark.sql.codegen.hugeMethodLimit", spark.newSession()
+    fresh.conf.set(limit, "65535")
+    stand_ins.nas_lines(fresh, small)
+    assert int(fresh.conf.get(limit)) <= 8000
