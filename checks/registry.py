@@ -1193,14 +1193,17 @@ def streamed_table(spark: SparkSession, lines: DataFrame) -> DataFrame:
     return tables.read_dated(spark, out, rows.schema)
 
 
-FEED_SPAN = 8  # days of a feed file
+FEED_SPAN = 8  # days of a landing
+FEED_ROWS = 50_000  # lines of the smallest landing to a file
 
 
-def landed_in_turn(spark: SparkSession, folder: str, order: tuple[int, ...], overlap: bool) -> str:
-    """The lines in files of eight days each, landed one after the other in the ``order`` of those spans.
+def landed_in_turn(spark: SparkSession, folder: str, order: tuple[int, ...], overlap: bool) -> tuple[str, int]:
+    """The lines in landings of eight days each, one after the other in the ``order`` of those spans; and files per landing.
 
-    With ``overlap`` the second half of every day comes a file later, so that
-    later and better snapshots of a key follow the one already seen.
+    A landing has one file, or several where there are many lines, and each
+    landing the same number of them, so that a trigger of that many files is one
+    landing.  With ``overlap`` the second half of every day comes a landing
+    later, so that later and better snapshots of a key follow the one already seen.
     """
     path, lines = work_path(spark, "feed"), stand_ins.nas_lines(spark, folder)
     clock = F.col("SNAPSHOT_TS").cast("timestamp_ntz")
@@ -1208,9 +1211,13 @@ def landed_in_turn(spark: SparkSession, folder: str, order: tuple[int, ...], ove
     if overlap:
         span = span + F.when(F.hour(clock) >= 12, 1).otherwise(0)
     spans = lines.withColumn("span", span)
+    counts = {row["span"]: row["count"] for row in spans.groupBy("span").count().collect()}
+    # dealt out in turn, this many rows leave no file without any
+    files = max(1, min(counts.get(part, 0) for part in order) // FEED_ROWS)
     for at, part in enumerate(order):
-        spans.where(F.col("span") == part).drop("span").coalesce(1).write.json(f"{path}/{at}")
-    return path
+        rows = spans.where(F.col("span") == part).drop("span")
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.json(f"{path}/{at}")
+    return path, files
 
 
 def latest_table(spark: SparkSession, lines: DataFrame, out: str, delay: str) -> DataFrame:
@@ -1222,18 +1229,18 @@ def latest_table(spark: SparkSession, lines: DataFrame, out: str, delay: str) ->
 
 @register
 def snapshot_stream_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest snapshot per key from the stream's own state; every file is a trigger of its own."""
-    path = landed_in_turn(spark, folder, (0, 1, 2, 3, 4), overlap=True)
-    lines = nas_feed.snapshot_stream(spark, path, files_per_trigger=1)
+    """The latest snapshot per key from the stream's own state; every landing is a trigger of its own."""
+    path, files = landed_in_turn(spark, folder, (0, 1, 2, 3, 4), overlap=True)
+    lines = nas_feed.snapshot_stream(spark, path, files_per_trigger=files)
     return latest_table(spark, lines, work_path(spark, "stream-table"), "20 days")
 
 
 def late_feed(spark: SparkSession, folder: str) -> tuple[DataFrame, str, str]:
     """The first days land last, behind the watermark; the table of the stream before their repair."""
-    path = landed_in_turn(spark, folder, (1, 2, 3, 0), overlap=False)
+    path, files = landed_in_turn(spark, folder, (1, 2, 3, 0), overlap=False)
     out, counts = work_path(spark, "stream-table"), work_path(spark, "late-counts")
-    table = latest_table(spark, nas_feed.snapshot_stream(spark, path, files_per_trigger=1), out, "1 day")
-    lines = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, path, files_per_trigger=1))
+    table = latest_table(spark, nas_feed.snapshot_stream(spark, path, files_per_trigger=files), out, "1 day")
+    lines = nas_feed.clean_lines(nas_feed.snapshot_stream(spark, path, files_per_trigger=files))
     nas_feed.repair_late(lines, out, counts, work_path(spark, "stream-state"), days=1).awaitTermination()
     return table, out, counts
 

@@ -145,12 +145,17 @@ class VersionedTable:
         """Add ``rows`` to the stored rows of their dates and keep the ``winners``.
 
         The dates of ``rows`` name the folders to read, so the table's size does
-        not matter; a date is one value of the driver's memory.  Merging the
+        not matter; a date is one value of the driver's memory.  The rows, a
+        micro-batch with its state as a rule, are worked out once.  Merging the
         same rows again changes nothing.
         """
-        dates = [row[0] for row in rows.select(column).distinct().collect()]
-        stored = self.read(rows.schema, [partition_of(**{column: date}) for date in dates])
-        return self.replace(winners(stored.unionByName(rows)), [column], notes=notes)
+        kept = rows.persist()
+        try:
+            dates = [row[0] for row in kept.select(column).distinct().collect()]
+            stored = self.read(kept.schema, [partition_of(**{column: date}) for date in dates])
+            return self.replace(winners(stored.unionByName(kept)), [column], notes=notes)
+        finally:
+            kept.unpersist()
 
     def forget_unused(self) -> list[str]:
         """Delete the versions no partition of the last load points at; returns them.

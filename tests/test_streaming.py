@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from checks import stand_ins
+from checks import registry, stand_ins
 from tarmac.operators.nas import clean_nas
 from tarmac.sources.landed import read_nas_snapshots
 from tarmac.sources.tables import read_dated
@@ -169,3 +169,22 @@ def test_stream_and_batch_agree_on_the_given_tables(spark, small, tmp_path):
     batch = clean_nas(stand_ins.nas_lines(spark, small))
     got = read_dated(spark, str(tmp_path / "out"), stream.schema).select(batch.columns)
     assert sorted(rows(got), key=str) == sorted(rows(batch), key=str)
+
+
+def test_a_large_landing_is_several_files_and_one_trigger(spark, small, monkeypatch):
+    monkeypatch.setattr(registry, "FEED_ROWS", 20)
+    path, files = registry.landed_in_turn(spark, small, (1, 2, 3, 0), overlap=False)
+    assert files > 1
+    lines = stand_ins.nas_lines(spark, small)
+    assert spark.read.schema(lines.schema).json(f"{path}/*").exceptAll(lines).isEmpty()
+    seen, days = [], F.to_date("SNAPSHOT_TS")
+
+    def note(batch, _):
+        seen.append({(row[0].day - 1) // registry.FEED_SPAN for row in batch.select(days).distinct().collect()})
+
+    stream = nas_feed.snapshot_stream(spark, path, files_per_trigger=files).writeStream.foreachBatch(note)
+    drain(stream.option("checkpointLocation", registry.work_path(spark, "noted")).trigger(availableNow=True).start())
+    assert seen == [{1}, {2}, {3}, {0}]
+    few = registry.QUERIES["late_rows_diverted"](spark, small).collect()
+    monkeypatch.undo()
+    assert sorted(few) == sorted(registry.QUERIES["late_rows_diverted"](spark, small).collect())

@@ -87,3 +87,17 @@ def test_an_empty_table(spark, tmp_path):
     assert shown(spark, path) == []
     VersionedTable(spark, path).replace(frame(spark, ("2024-01-05", "ATL", 1)))
     assert shown(spark, path) == [("2024-01-05", "ATL", 1)]
+
+
+def test_a_merge_works_its_rows_out_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    given = frame(spark, *[(f"2024-01-{day:02d}", "ATL", day) for day in range(1, 11)])
+    path = str(tmp_path / "table")
+    VersionedTable(spark, path).merge(given.mapInArrow(count, given.schema), "FETCH_DATE", lambda all_rows: all_rows)
+    assert seen.value == 10 and len(shown(spark, path)) == 10
