@@ -841,8 +841,8 @@ def weather_load_counts(spark: SparkSession, folder: str) -> DataFrame:
 def stored_weather_filled(spark: SparkSession, folder: str) -> DataFrame:
     """Fill status of the stored flights before and after the fill."""
     path = work_path(spark, "staging")
-    rows = tables.add_missing_columns(flights(spark, folder))
-    VersionedTable(spark, path).replace(rows, ["YEAR", "MONTH"])
+    rows = tables.add_missing_columns(stand_ins.flights_by_month(spark, folder))
+    VersionedTable(spark, path).replace(rows, ["YEAR", "MONTH"], rebalance=False)
     return weather_history.fill_stored_weather(spark, path, hourly(spark, folder), since_year=1998)
 
 

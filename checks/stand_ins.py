@@ -247,6 +247,16 @@ def flights(spark: SparkSession, folder: str) -> DataFrame:
     return base(spark, folder).selectExpr(*expressions(FLIGHTS, "spark"))
 
 
+def flights_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """``flights``, those of a month together and in their order, for a table that is stored by month.
+
+    They are moved and sorted as lines, which are a fraction of a flight.
+    """
+    months = {name: FLIGHTS[name] for name in ("YEAR", "MONTH")}
+    lines = base(spark, folder).selectExpr("*", *expressions(months, "spark")).hint("rebalance", *months)
+    return lines.sortWithinPartitions(*months).selectExpr(*expressions(FLIGHTS | {n: n for n in months}, "spark"))
+
+
 @storable
 def source_rows(spark: SparkSession, folder: str) -> DataFrame:
     return source_shape(base(spark, folder))

@@ -77,26 +77,33 @@ def filled_from(flights: DataFrame, obs: DataFrame, keys: Column, side: str, fie
     return joined.withColumns(filled).select(flights.columns)
 
 
-def fill_weather(flights: DataFrame, weather: DataFrame, side: str, fields: list[str], keys: list[Column]) -> DataFrame:
+def fill_weather(
+    flights: DataFrame, weather: DataFrame, side: str, fields: list[str], keys: list[Column], broadcast: bool = False
+) -> DataFrame:
     """Left join on airport, date, hour; fill only rows whose temperature is NULL.
 
     Of several observations in one hour the first by timestamp counts (by value
     where there is none), so no flight is doubled.  Only the needed columns travel, and the aggregate leaves
     them partitioned as the join needs them.  Airport, date and hour together
     spread the flights; a key that is still hot is split by AQE's skew join.
+    With ``broadcast`` the flights stay where they are; the caller has counted
+    the observations.
     """
     airport, date, hour = keys
     matched = (airport == F.col("_airport")) & (date == F.col("_date")) & (hour == F.col("_hour"))
-    return filled_from(add_missing_columns(flights), first_observations(weather, fields), matched, side, fields)
+    first = first_observations(weather, fields)
+    return filled_from(
+        add_missing_columns(flights), F.broadcast(first) if broadcast else first, matched, side, fields
+    )
 
 
-def with_origin_weather(flights: DataFrame, weather: DataFrame) -> DataFrame:
+def with_origin_weather(flights: DataFrame, weather: DataFrame, broadcast: bool = False) -> DataFrame:
     """Weather at the origin in the hour of scheduled departure."""
     keys = [F.col("ORIGIN"), F.col("FLIGHT_DATE"), clock_hour("SCHEDULED_DEP")]
-    return fill_weather(flights, weather, "ORIGIN", ORIGIN_FIELDS, keys)
+    return fill_weather(flights, weather, "ORIGIN", ORIGIN_FIELDS, keys, broadcast)
 
 
-def with_destination_weather(flights: DataFrame, weather: DataFrame) -> DataFrame:
+def with_destination_weather(flights: DataFrame, weather: DataFrame, broadcast: bool = False) -> DataFrame:
     """Weather at the destination in the hour of scheduled arrival.
 
     Overnight flights look at the next day; a missing arrival counts as hour 0.
@@ -106,11 +113,11 @@ def with_destination_weather(flights: DataFrame, weather: DataFrame) -> DataFram
         arrival_date("FLIGHT_DATE", "SCHEDULED_DEP", "SCHEDULED_ARR"),
         clock_hour(F.coalesce("SCHEDULED_ARR", F.lit(0))),
     ]
-    return fill_weather(flights, weather, "DEST", DEST_FIELDS, keys)
+    return fill_weather(flights, weather, "DEST", DEST_FIELDS, keys, broadcast)
 
 
-def with_weather(flights: DataFrame, weather: DataFrame) -> DataFrame:
-    return with_destination_weather(with_origin_weather(flights, weather), weather)
+def with_weather(flights: DataFrame, weather: DataFrame, broadcast: bool = False) -> DataFrame:
+    return with_destination_weather(with_origin_weather(flights, weather, broadcast), weather, broadcast)
 
 
 def fill_status(flights: DataFrame, since_year: int = 2025) -> DataFrame:

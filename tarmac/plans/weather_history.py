@@ -32,11 +32,23 @@ def load_weather(
     )
 
 
-def fill_stored_weather(spark: SparkSession, staging_path: str, weather: DataFrame, since_year: int = 2025) -> DataFrame:
+BROADCAST_OBSERVATIONS = 1_000_000  # 545,328 hours were 134 MB at each end
+
+
+def fill_stored_weather(
+    spark: SparkSession,
+    staging_path: str,
+    weather: DataFrame,
+    since_year: int = 2025,
+    broadcast_rows: int = BROADCAST_OBSERVATIONS,
+) -> DataFrame:
     """Fill weather into the stored months that lack any; returns the fill status ``before`` and ``after``.
 
     Only months with an empty temperature are read and rewritten, as one step
-    of the versioned staging table.
+    of the versioned staging table.  The observations are counted and broadcast
+    up to ``broadcast_rows``: the flights, which are stored by month, are then
+    rewritten by the tasks that read them.  More observations are joined by
+    shuffle, which moves whole flights and gathers the months anew.
     """
     fields = {f.name: f for f in [*STAGING_FLIGHTS.fields, *FLIGHT_WEATHER.fields]}
     table, schema = VersionedTable(spark, staging_path), type(STAGING_FLIGHTS)(list(fields.values()))
@@ -49,5 +61,7 @@ def fill_stored_weather(spark: SparkSession, staging_path: str, weather: DataFra
     months = table.read(schema).where(empty).select("YEAR", "MONTH").distinct().collect()  # calendar months
     open_months = [partition_of(YEAR=year, MONTH=month) for year, month in months]
     if open_months:
-        table.replace(with_weather(table.read(schema, open_months), weather), ["YEAR", "MONTH"])
+        small = weather.count() <= broadcast_rows
+        filled = with_weather(table.read(schema, open_months), weather, broadcast=small)
+        table.replace(filled, ["YEAR", "MONTH"], rebalance=not small)
     return before.unionByName(status("after"))

@@ -2,9 +2,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from checks import registry, stand_ins
 from tarmac.operators import weather
+from tarmac.plans import weather_history
 from tarmac.schemas import HOURLY_FIELDS, WEATHER_DOCUMENT, WEATHER_HOURLY
-from tests.conftest import one, rows
+from tarmac.sources.tables import add_missing_columns
+from tarmac.sources.versions import VersionedTable
+from tests.conftest import one, plan, rows
 
 
 def documents(spark, *given):
@@ -104,3 +108,36 @@ def test_coordinates_ignore_case_and_drop_unknown(spark):
     frame = spark.createDataFrame([("atl",), ("MEM",), ("Sea",)], "IATA_CODE string")
     assert sorted(r[0] for r in rows(weather.with_coordinates(frame).select("IATA_CODE"))) == ["Sea", "atl"]
     assert weather.fetch_grid(frame, 2000, 2025).count() == 2 * 26
+
+
+def test_stored_months_are_filled_where_they_lie(spark, small, tmp_path, monkeypatch):
+    """Few observations move no flight; more than may be broadcast give the same rows."""
+    hourly = registry.hourly(spark, small)
+    stored, moved = [], []
+    prepare = VersionedTable.prepare
+
+    def seen(table, filled, by=(), rebalance=True):
+        text = plan(filled, "simple")
+        moved.append(rebalance or "SortMergeJoin" in text or "ShuffledHashJoin" in text)
+        return prepare(table, filled, by, rebalance)
+
+    for most in (10_000_000, 0):
+        path = str(tmp_path / f"staging-{most}")
+        table = VersionedTable(spark, path)
+        table.replace(add_missing_columns(registry.flights(spark, small)), ["YEAR", "MONTH"])
+        monkeypatch.setattr(VersionedTable, "prepare", seen)
+        options = {} if most else {"broadcast_rows": 0}
+        report = weather_history.fill_stored_weather(spark, path, hourly, 1998, **options)
+        monkeypatch.undo()
+        names = sorted(table.read().columns)
+        stored.append((rows(report), sorted(map(repr, rows(table.read().select(names))))))
+    assert stored[0] == stored[1] and stored[0][0][1][2] > 0
+    assert moved == [False, True]
+
+
+def test_flights_are_brought_together_as_lines(spark, small):
+    by_month, whole = stand_ins.flights_by_month(spark, small), stand_ins.flights(spark, small)
+    assert by_month.schema == whole.schema
+    assert by_month.exceptAll(whole).isEmpty() and whole.exceptAll(by_month).isEmpty()
+    (moved,) = [line for line in plan(by_month).split("\n\n") if "REBALANCE" in line and "Arguments" in line]
+    assert "ORIGIN_CITY" not in moved
