@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.llm.tables import staged
-from tarmac.llm.word_tokens import REMEMBERED_WORDS, encoder, slices
+from tarmac.llm.word_tokens import REMEMBERED_WORDS, encoder, parted, slices
 
 K1, B = 1.2, 0.75
 
@@ -35,15 +35,22 @@ def corpus_of(encoded: DataFrame, id_type: np.dtype) -> Corpus:
     """Counts over all rows; a task sends a row per term, so what is collected is bounded by the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, n, total = np.zeros(0, np.int64), 0, 0
+        df, n, total = np.zeros(1 << 16, np.int64), 0, 0
+        # marks of one document, and of up to 255 added up: sorting a document's ids takes several times longer
+        found, some = np.zeros(len(df), np.uint8), np.zeros(len(df), np.uint8)
         for batch in batches:
             for value in batch.column("ids"):
                 ids = np.frombuffer(value.as_buffer(), id_type)
-                found = np.unique(ids)
-                if len(found) and found[-1] >= len(df):
-                    df = np.append(df, np.zeros(int(found[-1]) + 1 - len(df), np.int64))
-                df[found] += 1
+                if len(ids) and (most := int(ids.max())) >= len(df):
+                    df, found, some = (np.append(x, np.zeros(most + 1 - len(x), x.dtype)) for x in (df, found, some))
+                found[ids] = 1
+                some += found
+                found[ids] = 0
                 n, total = n + 1, total + len(ids)
+                if n % 255 == 0:
+                    df += some
+                    some[:] = 0
+        df += some
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(held, [-1, -2])), pa.array(np.append(df[held], [n, total]))], names=["term", "n"]
@@ -67,17 +74,19 @@ class ShardIndex:
     def __init__(self, tokens: list[np.ndarray], query_terms: int | None = None, corpus: Corpus | None = None):
         self.n = len(tokens)
         self.query_terms = query_terms
-        terms, counts, sizes = [], [], []
-        for ids in tokens:
-            found, times = np.unique(ids, return_counts=True)
-            terms.append(found)
-            counts.append(times)
-            sizes.append(len(found))
-        self.ends = np.cumsum(sizes)
-        self.terms = np.concatenate(terms).astype(np.int64)
-        documents = np.repeat(np.arange(self.n), sizes)
-        lengths = np.array([len(ids) for ids in tokens], float)
-        tf = np.concatenate(counts).astype(float)
+        lengths = np.array([len(ids) for ids in tokens])
+        ids = np.concatenate(tokens)
+        width = int(ids.max()).bit_length() if len(ids) else 0
+        # a document and a term in one number, sorted for the whole shard at once
+        keys = np.repeat(np.arange(self.n, dtype=np.uint32 if self.n << width < 1 << 32 else np.int64), lengths)
+        keys <<= width
+        keys |= ids.astype(keys.dtype)
+        keys.sort()
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        tf = np.diff(first, append=len(keys)).astype(float)
+        documents = (keys[first] >> width).astype(np.int64)
+        self.terms = (keys[first] & ((1 << width) - 1)).astype(np.int64)
+        self.ends = np.cumsum(np.bincount(documents, minlength=self.n))
         df = np.bincount(self.terms)
         corpus = corpus or Corpus(self.n, lengths.mean(), df)
         held = corpus.df[: len(df)]
@@ -100,7 +109,7 @@ class ShardIndex:
         sizes = self.df[mine]
         ends = np.cumsum(sizes)
         at = np.repeat(self.places[mine] - (ends - sizes), sizes) + np.arange(ends[-1])
-        return np.bincount(self.posted[at], self.weights[at], minlength=self.n)
+        return np.bincount(self.posted.take(at), self.weights.take(at), minlength=self.n)
 
 
 class Packer:
@@ -216,8 +225,9 @@ def pack(
         codec = encoder(vocabulary, remembered_words)
         for batch in batches:
             texts = batch.column("text")
-            for start, stop in slices(texts):
-                ids, ends, least = codec.encode(texts.slice(start, stop - start))
+            # a larger slice looks up fewer words; its own are to be a small part of those remembered
+            for start, stop in slices(texts, max(6 * remembered_words, 1_000_000)):
+                ids, ends, least = codec.encode(parted(texts.slice(start, stop - start)))
                 ids = np.insert(ids, ends, end_id).astype(codec.id_type)
                 ends = np.append(0, ends + np.arange(1, len(ends) + 1)) * codec.id_type.itemsize
                 data = pa.LargeBinaryArray.from_buffers(

@@ -19,6 +19,45 @@ _MARKS = frozenset(".,;:!?")
 _ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 #: Letters up to here have a lower case of one letter that does not depend on its neighbours.
 _LAST_PLAIN = "\u024f"
+_LARGEST = (1 << 64) - 1
+
+
+def _bytes_of(characters: str) -> np.ndarray:
+    held = np.zeros(256, bool)
+    held[list(characters.encode())] = True
+    return held
+
+
+_UPPER = _bytes_of("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_ENDING = _UPPER | _bytes_of("abcdefghijklmnopqrstuvwxyz0123456789")
+_MARK = _bytes_of("".join(_MARKS))
+_PARTING = _bytes_of(" \t\n")
+
+
+def parted(texts: pa.Array) -> pa.Array:
+    """Texts of the same ids in fewer different words: A-Z in lower case, a mark behind a letter or digit and before a blank by itself.
+
+    Neither reaches across what the vocabulary looks at together: a mark behind
+    letters or digits is a piece of its own.  A letter before a byte of another
+    script keeps its case, as an accent may join it only in one case; so do all
+    letters of an array that may hold special tokens.  Null becomes empty.
+    """
+    texts = pc.fill_null(texts, "")
+    wide = pa.types.is_large_string(texts.type)
+    _, ends, data = texts.buffers()
+    if not len(texts) or data is None:
+        return texts
+    ends = np.frombuffer(ends, np.int64 if wide else np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].copy()
+    ends = ends - ends[0]
+    if len(raw) < 3:
+        return texts
+    at = np.flatnonzero(_MARK[raw[1:-1]] & _ENDING[raw[:-2]] & _PARTING[raw[2:]]) + 1
+    if not ((raw[:-1] == ord("<")) & (raw[1:] == ord("|"))).any():
+        raw[:-1] += (_UPPER[raw[:-1]] & (raw[1:] < 128)) * np.uint8(32)
+    ends = (ends + np.searchsorted(at, ends)).astype(ends.dtype)
+    array = pa.LargeStringArray if wide else pa.StringArray
+    return array.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(np.insert(raw, at, ord(" "))))
 
 
 class Ids:
@@ -184,7 +223,8 @@ class WholeTextEncoder:
             self.words.add(ids, np.diff(ends, prepend=0))
             while self.words.n > len(self.hashes):
                 self.hashes = np.concatenate([self.hashes, np.empty_like(self.hashes)])
-            self.hashes[first : self.words.n] = [xxh3_64_intdigest(word) for word in part]
+            # a mark by itself is in every text, so it is never the smallest
+            self.hashes[first : self.words.n] = [_LARGEST if word in _MARKS else xxh3_64_intdigest(word) for word in part]
             self.places.update(zip(part, range(first, self.words.n)))
 
     def _places(self, words: list[str]) -> np.ndarray:

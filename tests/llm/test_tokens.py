@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from tarmac.llm import arrow_sequences, bm25_packing
 from tarmac.llm.tables import table
-from tarmac.llm.word_tokens import WholeTextEncoder, slices
+from tarmac.llm.word_tokens import WholeTextEncoder, parted, slices
 
 
 def encoded(vocabulary, texts, end):
@@ -178,3 +178,39 @@ def test_words_that_come_again_are_not_forgotten(vocabulary):
     assert len(small.places) < 60 and {"often", "Known,"} <= small.places.keys()
     small.max_words = 1  # a batch of more words than fit is still encoded
     assert small.encode(texts)[0].tolist() == large.encode(texts)[0].tolist()
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_parted_texts_have_the_same_ids_in_fewer_words(vocabulary, kind):
+    draw = random.Random(1)
+    letters = "aZJ'sS.,!?;:1$-_éÉ \n\t\x1c\xa0\u030c\u0301\u0307İΣς<|>日,. ,. "
+    texts = [None, "", "a", "Known, known. KNOWN: It's 3, 'S, x., a$, J\u030c, I\u0307. É, ΟΔΟΣ, end,", "b, c. d! e", ", .", "A"]
+    texts += ["".join(draw.choice(letters) for _ in range(draw.randint(0, 30))) for _ in range(3000)]
+    special = ["<|ENDOFTEXT|>, A, <|endoftext|>. B"]
+    codec = WholeTextEncoder(vocabulary)
+    for given in (texts, special, texts + special):
+        array = pa.array(["cut off", *given, "cut off"], kind).slice(1, len(given))
+        got = []
+        for start, stop in slices(array, 400):
+            found = parted(array.slice(start, stop - start))
+            assert found.type == kind and found.validate(full=True) is None
+            ids, ends, _ = codec.encode(found)
+            got += [part.tolist() for part in np.split(ids, ends[:-1])]
+        assert got == [ids[:-1] for ids in encoded(vocabulary, given, 0)]
+    codec = WholeTextEncoder(vocabulary)
+    codec.encode(parted(pa.array(["Known, known. KNOWN: known; "], kind)))
+    assert codec.places.keys() <= {"known", ",", ".", ":", ";", ""}
+
+
+def test_lone_marks_deal_out_no_text(vocabulary):
+    texts = [f"word{k} , . ! ? ; :" for k in range(50)]
+    _, _, least = WholeTextEncoder(vocabulary).encode(pa.array(texts))
+    assert len(set(least.tolist())) == 50
+
+
+def test_terms_are_counted_past_the_marks_of_255_documents(spark):
+    rows = [np.array([3, 3, k % 2], np.uint32) for k in range(700)] + [np.array([70_000, 3], np.uint32), np.array([], np.uint32)]
+    frame = spark.createDataFrame([(bytes(ids.tobytes()),) for ids in rows], "ids binary").repartition(1)
+    corpus = bm25_packing.corpus_of(frame, np.dtype(np.uint32))
+    assert (corpus.n, len(corpus.df)) == (702, 70_001)
+    assert corpus.df[[0, 1, 2, 3, 70_000]].tolist() == [350, 350, 0, 701, 1] and corpus.df.sum() == 1402
