@@ -97,17 +97,25 @@ class ShardIndex:
         self.posted, self.weights = documents[order], weights[order]
         self.df = df
         self.places = np.append(0, np.cumsum(df))
+        self.searched = self.n
+
+    def search_only(self, wanted: np.ndarray) -> None:
+        """Leave out the postings of all other documents; the scores of those wanted stay the same."""
+        held = wanted[self.posted]
+        self.places = np.append(0, np.cumsum(held))[self.places]
+        self.posted, self.weights = self.posted[held], self.weights[held]
+        self.searched = int(wanted.sum())
 
     def scores(self, document: int) -> np.ndarray:
-        """BM25 of all documents of the shard for the terms of one, those that occur elsewhere in it."""
+        """BM25 of all searched documents of the shard for the terms of one, those that occur elsewhere in it."""
         mine = self.terms[self.ends[document - 1] if document else 0 : self.ends[document]]
         mine = mine[self.df[mine] > 1]
         if self.query_terms is not None and len(mine) > self.query_terms:
             mine = mine[np.argsort(-self.idf[mine], kind="stable")[: self.query_terms]]
-        if not len(mine):
-            return np.zeros(self.n)
-        sizes = self.df[mine]
+        sizes = self.places[mine + 1] - self.places[mine]
         ends = np.cumsum(sizes)
+        if not len(mine) or not ends[-1]:
+            return np.zeros(self.n)
         at = np.repeat(self.places[mine] - (ends - sizes), sizes) + np.arange(ends[-1])
         return np.bincount(self.posted.take(at), self.weights.take(at), minlength=self.n)
 
@@ -183,6 +191,8 @@ def pack_shard(
         if packer.filled == 0:
             seed = -1
             continue
+        if 4 * np.count_nonzero(free) < 3 * index.searched:
+            index.search_only(free)
         scores = np.where(free, index.scores(seed), -1.0)
         windows, seed = packer.sequence, -1
         while packer.sequence == windows:

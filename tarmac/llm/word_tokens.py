@@ -28,8 +28,7 @@ def _bytes_of(characters: str) -> np.ndarray:
     return held
 
 
-_UPPER = _bytes_of("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-_ENDING = _UPPER | _bytes_of("abcdefghijklmnopqrstuvwxyz0123456789")
+_ENDING = _bytes_of("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 _MARK = _bytes_of("".join(_MARKS))
 _PARTING = _bytes_of(" \t\n")
 
@@ -52,9 +51,11 @@ def parted(texts: pa.Array) -> pa.Array:
     ends = ends - ends[0]
     if len(raw) < 3:
         return texts
-    at = np.flatnonzero(_MARK[raw[1:-1]] & _ENDING[raw[:-2]] & _PARTING[raw[2:]]) + 1
-    if not ((raw[:-1] == ord("<")) & (raw[1:] == ord("|"))).any():
-        raw[:-1] += (_UPPER[raw[:-1]] & (raw[1:] < 128)) * np.uint8(32)
+    at = np.flatnonzero(_MARK.take(raw[1:-1])) + 1
+    at = at[_ENDING[raw[at - 1]] & _PARTING[raw[at + 1]]]
+    if b"<|" not in raw.data.tobytes():
+        upper = (raw[:-1] - np.uint8(ord("A")) < 26) & (raw[1:] < 128)
+        raw[:-1] |= upper.view(np.uint8) << np.uint8(5)
     ends = (ends + np.searchsorted(at, ends)).astype(ends.dtype)
     array = pa.LargeStringArray if wide else pa.StringArray
     return array.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(np.insert(raw, at, ord(" "))))

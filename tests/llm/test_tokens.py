@@ -214,3 +214,17 @@ def test_terms_are_counted_past_the_marks_of_255_documents(spark):
     corpus = bm25_packing.corpus_of(frame, np.dtype(np.uint32))
     assert (corpus.n, len(corpus.df)) == (702, 70_001)
     assert corpus.df[[0, 1, 2, 3, 70_000]].tolist() == [350, 350, 0, 701, 1] and corpus.df.sum() == 1402
+
+
+def test_scores_of_the_documents_still_searched_stay_the_same():
+    draw = np.random.default_rng(1)
+    tokens = [draw.integers(0, 60, draw.integers(1, 50)).astype(np.uint16) for _ in range(40)]
+    whole, less = bm25_packing.ShardIndex(tokens), bm25_packing.ShardIndex(tokens)
+    order = draw.permutation(40)
+    for kept in (30, 12, 3, 0):
+        wanted = np.zeros(40, bool)
+        wanted[order[:kept]] = True
+        less.search_only(wanted)
+        assert less.searched == kept and len(less.posted) == wanted[whole.posted].sum()
+        for seed in range(40):
+            assert less.scores(seed)[wanted].tolist() == whole.scores(seed)[wanted].tolist()
