@@ -221,3 +221,48 @@ def test_a_stopped_fit_is_the_start_of_a_longer_one(spark, kind):
     settings = delay_model.Boosting(rounds=5, flat_rounds=2)
     delay_model.fit_stopping(counted, rows, rows.where("a < 50"), settings)
     assert fits == [5]  # no second fit up to the best round
+
+
+def test_a_falling_loss_is_fitted_twice_at_most(spark):
+    """A few rounds to see whether the stop rule holds, then all of them: no fit in between is thrown away."""
+    line = spark.range(400).selectExpr("double(id % 100) AS x", "double(id % 100) AS y", "id % 4 = 0 AS held")
+    line = VectorAssembler(inputCols=["x"], outputCol="features").transform(line).cache()
+    fits = []
+
+    class Counted(GBTRegressor):
+        def fit(self, dataset, params=None):
+            fits.append(self.getMaxIter())
+            return super().fit(dataset, params)
+
+    counted = Counted(featuresCol="features", labelCol="y", maxDepth=3, stepSize=0.05, seed=7)
+    fitted = delay_model.fit_stopping(
+        counted, line.where("NOT held"), line.where("held"), delay_model.Boosting(rounds=24, rate=0.05, flat_rounds=2)
+    )
+    assert fits == [8, 24] and fitted.getNumTrees == 24
+
+
+def test_training_rows_are_on_all_cores(spark, split_rows, monkeypatch):
+    """The rows of one task are read thousands of times by one core while the others wait."""
+    seen = []
+
+    def stop(model, train, held_out, settings):
+        seen.append((train.rdd.getNumPartitions(), train.count(), held_out.count()))
+        raise StopIteration
+
+    monkeypatch.setattr(delay_model, "fit_stopping", stop)
+    narrow, cores = split_rows.coalesce(1), spark.sparkContext.defaultParallelism
+    held = narrow.where("IS_VALIDATION").count()
+    for fit, rows_per_task in ((delay_model.fit_classifier, 10**6), (delay_model.fit_regressor, 100)):
+        monkeypatch.setattr(delay_model, "ROWS_PER_TASK", rows_per_task)
+        with pytest.raises(StopIteration):
+            fit(narrow, delay_model.Boosting(rounds=1))
+        parts, train, validation = seen.pop()
+        assert parts == max(cores, -(-train // rows_per_task)) and train + validation == narrow.count() and validation == held
+
+
+def test_both_models_at_once_are_those_fitted_alone(split_rows, models):
+    both = delay_model.fit_both(split_rows, delay_model.Boosting(rounds=5), delay_model.Boosting(rounds=5, depth=7))
+    for alone, together in zip(models, both):
+        assert type(alone.stages[-1]) is type(together.stages[-1])
+        assert delay_model.rounds_of(alone) == delay_model.rounds_of(together)
+    assert one(delay_model.evaluate(split_rows, *both)) == one(delay_model.evaluate(split_rows, *models))
