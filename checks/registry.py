@@ -183,7 +183,7 @@ def landed_archives(spark: SparkSession, folder: str, path: str) -> DataFrame:
     Every hundredth line has surplus fields.  Returns the names written.
     """
 
-    rows = stand_ins.source_rows(spark, folder)
+    rows = stand_ins.source_rows_by_month(spark, folder)
     header = io.StringIO()
     csv.writer(header, lineterminator="\n").writerow([*rows.columns, ""])
 

@@ -267,6 +267,13 @@ def source_shape(lines: DataFrame) -> DataFrame:
     return lines.selectExpr(*expressions(SOURCE_ROWS_PICKED, "spark"))
 
 
+def source_rows_by_month(spark: SparkSession, folder: str) -> DataFrame:
+    """``source_rows``, those of a month together: lines are moved and sorted, as a source row takes many times their bytes."""
+    months = {name: SOURCE_ROWS_PICKED[name] for name in ("Year", "Month")}
+    lines = base(spark, folder).selectExpr("*", *expressions(months, "spark")).repartition(*months)
+    return lines.sortWithinPartitions(*months).selectExpr(*expressions(SOURCE_ROWS_PICKED | {n: n for n in months}, "spark"))
+
+
 @storable
 def nas_text(spark: SparkSession, folder: str) -> DataFrame:
     return wide(table(spark, folder, "events")).selectExpr(*expressions(NAS, "spark"))

@@ -13,7 +13,7 @@ from tarmac.operators.flight_cleaning import (
 )
 from tarmac.operators.weather import with_weather
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS
-from tarmac.session import work_path
+from tarmac.session import remove_path, work_path
 from tarmac.sources.archives import archive_errors, list_archives, unpack, unpacked_rows
 from tarmac.sources.tables import add_missing_columns, write_batch, write_partitions
 from tarmac.sources.versions import VersionedTable
@@ -27,13 +27,16 @@ def load_archives(
     An archive that cannot be read to its end leaves its stored month as it is;
     a table of them is written to ``errors_path`` and returned.  An archive
     holds one month, so each task writes few partitions and nothing is shuffled.
+    The unpacked rows go when the raw layer has them.
     """
-    manifest = unpack(list_archives(spark, folder, year, month), work_path(spark, "unpacked"))
+    staging = work_path(spark, "unpacked")
+    manifest = unpack(list_archives(spark, folder, year, month), staging)
     rows = tag_source(clean_flights(unpacked_rows(manifest).drop("ARCHIVE")))
     whole = add_missing_columns(rows, RAW_FLIGHTS).select(RAW_FLIGHTS.names)
     write_partitions(whole, raw_path, ["YEAR", "MONTH"], rebalance=False)
     errors = archive_errors(manifest)
     write_batch(errors, errors_path)
+    remove_path(spark, staging)
     return spark.read.schema(errors.schema).parquet(errors_path)
 
 

@@ -115,3 +115,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, in whatever store Spark reads."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what a load needs no longer, in whatever store Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

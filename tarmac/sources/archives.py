@@ -82,7 +82,7 @@ def unpack_one(name: str, content: bytes, staging: str) -> tuple[str, str | None
         for chunk in _member_chunks(content):
             if writer is None:
                 system.create_dir(path.rsplit("/", 1)[0], recursive=True)
-                writer = pq.ParquetWriter(path, _FILE_SCHEMA, filesystem=system)
+                writer = pq.ParquetWriter(path, _FILE_SCHEMA, filesystem=system, compression="zstd")
             named = pa.repeat(name, chunk.num_rows)
             writer.write_table(pa.Table.from_arrays([named, *chunk.columns], schema=_FILE_SCHEMA))
             rows += chunk.num_rows

@@ -1,8 +1,10 @@
 import io
 import zipfile
 
+import pyarrow.parquet as pq
 import pytest
 
+from tarmac.plans import flight_history
 from tarmac.plans.flight_history import build_staging, load_archives
 from tarmac.schemas import SOURCE_CSV
 from tarmac.sources import archives
@@ -167,3 +169,18 @@ def test_members_are_cut_block_by_block(monkeypatch, block):
              ("2024", "ATL", f"L{end}AX"), ("2025", "DEN", "ORD")]
         )
         assert {row["Tail_Number"] for row in found} == {None}
+
+
+def test_unpacked_rows_go_when_the_raw_layer_has_them(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(flight_history, "work_path", lambda session, name: (tmp_path / name).as_uri())
+    written = []
+    real = flight_history.write_partitions
+
+    def write(*given, **named):
+        written.extend(pq.ParquetFile(file).metadata.row_group(0).column(0).compression for file in (tmp_path / "unpacked/rows").iterdir())
+        return real(*given, **named)
+
+    monkeypatch.setattr(flight_history, "write_partitions", write)
+    errors = load_archives(spark, folder, str(tmp_path / "raw"), str(tmp_path / "errors"))
+    assert written == ["ZSTD", "ZSTD"] and not (tmp_path / "unpacked").exists()
+    assert errors.count() == 1 and spark.read.parquet(str(tmp_path / "raw")).count() == 9

@@ -273,3 +273,13 @@ def test_program_texts_run_as_compiled_methods(spark, small):
     fresh.conf.set(limit, "65535")
     stand_ins.nas_lines(fresh, small)
     assert int(fresh.conf.get(limit)) <= 8000
+
+
+def test_archives_move_lines_instead_of_source_rows(spark, small, tmp_path):
+    """A source row is over a hundred texts; what is moved and sorted by month is a line of a few numbers."""
+    text = plan(registry.landed_archives(spark, small, tmp_path.as_uri()))
+    moved = re.findall(r"Exchange *\nInput[^:]*: \[([^\]]*)\]\nArguments: hashpartitioning\(Year", text)
+    assert len(moved) == 1 and len(moved[0].split(",")) < 20 and "Tail_Number" not in moved[0]
+    assert len(re.findall(r"^\(\d+\) Sort *$", text, re.M)) == 1
+    by_month, plain = stand_ins.source_rows_by_month(spark, small), stand_ins.source_rows(spark, small)
+    assert by_month.schema == plain.schema and by_month.exceptAll(plain).isEmpty() and plain.exceptAll(by_month).isEmpty()
