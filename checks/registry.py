@@ -41,7 +41,7 @@ from tarmac.operators import sketches, tree_rows
 from tarmac.operators.keys import sample_rows
 from tarmac.plans import colocated_weather, flight_history, mart_refresh, weather_history
 from tarmac.schemas import RAW_FLIGHTS, STAGING_FLIGHTS, WEATHER_HOURLY, columns
-from tarmac.session import ensure_checkpoint_dir, work_path
+from tarmac.session import ensure_checkpoint_dir, remove_path, work_path
 from tarmac.sources import landed, nas_feeds, tables
 from tarmac.sources.versions import VersionedTable
 from tarmac.streaming import nas_feed
@@ -159,21 +159,25 @@ def deduplicated_flights(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.deduplicate_flights(spark.read.schema(rows.schema).parquet(path))
 
 
+CSV_LINES_PER_FILE = 500_000  # a compressed file is read by one task
+
 # columns that files of odd years lack
 ABSENT_IN_ODD_YEARS = ["TaxiOut", "DistanceGroup", "NASDelay"]
 
 
 @register
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Files of two headers: one with an unknown and a nameless column, one with fewer columns in another order."""
+    """Compressed files of two headers: one with an unknown and a nameless column, one with fewer columns in another order."""
     path, lines = work_path(spark, "csv-scan"), work_path(spark, "csv-lines")
     # the joined lines are few columns; what is made of them is written twice
     tables.write_batch(stand_ins.base(spark, folder), lines)
     rows = stand_ins.source_shape(spark.read.parquet(lines))
-    spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+    files = {"header": True, "compression": "gzip", "maxRecordsPerFile": CSV_LINES_PER_FILE}
     even, odd = rows.where("int(Year) % 2 = 0"), rows.where("int(Year) % 2 = 1").drop(*ABSENT_IN_ODD_YEARS)
-    even.withColumn("", F.lit(None).cast("string")).write.options(header=True, emptyValue="", **spaces).csv(f"{path}/even")
-    odd.select(*reversed(odd.columns)).write.options(header=True, emptyValue="", **spaces).csv(f"{path}/odd")
+    even.withColumn("", F.lit(None).cast("string")).write.options(**files, **kept).csv(f"{path}/even")
+    odd.select(*reversed(odd.columns)).write.options(**files, **kept).csv(f"{path}/odd")
+    remove_path(spark, lines)
     return cleaning.clean_flights(landed.read_source_csv(spark, f"{path}/*"))
 
 

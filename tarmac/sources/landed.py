@@ -42,11 +42,14 @@ def file_heads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def first_line(file: str) -> tuple[str, int]:
-    """The first line of a file, without its end or a byte order mark, and the bytes read for it."""
+    """The first line of a file, without its end or a byte order mark, and the bytes of text read for it.
+
+    A compressed file is known by its name, as Spark knows it.
+    """
     uri = re.sub(r"^([a-zA-Z][\w+.\-]*):/(?!/)", r"\1:///", file)
     system, place = fs.FileSystem.from_uri(uri)
     held = b""
-    with system.open_input_file(place) as stream:
+    with system.open_input_stream(place) as stream:
         while not any(end in held for end in (b"\n", b"\r")):
             block = stream.read(HEAD_BYTES)
             if not block:
@@ -61,7 +64,8 @@ def read_source_csv(spark: SparkSession, path: str, schema: StructType = SOURCE_
 
     Files may have more columns than ``schema``, fewer, or another order.  The
     head of each file is read first, and files of one header are read together.
-    A column no file of a header has is NULL.
+    A column no file of a header has is NULL.  Compressed files (``.csv.gz``)
+    are read as they are; each is one task's, so they should be of moderate size.
     """
     spaces = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     of_header: dict[str, list[str]] = {}

@@ -1,5 +1,6 @@
 """The plans are the ones the operators are written for."""
 
+import gzip
 import re
 
 import pytest
@@ -283,3 +284,15 @@ def test_archives_move_lines_instead_of_source_rows(spark, small, tmp_path):
     assert len(re.findall(r"^\(\d+\) Sort *$", text, re.M)) == 1
     by_month, plain = stand_ins.source_rows_by_month(spark, small), stand_ins.source_rows(spark, small)
     assert by_month.schema == plain.schema and by_month.exceptAll(plain).isEmpty() and plain.exceptAll(by_month).isEmpty()
+
+
+def test_csv_files_are_compressed_and_of_moderate_size(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "work_path", lambda session, name: (tmp_path / name).as_uri())
+    monkeypatch.setattr(registry, "CSV_LINES_PER_FILE", 700)
+    found = registry.QUERIES["csv_scan"](spark, small)
+    files = sorted((tmp_path / "csv-scan").glob("*/part-*"))
+    sizes = [len(gzip.decompress(file.read_bytes()).splitlines()) - 1 for file in files]
+    assert all(file.name.endswith(".csv.gz") for file in files) and max(sizes) <= 700
+    assert sum(sizes) == stand_ins.base(spark, small).count()
+    assert found.count() == registry.cleaned_flights(spark, small).count()
+    assert not (tmp_path / "csv-lines").exists()  # read by nothing any more

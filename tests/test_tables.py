@@ -1,4 +1,5 @@
 import datetime as dt
+import gzip
 import os
 
 import pytest
@@ -231,3 +232,14 @@ def test_shuffle_width():
     assert shuffle_width(0, 8) == 16
     assert shuffle_width(10 * 1024**4, 4000) == 54614
     assert shuffle_width(100 * 1024**4, 4000) == 546_134
+
+
+def test_compressed_csv_goes_by_header_name(spark, tmp_path):
+    plain, packed = "Unknown,FlightDate,Year,\n" + "x,2024-01-05,2024,\n" * 9_000, gzip.compress(b"Year,Dest\n2023,LAX\n")
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(plain.encode()))
+    (tmp_path / "b.csv.gz").write_bytes(packed)
+    (tmp_path / "c.csv").write_text("Dest,Year\nORD,2022\n")
+    assert landed.first_line(f"file:{tmp_path}/a.csv.gz") == ("Unknown,FlightDate,Year,", landed.HEAD_BYTES)
+    frame = landed.read_source_csv(spark, str(tmp_path))
+    got = rows(frame.groupBy("Year", "FlightDate", "Dest").count())
+    assert sorted(got, key=str) == [("2022", None, "ORD", 1), ("2023", None, "LAX", 1), ("2024", "2024-01-05", None, 9_000)]
