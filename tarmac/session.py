@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +78,19 @@ def wide(rows: DataFrame) -> DataFrame:
     return rows
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """Runtime settings for what runs inside, and the former ones after it."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 _local_folders: dict[str, str] = {}
 
 

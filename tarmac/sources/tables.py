@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tarmac.schemas import FLIGHT_WEATHER, LAYER_TABLES
+from tarmac.session import settings
 from tarmac.sources.versions import VersionedTable, partition_of, read_versioned
 
 STAMP = "_UPDATED_TS"
+#: Files a task keeps open at once before it sorts what is left by partition; all of them hold no more than its rows.
+OPEN_FILES = 32
 
 
 # -- loading ---------------------------------------------------------------
@@ -104,15 +107,18 @@ def write_partitions(
 
     The rebalance hint lets AQE merge small partitions and split a hot one over
     several files, so one month or day may hold most of the rows.  It costs a
-    shuffle; rows whose tasks already hold few partitions can go without.
+    shuffle; rows whose tasks already hold few partitions can go without, and
+    are not sorted either.
     """
-    (
-        (rows.hint("rebalance", *by) if rebalance else rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    open_files = {} if rebalance else {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}
+    with settings(rows.sparkSession, open_files):
+        (
+            (rows.hint("rebalance", *by) if rebalance else rows)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static" if whole else "dynamic")
+            .partitionBy(*by)
+            .parquet(path)
+        )
 
 
 def write_replacing_date(rows: DataFrame, path: str, date: dt.date, column: str = "FETCH_DATE") -> None:

@@ -243,3 +243,19 @@ def test_compressed_csv_goes_by_header_name(spark, tmp_path):
     frame = landed.read_source_csv(spark, str(tmp_path))
     got = rows(frame.groupBy("Year", "FlightDate", "Dest").count())
     assert sorted(got, key=str) == [("2022", None, "ORD", 1), ("2023", None, "LAX", 1), ("2024", "2024-01-05", None, 9_000)]
+
+
+def test_rows_whose_tasks_hold_few_partitions_are_not_sorted(spark, tmp_path, monkeypatch):
+    """Rows of a month that come without order are written as they come, and settings are as before."""
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before, real = spark.conf.get(key, None), type(spark.range(0).write).parquet
+    monkeypatch.setattr(type(spark.range(0).write), "parquet", lambda self, *given, **named: seen.append(spark.conf.get(key, None)) or real(self, *given, **named))
+    few = spark.range(0, 3000, 1, 3).selectExpr("id", "id % 2 AS m")
+    many = spark.range(0, 4000, 1, 1).selectExpr("id", f"id % {3 * tables.OPEN_FILES} AS m")
+    for frame, n, months in ((few, 3000, 2), (many, 4000, 3 * tables.OPEN_FILES)):
+        path = str(tmp_path / str(months))
+        tables.write_partitions(frame, path, ["m"], rebalance=False)
+        stored = spark.read.parquet(path)
+        assert (stored.count(), stored.distinct().count(), stored.select("m").distinct().count()) == (n, n, months)
+    tables.write_partitions(few, str(tmp_path / "moved"), ["m"])
+    assert seen == [str(tables.OPEN_FILES)] * 2 + [before] and spark.conf.get(key, None) == before
